@@ -141,6 +141,15 @@ def _depth(small: int, medium: int) -> str:
       FROM items GROUP BY 1""")
 
 
+def _others(min_pct: int) -> str:
+    return _departments(f"""
+      SELECT name AS department, CAST(sum(total_orders) AS BIGINT) AS total_orders,
+             {_pct('sum(total_orders)', 'any_value(whole)')} AS market_share_pct
+      FROM (SELECT if(total_orders * 100 >= {min_pct} * whole, department, 'Others') AS name, total_orders, whole
+            FROM (SELECT *, sum(total_orders) OVER () AS whole FROM departments))
+      GROUP BY name""")
+
+
 def _reports() -> dict[str, str]:
     return {
         "a1_top_products": _products(f"FROM products ORDER BY total_orders DESC, {PRODUCT_ORDER} LIMIT 10"),
@@ -271,12 +280,8 @@ def _reports() -> dict[str, str]:
                  CAST(sum(g.total_orders) AS BIGINT) AS total_orders
           FROM hours h JOIN hours g ON g.order_hour_of_day BETWEEN h.order_hour_of_day AND h.order_hour_of_day + 3
           GROUP BY ALL ORDER BY total_orders DESC, start_hour LIMIT 1"""),
-        "i6_share_with_others": _departments(f"""
-          SELECT name AS department, CAST(sum(total_orders) AS BIGINT) AS total_orders,
-                 {_pct('sum(total_orders)', 'any_value(whole)')} AS market_share_pct
-          FROM (SELECT if(total_orders * 100 >= 5 * whole, department, 'Others') AS name, total_orders, whole
-                FROM (SELECT *, sum(total_orders) OVER () AS whole FROM departments))
-          GROUP BY name"""),
+        "i6_share_with_others": _others(5),
+        "i6_share_with_others_4": _others(4),
         "i7_lowest_departments": _departments(
             "FROM departments ORDER BY total_orders, department NULLS LAST LIMIT 2"
         ),

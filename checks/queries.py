@@ -31,6 +31,7 @@ from orderlens.operators import (
 )
 from orderlens.plans import REPORTS, run, run_refresh
 from orderlens.schema import DOCUMENT, ORDER, PRODUCT_IN_ORDER
+from orderlens.session import tune
 from orderlens.sinks import read_table, table_counts
 from orderlens.sources import flatten_orders, land_batch, parse_orders, read_lake, read_orders_json, with_ingestion_ts
 from orderlens.sources.star_tables import STAMP, order_items
@@ -74,7 +75,7 @@ def _document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_items(spark, sf_dir).select(F.to_json(document).alias("value"))
 
 
-def _document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+def document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     path = f"{folder}/documents"
     _document_text(spark, sf_dir).write.text(path)
     return path
@@ -86,7 +87,7 @@ def parsed_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_read_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = _document_files(spark, sf_dir, storage.scratch_folder(spark, "read"))
+    files = document_files(spark, sf_dir, storage.scratch_folder(spark, "read"))
     return with_ingestion_ts(flatten_orders(read_orders_json(spark, files, multi_line=False)), STAMP)
 
 
@@ -98,7 +99,7 @@ def landed_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     folder = storage.scratch_folder(spark, "refresh")
-    files = _document_files(spark, sf_dir, folder)
+    files = document_files(spark, sf_dir, folder)
     warehouse = f"{folder}/warehouse"
     return run_refresh(spark, files, f"{folder}/lake", warehouse, ts=STAMP, multi_line=False), warehouse
 
@@ -191,6 +192,10 @@ def readable_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scaled.select("line", "times", "quantity", readable_quantity(F.col("quantity")).alias("quantity_text"))
 
 
+def _tuned(query: Query) -> Query:
+    return lambda spark, sf_dir: query(tune(spark), sf_dir)
+
+
 def queries() -> dict[str, Query]:
     """Query name to ``(spark, sf_dir) -> DataFrame``."""
     raw = order_items
@@ -209,6 +214,7 @@ def queries() -> dict[str, Query]:
         "c2_concentration_2400": partial(_report, name="c2_concentration", threshold=2400),
         "c3_zscore_1": partial(_report, name="c3_zscore", z=1),
         "c5_gap_to_zero": partial(_report, name="c5_gap_to_next", lead_default=0),
+        "i6_share_with_others_4": partial(_report, name="i6_share_with_others", min_pct=4),
         "d7_consistent_users_min_70": partial(_report, name="d7_consistent_users", min_items=70, n=50),
         "d12_basket_depth_2_5": partial(_report, name="d12_basket_depth", edges=(2, 5)),
         # sources, casts, marts, sinks
@@ -233,4 +239,4 @@ def queries() -> dict[str, Query]:
         "table_counts": star_table_counts,
         "readable_quantity": readable_line_counts,
     }
-    return found
+    return {name: _tuned(query) for name, query in found.items()}
