@@ -6,6 +6,7 @@ from orderlens.operators.marts import (
     mart_grain,
     marts_from_grain,
     product_analytics,
+    roll_up_departments,
 )
 from orderlens.operators.profiling import (
     describe_numeric,
@@ -29,6 +30,7 @@ __all__ = [
     "preview",
     "product_analytics",
     "profile_columns",
+    "roll_up_departments",
     "sample_rows",
     "tie_order",
     "top_ranked",

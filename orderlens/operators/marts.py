@@ -3,8 +3,8 @@
 ``total_orders`` counts order items with a non-null order id, and ``reorder_rate`` is rounded to
 two decimals inside the mart; every report above sees the rounded value.
 
-All measures are additive, so a mart can be built from the detail rows or rolled up from
-:func:`mart_grain`, the one aggregate that is fine enough for all three.
+All measures are additive, so a coarser mart can be rolled up from a finer one: the departments
+from the products, and all three from :func:`mart_grain`.
 """
 
 from __future__ import annotations
@@ -51,11 +51,16 @@ def department_analytics(raw: DataFrame) -> DataFrame:
     return raw.groupBy("department").agg(_item_count())
 
 
+def roll_up_departments(products: DataFrame) -> DataFrame:
+    """:func:`department_analytics` from the product mart, without touching the detail rows."""
+    return products.groupBy("department").agg(F.sum("total_orders").alias("total_orders"))
+
+
 def mart_grain(raw: DataFrame) -> DataFrame:
-    """Items and reordered items by product name, department and hour.
+    """Items and reordered items by product name, department and hour: one pass for all marts.
 
-    One pass over the detail rows with map-side partial sums; a hot product, department or hour
-    costs each task one buffer entry per key.
+    It has up to 24 times the groups of the product mart. :func:`build_marts` reads the detail rows
+    twice instead, the second time two narrow columns, which is faster unless reading dominates.
     """
     return raw.groupBy(*GRAIN).agg(_item_count(), _reorder_count())
 
@@ -64,17 +69,25 @@ def marts_from_grain(grain: DataFrame) -> dict[str, DataFrame]:
     """The three marts as roll-ups of :func:`mart_grain`."""
     items = F.sum("total_orders").alias("total_orders")
     reorders = F.sum("reorder_count").alias("reorder_count")
+    products = _with_rate(grain.groupBy("product_name", "department").agg(items, reorders))
     return {
-        "product_analytics": _with_rate(grain.groupBy("product_name", "department").agg(items, reorders)),
+        "product_analytics": products,
         "hourly_analytics": grain.groupBy("order_hour_of_day").agg(items),
-        "department_analytics": grain.groupBy("department").agg(items),
+        "department_analytics": roll_up_departments(products),
     }
 
 
-def build_marts(raw: DataFrame) -> dict[str, DataFrame]:
+def build_marts(raw: DataFrame, products: DataFrame | None = None) -> dict[str, DataFrame]:
     """The detail table and the three marts of one raw frame, by table name.
 
     The marts come from the raw rows as they are, so a missing department is a NULL group there
-    and an empty string in the detail table.
+    and an empty string in the detail table. ``products`` is the product mart if it has already
+    been written; the departments are rolled up from it.
     """
-    return {"raw_orders": to_raw_orders(raw), **marts_from_grain(mart_grain(raw))}
+    products = product_analytics(raw) if products is None else products
+    return {
+        "raw_orders": to_raw_orders(raw),
+        "product_analytics": products,
+        "hourly_analytics": hourly_analytics(raw),
+        "department_analytics": roll_up_departments(products),
+    }

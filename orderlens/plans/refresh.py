@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens import storage
-from orderlens.functions.casts import to_raw_orders
 from orderlens.operators.dedupe import dedupe_latest
-from orderlens.operators.marts import mart_grain, marts_from_grain
+from orderlens.operators.marts import build_marts, product_analytics
 from orderlens.sinks.warehouse import load_report, refresh_tables
 from orderlens.sources.documents import flatten_orders, read_orders_json, require_non_empty, with_ingestion_ts
 from orderlens.sources.lake import cleanup_lake, land_batch, list_batches, read_batches
@@ -16,18 +15,19 @@ from orderlens.sources.lake import cleanup_lake, land_batch, list_batches, read_
 def load_tables(raw: DataFrame, warehouse: str, dedupe: bool = False) -> None:
     """Refresh the detail table and the marts from one raw frame.
 
-    The raw frame is read twice and never cached: once in full for the detail table, once with
-    the five columns of :func:`mart_grain`. The grain is small and is written to the scratch
-    folder, so the three marts roll it up without touching the raw rows again, also when an
-    executor is lost. With ``dedupe`` the deduplicated rows are written once and then read.
+    The raw frame is never cached: at full size a cache would only move it from one disk to
+    another. Each read takes the columns it needs - all for the detail table, four for the product
+    mart, two for the hours. The product mart goes to the scratch folder first, and both its table
+    and the department roll-up read it from there, also when an executor is lost. With ``dedupe``
+    the deduplicated rows are written once and then read.
     """
     spark = raw.sparkSession
     scratch = storage.scratch_folder(spark, "load")
     try:
         if dedupe:
             raw = storage.written(spark, dedupe_latest(raw), f"{scratch}/latest")
-        grain = storage.written(spark, mart_grain(raw), f"{scratch}/grain")
-        refresh_tables(spark, {"raw_orders": to_raw_orders(raw), **marts_from_grain(grain)}, warehouse)
+        products = storage.written(spark, product_analytics(raw), f"{scratch}/products")
+        refresh_tables(spark, build_marts(raw, products), warehouse)
     finally:
         storage.delete(spark, scratch)
 

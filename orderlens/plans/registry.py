@@ -82,3 +82,11 @@ def run(name: str, tables: Mapping[str, DataFrame], **params: Any) -> DataFrame:
         raise KeyError(f"no report named {name!r}; there are {', '.join(sorted(REPORTS))}")
     report = REPORTS[name]
     return report.build(tables[report.table], **params)
+
+
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make the tables and all reports with their default thresholds available to SQL by name."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+    for name in REPORTS:
+        run(name, tables).createOrReplaceTempView(name)

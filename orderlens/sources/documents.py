@@ -27,7 +27,10 @@ def parse_orders(df: DataFrame, col: str) -> DataFrame:
 
 
 def flatten_orders(documents: DataFrame) -> DataFrame:
-    """One row per (order, product); orders without products yield no row."""
+    """One row per (order, product); orders without products yield no row.
+
+    Order fields are cast once per order, before its products are spread.
+    """
     kinds = {f.name: f.dataType for f in RAW.fields}
 
     def field(parent: str, f: T.StructField) -> Column:
@@ -36,12 +39,12 @@ def flatten_orders(documents: DataFrame) -> DataFrame:
             value = safe_int_variant(value, kinds[f.name].simpleString())
         return value.alias(f.name)
 
-    orders = documents.select(F.explode("orders").alias("o"))
-    items = orders.select("o", F.explode("o.products").alias("p"))
-    return items.select(
-        *(field("o", f) for f in ORDER.fields if f.name in kinds),
-        *(field("p", f) for f in PRODUCT_IN_ORDER.fields),
+    order_fields = [f for f in ORDER.fields if f.name in kinds]
+    orders = documents.select(F.explode("orders").alias("o")).select(
+        *(field("o", f) for f in order_fields), "o.products"
     )
+    items = orders.select(*(f.name for f in order_fields), F.explode("products").alias("p"))
+    return items.select(*(f.name for f in order_fields), *(field("p", f) for f in PRODUCT_IN_ORDER.fields))
 
 
 def with_ingestion_ts(df: DataFrame, ts: str | None = None) -> DataFrame:

@@ -6,7 +6,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from orderlens import storage
-from orderlens.plans import ingest_documents, load_tables, process_lake, run, run_refresh
+from orderlens.__main__ import main
+from orderlens.plans import ingest_documents, load_tables, process_lake, register_views, run, run_refresh
 from orderlens.schema import RAW, TABLES
 from orderlens.sinks import (
     ensure_tables,
@@ -257,3 +258,24 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.scratch_folder(Session(), "x")
     assert storage.scratch_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_command_line(spark, place, tmp_path, capsys):
+    order = {"order_id": 1, "products": [{"product_id": 1, "product_name": "pear", "department": "fruit"}]}
+    (tmp_path / "poll.json").write_text(json.dumps({"orders": [order]}))
+    where = ["--lake", place("lake"), "--warehouse", place("wh")]
+    main(["ingest", "--documents", place("poll.json"), "--lake", place("lake")])
+    main(["process", *where, "--dedupe"])
+    main(["refresh", "--documents", place("poll.json"), *where, "--json-lines"])
+    main(["stream", *where, "--checkpoint", place("checkpoint")])
+    capsys.readouterr()
+    main(["report", "--warehouse", place("wh"), "a1_top_products"])
+    assert "pear" in capsys.readouterr().out
+
+
+def test_reports_as_views(spark, place, batch):
+    load_tables(batch, place("wh"))
+    register_views(read_tables(spark, place("wh")))
+    got = rows(spark.sql("SELECT unique_orders FROM d1_totals CROSS JOIN (SELECT count(*) FROM raw_orders)"))
+    assert got == [(2,)]
+    assert spark.sql("SELECT * FROM b1_hour_share").count() == 2
