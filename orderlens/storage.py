@@ -78,12 +78,21 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     A local session without that setting gets a temporary folder; a cluster without it is an
     error, because executors could not see each other's files.
     """
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables; results not yet read from them are lost."""
+    delete(spark, _application_folder(spark))
+
+
+def _application_folder(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_scratch()
-    return f"{root.rstrip('/')}/orderlens/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/orderlens/{spark.sparkContext.applicationId}"
 
 
 def written(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:

@@ -260,6 +260,13 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
     assert storage.scratch_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_can_be_dropped(spark):
+    folder = storage.scratch_folder(spark, "x")
+    assert storage.written(spark, spark.range(3), folder).count() == 3
+    storage.drop_scratch(spark)
+    assert not storage.exists(spark, folder)
+
+
 def test_command_line(spark, place, tmp_path, capsys):
     order = {"order_id": 1, "products": [{"product_id": 1, "product_name": "pear", "department": "fruit"}]}
     (tmp_path / "poll.json").write_text(json.dumps({"orders": [order]}))
