@@ -362,6 +362,16 @@ def _operators() -> dict[str, str]:
         "stream_refresh": _hours("FROM hours"),
         "parse_orders": all_rows,
         "read_orders_json": all_rows,
+        "flatten_orders": all_rows,
+        "read_batch": all_rows,
+        "refresh_table": _items("FROM items WHERE reordered = 1"),
+        "land_batch": _hours("FROM hours"),
+        "ensure_tables": _departments("FROM departments"),
+        "roll_up_departments": _departments("FROM departments"),
+        "cleanup_lake": _items("SELECT '2024-01-02 00:00:00' AS ingestion_timestamp, count(*) AS total_rows FROM items"),
+        "with_ingestion_ts": _items(
+            "SELECT order_id, product_id, '2024-05-01 12:00:00' AS ingestion_timestamp FROM items"
+        ),
         "read_lake": all_rows,
         "to_raw_orders": _items("""
           SELECT * REPLACE (coalesce(product_name, '') AS product_name, coalesce(department, '') AS department,

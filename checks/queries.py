@@ -26,14 +26,26 @@ from orderlens.operators import (
     preview,
     product_analytics,
     profile_columns,
+    roll_up_departments,
     sample_rows,
     validate_raw,
 )
 from orderlens.plans import REPORTS, run, run_refresh
 from orderlens.schema import DOCUMENT, ORDER, PRODUCT_IN_ORDER
 from orderlens.session import tune
-from orderlens.sinks import read_table, table_counts
-from orderlens.sources import flatten_orders, land_batch, parse_orders, read_lake, read_orders_json, with_ingestion_ts
+from orderlens.sinks import ensure_tables, read_table, refresh_table, sync_catalog, table_counts
+from orderlens.sources import (
+    cleanup_lake,
+    flatten_orders,
+    land_batch,
+    list_batches,
+    parse_orders,
+    read_batch,
+    read_lake,
+    read_orders_json,
+    require_non_empty,
+    with_ingestion_ts,
+)
 from orderlens.sources.star_tables import STAMP, order_items
 from orderlens.streaming import stream_refresh
 
@@ -91,6 +103,69 @@ def files_read_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_ingestion_ts(flatten_orders(read_orders_json(spark, files, multi_line=False)), STAMP)
 
 
+def nested_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without text in between: numbers as variants, as the document schema has them."""
+    raw = order_items(spark, sf_dir)
+
+    def fields(schema) -> list:
+        return [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name != "products"]
+
+    product = F.struct(*fields(PRODUCT_IN_ORDER))
+    order = F.struct(*fields(ORDER), F.array(product).alias("products"))
+    return with_ingestion_ts(flatten_orders(raw.select(F.array(order).alias("orders"))), STAMP)
+
+
+def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = order_items(spark, sf_dir, ("order_id", "product_id"))
+    return with_ingestion_ts(require_non_empty(items), "2024-05-01 12:00:00")
+
+
+def landed_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch landed twice under one id counts once."""
+    lake = storage.scratch_folder(spark, "lake")
+    for _ in range(2):
+        land_batch(order_items(spark, sf_dir), lake, batch_id="20240101_000000")
+    return hourly_analytics(read_lake(spark, lake))
+
+
+def foreign_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose writer stored every number as float."""
+    file = f"{storage.scratch_folder(spark, 'foreign')}/orders.parquet"
+    raw = order_items(spark, sf_dir)
+    numbers = {c: F.col(c).cast("double") for c, kind in raw.dtypes if kind != "string"}
+    raw.withColumns(numbers).write.parquet(file)
+    return read_batch(spark, file)
+
+
+def lake_after_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that arrives after the listing survives the cleanup of the listed one."""
+    lake = storage.scratch_folder(spark, "lake")
+    land_batch(order_items(spark, sf_dir), lake)
+    listed = list_batches(spark, lake)
+    land_batch(with_ingestion_ts(order_items(spark, sf_dir), "2024-01-02 00:00:00"), lake)
+    cleanup_lake(spark, listed)
+    return read_lake(spark, lake).groupBy("ingestion_timestamp").agg(F.count(F.lit(1)).alias("total_rows"))
+
+
+def one_table_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detail table, replaced once and then once more by its own repeat orders."""
+    warehouse = storage.scratch_folder(spark, "warehouse")
+    refresh_table(order_items(spark, sf_dir), warehouse, "raw_orders")
+    refresh_table(read_table(spark, warehouse, "raw_orders").filter("reordered = 1"), warehouse, "raw_orders")
+    return read_table(spark, warehouse, "raw_orders")
+
+
+def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The department mart through the catalog, after a refresh of the empty tables."""
+    warehouse = storage.scratch_folder(spark, "warehouse")
+    database = "orderlens_check"
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    ensure_tables(spark, warehouse, database)
+    refresh_table(_mart(spark, sf_dir, "department_analytics"), warehouse, "department_analytics")
+    sync_catalog(spark, warehouse, database)
+    return spark.sql(f"SELECT * FROM {database}.department_analytics")
+
+
 def landed_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = storage.scratch_folder(spark, "lake")
     land_batch(order_items(spark, sf_dir), lake)
@@ -219,6 +294,14 @@ def queries() -> dict[str, Query]:
         "d12_basket_depth_2_5": partial(_report, name="d12_basket_depth", edges=(2, 5)),
         # sources, casts, marts, sinks
         "parse_orders": parsed_and_flattened,
+        "flatten_orders": nested_and_flattened,
+        "with_ingestion_ts": stamped,
+        "land_batch": landed_again,
+        "read_batch": foreign_file_read,
+        "cleanup_lake": lake_after_cleanup,
+        "refresh_table": one_table_refreshed,
+        "ensure_tables": catalog_table,
+        "roll_up_departments": lambda spark, sf_dir: roll_up_departments(_mart(spark, sf_dir, "product_analytics")),
         "read_orders_json": files_read_and_flattened,
         "read_lake": landed_and_read,
         "safe_int": safe_integers,

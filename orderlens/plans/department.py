@@ -9,6 +9,7 @@ from orderlens.functions import labels
 from orderlens.functions.ratios import percent, settle
 from orderlens.operators.ranking import tie_order
 
+
 def _orders() -> Column:
     return F.col("total_orders")
 

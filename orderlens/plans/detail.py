@@ -50,7 +50,7 @@ def d3_by_weekday(raw: DataFrame) -> DataFrame:
     days = raw.groupBy("order_dow").agg(_rows().alias("total_orders"))
     return days.select(
         "order_dow", labels.weekday_name(F.col("order_dow")).alias("day_name"), "total_orders"
-    ).orderBy("order_dow")
+    ).orderBy(F.asc_nulls_last("order_dow"))
 
 
 def d4_active_users(raw: DataFrame, n: int = 10) -> DataFrame:

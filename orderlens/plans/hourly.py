@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import labels
@@ -18,10 +18,14 @@ from orderlens.functions.ratios import percent
 HOUR = "order_hour_of_day"
 
 
+def _by_hour() -> Column:
+    return F.asc_nulls_last(HOUR)
+
+
 def b1_hour_share(hours: DataFrame) -> DataFrame:
     """Each hour's share of all items."""
     total = hours.agg(F.sum("total_orders")).scalar()
-    return hours.select(HOUR, "total_orders", percent(F.col("total_orders"), total).alias("pct_of_day")).orderBy(HOUR)
+    return hours.select(HOUR, "total_orders", percent(F.col("total_orders"), total).alias("pct_of_day")).orderBy(_by_hour())
 
 
 def b2_time_segments(
@@ -39,9 +43,9 @@ def b2_time_segments(
 
 def b3_running_total(hours: DataFrame) -> DataFrame:
     """Items from the start of the day through each hour."""
-    through = Window.orderBy(HOUR).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    through = Window.orderBy(_by_hour()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return hours.select(HOUR, "total_orders", F.sum("total_orders").over(through).alias("cumulative_orders")).orderBy(
-        HOUR
+        _by_hour()
     )
 
 
@@ -53,4 +57,4 @@ def b4_hour_vs_avg(hours: DataFrame) -> DataFrame:
         "total_orders",
         F.round(mean, 2).alias("daily_avg"),
         F.when(F.col("total_orders") > mean, labels.ABOVE).otherwise(labels.BELOW).alias("vs_avg"),
-    ).orderBy(HOUR)
+    ).orderBy(_by_hour())

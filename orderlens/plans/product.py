@@ -63,7 +63,7 @@ def a6_top_per_department(products: DataFrame, n: int = 5) -> DataFrame:
     """Products ranked at most ``n`` by items within their department, ties included."""
     ranked = top_ranked(products, "department", "total_orders", n, "rank_in_dept")
     return ranked.select("department", "product_name", "total_orders", "reorder_rate", "rank_in_dept").orderBy(
-        "department", "rank_in_dept"
+        F.asc_nulls_last("department"), "rank_in_dept"
     )
 
 

@@ -49,9 +49,12 @@ def process_lake(spark: SparkSession, lake: str, warehouse: str, dedupe: bool =
     """Load the batches now in the lake, then delete exactly those; returns rows per table.
 
     The tables describe these batches only. If the load fails, the lake keeps them and the tables
-    stay as they were. A batch that arrives meanwhile is neither read nor deleted.
+    stay as they were; an empty lake is such a failure. A batch that arrives meanwhile is neither
+    read nor deleted.
     """
     batches = list_batches(spark, lake)
+    if not batches:
+        raise FileNotFoundError(f"no batches in {lake}")
     load_tables(read_batches(spark, batches), warehouse, dedupe)
     cleanup_lake(spark, batches)
     return load_report(spark, warehouse)

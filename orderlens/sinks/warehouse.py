@@ -78,16 +78,21 @@ def refresh_table(df: DataFrame, root: str, name: str, cluster: bool = False) ->
 
 
 def _drop_old_generations(spark: SparkSession, root: str) -> None:
+    """Delete all but the last generations, and folders that a failed refresh left behind."""
     published = _manifests(spark, root)
-    old, kept = published[:-KEPT_GENERATIONS], published[-KEPT_GENERATIONS:]
-    if not old:
-        return
-    used = {path for manifest in kept for path in json.loads(storage.read_text(spark, manifest)).values()}
-    for manifest in old:
-        for path in json.loads(storage.read_text(spark, manifest)).values():
-            if path not in used:
-                storage.delete(spark, path)
+    for manifest in published[:-KEPT_GENERATIONS]:
         storage.delete(spark, manifest)
+    kept = [json.loads(storage.read_text(spark, m)) for m in published[-KEPT_GENERATIONS:]]
+    used = {_folder_name(path) for manifest in kept for path in manifest.values()}
+    for name in TABLES:
+        for path in storage.children(spark, f"{root}/{name}"):
+            if _folder_name(path) not in used:
+                storage.delete(spark, path)
+
+
+def _folder_name(path: str) -> tuple[str, ...]:
+    """Table and generation: the same folder may be spelled with or without its file system."""
+    return tuple(path.rsplit("/", 2)[1:])
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -107,13 +112,16 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def ensure_tables(spark: SparkSession, root: str, database: str = "analytics") -> None:
-    """Create the database and the four tables where they are missing; what exists stays."""
+    """Create the database and the four tables where they are missing; what exists stays.
+
+    The database has a folder of its own, so that dropping it leaves the table files alone.
+    """
     root = root.rstrip("/")
     have = current_paths(spark, root)
     missing = {name: spark.createDataFrame([], schema) for name, schema in TABLES.items() if name not in have}
     if missing:
         refresh_tables(spark, missing, root)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}/catalog'")
     sync_catalog(spark, root, database)
 
 

@@ -29,9 +29,7 @@ def test_a4_counts_named_products(products):
 
 def test_a5_is_unweighted(products):
     mart = products(("a", "d", 100, 100), ("b", "d", 1, 0), ("c", "e", 3, 1), ("f", "e", 3, 2))
-    assert rows(p.a5_department_avg_rate(mart)) == [("d", 0.5, 101), ("e", 0.5, 6)] or rows(
-        p.a5_department_avg_rate(mart)
-    ) == [("e", 0.5, 6), ("d", 0.5, 101)]
+    assert sorted(rows(p.a5_department_avg_rate(mart))) == [("d", 0.5, 101), ("e", 0.5, 6)]
 
 
 def test_a6_keeps_ties(products):
@@ -40,7 +38,7 @@ def test_a6_keeps_ties(products):
     got = rows(p.a6_top_per_department(mart))
     assert sorted(r[4] for r in got if r[0] == "d") == [1, 2, 2, 4, 5, 5]
     assert [r for r in got if r[0] is None] == [(None, "q", 3, 0.0, 1)]
-    assert [r[0] for r in got] == sorted((r[0] for r in got), key=lambda d: d or "")
+    assert [r[0] for r in got] == ["d"] * 6 + [None]
 
 
 def test_a7_score_and_minimum(products):

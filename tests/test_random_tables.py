@@ -22,9 +22,9 @@ def random_items(seed: int, size: int) -> list[tuple]:
     return [
         (
             value(1, range(1, 200)), value(1, range(1, 30)), value(1, range(1, 20)), value(0, range(8)),
-            value(10, range(24), missing=0), value(7, range(40), missing=0.2), value(1, range(1, 40)),
+            value(10, range(24)), value(7, range(40), missing=0.2), value(1, range(1, 40)),
             value("milk", ["pear", "egg", "tea", "rice", ""]), value("dairy", ["fruit", "dry", "drinks", ""]),
-            value("cold", ["a", "b"]), value(1, range(1, 20), missing=0), value(0, [0, 1, 1, 2], missing=0.1),
+            value("cold", ["a", "b"]), value(1, range(1, 20)), value(0, [0, 1, 1, 2], missing=0.1),
             value("2024-01-01 00:00:00", ["2024-01-02 00:00:00"]),
         )
         for _ in range(size)

@@ -112,13 +112,24 @@ def test_clustered_files_hold_key_ranges(spark, place, items):
     assert table.count() == 100
 
 
-def test_failed_refresh_changes_nothing(spark, place, batch):
+def test_failed_refresh_changes_nothing(spark, place, batch, tmp_path):
     root = place("wh")
     load_tables(batch, root)
     broken = batch.withColumn("department", F.raise_error(F.lit("disk lost")).cast("string"))
     with pytest.raises(Exception, match="disk lost"):
         refresh_tables(spark, {"hourly_analytics": batch.limit(0), "raw_orders": broken}, root)
     assert counts(spark, root) == LOADED
+    assert len(os.listdir(tmp_path / "wh" / "hourly_analytics")) == 2
+    load_tables(batch, root)
+    load_tables(batch, root)
+    assert len(os.listdir(tmp_path / "wh" / "hourly_analytics")) == warehouse.KEPT_GENERATIONS
+
+
+def test_processing_an_empty_lake_fails(spark, place, batch):
+    load_tables(batch, place("wh"))
+    with pytest.raises(FileNotFoundError):
+        process_lake(spark, place("lake"), place("wh"))
+    assert counts(spark, place("wh")) == LOADED
 
 
 def test_one_table_can_be_refreshed_from_itself(spark, place, batch):
@@ -218,6 +229,7 @@ def test_tables_in_the_catalog(spark, place, batch):
         assert rows(spark.sql("SELECT * FROM shop.hourly_analytics")) == [(10, 1)]
     finally:
         spark.sql("DROP DATABASE IF EXISTS shop CASCADE")
+    assert counts(spark, root)["raw_orders"] == 1
 
 
 def test_stream_loads_new_batches_once(spark, place, batch, items):
