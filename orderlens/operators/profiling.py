@@ -60,7 +60,7 @@ def exact_percentiles(
 
     The built-in exact percentile keeps every distinct value of a column in one buffer, which an
     id column of a large table does not survive. Here the rows become a histogram of distinct
-    (column, value) pairs, range-partitioned into slices of about equal size - no pair repeats, so
+    (column number, value) pairs, range-partitioned into slices of about equal size - no pair repeats, so
     no slice can be hot. Slice totals, at most one per column and partition, say which slices hold
     the wanted positions, and only those are ordered.
 
@@ -68,26 +68,25 @@ def exact_percentiles(
     bounds come from sampling, and both uses must see the same ones.
     """
     spark = df.sparkSession
-    order = Window.partitionBy("column_name").orderBy("slice")
+    order = Window.partitionBy("column").orderBy("slice")
     upto = (Window.unboundedPreceding, Window.currentRow)
 
     slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     histogram = (
-        df.select(*(F.col(c).cast("double").alias(c) for c in columns))
-        .unpivot([], list(columns), "column_name", "value")
+        df.select(F.posexplode(F.array(*(F.col(c).cast("double") for c in columns))).alias("column", "value"))
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column_name", "value")
+        .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .repartitionByRange(slices, "column_name", "value")
+        .repartitionByRange(slices, "column", "value")
         .withColumn("slice", F.spark_partition_id())
     )
     histogram = storage.written(spark, histogram, storage.scratch_folder(spark, "histogram"))
 
     totals = (
-        histogram.groupBy("column_name", "slice")
+        histogram.groupBy("column", "slice")
         .agg(F.sum("n").alias("held"))
         .withColumn("through", F.sum("held").over(order.rowsBetween(*upto)))
-        .withColumn("size", F.sum("held").over(Window.partitionBy("column_name")))
+        .withColumn("size", F.sum("held").over(Window.partitionBy("column")))
     )
     # Two neighbouring positions per fraction and column, each in exactly one slice.
     position = F.col("fraction") * (F.col("size") - 1)
@@ -99,24 +98,24 @@ def exact_percentiles(
         .withColumn("before", F.col("through") - F.col("held"))
         .filter((F.col("at") >= F.col("before")) & (F.col("at") < F.col("through")))
     )
-    places = wanted.select("column_name", "slice", "before").distinct()
+    places = wanted.select("column", "slice", "before").distinct()
 
-    within = Window.partitionBy("column_name", "slice").orderBy("value").rowsBetween(*upto)
+    within = Window.partitionBy("column", "slice").orderBy("value").rowsBetween(*upto)
     ordered = (
-        histogram.join(F.broadcast(places), ["column_name", "slice"])
+        histogram.join(F.broadcast(places), ["column", "slice"])
         .withColumn("end", F.col("before") + F.sum("n").over(within))
-        .select("column_name", "slice", "value", (F.col("end") - F.col("n")).alias("start"), "end")
+        .select("column", "slice", "value", (F.col("end") - F.col("n")).alias("start"), "end")
     )
     hit = (F.col("at") >= F.col("start")) & (F.col("at") < F.col("end"))
     low = F.max(F.when(~F.col("upper"), F.col("value")))
     high = F.max(F.when(F.col("upper"), F.col("value")))
     return (
-        ordered.join(F.broadcast(wanted.drop("before", "held")), ["column_name", "slice"])
+        ordered.join(F.broadcast(wanted.drop("before", "held")), ["column", "slice"])
         .filter(hit)
-        .groupBy("column_name", "fraction", "weight")
+        .groupBy("column", "fraction", "weight")
         .agg(low.alias("low"), high.alias("high"))
         .select(
-            "column_name",
+            F.get(F.array(*(F.lit(c) for c in columns)), F.col("column")).alias("column_name"),
             "fraction",
             (F.col("low") + F.coalesce(F.col("high") - F.col("low"), F.lit(0.0)) * F.col("weight")).alias("value"),
         )
