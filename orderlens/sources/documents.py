@@ -16,7 +16,8 @@ def read_orders_json(spark: SparkSession, path: str | list[str], multi_line: boo
     """One row per document. Documents without ``orders`` and broken ones hold NULL.
 
     With ``multi_line`` each file is one document, as a poll of the orders service returns it, and
-    files are the unit of parallelism. Pass False for one document per line, which splits any file.
+    files are the unit of parallelism; a document is one response, so it fits in one task. Pass
+    False for one document per line, which splits any file.
     """
     return spark.read.schema(DOCUMENT).option("multiLine", multi_line).json(path)
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from orderlens.operators import (
     marts_from_grain,
     product_analytics,
 )
+from orderlens.plans import run
 from orderlens.plans.product import a8_rate_buckets
 from orderlens.sources.star_tables import order_items
 
@@ -88,3 +91,34 @@ def test_dedupe_keeps_the_latest_row(items):
 def test_dedupe_reduces_copies_before_the_shuffle(items):
     plan = dedupe_latest(items({}))._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "Window" not in plan
+
+
+def test_dedupe_equals_brute_force(spark):
+    """Random rows, a third of them copies of one key."""
+    rng = random.Random(5)
+    data = [
+        {
+            "order_id": 1 if rng.random() < 0.35 else rng.choice([None, 2, 3, 4]),
+            "product_id": 1 if rng.random() < 0.35 else rng.choice([None, 2, 3]),
+            "add_to_cart_order": rng.choice([None, 1, 2, 3]),
+            "ingestion_timestamp": f"2024-01-0{rng.randint(1, 3)} 00:00:00",
+        }
+        for _ in range(400)
+    ]
+    schema = "order_id bigint, product_id bigint, add_to_cart_order int, ingestion_timestamp string"
+    df = spark.createDataFrame([tuple(d.values()) for d in data], schema).repartition(7)
+    best = {}
+    for d in data:
+        key = (d["order_id"], d["product_id"])
+        best[key] = max(best.get(key, ("", -1)), (d["ingestion_timestamp"], d["add_to_cart_order"] or 0))
+    got = {(r.order_id, r.product_id): (r.ingestion_timestamp, r.add_to_cart_order or 0) for r in dedupe_latest(df).collect()}
+    assert got == best and dedupe_latest(df).count() == len(best)
+
+
+def test_reports_add_up(spark):
+    tables = build_marts(order_items(spark, "/root/testdata/sf0.001"))
+    assert rows(run("b3_running_total", tables))[-1][2] == 6000
+    assert max(r[3] for r in rows(run("i4_pareto", tables))) == 100
+    for name, column in (("b1_hour_share", 2), ("c1_market_share", 2), ("d8_department_share", 2), ("b2_time_segments", 2)):
+        shares = [r[column] for r in rows(run(name, tables))]
+        assert sum(shares) == pytest.approx(100, abs=0.005 * len(shares))
