@@ -12,7 +12,9 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,10 +65,16 @@ def refresh_tables(
     paths = current_paths(spark, root)
     number = _next_number(spark, root)
     label = f"{number:012d}-{uuid.uuid4().hex[:8]}"
-    for name, frame in frames.items():
-        paths[name] = f"{root}/{name}/gen={label}"
-        rows = _sorted_for_skipping(conform(frame, TABLES[name]), name, cluster)
-        rows.write.mode("overwrite").parquet(paths[name])
+
+    def write(name: str) -> tuple[str, str]:
+        folder = f"{root}/{name}/gen={label}"
+        rows = _sorted_for_skipping(conform(frames[name], TABLES[name]), name, cluster)
+        rows.write.mode("overwrite").parquet(folder)
+        return name, folder
+
+    # The small tables are written while the last tasks of the large one leave executors idle.
+    with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
+        paths.update(pool.map(inheritable_thread_target(spark)(write), frames))
     storage.write_text(spark, f"{root}/generations/{label}.json", json.dumps(paths))
     _drop_old_generations(spark, root)
     return paths
