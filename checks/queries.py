@@ -31,7 +31,7 @@ from orderlens.operators import (
     validate_raw,
 )
 from orderlens.plans import REPORTS, run, run_refresh
-from orderlens.schema import DOCUMENT, ORDER, PRODUCT_IN_ORDER
+from orderlens.schema import DOCUMENT, ORDER, PRODUCT_IN_ORDER, RAW
 from orderlens.session import tune
 from orderlens.sinks import ensure_tables, read_table, refresh_table, sync_catalog, table_counts
 from orderlens.sources import (
@@ -75,14 +75,16 @@ def _report(spark: SparkSession, sf_dir: str, name: str, **params) -> DataFrame:
 
 
 def _document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON document per item: its order with the item, and the same order without products."""
+    """One JSON document per item: its order with the item, and one more order without products."""
 
     def fields(schema) -> list:
         return [F.col(f.name) for f in schema.fields if f.name != "products"]
 
     product = F.struct(*fields(PRODUCT_IN_ORDER))
     full = F.struct(*fields(ORDER), F.array(product).alias("products"))
-    bare = F.struct(*fields(ORDER), F.slice(F.array(product), 1, 0).alias("products"))
+    kinds = {f.name: f.dataType for f in RAW.fields}
+    rest = (F.lit(None).cast(kinds[f.name]).alias(f.name) for f in ORDER.fields[1:-1])
+    bare = F.struct("order_id", *rest, F.slice(F.array(product), 1, 0).alias("products"))
     document = F.struct(F.array(full, bare).alias(DOCUMENT.fieldNames()[0]))
     return order_items(spark, sf_dir).select(F.to_json(document).alias("value"))
 

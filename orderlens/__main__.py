@@ -33,7 +33,9 @@ def _parser() -> argparse.ArgumentParser:
     process = job("process", "lake", "warehouse", help="load the lake into the tables and empty it")
     for sub in (process, refresh):
         sub.add_argument("--dedupe", action="store_true", help="keep the latest copy of each order item")
-    job("stream", "lake", "warehouse", "checkpoint", help="load new lake batches with a streaming query")
+    stream = job("stream", "lake", "warehouse", "checkpoint", help="load new lake batches with a streaming query")
+    for sub in (process, refresh, stream):
+        sub.add_argument("--database", help="keep this catalog database's tables on the newest refresh")
     report = job("report", "warehouse", help="show one report")
     report.add_argument("name", choices=sorted(REPORTS))
     return parser
@@ -46,13 +48,21 @@ def main(argv: list[str] | None = None) -> None:
         case "ingest":
             print(ingest_documents(spark, args.documents, args.lake, multi_line=not args.json_lines))
         case "process":
-            process_lake(spark, args.lake, args.warehouse, args.dedupe).show(truncate=False)
+            process_lake(spark, args.lake, args.warehouse, args.dedupe, args.database).show(truncate=False)
         case "refresh":
             run_refresh(
-                spark, args.documents, args.lake, args.warehouse, multi_line=not args.json_lines, dedupe=args.dedupe
+                spark,
+                args.documents,
+                args.lake,
+                args.warehouse,
+                multi_line=not args.json_lines,
+                dedupe=args.dedupe,
+                database=args.database,
             ).show(truncate=False)
         case "stream":
-            stream_refresh(spark, args.lake, args.warehouse, args.checkpoint).show(truncate=False)
+            stream_refresh(
+                spark, args.lake, args.warehouse, args.checkpoint, database=args.database
+            ).show(truncate=False)
         case "report":
             run(args.name, read_tables(spark, args.warehouse)).show(1000, truncate=False)
 

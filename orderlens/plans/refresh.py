@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens import storage
 from orderlens.operators.dedupe import dedupe_latest
 from orderlens.operators.marts import build_marts, product_analytics
-from orderlens.sinks.warehouse import load_report, refresh_tables
+from orderlens.sinks.warehouse import ensure_tables, load_report, refresh_tables
 from orderlens.sources.documents import flatten_orders, read_orders_json, require_non_empty, with_ingestion_ts
 from orderlens.sources.lake import cleanup_lake, land_batch, list_batches, read_batches
 
@@ -45,17 +45,21 @@ def ingest_documents(
     return land_batch(with_ingestion_ts(require_non_empty(items), ts), lake, batch_id)
 
 
-def process_lake(spark: SparkSession, lake: str, warehouse: str, dedupe: bool = False) -> DataFrame:
+def process_lake(
+    spark: SparkSession, lake: str, warehouse: str, dedupe: bool = False, database: str | None = None
+) -> DataFrame:
     """Load the batches now in the lake, then delete exactly those; returns rows per table.
 
     The tables describe these batches only. If the load fails, the lake keeps them and the tables
     stay as they were; an empty lake is such a failure. A batch that arrives meanwhile is neither
-    read nor deleted.
+    read nor deleted. With ``database`` the catalog's tables follow the refresh.
     """
     batches = list_batches(spark, lake)
     if not batches:
         raise FileNotFoundError(f"no batches in {lake}")
     load_tables(read_batches(spark, batches), warehouse, dedupe)
+    if database:
+        ensure_tables(spark, warehouse, database)
     cleanup_lake(spark, batches)
     return load_report(spark, warehouse)
 
@@ -68,7 +72,8 @@ def run_refresh(
     ts: str | None = None,
     multi_line: bool = True,
     dedupe: bool = False,
+    database: str | None = None,
 ) -> DataFrame:
     """Ingest, load and clean up in order; a failing step stops the ones after it."""
     ingest_documents(spark, documents, lake, ts, multi_line)
-    return process_lake(spark, lake, warehouse, dedupe)
+    return process_lake(spark, lake, warehouse, dedupe, database)

@@ -41,17 +41,15 @@ def _next_number(spark: SparkSession, root: str) -> int:
     return int(published[-1].rsplit("/", 1)[1].split("-")[0]) + 1 if published else 1
 
 
-def _sorted_for_skipping(df: DataFrame, name: str, cluster: bool) -> DataFrame:
-    """Sort each output file by the table's key, so that row-group statistics skip well.
+def _clustered(spark: SparkSession, rows: DataFrame, name: str, folder: str) -> DataFrame:
+    """Range-partition the rows by the table's key, equal keys and copies spread evenly.
 
-    ``cluster`` also range-partitions by the key first. That shuffles the whole table, so it is
-    for tables read far more often than written; a trailing row number spreads equal keys.
+    The rows are written first, and their place in those files breaks ties: unlike a row number or
+    a random salt it is the same when a lost task runs again, so no row is lost or doubled.
     """
-    keys = SORT_KEYS[name]
-    if cluster:
-        numbered = df.withColumn("_row", F.monotonically_increasing_id())
-        df = numbered.repartitionByRange(*keys, "_row").drop("_row")
-    return df.sortWithinPartitions(*keys)
+    staged = storage.written(spark, rows, folder)
+    place = {"_file": F.col("_metadata.file_name"), "_place": F.col("_metadata.row_index")}
+    return staged.withColumns(place).repartitionByRange(*SORT_KEYS[name], *place).drop(*place)
 
 
 def refresh_tables(
@@ -59,22 +57,32 @@ def refresh_tables(
 ) -> dict[str, str]:
     """Replace the given tables by the given frames in one step; other tables stay as they are.
 
-    An empty frame leaves an empty table. Returns the folder of every table.
+    Each file is sorted by its table's key, so that row-group statistics skip well. ``cluster``
+    also gives each file its own range of keys; that shuffles the whole table, so it is for tables
+    read far more often than written. An empty frame leaves an empty table. Returns the folder of
+    every table.
     """
     root = root.rstrip("/")
     paths = current_paths(spark, root)
     number = _next_number(spark, root)
     label = f"{number:012d}-{uuid.uuid4().hex[:8]}"
+    scratch = storage.scratch_folder(spark, "cluster") if cluster else None
 
     def write(name: str) -> tuple[str, str]:
         folder = f"{root}/{name}/gen={label}"
-        rows = _sorted_for_skipping(conform(frames[name], TABLES[name]), name, cluster)
-        rows.write.mode("overwrite").parquet(folder)
+        rows = conform(frames[name], TABLES[name])
+        if cluster:
+            rows = _clustered(spark, rows, name, f"{scratch}/{name}")
+        rows.sortWithinPartitions(*SORT_KEYS[name]).write.mode("overwrite").parquet(folder)
         return name, folder
 
     # The small tables are written while the last tasks of the large one leave executors idle.
-    with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
-        paths.update(pool.map(inheritable_thread_target(spark)(write), frames))
+    try:
+        with ThreadPoolExecutor(max_workers=len(TABLES)) as pool:
+            paths.update(pool.map(inheritable_thread_target(spark)(write), frames))
+    finally:
+        if scratch:
+            storage.delete(spark, scratch)
     storage.write_text(spark, f"{root}/generations/{label}.json", json.dumps(paths))
     _drop_old_generations(spark, root)
     return paths

@@ -6,18 +6,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.plans.refresh import load_tables
 from orderlens.schema import RAW
-from orderlens.sinks.warehouse import load_report
+from orderlens.sinks.warehouse import ensure_tables, load_report
 from orderlens.sources.lake import cleanup_lake, list_batches
 
 
-def stream_refresh(spark: SparkSession, lake: str, warehouse: str, checkpoint: str, cleanup: bool = True) -> DataFrame:
+def stream_refresh(
+    spark: SparkSession,
+    lake: str,
+    warehouse: str,
+    checkpoint: str,
+    cleanup: bool = True,
+    database: str | None = None,
+) -> DataFrame:
     """Load every lake batch not loaded before, then stop; returns rows per table.
 
     One run takes all new batches as one micro-batch, so the tables describe the batches of that
     run, as the batch refresh does. The checkpoint remembers what was loaded: a run without new
     batches changes nothing, and a run that died repeats its micro-batch, which replaces the
     tables by the same rows. Batches listed before the run are loaded by its end and are deleted
-    then; the file source's own cleaning would always leave the last ones behind.
+    then; the file source's own cleaning would always leave the last ones behind. With ``database`` the catalog's tables follow the refresh.
     """
     before = list_batches(spark, lake)
     items = (
@@ -37,6 +44,8 @@ def stream_refresh(spark: SparkSession, lake: str, warehouse: str, checkpoint: s
         .start()
     )
     query.awaitTermination()
+    if database:
+        ensure_tables(spark, warehouse, database)
     if cleanup:
         cleanup_lake(spark, before)
     return load_report(spark, warehouse)

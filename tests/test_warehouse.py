@@ -99,17 +99,20 @@ def test_detail_files_are_sorted_by_key(spark, place, batch):
 
 
 def test_clustered_files_hold_key_ranges(spark, place, items):
-    """With the small partitions of this test kept apart."""
+    """With the small partitions of this test kept apart; most rows are copies of one."""
+    copies = [{"order_id": 50, "product_id": 1}] * 400
+    raw = items(*({"order_id": n * 7 % 100, "product_id": n} for n in range(100)), *copies).repartition(8)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    raw = items(*({"order_id": n * 7 % 100, "product_id": n} for n in range(100))).repartition(8)
     try:
         refresh_table(raw, place("wh"), "raw_orders", cluster=True)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    table = read_table(spark, place("wh"), "raw_orders").withColumn("f", F.input_file_name())
-    spans = sorted(rows(table.groupBy("f").agg(F.min("order_id"), F.max("order_id")).drop("f")))
-    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
-    assert table.count() == 100
+    table = read_table(spark, place("wh"), "raw_orders")
+    assert table.count() == 500 and table.exceptAll(raw).isEmpty()
+    files = table.groupBy(F.input_file_name().alias("f"))
+    spans = sorted(rows(files.agg(F.min("order_id"), F.max("order_id"), F.count("order_id")).drop("f")))
+    assert len(spans) == 8 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert max(count for _, _, count in spans) < 150
 
 
 def test_failed_refresh_changes_nothing(spark, place, batch, tmp_path):
@@ -232,6 +235,22 @@ def test_tables_in_the_catalog(spark, place, batch):
     assert counts(spark, root)["raw_orders"] == 1
 
 
+def test_catalog_follows_every_refresh(spark, place, batch):
+    def loaded():
+        return spark.sql("SELECT count(*) FROM shop2.raw_orders").first()[0]
+
+    try:
+        for step in (1, 2, 3):
+            land_batch(batch.limit(step), place("lake"))
+            process_lake(spark, place("lake"), place("wh"), database="shop2")
+            assert loaded() == step
+        land_batch(batch.limit(2), place("lake"))
+        stream_refresh(spark, place("lake"), place("wh"), place("checkpoint"), database="shop2")
+        assert loaded() == 2
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS shop2 CASCADE")
+
+
 def test_stream_loads_new_batches_once(spark, place, batch, items):
     lake, root, checkpoint = place("lake"), place("wh"), place("checkpoint")
     land_batch(batch, lake)
@@ -284,12 +303,14 @@ def test_command_line(spark, place, tmp_path, capsys):
     (tmp_path / "poll.json").write_text(json.dumps({"orders": [order]}))
     where = ["--lake", place("lake"), "--warehouse", place("wh")]
     main(["ingest", "--documents", place("poll.json"), "--lake", place("lake")])
-    main(["process", *where, "--dedupe"])
+    main(["process", *where, "--dedupe", "--database", "shop3"])
     main(["refresh", "--documents", place("poll.json"), *where, "--json-lines"])
     main(["stream", *where, "--checkpoint", place("checkpoint")])
     capsys.readouterr()
     main(["report", "--warehouse", place("wh"), "a1_top_products"])
     assert "pear" in capsys.readouterr().out
+    assert spark.sql("SELECT count(*) FROM shop3.product_analytics").first()[0] == 1
+    spark.sql("DROP DATABASE shop3 CASCADE")
 
 
 def test_reports_as_views(spark, place, batch):
