@@ -35,12 +35,12 @@ def safe_str(col: Column | str, floating: bool = False) -> Column:
 
 def to_raw_orders(df: DataFrame) -> DataFrame:
     """The 13 detail columns in table order, integers and strings made safe."""
-    return df.select(
-        *(
-            (safe_str(f.name) if isinstance(f.dataType, T.StringType) else safe_int(f.name, f.dataType.simpleString())).alias(f.name)
-            for f in RAW.fields
-        )
-    )
+
+    def safe(f: T.StructField) -> Column:
+        is_text = isinstance(f.dataType, T.StringType)
+        return safe_str(f.name) if is_text else safe_int(f.name, f.dataType.simpleString())
+
+    return df.select(*(safe(f).alias(f.name) for f in RAW.fields))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -60,9 +60,9 @@ def exact_percentiles(
 
     The built-in exact percentile keeps every distinct value of a column in one buffer, which an
     id column of a large table does not survive. Here the rows become a histogram of distinct
-    (column number, value) pairs, range-partitioned into slices of about equal size - no pair repeats, so
-    no slice can be hot. Slice totals, at most one per column and partition, say which slices hold
-    the wanted positions, and only those are ordered.
+    (column number, value) pairs, range-partitioned into slices of about equal size - no pair
+    repeats, so no slice can be hot. Slice totals, at most one per column and partition, say which
+    slices hold the wanted positions, and only those are ordered.
 
     The histogram is written to the shared scratch folder together with its slice number: slice
     bounds come from sampling, and both uses must see the same ones.

@@ -1,4 +1,13 @@
 from orderlens.plans.refresh import ingest_documents, load_tables, process_lake, run_refresh
 from orderlens.plans.registry import REPORTS, Report, register_views, run
 
-__all__ = ["REPORTS", "Report", "ingest_documents", "load_tables", "process_lake", "register_views", "run", "run_refresh"]
+__all__ = [
+    "REPORTS",
+    "Report",
+    "ingest_documents",
+    "load_tables",
+    "process_lake",
+    "register_views",
+    "run",
+    "run_refresh",
+]

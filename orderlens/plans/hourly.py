@@ -25,7 +25,8 @@ def _by_hour() -> Column:
 def b1_hour_share(hours: DataFrame) -> DataFrame:
     """Each hour's share of all items."""
     total = hours.agg(F.sum("total_orders")).scalar()
-    return hours.select(HOUR, "total_orders", percent(F.col("total_orders"), total).alias("pct_of_day")).orderBy(_by_hour())
+    share = percent(F.col("total_orders"), total).alias("pct_of_day")
+    return hours.select(HOUR, "total_orders", share).orderBy(_by_hour())
 
 
 def b2_time_segments(
@@ -44,9 +45,8 @@ def b2_time_segments(
 def b3_running_total(hours: DataFrame) -> DataFrame:
     """Items from the start of the day through each hour."""
     through = Window.orderBy(_by_hour()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return hours.select(HOUR, "total_orders", F.sum("total_orders").over(through).alias("cumulative_orders")).orderBy(
-        _by_hour()
-    )
+    running = F.sum("total_orders").over(through).alias("cumulative_orders")
+    return hours.select(HOUR, "total_orders", running).orderBy(_by_hour())
 
 
 def b4_hour_vs_avg(hours: DataFrame) -> DataFrame:

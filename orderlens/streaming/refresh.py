@@ -24,7 +24,8 @@ def stream_refresh(
     run, as the batch refresh does. The checkpoint remembers what was loaded: a run without new
     batches changes nothing, and a run that died repeats its micro-batch, which replaces the
     tables by the same rows. Batches listed before the run are loaded by its end and are deleted
-    then; the file source's own cleaning would always leave the last ones behind. With ``database`` the catalog's tables follow the refresh.
+    then; the file source's own cleaning would always leave the last ones behind.
+    With ``database`` the catalog's tables follow the refresh.
     """
     before = list_batches(spark, lake)
     items = (
