@@ -6,18 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from orderlens.llm.byte_bpe import round_trip
 from orderlens.llm.common import UPPER, table
 from orderlens.llm.exact_dedup import mark_copies
+from orderlens.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
