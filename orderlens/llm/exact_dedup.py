@@ -3,7 +3,7 @@
 Texts count as equal when they are identical after lower-casing A-Z. Three passes narrow the rows
 down: byte lengths that occur once are settled, then hashes of the first ``PREFIX`` characters that
 occur once, and only what is left gets a SHA-256 over the whole text. Which rows are left is passed
-on as at most ``SLOTS`` hash slots, so the broadcast is bounded whatever the input; a row that
+on as at most ``SLOTS`` slots, so each broadcast is bounded whatever the input; a row that
 shares a slot by chance is hashed in vain and settled as a group of one. No text is shuffled to
 find the copies.
 
@@ -35,14 +35,15 @@ def _slot(text: Column) -> Column:
 def surviving_slots(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per slot that holds a (length, prefix) shared by several rows; ``SLOTS`` at most."""
     text = F.col(text_col)
-    lengths = docs.select(_length(text).alias("length")).groupBy("length").count().where("count > 1").select("length")
+    lengths = docs.select(_length(text).alias("length")).groupBy("length").count().where("count > 1")
+    # as slots, so that they can be broadcast and no length gathers its rows in one task
+    lengths = lengths.select(F.pmod("length", F.lit(SLOTS)).alias("length_slot")).distinct()
     keyed = docs.select(
         _length(text).alias("length"),
+        F.pmod(_length(text), F.lit(SLOTS)).alias("length_slot"),
         F.xxhash64(lowered(F.substring(text, 1, PREFIX))).alias("prefix"),
-    )
-    shared = (
-        keyed.join(lengths, "length", "left_semi").groupBy("length", "prefix").count().where("count > 1")
-    )
+    ).join(F.broadcast(lengths), "length_slot", "left_semi")
+    shared = keyed.groupBy("length", "prefix").count().where("count > 1")
     slot = F.pmod(F.xxhash64("length", "prefix"), F.lit(SLOTS)).cast("int")
     return shared.select(slot.alias("_llm_slot")).distinct()
 
