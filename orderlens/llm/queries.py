@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.llm.byte_bpe import round_trip
 from orderlens.llm.common import UPPER, table
 from orderlens.llm.exact_dedup import mark_copies
+from orderlens.llm import toxicity
 from orderlens.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"), hash_all=True)
 
@@ -28,6 +34,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
