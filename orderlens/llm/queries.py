@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm.byte_bpe import round_trip
 from orderlens.llm.common import UPPER, table
+from orderlens.llm.decontamination import contamination
 from orderlens.llm.exact_dedup import mark_copies
 from orderlens.llm import toxicity
 from orderlens.llm.simhash import near_duplicates
@@ -28,6 +29,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
@@ -36,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_decontamination": op7_decontamination,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
