@@ -11,6 +11,7 @@ from orderlens.llm.common import UPPER, table
 from orderlens.llm.decontamination import contamination
 from orderlens.llm.exact_dedup import mark_copies
 from orderlens.llm import toxicity
+from orderlens.llm.html_extract import extract
 from orderlens.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_decontamination": op7_decontamination,
+    "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
