@@ -20,10 +20,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -40,6 +40,9 @@ PATTERN = public_tokenizers.PATTERN
 NO_RANK = 1 << 18  # ranks are below: three bitmap levels of 64
 PIECES = 1 << 21  # distinct pieces a task remembers before it starts afresh
 SLICE = 1 << 21  # characters turned into ids at once
+# White space besides the blank and the line feed, by Unicode or by Python.
+RARE_ASCII = [chr(c) for c in (*range(9, 10), *range(11, 14), *range(28, 32))]
+RARE_SPACES = [*RARE_ASCII, *map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
 
 
 @dataclass(frozen=True)
@@ -185,58 +188,73 @@ class Encoder:
 
     def __init__(self, merges: Merges, pattern: str):
         self.merges, self.matches = merges, regex.compile(pattern).findall
-        self.odd_space = re.compile(r" \s|\s | \Z|\A ").search
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.whole: dict[str, int] = {}  # pieces as they are
+        self.spaced: dict[str, int] = {}  # pieces after a space
         self.ids = [np.empty(0, dtype=np.int32)]
         self.counts = [np.empty(0, dtype=np.int64)]
 
-    def split(self, text: str) -> list[str]:
-        """Pieces of the text that no match of the pattern crosses."""
+    def split(self, text: str) -> tuple[list[str], list[str]]:
+        """Pieces of the text that no match of the pattern crosses, and pieces that follow, each after a space."""
         if not text:
-            return []
-        if self.odd_space(text):
-            return self.matches(text)
+            return [], []
+        if text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text or has_rare_space(text):
+            return self.matches(text), []
         parts = text.split(" ")
-        return [parts[0], *map(" ".__add__, parts[1:])]
+        return parts[:1], parts[1:]
 
     def learn(self, texts: Iterable[str]) -> None:
-        if len(self.index) > PIECES:
+        if len(self.whole) + len(self.spaced) > PIECES:
             self._forget()
-        new: dict[str, None] = {}
+        whole: set[str] = set()
+        spaced: set[str] = set()
         for text in texts:
-            new.update(dict.fromkeys(self.split(text)))
-        pieces = [p for p in new if p not in self.index]
-        if not pieces:
+            head, tail = self.split(text)
+            whole.update(head)
+            spaced.update(tail)
+        whole -= self.whole.keys()
+        spaced -= self.spaced.keys()
+        n, known = len(whole) + len(spaced), len(self.whole) + len(self.spaced)
+        if not n:
             return
-        matched = [[m.encode() for m in self.matches(p)] for p in pieces]
-        distinct = {m: i for i, m in enumerate(dict.fromkeys(m for found in matched for m in found))}
-        lengths = np.array([len(m) for m in distinct], dtype=np.int64)
-        ids, counts = merge_all(b"".join(distinct), np.cumsum(lengths) - lengths, self.merges)
-        per_piece = np.array([len(found) for found in matched])
-        order = np.array([distinct[m] for found in matched for m in found], dtype=np.int64)
+        matched = [self.matches(p) for p in whole]
+        matched += map(self.matches, map(" ".__add__, spaced))
+        self.whole.update(zip(whole, range(known, known + len(whole)), strict=True))
+        self.spaced.update(zip(spaced, range(known + len(whole), known + n), strict=True))
+        per_piece = np.fromiter(map(len, matched), dtype=np.int64, count=n)
+        flat = list(chain.from_iterable(matched))
+        distinct = dict.fromkeys(flat)
+        distinct.update(zip(distinct, range(len(distinct)), strict=True))
+        order = np.fromiter(map(distinct.__getitem__, flat), dtype=np.int64, count=len(flat))
+        data = list(map(str.encode, distinct))
+        lengths = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
+        ids, counts = merge_all(b"".join(data), np.cumsum(lengths) - lengths, self.merges)
         ids, lengths = gather(ids, counts, order)
-        owner = np.repeat(np.arange(len(pieces)), per_piece)
-        self.index.update(zip(pieces, range(len(self.index), len(self.index) + len(pieces)), strict=True))
-        self.ids.append(ids.astype(np.int32))
-        self.counts.append(np.bincount(owner, weights=lengths, minlength=len(pieces)).astype(np.int64))
-        self.ids, self.counts = [np.concatenate(self.ids)], [np.concatenate(self.counts)]
+        sizes = np.bincount(np.repeat(np.arange(n), per_piece), weights=lengths, minlength=n).astype(np.int64)
+        self.ids = [np.concatenate([*self.ids, ids.astype(np.int32)])]
+        self.counts = [np.concatenate([*self.counts, sizes])]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each text has; their pieces must have been learned."""
-        find, found, sizes = self.index.__getitem__, [], []
+        whole, spaced, found, sizes = self.whole.__getitem__, self.spaced.__getitem__, [], []
         for text in texts:
-            pieces = self.split(text)
-            found.extend(map(find, pieces))
-            sizes.append(len(pieces))
+            head, tail = self.split(text)
+            found.extend(map(whole, head))
+            found.extend(map(spaced, tail))
+            sizes.append(len(head) + len(tail))
         order = np.array(found, dtype=np.int64)
         ids, lengths = gather(self.ids[0], self.counts[0], order)
         owner = np.repeat(np.arange(len(texts)), sizes)
         return ids, np.bincount(owner, weights=lengths, minlength=len(texts)).astype(np.int64)
 
 
+def has_rare_space(text: str) -> bool:
+    """Whether white space other than blanks and line feeds is there."""
+    return any(map(text.__contains__, RARE_ASCII if text.isascii() else RARE_SPACES))
+
+
 def gather(values: np.ndarray, counts: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs of ``values``, of the given counts, in a new order; with their lengths."""
     starts, lengths = (np.cumsum(counts) - counts)[order], counts[order]
@@ -269,25 +287,29 @@ def encoded(batches: Iterator[pa.RecordBatch], merges: Broadcast, pattern: str)
             yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, end - start), lists], names=["id", "ids"])
 
 
+def id_lists(ids: pa.Array) -> Iterator[list[int]]:
+    flat, ends = ids.flatten().to_numpy().tolist(), np.cumsum(ids.value_lengths().fill_null(0).to_numpy()).tolist()
+    return (flat[start:end] for start, end in zip([0, *ends], ends, strict=False))
+
+
 def decoded(batches: Iterator[pa.RecordBatch], merges: Broadcast) -> Iterator[pa.RecordBatch]:
     """(id, ids) to (id, ids, bytes)."""
     token = merges.value.tokens.__getitem__
     for batch in batches:
-        data = [b"".join(map(token, ids)) for ids in batch.column("ids").to_pylist()]
+        data = [b"".join(map(token, ids)) for ids in id_lists(batch.column("ids"))]
         columns = [batch.column("id"), batch.column("ids"), pa.array(data, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "bytes"])
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[int, str] = {}
+def _digests(batches: Iterator[pa.RecordBatch], top: int) -> Iterator[pa.RecordBatch]:
+    decimal = [str(i) for i in range(top)].__getitem__
     for batch in batches:
         rows = [], [], []
-        for ids, data in zip(batch.column("ids").to_pylist(), batch.column("bytes").to_pylist(), strict=True):
-            known.update((i, str(i)) for i in set(ids) - known.keys())
+        for ids, data in zip(id_lists(batch.column("ids")), batch.column("bytes").to_pylist(), strict=True):
             rows[0].append(len(ids))
-            rows[1].append(hashlib.sha256(" ".join(map(known.__getitem__, ids)).encode()).hexdigest())
+            rows[1].append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
             rows[2].append(hashlib.sha256(data).hexdigest())
-        columns = [batch.column("id"), pa.array(rows[0], pa.int64()), *map(pa.array, rows[1:])]
+        columns = [batch.column("id"), pa.array(rows[0], pa.int64()), *(pa.array(r, pa.string()) for r in rows[1:])]
         yield pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
@@ -325,7 +347,7 @@ def round_trip(
     merges = _shared(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _digests(decoded(encoded(batches, merges, pattern), merges))
+        return _digests(decoded(encoded(batches, merges, pattern), merges), len(merges.value.tokens))
 
     found = given.mapInArrow(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     return found.withColumnRenamed("id", id_col)
