@@ -13,7 +13,7 @@ it, and so on; witnesses that serve as landmarks are also examples with a charac
 Landmarks are the most frequent witnesses and the clean words nearest to them. A logistic curve
 turns a text's highest decision, the sum of its positive ones and its number of words into a score. All of that uses a bounded sample:
 ``SAMPLE`` labelled texts of each class in the order of a hash of their ids, ``UNITS`` distinct words
-of each. Nothing random is involved.
+of each, and about ``CLEAN`` distinct words of clean texts. Nothing random is involved.
 
 Scoring covers every word of every text. The decision is linear in the triples, so the landmarks fold
 into one table of weights by triple, which is what executors get (``CLASSES ** 3`` numbers).
@@ -40,15 +40,16 @@ from pyspark.sql import functions as F
 from orderlens.llm.common import filled
 
 FOLDS = 5
-SAMPLE = 2000
-UNITS = 2000
+SAMPLE = 1200
+UNITS = 1000
+CLEAN = 60_000  # words of clean texts used as examples
 SPAN = 6
 DECAY = 0.7
 CLASSES = 64  # of letters
 WINDOW, STEP = 24, 12  # longer words are cut into overlapping windows
 LANDMARKS = 256
 ROUNDS = 3
-NEGATIVES = 10_000
+NEGATIVES = 8_000
 KNOWN = 1 << 20  # words whose decisions a task remembers
 LOWEST = -3.0  # decision of a text without words
 
@@ -120,16 +121,25 @@ class Features:
 
     @staticmethod
     def of(words: list[str]) -> Features:
-        row, code, weight = triples(words)
-        key, at = np.unique(row * CLASSES**3 + code, return_inverse=True)
-        summed = np.bincount(at, weights=weight, minlength=len(key))
-        row, code = key // CLASSES**3, key % CLASSES**3
-        norm = np.sqrt(np.bincount(row, weights=summed**2, minlength=len(words)))
-        return Features(row, code, summed / norm[row], len(words))
+        rows, codes, weights = [np.empty(0, np.int32)], [np.empty(0, np.int32)], [np.empty(0, np.float32)]
+        for start in range(0, len(words), 10_000):
+            row, code, weight = triples(words[start : start + 10_000])
+            key, at = np.unique(row * CLASSES**3 + code, return_inverse=True)
+            summed = np.bincount(at, weights=weight, minlength=len(key))
+            row = key // CLASSES**3
+            norm = np.sqrt(np.bincount(row, weights=summed**2))
+            rows.append((row + start).astype(np.int32))
+            codes.append((key % CLASSES**3).astype(np.int32))
+            weights.append((summed / norm[row]).astype(np.float32))
+        return Features(np.concatenate(rows), np.concatenate(codes), np.concatenate(weights), len(words))
 
     def dot(self, table: np.ndarray) -> np.ndarray:
         """Sum of a table's entries by triple, weighted, for each word."""
-        return np.bincount(self.row, weights=self.weight * table[self.code], minlength=self.n)
+        out = np.zeros(self.n)
+        for start in range(0, len(self.row), 1 << 20):
+            part = slice(start, start + (1 << 20))
+            out += np.bincount(self.row[part], weights=self.weight[part] * table[self.code[part]], minlength=self.n)
+        return out
 
     def kernel(self, landmarks: Features) -> np.ndarray:
         """Similarities of all words to all landmarks."""
@@ -140,8 +150,8 @@ class Features:
         keep = np.flatnonzero(used[at] == self.code)
         out = np.zeros((self.n, landmarks.n), dtype=np.float64)
         rows, at, weight = self.row[keep], at[keep], self.weight[keep].astype(np.float32)
-        for start in range(0, len(rows), 1 << 16):
-            part = slice(start, start + (1 << 16))
+        for start in range(0, len(rows), 1 << 14):
+            part = slice(start, start + (1 << 14))
             first, begins = np.unique(rows[part], return_index=True)
             out[first] += np.add.reduceat(dense[at[part]] * weight[part, None], begins, axis=0)
         return out
@@ -220,9 +230,11 @@ class _Learner:
 
     def first_values(self, seen: np.ndarray) -> np.ndarray:
         """Naive Bayes over triples: words of toxic texts, with their counts, against clean words."""
-        row, code = self.features.row, self.features.code
-        a = np.bincount(code, weights=seen[row], minlength=CLASSES**3)
-        b = np.bincount(code, weights=self.clean[row].astype(float), minlength=CLASSES**3)
+        a, b = np.zeros(CLASSES**3), np.zeros(CLASSES**3)
+        for start in range(0, len(self.features.row), 1 << 20):
+            row, code = self.features.row[start : start + (1 << 20)], self.features.code[start : start + (1 << 20)]
+            a += np.bincount(code, weights=seen[row], minlength=CLASSES**3)
+            b += np.bincount(code, weights=self.clean[row].astype(float), minlength=CLASSES**3)
         return self.features.dot(np.log((a + 0.5) / (seen.sum() + 1)) - np.log((b + 0.5) / (self.clean.sum() + 1)))
 
     def fit(self, witness: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, float]:
@@ -257,7 +269,7 @@ def fit(bags: list[list[str]], toxic: np.ndarray, share: float = 0.5) -> Model:
     chance words and wrong labels do not confirm themselves.
     """
     nothing = Model(np.zeros(CLASSES**3), LOWEST, np.array([0.0, 0.0, 0.0, -30.0]))
-    bags = [sorted({w for unit in bag for w in windows(unit)}) for bag in bags]
+    given, bags = bags, [sorted({w for unit in bag for w in windows(unit)}) for bag in bags]
     words = sorted(set().union(*bags))
     number = {w: i for i, w in enumerate(words)}
     bag_words = [np.array([number[w] for w in bag], dtype=np.int64) for bag in bags]
@@ -272,8 +284,19 @@ def fit(bags: list[list[str]], toxic: np.ndarray, share: float = 0.5) -> Model:
     candidate = (in_toxic > 0) & ((in_clean == 0) | (odds > 10) & (in_toxic >= 5))
     toxic_bags = [b[candidate[b]] for b in toxic_bags if candidate[b].any()]
     clean = (in_clean > 0) & ~candidate
+    # of very many clean words, an even spread in alphabetical order besides the most frequent
+    spread = np.flatnonzero(clean)
+    kept = np.zeros(len(words), dtype=bool)
+    kept[spread[:: -(-len(spread) // CLEAN) or 1]] = True
+    kept[spread[np.argsort(-in_clean[spread], kind="stable")[: CLEAN // 4]]] = True
+    clean &= kept
     if len(toxic_bags) < 2 or not clean.any():
         return nothing
+    used = np.flatnonzero(clean | candidate)
+    number = np.full(len(words), -1)
+    number[used] = np.arange(len(used))
+    toxic_bags = [number[b] for b in toxic_bags]
+    words, clean, in_clean = [words[i] for i in used], clean[used], in_clean[used]
     learner, half = _Learner(words, clean, in_clean), np.arange(len(toxic_bags)) % 2
     values = [learner.first_values(texts_with(toxic_bags[1 - h :: 2])) for h in (0, 1)]
     witness = np.array([bag[np.argmax(values[h][bag])] for bag, h in zip(toxic_bags, half, strict=True)])
@@ -287,8 +310,10 @@ def fit(bags: list[list[str]], toxic: np.ndarray, share: float = 0.5) -> Model:
         taught = np.array([values[h][w] > 0 for w, h in zip(witness, half, strict=True)])
     table, bias = learner.fit(witness[taught] if taught.any() else witness, values[0] + values[1])
     value = learner.features.dot(table) + bias
-    seen = np.array([summary(value[b].clip(LOWEST).tolist()) for b in bag_words])
-    return Model(table, bias, _curve(seen, toxic, share))
+    model = Model(table, bias, np.zeros(4))
+    known: dict[str, float] = {}
+    model.curve = _curve(np.array([_summary_of(bag, model, known) for bag in given]), toxic, share)
+    return model
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,6 +344,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit([u for _, u in order], np.array([t == 1 for t, _ in order], dtype=bool), share)
 
 
+def _summary_of(found: Iterable[str], model: Model, known: dict[str, float]) -> tuple[float, float, float, float]:
+    new = [u for u in found if u not in known]
+    known.update(zip(new, model.decisions(new).tolist(), strict=True))
+    return summary([known[u] for u in found])
+
+
 def summaries(texts: Iterable[str], model: Model, known: dict[str, float]) -> np.ndarray:
     """What the curve sees of each text; ``known`` remembers the decisions for words."""
     found = [units(t) for t in texts]
