@@ -12,6 +12,7 @@ from orderlens.llm.decontamination import contamination
 from orderlens.llm.exact_dedup import mark_copies
 from orderlens.llm import toxicity
 from orderlens.llm.html_extract import extract
+from orderlens.llm.sharding import assign
 from orderlens.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign(table(spark, sf_dir, "documents"))
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
@@ -47,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_sharding": op8_sharding,
     "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
 }
