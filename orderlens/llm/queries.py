@@ -10,7 +10,7 @@ from orderlens.llm.byte_bpe import round_trip
 from orderlens.llm.common import UPPER, table
 from orderlens.llm.decontamination import contamination
 from orderlens.llm.exact_dedup import mark_copies
-from orderlens.llm import toxicity
+from orderlens.llm import token_files, toxicity
 from orderlens.llm.html_extract import extract
 from orderlens.llm.sharding import assign
 from orderlens.llm.simhash import near_duplicates
@@ -31,6 +31,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_token_files": op5_token_files,
     "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
     "op9_html_extraction": op9_html_extraction,
