@@ -14,6 +14,7 @@ from orderlens.llm import token_files, toxicity
 from orderlens.llm.html_extract import extract
 from orderlens.llm.sharding import assign
 from orderlens.llm.simhash import near_duplicates
+from orderlens.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).withColumnRenamed("kept", "kept_sha256")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_copies(table(spark, sf_dir, "documents"), hash_all=True)
 
@@ -54,6 +59,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_files": op5_token_files,
     "op7_decontamination": op7_decontamination,
