@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm.byte_bpe import round_trip
+from orderlens.llm.chain_dedup import repeated_passages
 from orderlens.llm.common import UPPER, table
 from orderlens.llm.decontamination import contamination
 from orderlens.llm.exact_dedup import mark_copies
@@ -40,6 +41,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_chain_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_token_files": op5_token_files,
+    "op6_chain_dedup": op6_chain_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
     "op9_html_extraction": op9_html_extraction,
