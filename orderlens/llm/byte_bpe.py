@@ -336,7 +336,7 @@ def decode(ids: DataFrame, id_col: str = "doc_id", path: str = VOCABULARY) -> Da
     given, kind = _given(ids, id_col, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     run: Callable = partial(decoded, merges=_shared(ids, path))
     found = given.mapInArrow(run, f"id {kind}, ids array<int>, bytes binary")
-    return found.select(F.col("id").alias(id_col), F.decode("bytes", F.lit("UTF-8")).alias("text"))
+    return found.select(F.col("id").alias(id_col), F.decode("bytes", "UTF-8").alias("text"))
 
 
 def round_trip(

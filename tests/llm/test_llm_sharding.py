@@ -1,0 +1,51 @@
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from conftest import rows
+from llm_corpus import TEXTS, no_documents, odd_documents
+
+from orderlens.llm.sharding import assign, shard_by_bytes
+
+
+def shards_of(found):
+    slots, sizes = defaultdict(list), Counter()
+    for _, size, _, shard, slot in found:
+        slots[shard].append(slot)
+        sizes[shard] += size
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    return sizes
+
+
+def test_odd_documents(spark):
+    found = rows(assign(odd_documents(spark, 3)))
+    data = [(i, (t or "").encode()) for i, t in TEXTS * 3]
+    assert Counter(r[:3] for r in found) == Counter((i, len(d) + 8, zlib.crc32(d)) for i, d in data)
+    assert {(r[3], r[6]) for r in found} == {("bytes", None)}
+    assert {r[4] for r in found} <= set(range(24))
+    shards_of([(*r[:3], r[4], r[5]) for r in found])
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_nearly_equal_bytes(spark, hot):
+    # a third of all rows are copies of one text, or half of them one row repeated
+    texts = [(i, "copy" * 20 if hot and i % 3 == 0 else f"text {i} " * (1 + i * 7919 % 40)) for i in range(6000)]
+    texts += [(7, "the same row")] * (6000 if hot else 0)
+    found = rows(shard_by_bytes(spark.createDataFrame(texts, "doc_id bigint, text string"), 8))
+    sizes = shards_of(found)
+    mean = sum(sizes.values()) / 8
+    assert len(sizes) == 8
+    assert max(sizes.values()) < 1.05 * mean and min(sizes.values()) > 0.95 * mean
+
+
+def test_copies_stay_together_unless_they_fill_a_range(spark):
+    texts = [(i, f"text {i // 4} " * 10) for i in range(4000)]
+    found = rows(shard_by_bytes(spark.createDataFrame(texts, "doc_id bigint, text string"), 4))
+    shards = defaultdict(set)
+    for i, _, _, shard, _ in found:
+        shards[i // 4].add(shard)
+    assert sum(len(s) > 1 for s in shards.values()) <= 3
+
+
+def test_no_documents(spark):
+    assert rows(assign(no_documents(spark))) == []
