@@ -3,7 +3,7 @@
 Each page is parsed into blocks of text and the containers around them, its best container is
 scored, and the container's path of tags and classes, with digits generalised, is the page's vote.
 Spark counts the votes of each host; paths with at least ``SHARE`` of them (``PATHS`` at most by
-that) win, and every page is extracted again from the best element with a winning path. A page
+that) win, and every page is extracted again from the element with the most voted path it has. A page
 that has none of its host's paths keeps its own container.
 
 Left out are elements whose tag, role, class or id marks them as menu, header, footer, sidebar, notice,
@@ -222,10 +222,13 @@ def text_of(page: Page, container: int) -> str:
 
 
 def chosen_container(page: Page, paths: list[str]) -> int:
-    """The element with most text among those with a winning path, or else the page's own best."""
-    wanted = set(paths)
-    found = [n for n, e in enumerate(page.elements) if e.path in wanted and e.container == n and not e.dropped and e.below > 0]
-    return max(found, key=lambda n: page.elements[n].below) if found else best_container(page)
+    """The element with most text among those with the first winning path that the page has, or else its own best."""
+    elements = page.elements
+    for path in paths:
+        found = [n for n, e in enumerate(elements) if e.path == path and e.container == n and not e.dropped and e.below > 0]
+        if found:
+            return max(found, key=lambda n: elements[n].below)
+    return best_container(page)
 
 
 def host(url: Column) -> Column:

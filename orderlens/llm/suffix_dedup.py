@@ -40,6 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.llm.byte_bpe import gather
 from orderlens.llm.common import filled, kept_table
 
 LENGTH = 50
@@ -47,7 +48,7 @@ GRAM = 24
 BATCH = 2 << 20
 BITS = 27
 FREQUENT = 20_000
-BUCKET = 16 << 20  # bytes of text for each bucket
+BUCKET = 8 << 20  # bytes of text for each bucket
 CHUNK = 1 << 20
 
 WINDOW = LENGTH - GRAM + 1  # anchors to choose from; at most so many windows share one
@@ -198,11 +199,12 @@ def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row() -> pa.RecordBatch:
         data = b"".join(texts)
         columns = [
-            pa.array([part << 32 | number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+            pa.array([part << 32 | number], pa.int64()), pa.array([[i or 0 for i in ids]], pa.list_(pa.int64())),
+            pa.array([[i is not None for i in ids]], pa.list_(pa.bool_())),
             pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([len(data)], pa.int64()),
             pa.array([pa.Codec("zstd").compress(data, asbytes=True)], pa.binary()),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["batch", "ids", "lengths", "size", "data"])
+        return pa.RecordBatch.from_arrays(columns, names=list(BATCHED))
 
     for batch in batches:
         for i, text in zip(batch.column("id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
@@ -216,31 +218,33 @@ def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
+BATCHED = ("batch", "ids", "named", "lengths", "size", "data")
+BATCHES = "batch bigint, ids array<bigint>, named array<boolean>, lengths array<bigint>, size bigint, data binary"
+
+
 class Batch(NamedTuple):
-    """Documents of a batch; those without id have no runs."""
+    """Documents of a batch; those without id, whose number counts for nothing, have no runs."""
 
     number: int
-    ids: list
+    ids: np.ndarray
+    named: np.ndarray
     lengths: np.ndarray
     data: np.ndarray
 
     @staticmethod
-    def of(number: int, ids: list, lengths: list[int], size: int, data: bytes) -> Batch:
+    def of(number: int, ids: list, named: list, lengths: list, size: int, data: bytes) -> Batch:
         raw = pa.Codec("zstd").decompress(data, size, asbytes=True)
-        return Batch(number, list(ids), np.array(lengths, dtype=np.int64), np.frombuffer(raw, dtype=np.uint8))
+        numbers = (np.array(x, dtype=kind) for x, kind in ((ids, np.int64), (named, bool), (lengths, np.int64)))
+        return Batch(number, *numbers, np.frombuffer(raw, dtype=np.uint8))
 
     def runs(self) -> Runs:
         found = runs(self.data, self.lengths)
-        named = np.array([i is not None for i in self.ids], dtype=bool)
-        return found if named.all() else Runs(*(c[named[found.doc]] for c in found))
-
-    def order(self) -> np.ndarray:
-        return np.array([0 if i is None else i for i in self.ids], dtype=np.int64)
+        return found if self.named.all() else Runs(*(c[self.named[found.doc]] for c in found))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
     for batch in batches:
-        columns = [batch.column(c) for c in ("batch", "ids", "lengths", "size", "data")]
+        columns = [batch.column(c) for c in BATCHED]
         for i in range(batch.num_rows):
             yield Batch.of(*(c[i].as_py() for c in columns))
 
@@ -322,7 +326,7 @@ def strings(batch: Batch, shared: Shared, buckets: int) -> Strings:
         found = Runs(start, np.where(single, 1, found.count[index]), anchor, found.doc[index])
     # a string is known by the hashes of its first and last window and its length
     head, tail = whole[found.start], whole[found.start + found.count - 1]
-    order = np.lexsort((batch.order()[found.doc], tail, head, found.count, found.anchor))
+    order = np.lexsort((batch.ids[found.doc], tail, head, found.count, found.anchor))
     keys = (found.anchor, found.count, head, tail)
     fresh = np.zeros(len(order), dtype=bool)
     fresh[:1] = True
@@ -333,7 +337,7 @@ def strings(batch: Batch, shared: Shared, buckets: int) -> Strings:
     one = order[fresh]
     shift = np.uint64(HASH_BITS - (buckets.bit_length() - 1))
     bucket = (found.anchor[one] >> shift).astype(np.int64)  # ascending, like the anchors
-    return Strings(bucket, found.start[one], found.count[one], batch.order()[found.doc[one]], found, of_run)
+    return Strings(bucket, found.start[one], found.count[one], batch.ids[found.doc[one]], found, of_run)
 
 
 def _sent(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -357,6 +361,21 @@ def _sent(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[p
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
+def _string_keys(data: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of each string's first window, last window and anchor."""
+    parts = []
+    for at in range(0, len(start), 10_000):
+        begin, windows = start[at : at + 10_000], count[at : at + 10_000]
+        low = int(begin[0])
+        piece = data[low : int(begin[-1] + windows[-1]) + LENGTH - 1]
+        whole = _rolled(piece, LENGTH)
+        grams = np.append(_mixed(_rolled(piece, GRAM)), ~np.uint64(0))
+        edges = np.stack([begin - low, begin - low + windows + WINDOW - 1], axis=1).ravel()
+        anchor = np.minimum.reduceat(grams, edges)[::2]
+        parts.append((whole[begin - low], whole[begin - low + windows - 1], anchor))
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+
 def _judged(frame: pd.DataFrame) -> pd.DataFrame:
     """For each batch's strings: the smallest id of all, and a bit for every window that a smaller one has."""
     frame = frame.sort_values("batch")
@@ -366,23 +385,27 @@ def _judged(frame: pd.DataFrame) -> pd.DataFrame:
     data = np.frombuffer(raw, dtype=np.uint8)
     length = count + LENGTH - 1
     start = np.cumsum(length) - length
-    whole = _rolled(data, LENGTH)
-    order = np.lexsort((first, whole[start + count - 1], whole[start], count))
+    head, tail, anchor = _string_keys(data, start, count)
+    order = np.lexsort((first, tail, head, count, anchor))
     fresh = np.zeros(len(order), dtype=bool)
     fresh[:1] = True
-    for key in (count, whole[start], whole[start + count - 1]):
+    for key in (anchor, count, head, tail):
         fresh[1:] |= key[order[1:]] != key[order[:-1]]
     group = np.empty(len(order), dtype=np.int64)
     group[order] = np.cumsum(fresh) - 1
     one = order[fresh]  # the entry of a string with the smallest id
-    # suffixes of the distinct strings that are long enough to be windows
-    windows = count[one]
-    owner = np.repeat(np.arange(len(one)), windows)
-    step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    place = start[one][owner] + step
-    factor = longest_previous_factors(data, place, first[one][owner], LENGTH, LENGTH)
     bits = np.zeros(len(one), dtype=np.int64)
-    np.bitwise_or.at(bits, owner, np.where(factor >= LENGTH, 1 << step, 0))
+    # suffixes of the distinct strings, unless a string is the only one at its anchor
+    alike = anchor[one][1:] == anchor[one][:-1]
+    several = np.flatnonzero(np.append(alike, False) | np.append(False, alike))
+    if len(several):
+        chosen = one[several]
+        text, sizes = gather(data, length, chosen)
+        begin, windows = np.cumsum(sizes) - sizes, count[chosen]
+        owner = np.repeat(np.arange(len(chosen)), windows)
+        step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        factor = longest_previous_factors(text, begin[owner] + step, first[chosen][owner], LENGTH, LENGTH)
+        np.bitwise_or.at(bits, several[owner], np.where(factor >= LENGTH, 1 << step, 0))
     smallest, bits = first[one][group], bits[group]
     told = (smallest < first) | (bits != 0)  # batches know the rest
     sizes = frame["n"].to_numpy()
@@ -410,7 +433,7 @@ def _cuts(batch: Batch, replies: pd.DataFrame, shared: Shared, buckets: int) ->
     for n, at, smallest, told in zip(replies["n"], replies["strings"], replies["smallest"], replies["bits"], strict=True):
         at = _unpack(at, n, "<i8")
         first[at], bits[at] = _unpack(smallest, n, "<i8"), _unpack(told, n, "<i8")
-    own = batch.order()[found.runs.doc]
+    own = batch.ids[found.runs.doc]
     everything = (1 << found.runs.count) - 1
     mask = np.where(own > first[found.of_run], everything, bits[found.of_run])
     change = np.zeros(len(batch.data) + 1, dtype=np.int64)
@@ -420,14 +443,14 @@ def _cuts(batch: Batch, replies: pd.DataFrame, shared: Shared, buckets: int) ->
         np.subtract.at(change, hit + LENGTH, 1)
     gone = np.cumsum(change[:-1]) > 0
     ends = np.cumsum(batch.lengths)
-    for i, end, length in zip(batch.ids, ends.tolist(), batch.lengths.tolist(), strict=True):
-        yield Cut(i, batch.data[end - length : end], gone[end - length : end])
+    for i, named, end, length in zip(batch.ids.tolist(), batch.named.tolist(), ends.tolist(), batch.lengths.tolist(), strict=True):
+        yield Cut(i if named else None, batch.data[end - length : end], gone[end - length : end])
 
 
 def _results(key: tuple, left: pd.DataFrame, right: pd.DataFrame, shared, buckets: int, texts: bool) -> pd.DataFrame:
     rows = []
     for values in left.itertuples(index=False):
-        batch = Batch.of(values.batch, values.ids, values.lengths, values.size, values.data)
+        batch = Batch.of(*(getattr(values, c) for c in BATCHED))
         for cut in _cuts(batch, right, shared.value, buckets):
             kept = cut.data[~cut.gone].tobytes()
             spans = int(np.count_nonzero(cut.gone[1:] & ~cut.gone[:-1])) + int(cut.gone[:1].any())
@@ -442,7 +465,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).cast("long").alias("id"), filled(F.col(text_col)).alias("text"))
     packed = kept_table(
-        given.mapInArrow(_batched, "batch bigint, ids array<bigint>, lengths array<bigint>, size bigint, data binary"), "batches"
+        given.mapInArrow(_batched, BATCHES), "batches"
     )
     total = packed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     buckets = 1 << max(6, (total // BUCKET).bit_length())
@@ -453,7 +476,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     bits = np.zeros((buckets, (1 << BITS) // buckets // 8), dtype=np.uint8)
     often, counts, seen = [np.empty(0, "<u8")], [np.empty(0, "<i8")], 0
-    for row in slices.toLocalIterator():  # 2 ** BITS bits in all
+    for row in slices.collect():  # 2 ** BITS bits, and 16 bytes for a frequent anchor
         bits[row["bucket"]] = np.frombuffer(row["bits"], dtype=np.uint8)
         often.append(np.frombuffer(row["frequent"], dtype="<u8"))
         counts.append(np.frombuffer(row["counts"], dtype="<i8"))
