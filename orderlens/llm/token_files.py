@@ -34,6 +34,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 
 from orderlens import storage
 from orderlens.llm.byte_bpe import gather
-from orderlens.llm.common import filled, kept_table
+from orderlens.llm.common import filled
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END = 1
@@ -56,6 +57,7 @@ LOW = 1 << 31  # states stay from here to 2 ** 63
 BLOCK = 1 << 19
 LANES = 1024
 STEPS = 128  # between checkpoints
+KNOWN = 1 << 19  # words that a Python worker remembers
 MAGIC, VERSION = b"TIDB", 1
 HEAD = "<4s7I"
 HEAD_SIZE = struct.calcsize(HEAD)
@@ -65,48 +67,60 @@ PLAIN = regex.compile("[!-~¡-¬®-ſ]+")
 
 
 class Tokenizer:
-    """Ids of texts by the tokenizers library; its model is asked once for each distinct word."""
+    """Ids of texts by the tokenizers library; its model is asked once for each distinct word.
+
+    Only the path is pickled. A broadcast tokenizer is loaded, and remembers words, once in each Python worker.
+    """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
-        self.library = tokenizers.Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as file:
-            steps = json.load(file)["pre_tokenizer"]["pretokenizers"]
-        self.words = regex.compile(steps[0]["pattern"]["Regex"]).findall
-        # the alphabet of byte-level models: printable bytes stand for themselves, others follow from U+0100
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in printable]
-        table = dict(zip(printable, map(chr, printable), strict=True)) | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.alphabet = {chr(b): c for b, c in table.items()}
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.known: dict[str, list[int]] = {}
-
-    def word(self, word: str) -> list[int]:
+        self.path, self.library = path, None
+
+    def __getstate__(self) -> dict:
+        return {"path": self.path, "library": None}
+
+    def load(self) -> Tokenizer:
+        if self.library is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to other tasks
+            self.library = tokenizers.Tokenizer.from_file(self.path)
+            with open(self.path, encoding="utf-8") as file:
+                steps = json.load(file)["pre_tokenizer"]["pretokenizers"]
+            self.words = regex.compile(steps[0]["pattern"]["Regex"]).findall
+            # the alphabet of byte-level models: printable bytes stand for themselves, others follow from U+0100
+            printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+            others = [b for b in range(256) if b not in printable]
+            self.alphabet = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+            self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+            self.known: dict[str, tuple[int, ...]] = {}
+        return self
+
+    def word(self, word: str) -> tuple[int, ...]:
         ids = self.known.get(word)
         if ids is None:
-            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(str.maketrans(self.alphabet))
-            ids = self.known[word] = [t.id for t in self.library.model.tokenize(spelled)]
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+            ids = self.known[word] = tuple([t.id for t in self.library.model.tokenize(spelled)])
         return ids
 
-    def piece(self, piece: str) -> list[int]:
+    def piece(self, piece: str) -> tuple[int, ...]:
         """Ids of a text without blanks."""
         if not PLAIN.fullmatch(piece) or "<|" in piece and any(s in piece for s in self.special):
-            return self.library.encode(piece, add_special_tokens=False).ids
-        ids: list[int] = []
-        for word in self.words(piece.lower()):
-            ids += self.word(word)
-        return ids
+            return tuple(self.library.encode(piece, add_special_tokens=False).ids)
+        piece = piece.lower()
+        if piece.isalpha():
+            return self.word(piece)
+        if piece[-1] in ".," and piece[:-1].isalpha():
+            return self.word(piece[:-1]) + self.word(piece[-1])
+        return tuple(chain.from_iterable(map(self.word, self.words(piece))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and how many each text has."""
-        if len(self.known) > 1 << 20:
+        if len(self.load().known) > KNOWN:
             self.known.clear()
-        lists = pc.split_pattern(texts, " ")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")  # blanks of any kind are one to it
         pieces = lists.flatten().dictionary_encode()
-        found = [self.piece(p) if p else [] for p in pieces.dictionary.to_pylist()]
-        found.append([END])
+        found = [self.piece(p) if p else () for p in pieces.dictionary.to_pylist()]
+        found.append((END,))
         counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter((i for ids in found for i in ids), dtype=np.uint32, count=int(counts.sum()))
+        flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(counts.sum()))
         sizes = lists.value_lengths().to_numpy()
         order = np.insert(pieces.indices.to_numpy(), np.cumsum(sizes), len(found) - 1)
         owner = np.repeat(np.arange(len(texts)), sizes + 1)
@@ -119,23 +133,36 @@ def checksum(ids: np.ndarray) -> int:
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4"))
 
 
-def _tokenized(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    tokenizer = Tokenizer(path)
+def _tokenized(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    """Packed ids of the documents, and at the end of the partition one row with the count of each id."""
+    tokenizer, used = shared.value, np.zeros(0, dtype=np.int64)
+    names = ["id", "n_tokens", "crc", "width", "ids", "kind"]
+    pack = pa.Codec("zstd").compress
     for batch in batches:
-        for start in range(0, batch.num_rows, 4096):
-            part = batch.slice(start, 4096)
-            ids, counts = tokenizer.encode(part.column("text"))
-            width = np.uint16 if ids.max(initial=0) < 1 << 16 else np.uint32
-            ends = np.cumsum(counts)
-            each = [ids[e - c : e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
-            pack = pa.Codec("zstd").compress
-            # high bytes first: they repeat
-            packed = [pack(x.astype(width).view(np.uint8).reshape(-1, np.dtype(width).itemsize).T.tobytes(), asbytes=True) for x in each]
-            columns = [
-                part.column("id"), pa.array(counts), pa.array([checksum(x) for x in each], pa.int64()),
-                pa.array(np.full(len(each), np.dtype(width).itemsize, dtype=np.int32)), pa.array(packed, pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_tokens", "crc", "width", "ids"])
+        ids, counts = tokenizer.encode(batch.column("text"))
+        used = _added(used, ids)
+        width = 2 if ids.max(initial=0) < 1 << 16 else 4
+        ends = np.cumsum(counts)
+        each = [ids[e - c : e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
+        # high bytes first: they repeat
+        packed = [pack(x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes(), asbytes=True) for x in each]
+        n = len(each)
+        columns = [
+            batch.column("id"), pa.array(counts), pa.array([checksum(x) for x in each], pa.int64()),
+            pa.array(np.full(n, width, dtype=np.int32)), pa.array(packed, pa.binary()), pa.array(["documents"] * n),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+        kind = batch.column("id").type
+    if len(used):
+        packed = pack(used.astype("<i8").tobytes(), asbytes=True)
+        row = ([None], kind), ([len(used)], pa.int64()), ([None], pa.int64()), ([8], pa.int32()), ([packed], pa.binary()), (["counts"], pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(*c) for c in row], names=names)
+
+
+def _added(counts: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    found = np.bincount(ids, minlength=len(counts))
+    found[: len(counts)] += counts
+    return found
 
 
 def _unpack(data: bytes, n: int, width: int) -> np.ndarray:
@@ -150,33 +177,40 @@ def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         yield i, _unpack(data, n, width)
 
 
-def tokenize(docs: DataFrame, id_col: str, text_col: str, path: str = TOKENIZER) -> DataFrame:
-    """(id, n_tokens, crc, width, ids) for every row, the ids packed."""
+def tokenize(docs: DataFrame, id_col: str, text_col: str, folder: str, path: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
+    """Write the ids of every row to a folder; (id, n_tokens, crc, width, ids) of them, and counts by partition."""
+    spark = docs.sparkSession
     given = docs.select(F.col(id_col).alias("id"), filled(F.col(text_col)).alias("text"))
     kind = given.schema["id"].dataType.simpleString()
-    return given.mapInArrow(partial(_tokenized, path=path), f"id {kind}, n_tokens bigint, crc bigint, width int, ids binary")
+    columns = f"id {kind}, n_tokens bigint, crc bigint, width int, ids binary"
+    shared = spark.sparkContext.broadcast(Tokenizer(path))
+    found = given.mapInArrow(partial(_tokenized, shared=shared), f"{columns}, kind string")
+    found.write.partitionBy("kind").mode("overwrite").parquet(folder)
+    everything = spark.read.schema(f"{columns}, kind string").parquet(folder)
+    return everything.where("kind = 'documents'").drop("kind"), everything.where("kind = 'counts'").drop("kind")
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, dtype=np.int64)
     for batch in batches:
-        for _, ids in _rows(batch):
-            found = np.bincount(ids, minlength=len(total))
-            found[: len(total)] += total
-            total = found
+        for n, data in zip(batch.column("n_tokens").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+            found = np.frombuffer(pa.Codec("zstd").decompress(data, n * 8, asbytes=True), dtype="<i8").copy()
+            longer, shorter = (found, total) if n > len(total) else (total, found)
+            longer[: len(shorter)] += shorter
+            total = longer
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["token", "n"])
 
 
-def frequencies(tokens: DataFrame) -> np.ndarray:
+def frequencies(counts: DataFrame) -> np.ndarray:
     """A frequency for each id of the vocabulary, adding up to 2 ** SCALE; none that occurs has zero."""
-    counted = tokens.select("n_tokens", "width", "ids").mapInArrow(_counted, "token bigint, n bigint")
+    counted = counts.select("n_tokens", "ids").mapInArrow(_counted, "token bigint, n bigint")
     rows = counted.groupBy("token").agg(F.sum("n").alias("n")).toArrow()  # the vocabulary at most
-    counts = np.zeros(int(max(rows["token"].to_pylist(), default=END)) + 1, dtype=np.int64)
-    counts[rows["token"].to_numpy()] = rows["n"].to_numpy()
-    if not counts.any():
-        counts[END] = 1
-    scaled = np.where(counts > 0, np.maximum(1, np.floor(counts / counts.sum() * (1 << SCALE))), 0).astype(np.int64)
+    total = np.zeros(int(max(rows["token"].to_pylist(), default=END)) + 1, dtype=np.int64)
+    total[rows["token"].to_numpy()] = rows["n"].to_numpy()
+    if not total.any():
+        total[END] = 1
+    scaled = np.where(total > 0, np.maximum(1, np.floor(total / total.sum() * (1 << SCALE))), 0).astype(np.int64)
     excess = int(scaled.sum()) - (1 << SCALE)
     for i in np.argsort(-scaled, kind="stable"):  # the most frequent ids take the difference
         change = min(excess, int(scaled[i]) - 1) if excess > 0 else excess
@@ -303,8 +337,8 @@ def write(
 ) -> None:
     """Write the token ids of all documents, in ascending order of their ids, as block files."""
     spark = docs.sparkSession
-    tokens = kept_table(tokenize(docs, id_col, text_col, path), "tokens")
-    frequency = frequencies(tokens)
+    tokens, counts = tokenize(docs, id_col, text_col, storage.scratch_folder(spark, "tokens"), path)
+    frequency = frequencies(counts)
     table = spark.createDataFrame([(SCALE, frequency.astype("<u4").tobytes())], "scale int, frequencies binary")
     table.coalesce(1).write.mode("overwrite").parquet(f"{folder}/frequencies")
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))

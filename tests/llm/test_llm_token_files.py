@@ -59,8 +59,8 @@ def test_blocks_round_trip_from_any_checkpoint(n):
             decoder.decode(bytes(damaged))
 
 
-def test_frequencies_cover_every_id(spark):
-    table = frequencies(tokenize(odd_documents(spark), "doc_id", "text"))
+def test_frequencies_cover_every_id(spark, tmp_path):
+    table = frequencies(tokenize(odd_documents(spark), "doc_id", "text", str(tmp_path / "tokens"))[1])
     assert int(table.sum()) == 1 << module.SCALE
     assert table[END] > 0
 
