@@ -47,8 +47,9 @@ LENGTH = 50
 GRAM = 24
 BATCH = 2 << 20
 BITS = 27
-FREQUENT = 20_000
-BUCKET = 8 << 20  # bytes of text for each bucket
+FREQUENT = 60_000
+BUCKET = 2 << 20  # bytes of text for each bucket
+PART = 10_000  # strings in one suffix array, unless an anchor has more
 CHUNK = 1 << 20
 
 WINDOW = LENGTH - GRAM + 1  # anchors to choose from; at most so many windows share one
@@ -98,6 +99,7 @@ class Runs(NamedTuple):
 def runs(data: np.ndarray, lengths: np.ndarray) -> Runs:
     """Anchors of all windows of concatenated documents; no window crosses documents."""
     ends = np.cumsum(lengths)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
     found = []
     for at in range(0, max(0, len(data) - LENGTH + 1), CHUNK):
         piece = data[at : at + CHUNK + LENGTH - 1]
@@ -113,7 +115,7 @@ def runs(data: np.ndarray, lengths: np.ndarray) -> Runs:
         n = min(CHUNK, len(v))
         v, here = v[:n], np.arange(n)
         place = here + ((v.astype(np.int64) - here) & 63)
-        doc = np.searchsorted(ends, here + at, side="right")
+        doc = owner[at : at + n]
         inside = here + at + LENGTH <= ends[doc]
         begins = inside.copy()
         begins[1:] &= (place[1:] != place[:-1]) | ~inside[:-1] | (doc[1:] != doc[:-1])
@@ -398,14 +400,19 @@ def _judged(frame: pd.DataFrame) -> pd.DataFrame:
     # suffixes of the distinct strings, unless a string is the only one at its anchor
     alike = anchor[one][1:] == anchor[one][:-1]
     several = np.flatnonzero(np.append(alike, False) | np.append(False, alike))
-    if len(several):
-        chosen = one[several]
+    # in parts of whole anchors, so that memory follows the largest anchor and not the bucket
+    places = anchor[one][several]
+    edges = np.append(np.flatnonzero(np.append(True, places[1:] != places[:-1])), len(several))
+    cuts = np.unique(edges[np.searchsorted(edges, np.append(np.arange(0, len(several), PART), len(several)))]).tolist()
+    for at, end in zip(cuts, cuts[1:], strict=False):
+        part = several[at:end]
+        chosen = one[part]
         text, sizes = gather(data, length, chosen)
         begin, windows = np.cumsum(sizes) - sizes, count[chosen]
         owner = np.repeat(np.arange(len(chosen)), windows)
         step = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
         factor = longest_previous_factors(text, begin[owner] + step, first[chosen][owner], LENGTH, LENGTH)
-        np.bitwise_or.at(bits, several[owner], np.where(factor >= LENGTH, 1 << step, 0))
+        np.bitwise_or.at(bits, part[owner], np.where(factor >= LENGTH, 1 << step, 0))
     smallest, bits = first[one][group], bits[group]
     told = (smallest < first) | (bits != 0)  # batches know the rest
     sizes = frame["n"].to_numpy()
@@ -440,7 +447,7 @@ def _cuts(batch: Batch, replies: pd.DataFrame, shared: Shared, buckets: int) ->
     for step in range(WINDOW):
         hit = found.runs.start[(mask >> step) & 1 > 0] + step  # each window is in one run
         change[hit] += 1
-        np.subtract.at(change, hit + LENGTH, 1)
+        change[hit + LENGTH] -= 1
     gone = np.cumsum(change[:-1]) > 0
     ends = np.cumsum(batch.lengths)
     for i, named, end, length in zip(batch.ids.tolist(), batch.named.tolist(), ends.tolist(), batch.lengths.tolist(), strict=True):
