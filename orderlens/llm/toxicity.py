@@ -49,8 +49,8 @@ CLASSES = 64  # of letters
 WINDOW, STEP = 24, 12  # longer words are cut into overlapping windows
 LANDMARKS = 256
 ROUNDS = 3
-NEGATIVES = 8_000
-KNOWN = 1 << 20  # words whose decisions a task remembers
+NEGATIVES = 12_000
+KNOWN = 1 << 18  # words whose decisions a task remembers
 LOWEST = -3.0  # decision of a text without words
 
 START, END = "\x02", "\x03"  # marks of a word's ends, letters of their own to the kernel
@@ -189,7 +189,8 @@ class Model:
         flat = [w for found in cut for w in found]
         best = np.full(len(words), LOWEST)
         if flat:
-            values = Features.of(flat).dot(self.table) + self.bias
+            parts = (Features.of(flat[i : i + 10_000]).dot(self.table) for i in range(0, len(flat), 10_000))
+            values = np.concatenate(list(parts)) + self.bias
             np.maximum.at(best, np.repeat(np.arange(len(words)), [len(found) for found in cut]), values)
         return best
 
@@ -365,7 +366,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
     model, known = model.value, {}
     for batch in batches:
         texts = batch.column("text")
-        parts = [summaries(texts.slice(i, 1000).to_pylist(), model, known) for i in range(0, batch.num_rows, 1000)]
+        parts = [summaries(texts.slice(i, 500).to_pylist(), model, known) for i in range(0, batch.num_rows, 500)]
         scores = pa.array(model.score(np.concatenate([np.empty((0, 4)), *parts])))
         kept = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "text"]
         names = [name for name in batch.schema.names if name != "text"]
@@ -393,8 +394,8 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
                 texts = [t or "" for t in part.column(columns.index(text_col)).to_pylist()]
                 scores = shared.value.score(summaries(texts, shared.value, known))
                 yield part.filter(pa.array(scores < 0.5))
