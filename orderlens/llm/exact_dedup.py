@@ -73,8 +73,10 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.lit(True).alias("kept"), "text_sha256",
     )
     counted = rows.where("hit").groupBy("id", "text_sha256", "part").agg(F.count("*").alias("n"))
-    groups = counted.groupBy("text_sha256").agg(
-        F.max(F.struct("id", "part")).alias("top"), F.sum("n").alias("group_size")
+    # written, so that the join below is on shuffled rows only and Spark can split a large group
+    groups = kept_table(
+        counted.groupBy("text_sha256").agg(F.max(F.struct("id", "part")).alias("top"), F.sum("n").alias("group_size")),
+        "exact-groups",
     )
     stays = F.col("id").eqNullSafe(F.col("top.id")) & (F.col("part") == F.col("top.part")) & (F.col("copy") == 1)
     copies = (
@@ -95,7 +97,7 @@ def keep_last(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rest = placed.join(F.broadcast(slots), "_llm_slot", "left_semi").withColumn(
         "_llm_hash", F.sha2(lowered(F.col(text_col)), 256)
     )
-    largest = rest.groupBy("_llm_hash").agg(F.max(id_col).alias("_llm_keep"))
+    largest = kept_table(rest.groupBy("_llm_hash").agg(F.max(id_col).alias("_llm_keep")), "exact-largest")
     last = (
         rest.join(largest, "_llm_hash")
         .where(F.col(id_col).eqNullSafe(F.col("_llm_keep")))
