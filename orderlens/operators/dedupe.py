@@ -1,8 +1,9 @@
-"""Keep the latest copy of rows that were landed more than once."""
+"""Drop rows that a later landing repeats."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +14,15 @@ def dedupe_latest(
     keys: Sequence[str] = ("order_id", "product_id"),
     by: str = "ingestion_timestamp",
 ) -> DataFrame:
-    """One row per key: the one with the largest ``by``, then the largest other columns.
+    """Every row that carries the largest ``by`` of its key; rows with a NULL in a key all stay.
 
-    Written as a maximum over whole rows rather than a row number per key: each task first reduces
-    its copies of a key to one, so many copies of one key are never sorted in one place.
+    Copies are rows of an older landing. One landing may hold a key several times, such as a
+    product at two places of one basket, and these rows are kept. A NULL in ``by`` is older than
+    any value. Each task first reduces its rows of a key to one timestamp; the join back is on the
+    key and the timestamp, and a key of any frequency is split there.
     """
-    others = [c for c in raw.columns if c not in keys and c != by]
-    latest = F.max(F.struct(by, *others)).alias("latest")
-    return raw.groupBy(*keys).agg(latest).select(*keys, "latest.*").select(*raw.columns)
+    named = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    newest = raw.where(named).groupBy(*keys).agg(F.max(by).alias("_newest"))
+    rows = raw.where(named).join(newest, list(keys))
+    latest = rows.where(F.col(by).eqNullSafe(F.col("_newest"))).select(*raw.columns)
+    return latest.unionByName(raw.where(~named))
