@@ -61,7 +61,7 @@ def main() -> None:
 
     files = document_files(spark, sf_dir, root)
     times = {
-        "ingest_documents": timed(lambda: ingest_documents(spark, files, lake, multi_line=False)),
+        "ingest_documents": timed(lambda: ingest_documents(spark, files, lake)),
         "process_lake": timed(lambda: consume(process_lake(spark, lake, warehouse))),
     }
 

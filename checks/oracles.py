@@ -358,15 +358,27 @@ def _operators() -> dict[str, str]:
         "hourly_analytics": _hours("FROM hours"),
         "department_analytics": _departments("FROM departments"),
         "marts_from_grain": _products("FROM products"),
-        "run_refresh": _products("FROM products"),
-        "stream_refresh": _hours("FROM hours"),
+        "run_refresh": all_rows,
+        "run_refresh_products": _products("FROM products"),
+        "stream_refresh": all_rows,
         "parse_orders": all_rows,
         "read_orders_json": all_rows,
+        "read_orders_json_whole_files": all_rows,
+        "read_lake_mixed": all_rows,
         "flatten_orders": all_rows,
         "read_batch": all_rows,
-        "refresh_table": _items("FROM items WHERE reordered = 1"),
-        "land_batch": _hours("FROM hours"),
-        "ensure_tables": _departments("FROM departments"),
+        "refresh_table": all_rows,
+        "refresh_empty": f"WITH {ITEMS}, {PRODUCTS}, {HOURS}, {DEPARTMENTS} "
+        + _counts(
+            {
+                "raw_orders": "items",
+                "product_analytics": "products",
+                "hourly_analytics": "(FROM hours LIMIT 0)",
+                "department_analytics": "departments",
+            }
+        ),
+        "land_batch": all_rows,
+        "ensure_tables": all_rows,
         "roll_up_departments": _departments("FROM departments"),
         "cleanup_lake": _items("SELECT '2024-01-02 00:00:00' AS ingestion_timestamp, count(*) AS total_rows FROM items"),
         "with_ingestion_ts": _items(
@@ -379,10 +391,9 @@ def _operators() -> dict[str, str]:
           FROM items"""),
         "build_marts": f"""
           WITH {ITEMS}, {PRODUCTS}, {HOURS}, {DEPARTMENTS}
-          SELECT 'product_analytics' AS table_name, count(*) AS total_rows,
-                 CAST(sum(total_orders) AS BIGINT) AS total_orders FROM products
-          UNION ALL SELECT 'hourly_analytics', count(*), CAST(sum(total_orders) AS BIGINT) FROM hours
-          UNION ALL SELECT 'department_analytics', count(*), CAST(sum(total_orders) AS BIGINT) FROM departments""",
+          SELECT 'product_analytics' AS table_name, * FROM products
+          UNION ALL BY NAME SELECT 'hourly_analytics' AS table_name, * FROM hours
+          UNION ALL BY NAME SELECT 'department_analytics' AS table_name, * FROM departments""",
         "load_report": f"WITH {ITEMS}, {PRODUCTS}, {HOURS}, {DEPARTMENTS} "
         + _counts(
             {
@@ -411,15 +422,9 @@ def _operators() -> dict[str, str]:
             FROM items UNION ALL
             SELECT * REPLACE (add_to_cart_order + 1 AS add_to_cart_order, '2024-01-02 00:00:00' AS ingestion_timestamp)
             FROM items)
-          SELECT * EXCLUDE (place) FROM (
-            SELECT *, row_number() OVER (
-              PARTITION BY order_id, product_id
-              ORDER BY ingestion_timestamp DESC, user_id DESC NULLS LAST, order_number DESC NULLS LAST,
-                       order_dow DESC NULLS LAST, order_hour_of_day DESC NULLS LAST,
-                       days_since_prior_order DESC NULLS LAST, product_name DESC NULLS LAST,
-                       department DESC NULLS LAST, aisle DESC NULLS LAST, add_to_cart_order DESC, reordered DESC
-            ) AS place FROM copies)
-          WHERE place = 1""",
+          SELECT * EXCLUDE (newest) FROM (
+            SELECT *, max(ingestion_timestamp) OVER (PARTITION BY order_id, product_id) AS newest FROM copies)
+          WHERE ingestion_timestamp = newest OR order_id IS NULL OR product_id IS NULL""",
         "preview": _items(f"FROM items ORDER BY {keys} LIMIT 5"),
         "sample_rows": _items(f"FROM items ORDER BY md5(concat_ws('|', '42', {keys})), {keys} LIMIT 5"),
         "profile_columns": _items(
@@ -429,6 +434,10 @@ def _operators() -> dict[str, str]:
             )
         ),
         "describe_numeric": _items(" UNION ALL ".join(_described(c) for c in numeric)),
+        "cast_losses": _items("""
+          SELECT 'days_since_prior_order survives the cast' AS rule,
+                 count(*) FILTER (days_since_prior_order * 1e8 >= 2147483648) AS violations FROM items
+          UNION ALL SELECT 'add_to_cart_order survives the cast', count(*) FILTER (reordered = 1) FROM items"""),
         "validate_raw": f"""
           WITH {ITEMS}, faulty AS (
             SELECT * REPLACE (

@@ -6,9 +6,11 @@ columns it needs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from orderlens.functions import readable_quantity, safe_int, safe_str, to_raw_or
 from orderlens.functions.labels import RATE_BUCKETS
 from orderlens.operators import (
     build_marts,
+    cast_losses,
     dedupe_latest,
     department_analytics,
     describe_numeric,
@@ -30,10 +33,10 @@ from orderlens.operators import (
     sample_rows,
     validate_raw,
 )
-from orderlens.plans import REPORTS, run, run_refresh
+from orderlens.plans import REPORTS, load_tables, run, run_refresh
 from orderlens.schema import DOCUMENT, ORDER, PRODUCT_IN_ORDER, RAW
 from orderlens.session import tune
-from orderlens.sinks import ensure_tables, read_table, refresh_table, sync_catalog, table_counts
+from orderlens.sinks import ensure_tables, load_report, read_table, refresh_table, table_counts
 from orderlens.sources import (
     cleanup_lake,
     flatten_orders,
@@ -74,47 +77,59 @@ def _report(spark: SparkSession, sf_dir: str, name: str, **params) -> DataFrame:
     return run(name, {report.table: source}, **params)
 
 
-def _document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON document per item: its order with the item, and one more order without products."""
+ORDER_FIELDS = [f for f in ORDER.fields if f.name != "products"]
 
-    def fields(schema) -> list:
-        return [F.col(f.name) for f in schema.fields if f.name != "products"]
 
-    product = F.struct(*fields(PRODUCT_IN_ORDER))
-    full = F.struct(*fields(ORDER), F.array(product).alias("products"))
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole orders: their fields and the list of their products, as long as an order has lines."""
+    product = F.struct(*PRODUCT_IN_ORDER.fieldNames())
+    return order_items(spark, sf_dir).groupBy(*(f.name for f in ORDER_FIELDS)).agg(F.collect_list(product).alias("products"))
+
+
+def _documents(spark: SparkSession, sf_dir: str, per_document: int) -> DataFrame:
+    """JSON documents of neighbouring orders, each with one more order without products: ``part``, ``value``."""
     kinds = {f.name: f.dataType for f in RAW.fields}
-    rest = (F.lit(None).cast(kinds[f.name]).alias(f.name) for f in ORDER.fields[1:-1])
-    bare = F.struct("order_id", *rest, F.slice(F.array(product), 1, 0).alias("products"))
-    document = F.struct(F.array(full, bare).alias(DOCUMENT.fieldNames()[0]))
-    return order_items(spark, sf_dir).select(F.to_json(document).alias("value"))
+    full = F.struct(*ORDER.fieldNames())
+    rest = (F.lit(None).cast(kinds[f.name]).alias(f.name) for f in ORDER_FIELDS[1:])
+    bare = F.struct(F.lit(-1).cast("bigint").alias("order_id"), *rest, F.slice("products", 1, 0).alias("products"))
+    listed = F.concat(F.collect_list(full), F.array(F.any_value(bare)))
+    document = F.struct(listed.alias(DOCUMENT.fieldNames()[0]))
+    part = (F.col("order_id") / per_document).cast("bigint").alias("part")
+    return _orders(spark, sf_dir).groupBy(part).agg(F.to_json(document).alias("value"))
 
 
 def document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """One document per line."""
     path = f"{folder}/documents"
-    _document_text(spark, sf_dir).write.text(path)
+    _documents(spark, sf_dir, 3).select("value").write.text(path)
     return path
 
 
 def parsed_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = parse_orders(_document_text(spark, sf_dir), "value")
+    documents = parse_orders(_documents(spark, sf_dir, 3), "value")
     return with_ingestion_ts(flatten_orders(documents), STAMP)
 
 
 def files_read_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = document_files(spark, sf_dir, storage.scratch_folder(spark, "read"))
-    return with_ingestion_ts(flatten_orders(read_orders_json(spark, files, multi_line=False)), STAMP)
+    return with_ingestion_ts(flatten_orders(read_orders_json(spark, files)), STAMP)
 
 
-def nested_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Without text in between: numbers as variants, as the document schema has them."""
-    raw = order_items(spark, sf_dir)
+def whole_files_read_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each file is one document, of up to 500 orders; some do not parse and are set aside."""
+    folder = storage.scratch_folder(spark, "read")
+    documents = _documents(spark, sf_dir, 500)
+    broken = documents.select(F.concat("part", F.lit("-broken")).alias("part"), F.lit('{"orders": [').alias("value"))
+    documents.withColumn("part", F.col("part").cast("string")).unionByName(broken).write.partitionBy("part").text(folder)
+    read = read_orders_json(spark, folder, multi_line=True, rejects=f"{folder}-rejects")
+    return with_ingestion_ts(flatten_orders(read), STAMP)
 
-    def fields(schema) -> list:
-        return [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name != "products"]
 
-    product = F.struct(*fields(PRODUCT_IN_ORDER))
-    order = F.struct(*fields(ORDER), F.array(product).alias("products"))
-    return with_ingestion_ts(flatten_orders(raw.select(F.array(order).alias("orders"))), STAMP)
+def nested_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without text in between: numbers as variants, as the document schema has them."""
+    orders = F.collect_list(F.struct(*ORDER.fieldNames())).cast(DOCUMENT["orders"].dataType).alias("orders")
+    documents = _orders(spark, sf_dir).groupBy((F.col("order_id") / 3).cast("bigint").alias("part")).agg(orders)
+    return with_ingestion_ts(flatten_orders(documents), STAMP)
 
 
 def stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +142,21 @@ def landed_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = storage.scratch_folder(spark, "lake")
     for _ in range(2):
         land_batch(order_items(spark, sf_dir), lake, batch_id="20240101_000000")
-    return hourly_analytics(read_lake(spark, lake))
+    return read_lake(spark, lake)
+
+
+def lake_of_many_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches as other writers leave them, whole numbers in 64 bits or a float interval, beside an own one."""
+    lake = storage.scratch_folder(spark, "lake")
+    raw = order_items(spark, sf_dir)
+    part = F.col("order_id") % 3
+    whole = {f.name: F.col(f.name).cast("bigint") for f in RAW.fields if f.dataType.simpleString() == "int"}
+    first = raw.where("days_since_prior_order is null").where(part != 0)
+    raw.where("days_since_prior_order is not null").where(part != 0).withColumns(whole).write.parquet(f"{lake}/orders_1.parquet")
+    floating = whole | {"days_since_prior_order": F.col("days_since_prior_order").cast("double")}
+    first.withColumns(floating).write.parquet(f"{lake}/orders_2.parquet")
+    land_batch(raw.where(part == 0), lake)
+    return read_lake(spark, lake)
 
 
 def foreign_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,22 +179,29 @@ def lake_after_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_table_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The detail table, replaced once and then once more by its own repeat orders."""
+    """The detail table, replaced by its repeat orders and then by all rows, clustered."""
     warehouse = storage.scratch_folder(spark, "warehouse")
-    refresh_table(order_items(spark, sf_dir), warehouse, "raw_orders")
-    refresh_table(read_table(spark, warehouse, "raw_orders").filter("reordered = 1"), warehouse, "raw_orders")
+    refresh_table(order_items(spark, sf_dir).filter("reordered = 1"), warehouse, "raw_orders")
+    refresh_table(order_items(spark, sf_dir), warehouse, "raw_orders", cluster=True)
     return read_table(spark, warehouse, "raw_orders")
 
 
+def one_table_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables loaded, then one replaced by a frame without rows."""
+    warehouse = storage.scratch_folder(spark, "warehouse")
+    load_tables(order_items(spark, sf_dir), warehouse)
+    refresh_table(read_table(spark, warehouse, "hourly_analytics").limit(0), warehouse, "hourly_analytics")
+    return load_report(spark, warehouse)
+
+
 def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The department mart through the catalog, after a refresh of the empty tables."""
+    """The detail table through the catalog, which was attached while it was empty."""
     warehouse = storage.scratch_folder(spark, "warehouse")
-    database = "orderlens_check"
-    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    database = f"orderlens_{uuid.uuid4().hex}"
     ensure_tables(spark, warehouse, database)
-    refresh_table(_mart(spark, sf_dir, "department_analytics"), warehouse, "department_analytics")
-    sync_catalog(spark, warehouse, database)
-    return spark.sql(f"SELECT * FROM {database}.department_analytics")
+    for _ in range(2):
+        refresh_table(order_items(spark, sf_dir), warehouse, "raw_orders")
+    return spark.sql(f"SELECT * FROM {database}.raw_orders")
 
 
 def landed_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +214,11 @@ def _refreshed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
     folder = storage.scratch_folder(spark, "refresh")
     files = document_files(spark, sf_dir, folder)
     warehouse = f"{folder}/warehouse"
-    return run_refresh(spark, files, f"{folder}/lake", warehouse, ts=STAMP, multi_line=False), warehouse
+    return run_refresh(spark, files, f"{folder}/lake", warehouse, ts=STAMP, cluster=True), warehouse
+
+
+def refreshed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _refreshed(spark, sf_dir)[1], "raw_orders")
 
 
 def refreshed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,11 +229,20 @@ def refresh_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _refreshed(spark, sf_dir)[0]
 
 
-def streamed_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+def streamed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run dies on one batch, another lands, and the next run replays the first and loads both."""
     folder = storage.scratch_folder(spark, "stream")
-    land_batch(order_items(spark, sf_dir), f"{folder}/lake")
+    raw = order_items(spark, sf_dir)
+    land_batch(raw.where("order_id % 2 = 0"), f"{folder}/lake")
+    storage.write_text(spark, f"{folder}/file", "no folder")
+    try:
+        stream_refresh(spark, f"{folder}/lake", f"{folder}/file/warehouse", f"{folder}/checkpoint")
+        raise AssertionError("a warehouse below a file was written")
+    except StreamingQueryException:
+        pass
+    land_batch(raw.where("order_id % 2 <> 0"), f"{folder}/lake")
     stream_refresh(spark, f"{folder}/lake", f"{folder}/warehouse", f"{folder}/checkpoint")
-    return read_table(spark, f"{folder}/warehouse", "hourly_analytics")
+    return read_table(spark, f"{folder}/warehouse", "raw_orders")
 
 
 def safe_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,15 +289,27 @@ def rows_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def mart_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and items of each mart, all from the shared aggregate."""
+def values_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values beyond the lake's types, as another writer may hold them."""
+    raw = order_items(spark, sf_dir)
+    return cast_losses(
+        raw.withColumn("days_since_prior_order", F.col("days_since_prior_order") * 1e8)
+        .withColumn("add_to_cart_order", F.concat("add_to_cart_order", F.when(F.col("reordered") == 1, "x").otherwise("")))
+    )
+
+
+def all_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of each mart, all from the shared aggregate."""
     tables = build_marts(order_items(spark, sf_dir))
-    totals = [
-        tables[name].agg(F.count(F.lit(1)).alias("total_rows"), F.sum("total_orders").alias("total_orders"))
-        .select(F.lit(name).alias("table_name"), "total_rows", "total_orders")
+    columns = {c: kind for name in MARTS for c, kind in tables[name].dtypes}
+    wide = [
+        tables[name].select(
+            F.lit(name).alias("table_name"),
+            *(F.col(c) if c in tables[name].columns else F.lit(None).cast(kind).alias(c) for c, kind in columns.items()),
+        )
         for name in MARTS
     ]
-    return totals[0].unionByName(totals[1]).unionByName(totals[2])
+    return wide[0].unionByName(wide[1]).unionByName(wide[2])
 
 
 def rolled_up_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,25 +363,30 @@ def queries() -> dict[str, Query]:
         "read_batch": foreign_file_read,
         "cleanup_lake": lake_after_cleanup,
         "refresh_table": one_table_refreshed,
+        "refresh_empty": one_table_emptied,
         "ensure_tables": catalog_table,
         "roll_up_departments": lambda spark, sf_dir: roll_up_departments(_mart(spark, sf_dir, "product_analytics")),
         "read_orders_json": files_read_and_flattened,
+        "read_orders_json_whole_files": whole_files_read_and_flattened,
         "read_lake": landed_and_read,
+        "read_lake_mixed": lake_of_many_writers,
         "safe_int": safe_integers,
         "safe_str": safe_strings,
         "to_raw_orders": lambda spark, sf_dir: to_raw_orders(raw(spark, sf_dir)),
-        "build_marts": mart_totals,
+        "build_marts": all_marts,
         "marts_from_grain": rolled_up_products,
         "dedupe_latest": both_copies_deduplicated,
-        "run_refresh": refreshed_products,
+        "run_refresh": refreshed_items,
+        "run_refresh_products": refreshed_products,
         "load_report": refresh_counts,
-        "stream_refresh": streamed_hours,
+        "stream_refresh": streamed_twice,
         # profiling and checks
         "preview": lambda spark, sf_dir: preview(raw(spark, sf_dir), 5, ROW_KEYS),
         "profile_columns": lambda spark, sf_dir: profile_columns(raw(spark, sf_dir)),
         "sample_rows": lambda spark, sf_dir: sample_rows(raw(spark, sf_dir), ROW_KEYS),
         "describe_numeric": lambda spark, sf_dir: describe_numeric(raw(spark, sf_dir)),
         "validate_raw": rows_with_faults,
+        "cast_losses": values_lost,
         "table_counts": star_table_counts,
         "readable_quantity": readable_line_counts,
     }

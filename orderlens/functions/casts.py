@@ -44,7 +44,10 @@ def to_raw_orders(df: DataFrame) -> DataFrame:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select ``schema``'s columns with its types; a column the frame lacks becomes NULL."""
+    """Select ``schema``'s columns with its types; a column the frame lacks becomes NULL.
+
+    For files of other writers only: a value that does not fit becomes NULL too.
+    """
     have = set(df.columns)
     return df.select(
         *(
@@ -52,3 +55,25 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             for f in schema.fields
         )
     )
+
+
+def _widens(given: T.DataType, wanted: T.DataType) -> bool:
+    """Whether every value of one type is a value of the other."""
+    if given == wanted or isinstance(given, T.NullType):
+        return True
+    whole = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+    return given in whole and wanted in whole[whole.index(given) :] or (
+        isinstance(wanted, T.DoubleType) and given in [*whole[:3], T.FloatType()]
+    )
+
+
+def exactly(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``schema``'s columns with its types; an error unless the frame has just these and all values fit."""
+    given, wanted = {f.name: f.dataType for f in df.schema.fields}, {f.name: f.dataType for f in schema.fields}
+    absent, extra = sorted(wanted.keys() - given.keys()), sorted(given.keys() - wanted.keys())
+    if absent or extra or len(given) != len(df.columns):
+        raise ValueError(f"columns do not match: absent {absent}, not expected {extra}")
+    narrow = [f"{c} {given[c].simpleString()}" for c in wanted if not _widens(given[c], wanted[c])]
+    if narrow:
+        raise TypeError(f"values may not fit: {', '.join(narrow)}")
+    return df.select(*(F.col(c).cast(kind).alias(c) for c, kind in wanted.items()))

@@ -15,11 +15,12 @@ from orderlens.operators.profiling import (
     profile_columns,
     sample_rows,
 )
-from orderlens.operators.quality import validate_raw
+from orderlens.operators.quality import cast_losses, validate_batches, validate_raw
 from orderlens.operators.ranking import tie_order, top_ranked
 
 __all__ = [
     "build_marts",
+    "cast_losses",
     "dedupe_latest",
     "department_analytics",
     "describe_numeric",
@@ -34,5 +35,6 @@ __all__ = [
     "sample_rows",
     "tie_order",
     "top_ranked",
+    "validate_batches",
     "validate_raw",
 ]

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from orderlens.functions.casts import safe_int_variant
 from orderlens.operators.profiling import one_row_to_rows
 from orderlens.schema import NULLABLE, RAW, UNSIGNED_BITS
+from orderlens.sources.lake import read_as_written, read_batches
 
 
 def _rules() -> list[tuple[str, Column]]:
@@ -22,6 +27,37 @@ def _rules() -> list[tuple[str, Column]]:
     return rules
 
 
+def cast_losses(given: DataFrame, schema: T.StructType = RAW) -> DataFrame:
+    """Values that are there but become NULL in the lake's types: ``rule``, ``violations``, in one pass.
+
+    ``given`` has the types of its writer; variants are JSON values. Columns it lacks lose nothing.
+    """
+    have = {f.name: f.dataType for f in given.schema.fields}
+    lost = {}
+    for f in schema.fields:
+        if f.name in have and have[f.name] != f.dataType:
+            value, kind = F.col(f.name), f.dataType.simpleString()
+            variant = isinstance(have[f.name], T.VariantType)
+            there = value.isNotNull() & ~F.is_variant_null(value) if variant else value.isNotNull()
+            if isinstance(have[f.name], (T.FloatType, T.DoubleType)):
+                there &= ~F.isnan(value)  # how some writers store a missing number
+            kept = safe_int_variant(value, kind) if variant else value.try_cast(f.dataType)
+            lost[f"{f.name} survives the cast"] = F.coalesce(there & kept.isNull(), F.lit(False))
+    if not lost:
+        return given.sparkSession.createDataFrame([], "rule string, violations bigint")
+    counts = given.agg(*(F.count_if(broken).alias(f"r{i}") for i, broken in enumerate(lost.values())))
+    return one_row_to_rows(
+        counts, [{"rule": F.lit(name), "violations": F.col(f"r{i}")} for i, name in enumerate(lost)]
+    )
+
+
+def validate_batches(spark: SparkSession, batches: list[str]) -> DataFrame:
+    """Violations of lake batches before they are loaded: values lost in the cast, then the rules."""
+    lost = [cast_losses(frame) for frame in read_as_written(spark, batches)]
+    whole = reduce(DataFrame.unionByName, [*lost, validate_raw(read_batches(spark, batches))])
+    return whole.groupBy("rule").agg(F.sum("violations").alias("violations"))
+
+
 def validate_raw(raw: DataFrame) -> DataFrame:
     """Violations per rule, all rules in one pass: ``rule``, ``violations``."""
     rules = _rules()

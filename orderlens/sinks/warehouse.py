@@ -2,14 +2,18 @@
 
 Every refresh writes new folders ``<table>/gen=<number>`` and then publishes one small manifest
 file that names the folder of each table. Readers take the newest manifest, so they see all tables
-of one refresh or all of the one before, and a refresh that fails halfway changes nothing. The
-folders of the previous generation stay for queries already running; older ones are removed.
-One refresh runs at a time.
+of one refresh or all of the one before, and a refresh that fails halfway changes nothing. One
+refresh runs at a time.
+
+Folders of earlier generations stay for queries already running: the last ``KEPT_GENERATIONS`` of
+them, and all that were current within the last ``KEPT_HOURS``. Choose these hours longer than the longest
+report; each generation holds the tables of one refresh.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -19,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens import storage
-from orderlens.functions.casts import conform
+from orderlens.functions.casts import exactly
 from orderlens.functions.text import readable_quantity
 from orderlens.schema import SORT_KEYS, TABLES
 
 KEPT_GENERATIONS = 2
+KEPT_HOURS = 6.0
 
 
 def _manifests(spark: SparkSession, root: str) -> list[str]:
@@ -60,7 +65,8 @@ def refresh_tables(
     Each file is sorted by its table's key, so that row-group statistics skip well. ``cluster``
     also gives each file its own range of keys; that shuffles the whole table, so it is for tables
     read far more often than written. An empty frame leaves an empty table. Returns the folder of
-    every table.
+    every table. A frame whose columns are not the table's, or whose values may not fit, is an error.
+    Catalog databases that follow the warehouse are pointed at the new folders.
     """
     root = root.rstrip("/")
     paths = current_paths(spark, root)
@@ -70,7 +76,7 @@ def refresh_tables(
 
     def write(name: str) -> tuple[str, str]:
         folder = f"{root}/{name}/gen={label}"
-        rows = conform(frames[name], TABLES[name])
+        rows = exactly(frames[name], TABLES[name])
         if cluster:
             rows = _clustered(spark, rows, name, f"{scratch}/{name}")
         rows.sortWithinPartitions(*SORT_KEYS[name]).write.mode("overwrite").parquet(folder)
@@ -84,6 +90,10 @@ def refresh_tables(
         if scratch:
             storage.delete(spark, scratch)
     storage.write_text(spark, f"{root}/generations/{label}.json", json.dumps(paths))
+    for follower in storage.children(spark, f"{root}/followers"):
+        database = follower.rsplit("/", 1)[1]
+        if spark.catalog.databaseExists(database):
+            sync_catalog(spark, root, database)
     _drop_old_generations(spark, root)
     return paths
 
@@ -94,11 +104,18 @@ def refresh_table(df: DataFrame, root: str, name: str, cluster: bool = False) ->
 
 
 def _drop_old_generations(spark: SparkSession, root: str) -> None:
-    """Delete all but the last generations, and folders that a failed refresh left behind."""
+    """Delete what is old enough, and folders that a failed refresh left behind."""
     published = _manifests(spark, root)
-    for manifest in published[:-KEPT_GENERATIONS]:
+    # a generation was current until the next one was published
+    ended = [storage.modified(spark, m) for m in published[1:]]
+    old = {
+        manifest
+        for manifest, end in zip(published[:-KEPT_GENERATIONS], ended, strict=False)
+        if end <= time.time() - KEPT_HOURS * 3600
+    }
+    for manifest in old:
         storage.delete(spark, manifest)
-    kept = [json.loads(storage.read_text(spark, m)) for m in published[-KEPT_GENERATIONS:]]
+    kept = [json.loads(storage.read_text(spark, m)) for m in published if m not in old]
     used = {_folder_name(path) for manifest in kept for path in manifest.values()}
     for name in TABLES:
         for path in storage.children(spark, f"{root}/{name}"):
@@ -130,15 +147,24 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 def ensure_tables(spark: SparkSession, root: str, database: str = "analytics") -> None:
     """Create the database and the four tables where they are missing; what exists stays.
 
-    The database has a folder of its own, so that dropping it leaves the table files alone.
+    The database has a folder of its own, so that dropping it leaves the table files alone. From
+    then on its tables follow every refresh of the warehouse.
     """
     root = root.rstrip("/")
     have = current_paths(spark, root)
     missing = {name: spark.createDataFrame([], schema) for name, schema in TABLES.items() if name not in have}
     if missing:
         refresh_tables(spark, missing, root)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}/catalog'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION {_quoted(f'{root}/catalog')}")
     sync_catalog(spark, root, database)
+    follower = f"{root}/followers/{database}"
+    if not storage.exists(spark, follower):
+        storage.write_text(spark, follower, "")
+
+
+def _quoted(path: str) -> str:
+    escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def sync_catalog(spark: SparkSession, root: str, database: str = "analytics") -> None:
@@ -146,8 +172,8 @@ def sync_catalog(spark: SparkSession, root: str, database: str = "analytics") ->
     for name, path in current_paths(spark, root.rstrip("/")).items():
         table = f"`{database}`.`{name}`"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name].fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{path}'")
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION {_quoted(path)}")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
         spark.catalog.refreshTable(f"{database}.{name}")
 
 

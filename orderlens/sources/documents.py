@@ -12,19 +12,47 @@ from orderlens.schema import DOCUMENT, ORDER, PRODUCT_IN_ORDER, RAW
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def read_orders_json(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """One row per document. Documents without ``orders`` and broken ones hold NULL.
+def read_orders_json(
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, rejects: str | None = None
+) -> DataFrame:
+    """One row per document, one document per line; lines of blanks are skipped.
 
     With ``multi_line`` each file is one document, as a poll of the orders service returns it, and
-    files are the unit of parallelism; a document is one response, so it fits in one task. Pass
-    False for one document per line, which splits any file.
+    files are the unit of parallelism; a document is one response, so it fits in one task. A file
+    that holds more than one document is an error.
+
+    Whatever does not parse is an error, also a single element of the wrong kind. With ``rejects``
+    such documents are written there as text instead, see :func:`parse_orders`.
     """
-    return spark.read.schema(DOCUMENT).option("multiLine", multi_line).json(path)
+    return parse_orders(spark.read.text(path, wholetext=multi_line), "value", rejects)
+
 
+def parse_orders(df: DataFrame, col: str, rejects: str | None = None) -> DataFrame:
+    """One row per document of a text column; NULL and blank texts are none.
 
-def parse_orders(df: DataFrame, col: str) -> DataFrame:
-    """The same rows as :func:`read_orders_json` from JSON text held in a column."""
-    return df.select(F.from_json(F.col(col), DOCUMENT).alias("document")).select("document.orders")
+    A text must be one JSON object, and everything in it that the schema names must have its shape;
+    anything else fails the job. With ``rejects`` the texts that do not parse are written whole to
+    that folder first, and only the others are returned: nothing of a rejected document is loaded, so
+    that it can be repaired and loaded again without counting twice.
+    """
+    texts = df.where(F.trim(F.regexp_replace(col, r"\s+", " ")) != "").select(F.col(col).alias("text"))
+    # as the only element of a list, so that a second document behind the first does not pass unseen
+    listed, kind = F.concat(F.lit("["), "text", F.lit("]")), T.ArrayType(DOCUMENT)
+    if rejects is not None:
+        marked = T.StructType([*DOCUMENT.fields, T.StructField("_broken", T.StringType())])
+        parsed = F.from_json("text", marked, {"columnNameOfCorruptRecord": "_broken"})
+        whole = F.from_json(listed, kind)
+        sound = F.coalesce(
+            parsed["_broken"].isNull() & (F.size(whole) == 1) & whole[0].isNotNull(), F.lit(False)
+        )
+        texts.where(~sound).write.mode("append").text(rejects)
+        texts = texts.where(sound)
+    documents = texts.select(F.from_json(listed, kind, {"mode": "FAILFAST"}).alias("documents"))
+    one = (F.size("documents") == 1) & F.col("documents")[0].isNotNull()
+    checked = F.when(one, F.col("documents")[0]).otherwise(
+        F.raise_error(F.lit("a text is not exactly one document")).cast(DOCUMENT)
+    )
+    return documents.select(checked.alias("document")).select("document.orders")
 
 
 def flatten_orders(documents: DataFrame) -> DataFrame:

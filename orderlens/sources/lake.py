@@ -10,28 +10,35 @@ import logging
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from orderlens import storage
-from orderlens.functions.casts import conform
+from orderlens.functions.casts import conform, exactly
 from orderlens.schema import RAW
 
 log = logging.getLogger(__name__)
 
 
-def land_batch(df: DataFrame, lake: str, batch_id: str | None = None) -> str:
+def land_batch(df: DataFrame, lake: str, batch_id: str | None = None, empty: bool = True) -> str:
     """Write the frame as one new batch with the fixed lake schema and return its path.
 
     Without ``batch_id`` the name is the current time. Landing the same ``batch_id`` again
-    replaces the batch, so a retried load does not count twice.
+    replaces the batch, so a retried load does not count twice. A frame with absent or unknown
+    columns, or with types whose values may not fit, is an error, and so is one without rows if
+    ``empty`` is False: then nothing is landed.
     """
     spark = df.sparkSession
     fresh = batch_id is None
     name = f"orders_{datetime.now():%Y%m%d_%H%M%S}_{uuid.uuid4().hex[:8]}" if fresh else f"orders_{batch_id}"
     hidden = f"{lake}/_landing_{uuid.uuid4().hex}"
     final = f"{lake}/{name}.parquet"
-    conform(df, RAW).write.parquet(hidden)
+    exactly(df, RAW).write.parquet(hidden)
+    if not empty and spark.read.schema(RAW).parquet(hidden).isEmpty():
+        storage.delete(spark, hidden)
+        raise ValueError("the batch has no rows")
     if not fresh:
         storage.delete(spark, final)
     storage.move(spark, hidden, final)
@@ -42,11 +49,28 @@ def list_batches(spark: SparkSession, lake: str) -> list[str]:
     return [path for path in storage.children(spark, lake) if path.endswith(".parquet")]
 
 
+def _schemas(spark: SparkSession, batches: list[str]) -> list[T.StructType]:
+    """Schema of each batch, from one footer."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return list(pool.map(lambda path: spark.read.parquet(path).schema, batches))
+
+
+def read_as_written(spark: SparkSession, batches: list[str]) -> list[DataFrame]:
+    """Batches with the types their writers chose, one frame for each set of types.
+
+    Writers that infer types store whole numbers as 64-bit integers, or as floats where a value is
+    missing, so files of one lake differ.
+    """
+    alike: dict[str, tuple[T.StructType, list[str]]] = {}
+    for path, schema in zip(batches, _schemas(spark, batches), strict=True):
+        alike.setdefault(schema.json(), (schema, []))[1].append(path)
+    return [spark.read.schema(schema).parquet(*paths) for schema, paths in alike.values()]
+
+
 def read_batches(spark: SparkSession, batches: list[str]) -> DataFrame:
-    """Exactly these batches as one frame; no batches give an empty frame with the lake schema."""
-    if not batches:
-        return spark.createDataFrame([], RAW)
-    return spark.read.schema(RAW).parquet(*batches)
+    """Exactly these batches as one frame of the lake's types; no batches give an empty frame."""
+    parts = [conform(frame, RAW) for frame in read_as_written(spark, batches)]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RAW)
 
 
 def read_lake(spark: SparkSession, lake: str) -> DataFrame:
@@ -55,11 +79,7 @@ def read_lake(spark: SparkSession, lake: str) -> DataFrame:
 
 
 def read_batch(spark: SparkSession, path: str) -> DataFrame:
-    """One Parquet file from any writer, safe-cast to the lake schema.
-
-    Writers that infer types store the order interval as integer or float depending on whether a
-    batch has first orders. Read such files one by one here and land them again.
-    """
+    """One Parquet file from any writer, safe-cast to the lake schema."""
     return conform(spark.read.parquet(path), RAW)
 
 

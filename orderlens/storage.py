@@ -5,7 +5,9 @@ Only names and a few bytes of text pass through the driver here; table data neve
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -37,6 +39,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(p.toString() for p in entries if not p.getName().startswith(("_", ".")))
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file was last written, in seconds since 1970."""
+    fs, target = _open(spark, path)
+    return fs.getFileStatus(target).getModificationTime() / 1000
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename within one file system, creating the target's parent."""
     fs, src = _open(spark, source)
@@ -69,7 +77,9 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 @functools.cache
 def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="orderlens-")
+    folder = tempfile.mkdtemp(prefix="orderlens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.plans.refresh import load_tables
 from orderlens.schema import RAW
 from orderlens.sinks.warehouse import ensure_tables, load_report
-from orderlens.sources.lake import cleanup_lake, list_batches
+from orderlens.sources.lake import cleanup_lake, list_batches, read_batches
+
+ANY_AGE = "36500d"  # of files: the source would skip those much older than the newest one it has seen
 
 
 def stream_refresh(
@@ -17,26 +19,30 @@ def stream_refresh(
     checkpoint: str,
     cleanup: bool = True,
     database: str | None = None,
+    cluster: bool = False,
 ) -> DataFrame:
-    """Load every lake batch not loaded before, then stop; returns rows per table.
-
-    One run takes all new batches as one micro-batch, so the tables describe the batches of that
-    run, as the batch refresh does. The checkpoint remembers what was loaded: a run without new
-    batches changes nothing, and a run that died repeats its micro-batch, which replaces the
-    tables by the same rows. Batches listed before the run are loaded by its end and are deleted
-    then; the file source's own cleaning would always leave the last ones behind.
-    With ``database`` the catalog's tables follow the refresh.
+    """Load the lake if it holds batches not loaded before, then stop; returns rows per table.
+
+    The stream tells whether there is something new, and its checkpoint remembers what was loaded: a
+    run without new batches changes nothing. As the tables are replaced, each micro-batch loads every
+    batch that is then in the lake, as the batch refresh does. A run after a failure has a
+    micro-batch for what the failed one had begun and one for what came later; the last of them leaves
+    tables of all. Exactly the batches of the last load are deleted at the end. With ``database`` the
+    catalog's tables follow the refresh.
     """
-    before = list_batches(spark, lake)
     items = (
         spark.readStream.schema(RAW)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
+        .option("maxFileAge", ANY_AGE)
         .parquet(lake)
     )
+    loaded: list[str] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_tables(batch, warehouse)
+        present = list_batches(spark, lake)
+        load_tables(read_batches(spark, present), warehouse, cluster=cluster)
+        loaded[:] = present
 
     query = (
         items.writeStream.foreachBatch(load)
@@ -48,5 +54,5 @@ def stream_refresh(
     if database:
         ensure_tables(spark, warehouse, database)
     if cleanup:
-        cleanup_lake(spark, before)
+        cleanup_lake(spark, loaded)
     return load_report(spark, warehouse)

@@ -20,16 +20,20 @@ TWO_PRODUCTS = {
 DOCUMENT = {"orders": [TWO_PRODUCTS, {"order_id": 2, "products": []}, {"order_id": 3}, {"order_id": 4, "products": None}]}
 
 
+GOOD, JUNK, CUT = json.dumps(DOCUMENT), json.dumps({"orders": [TWO_PRODUCTS, "junk"]}), '{"orders": ['
+JUNK_PRODUCT = json.dumps({"orders": [TWO_PRODUCTS | {"products": [*TWO_PRODUCTS["products"], 7]}]})
+
+
 @pytest.fixture
 def folder(tmp_path):
+    """One document per file."""
     (tmp_path / "a.json").write_text(json.dumps(DOCUMENT, indent=2))
     (tmp_path / "b.json").write_text('{"message": "no orders today"}')
-    (tmp_path / "c.json").write_text('{"orders": [')
     return str(tmp_path)
 
 
 def test_flatten_keeps_only_orders_with_products(spark, folder):
-    flat = flatten_orders(read_orders_json(spark, folder)).orderBy("product_id")
+    flat = flatten_orders(read_orders_json(spark, folder, multi_line=True)).orderBy("product_id")
     assert flat.columns == RAW.fieldNames()[:-1]
     assert [f.dataType for f in flat.schema.fields] == [f.dataType for f in RAW.fields[:-1]]
     assert rows(flat) == [
@@ -39,12 +43,40 @@ def test_flatten_keeps_only_orders_with_products(spark, folder):
 
 
 def test_one_document_per_line_and_text_column_give_the_same(spark, tmp_path):
-    lines = [json.dumps(DOCUMENT), "{broken", json.dumps({"orders": []}), "{}"]
+    lines = [GOOD, "", json.dumps({"orders": []}), "   ", "{}", GOOD]
     (tmp_path / "a.jsonl").write_text("\n".join(lines))
-    by_file = flatten_orders(read_orders_json(spark, str(tmp_path), multi_line=False))
+    by_file = flatten_orders(read_orders_json(spark, str(tmp_path)))
     by_text = flatten_orders(parse_orders(spark.createDataFrame([(t,) for t in [*lines, None]], "body string"), "body"))
     assert sorted(rows(by_file), key=str) == sorted(rows(by_text), key=str)
-    assert by_text.count() == 2
+    assert by_text.count() == 4
+
+
+def test_every_line_is_a_document(spark, tmp_path):
+    one = {"orders": [{"order_id": 1, "products": [{"product_id": 1}]}]}
+    (tmp_path / "a.jsonl").write_text("\n".join([json.dumps(one)] * 10))
+    assert flatten_orders(read_orders_json(spark, str(tmp_path))).count() == 10
+
+
+@pytest.mark.parametrize("text", [CUT, JUNK, JUNK_PRODUCT, "null", "[]", "7", GOOD + " " + GOOD, GOOD + "," + GOOD])
+def test_texts_that_do_not_parse_fail(spark, text):
+    df = spark.createDataFrame([(GOOD,), (text,)], "body string")
+    with pytest.raises(Exception, match="MALFORMED|not exactly one document"):
+        flatten_orders(parse_orders(df, "body")).collect()
+
+
+@pytest.mark.parametrize("text", [CUT, JUNK, JUNK_PRODUCT, "null", "[]", "7", GOOD + " " + GOOD, GOOD + "," + GOOD])
+def test_or_are_set_aside_whole(spark, tmp_path, text):
+    df = spark.createDataFrame([(GOOD,), (text,), ("{}",)], "body string")
+    flat = flatten_orders(parse_orders(df, "body", rejects=str(tmp_path / "rejects")))
+    assert flat.count() == 2
+    assert [r.value for r in spark.read.text(str(tmp_path / "rejects")).collect()] == [text]
+
+
+def test_a_file_with_two_documents_is_no_whole_document(spark, tmp_path):
+    (tmp_path / "a.json").write_text(f"{GOOD}\n{GOOD}")
+    with pytest.raises(Exception, match="MALFORMED|not exactly one document"):
+        flatten_orders(read_orders_json(spark, str(tmp_path), multi_line=True)).collect()
+    assert flatten_orders(read_orders_json(spark, str(tmp_path))).count() == 4
 
 
 @pytest.mark.parametrize(

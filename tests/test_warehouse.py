@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from orderlens import storage
 from orderlens.__main__ import main
-from orderlens.plans import ingest_documents, load_tables, process_lake, register_views, run, run_refresh
+from orderlens.operators import cast_losses
+from orderlens.plans import check_lake, ingest_documents, load_tables, process_lake, register_views, run, run_refresh
 from orderlens.schema import RAW, TABLES
 from orderlens.sinks import (
     ensure_tables,
@@ -19,7 +20,7 @@ from orderlens.sinks import (
     sync_catalog,
     warehouse,
 )
-from orderlens.sources import cleanup_lake, land_batch, list_batches, read_batch, read_lake
+from orderlens.sources import cleanup_lake, land_batch, list_batches, parse_orders, read_batch, read_lake
 from orderlens.streaming import stream_refresh
 
 
@@ -115,14 +116,15 @@ def test_clustered_files_hold_key_ranges(spark, place, items):
     assert max(count for _, _, count in spans) < 150
 
 
-def test_failed_refresh_changes_nothing(spark, place, batch, tmp_path):
+def test_failed_refresh_changes_nothing(spark, place, batch, tmp_path, monkeypatch):
     root = place("wh")
     load_tables(batch, root)
     broken = batch.withColumn("department", F.raise_error(F.lit("disk lost")).cast("string"))
     with pytest.raises(Exception, match="disk lost"):
-        refresh_tables(spark, {"hourly_analytics": batch.limit(0), "raw_orders": broken}, root)
+        refresh_tables(spark, {"hourly_analytics": read_table(spark, root, "hourly_analytics"), "raw_orders": broken}, root)
     assert counts(spark, root) == LOADED
     assert len(os.listdir(tmp_path / "wh" / "hourly_analytics")) == 2
+    monkeypatch.setattr(warehouse, "KEPT_HOURS", 0)
     load_tables(batch, root)
     load_tables(batch, root)
     assert len(os.listdir(tmp_path / "wh" / "hourly_analytics")) == warehouse.KEPT_GENERATIONS
@@ -142,24 +144,115 @@ def test_one_table_can_be_refreshed_from_itself(spark, place, batch):
     assert counts(spark, root) == LOADED | {"raw_orders": 2}
 
 
-def test_running_readers_keep_the_previous_generation(spark, place, batch, tmp_path):
+def test_running_readers_keep_their_generation(spark, place, batch, tmp_path, monkeypatch):
     root = place("wh")
     load_tables(batch, root)
     held = read_table(spark, root, "raw_orders")
-    load_tables(batch.limit(0), root)
+    for _ in range(4):
+        load_tables(batch.limit(0), root)
     assert held.count() == 3
-    for _ in range(3):
-        load_tables(batch, root)
+    # a generation stays until it was replaced long enough ago, and the last ones stay anyway
+    monkeypatch.setattr(warehouse, "KEPT_HOURS", 0)
+    load_tables(batch, root)
     assert len(os.listdir(tmp_path / "wh" / "raw_orders")) == warehouse.KEPT_GENERATIONS
 
 
+@pytest.mark.parametrize(
+    ("change", "message"),
+    [
+        (lambda df: df.withColumnRenamed("order_id", "orderid"), "absent .*order_id.* not expected .*orderid"),
+        (lambda df: df.drop("aisle"), "absent .*aisle"),
+        (lambda df: df.withColumn("more", F.lit(1)), "not expected .*more"),
+        (lambda df: df.withColumn("order_dow", F.col("order_dow").cast("bigint")), "order_dow bigint"),
+        (lambda df: df.withColumn("order_id", F.col("order_id").cast("string")), "order_id string"),
+    ],
+)
+def test_sinks_take_only_what_fits(spark, place, batch, change, message):
+    for write in (lambda df: land_batch(df, place("lake")), lambda df: refresh_table(df, place("wh"), "raw_orders")):
+        with pytest.raises((ValueError, TypeError), match=message):
+            write(change(batch))
+    assert list_batches(spark, place("lake")) == []
+    assert counts(spark, place("wh")) == dict.fromkeys(TABLES, 0)
+
+
+def test_sinks_widen(spark, place, batch):
+    refresh_table(batch.withColumn("order_id", F.col("order_id").cast("int")), place("wh"), "raw_orders")
+    assert read_table(spark, place("wh"), "raw_orders").schema == RAW
+    with pytest.raises(ValueError, match="absent"):
+        refresh_table(spark.range(3), place("wh"), "hourly_analytics")
+
+
+def test_files_of_another_writer_in_the_lake(spark, place, batch, tmp_path):
+    """Written with pandas: integers in 64 bits, and a float interval as soon as one is missing."""
+    land_batch(batch, place("lake"))
+    frame = batch.toPandas()
+    whole = [c for c in frame if frame[c].dtype.kind == "i" or c == "days_since_prior_order"]
+    frame[whole] = frame[whole].fillna(5).astype("int64")
+    frame.to_parquet(tmp_path / "lake" / "orders_1.parquet")
+    frame["days_since_prior_order"] = [7.0, None, 3e9]
+    frame.to_parquet(tmp_path / "lake" / "orders_2.parquet")
+    found = {r.rule: r.violations for r in check_lake(spark, place("lake")).collect()}
+    assert found["days_since_prior_order survives the cast"] == 1
+    assert found["department not null"] == 3
+    with pytest.raises(ValueError, match="survives the cast"):
+        process_lake(spark, place("lake"), place("wh"), check=True)
+    process_lake(spark, place("lake"), place("wh"))
+    loaded = read_table(spark, place("wh"), "raw_orders")
+    assert loaded.schema == RAW and loaded.count() == 9
+    assert sorted(r[0] or -1 for r in loaded.select("days_since_prior_order").collect()) == [-1] * 5 + [5, 5, 5, 7]
+
+
+def test_values_lost_from_documents(spark):
+    text = '{"orders": [{"order_id": 1, "days_since_prior_order": 3000000000}, {"order_id": "x"}, {"order_id": null}]}'
+    orders = parse_orders(spark.createDataFrame([(text,)], "body string"), "body").select(F.inline("orders"))
+    found = {r.rule: r.violations for r in cast_losses(orders).collect()}
+    assert found["days_since_prior_order survives the cast"] == 1
+    assert found["order_id survives the cast"] == 1
+
+
+def test_clustered_process(spark, place, items, tmp_path):
+    raw = items(*({"order_id": i % 500, "product_id": i} for i in range(2000)))
+    land_batch(raw.repartition(4), place("lake"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        process_lake(spark, place("lake"), place("wh"), cluster=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    detail = read_table(spark, place("wh"), "raw_orders")
+    spans = detail.groupBy(F.input_file_name()).agg(F.min("order_id").alias("a"), F.max("order_id").alias("b"))
+    ordered = sorted((r.a, r.b) for r in spans.collect())
+    assert len(ordered) > 1
+    assert all(b <= a for (_, b), (a, _) in zip(ordered, ordered[1:], strict=False))
+
+
+def test_quotes_in_paths(spark, place, batch):
+    root = place("it's a \"warehouse\"")
+    try:
+        load_tables(batch, root)
+        ensure_tables(spark, root, "shop4")
+        assert spark.sql("SELECT count(*) FROM shop4.raw_orders").first()[0] == 3
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS shop4 CASCADE")
+
+
+def test_catalog_follows_without_being_named(spark, place, batch):
+    try:
+        ensure_tables(spark, place("wh"), "shop5")
+        for n in (1, 2, 3):
+            load_tables(batch.limit(n), place("wh"))
+            assert spark.sql("SELECT count(*) FROM shop5.raw_orders").first()[0] == n
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS shop5 CASCADE")
+    load_tables(batch, place("wh"))
+
+
 def test_cleanup_deletes_only_what_was_loaded(spark, place, batch, monkeypatch):
     lake, root = place("lake"), place("wh")
     land_batch(batch, lake)
     late = []
 
-    def load(raw, warehouse, dedupe=False):
-        load_tables(raw, warehouse, dedupe)
+    def load(raw, *options):
+        load_tables(raw, *options)
         late.append(land_batch(batch, lake))
 
     monkeypatch.setattr("orderlens.plans.refresh.load_tables", load)
@@ -193,8 +286,8 @@ def test_cleanup_reports_failures(spark, place, batch, monkeypatch, caplog):
 
 @pytest.mark.parametrize(("dedupe", "expected"), [(False, 6), (True, 3)])
 def test_batches_landed_twice(spark, place, batch, dedupe, expected):
-    for _ in range(2):
-        land_batch(batch, place("lake"))
+    for day in (1, 2):
+        land_batch(batch.withColumn("ingestion_timestamp", F.lit(f"2024-01-0{day} 00:00:00")), place("lake"))
     process_lake(spark, place("lake"), place("wh"), dedupe=dedupe)
     tables = read_tables(spark, place("wh"))
     assert tables["raw_orders"].count() == expected
@@ -263,18 +356,51 @@ def test_stream_loads_new_batches_once(spark, place, batch, items):
     assert counts(spark, root)["raw_orders"] == 2
     stream_refresh(spark, lake, root, checkpoint)
     assert counts(spark, root)["raw_orders"] == 2
+    assert len(list_batches(spark, lake)) == 1  # goes with the next load
+
 
+def broken_load(*args, **options):
+    raise OSError("lost")
 
-def test_failed_stream_repeats_its_batch(spark, place, batch, monkeypatch):
+
+def test_failed_stream_repeats_its_batch(spark, place, batch, items, monkeypatch):
     lake, root, checkpoint = place("lake"), place("wh"), place("checkpoint")
     land_batch(batch, lake)
     with monkeypatch.context() as broken:
-        broken.setattr("orderlens.streaming.refresh.load_tables", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        broken.setattr("orderlens.streaming.refresh.load_tables", broken_load)
         with pytest.raises(Exception, match="lost"):
             stream_refresh(spark, lake, root, checkpoint)
     assert read_lake(spark, lake).count() == 3
+    # another batch lands before the next run, which has a micro-batch for each
+    land_batch(items({"order_id": 9}), lake)
     stream_refresh(spark, lake, root, checkpoint)
-    assert counts(spark, root) == LOADED
+    assert counts(spark, root) == LOADED | {"raw_orders": 4}
+    assert list_batches(spark, lake) == []
+
+
+def test_stream_that_died_before_cleaning_up(spark, place, batch, items):
+    lake, root, checkpoint = place("lake"), place("wh"), place("checkpoint")
+    land_batch(batch, lake)
+    stream_refresh(spark, lake, root, checkpoint, cleanup=False)
+    land_batch(items({"order_id": 9}), lake)
+    stream_refresh(spark, lake, root, checkpoint)
+    assert counts(spark, root)["raw_orders"] == 4
+    assert list_batches(spark, lake) == []
+
+
+def test_stream_takes_files_of_any_age(spark, place, batch, items, tmp_path):
+    lake = place("lake")
+    land_batch(batch, lake, batch_id="old")
+    land_batch(items({"order_id": 9}), lake)
+    for file in (tmp_path / "lake" / "orders_old.parquet").iterdir():
+        os.utime(file, (file.stat().st_atime, file.stat().st_mtime - 9 * 86_400))
+    stream_refresh(spark, lake, place("wh"), place("checkpoint"))
+    assert counts(spark, place("wh"))["raw_orders"] == 4
+    land_batch(batch, lake, batch_id="older")
+    for file in (tmp_path / "lake" / "orders_older.parquet").iterdir():
+        os.utime(file, (file.stat().st_atime, file.stat().st_mtime - 99 * 86_400))
+    stream_refresh(spark, lake, place("wh"), place("checkpoint"))
+    assert counts(spark, place("wh"))["raw_orders"] == 3
 
 
 def test_cluster_needs_a_shared_folder(spark, monkeypatch):
@@ -304,15 +430,30 @@ def test_command_line(spark, place, tmp_path, capsys):
     where = ["--lake", place("lake"), "--warehouse", place("wh")]
     main(["ingest", "--documents", place("poll.json"), "--lake", place("lake")])
     main(["process", *where, "--dedupe", "--database", "shop3"])
-    main(["refresh", "--documents", place("poll.json"), *where, "--json-lines"])
+    main(["refresh", "--documents", place("poll.json"), *where, "--whole-files", "--cluster", "--rejects", place("rejects")])
+    main(["ingest", "--documents", place("poll.json"), "--lake", place("lake")])
+    main(["check", "--lake", place("lake")])
+    assert "user_id not null" in capsys.readouterr().out
     main(["stream", *where, "--checkpoint", place("checkpoint")])
     capsys.readouterr()
     main(["report", "--warehouse", place("wh"), "a1_top_products"])
     assert "pear" in capsys.readouterr().out
+    main(["report", "--warehouse", place("wh"), "a2_top_reorder", "--param", "min_orders=99"])
+    assert "pear" not in capsys.readouterr().out
+    main(["report", "--warehouse", place("wh"), "a1_top_products", "--output", place("out"), "--format", "json"])
+    assert spark.read.json(place("out")).first().product_name == "pear"
     assert spark.sql("SELECT count(*) FROM shop3.product_analytics").first()[0] == 1
     spark.sql("DROP DATABASE shop3 CASCADE")
 
 
+def test_reports_print_every_row(spark, place, mart, capsys):
+    departments = mart("department_analytics", [(f"d{i}", i + 1) for i in range(1500)])
+    refresh_table(departments, place("wh"), "department_analytics")
+    capsys.readouterr()
+    main(["report", "--warehouse", place("wh"), "c1_market_share"])
+    assert len(capsys.readouterr().out.splitlines()) == 1501
+
+
 def test_reports_as_views(spark, place, batch):
     load_tables(batch, place("wh"))
     register_views(read_tables(spark, place("wh")))
