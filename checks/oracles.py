@@ -288,6 +288,7 @@ def _reports() -> dict[str, str]:
     }
 
 
+# The warehouse's integer widths.
 def _unsigned_and_null_rules() -> str:
     unsigned = {
         "order_id": 32,
@@ -328,11 +329,13 @@ COLUMN_TYPES = {
 
 
 def _described(column: str) -> str:
-    quantiles = ", ".join(f"quantile_cont(CAST({column} AS DOUBLE), {q}) AS p{int(q * 100)}" for q in (0.25, 0.5, 0.75))
+    quantiles = ", ".join(
+        f"CAST(quantile_cont(CAST({column} AS DOUBLE), {q}) AS DECIMAL(38, 6)) AS p{int(q * 100)}" for q in (0.25, 0.5, 0.75)
+    )
     return f"""
       SELECT '{column}' AS column_name, count({column}) AS non_null_count, {_round(f'avg({column})', 6)} AS mean,
-             {_round(f'stddev_samp({column})', 6)} AS std, CAST(min({column}) AS DOUBLE) AS min, {quantiles},
-             CAST(max({column}) AS DOUBLE) AS max
+             {_round(f'stddev_samp({column})', 6)} AS std, CAST(min({column}) AS DECIMAL(38, 6)) AS min, {quantiles},
+             CAST(max({column}) AS DECIMAL(38, 6)) AS max
       FROM items"""
 
 

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens import storage
 from orderlens.functions.ratios import settle
 
 QUARTILES = (0.25, 0.5, 0.75)
+ACCURACY = 10_000  # of the sketch: its rank error is at most the number of rows divided by this
 
 
 def one_row_to_rows(row: DataFrame, rows: Sequence[dict[str, Column]]) -> DataFrame:
@@ -53,78 +53,96 @@ def _numeric(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+def _is_whole(kind: T.DataType) -> bool:
+    return isinstance(kind, T.IntegralType)
+
+
+def _value_type(df: DataFrame, columns: Sequence[str]) -> str:
+    """Of order statistics: exact decimals where all columns are integers, else doubles."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return "decimal(38,6)" if all(_is_whole(kinds[c]) for c in columns) else "double"
+
+
 def exact_percentiles(
     df: DataFrame, columns: Sequence[str], fractions: Sequence[float] = QUARTILES
 ) -> DataFrame:
     """Interpolated percentiles of each column: ``column_name``, ``fraction``, ``value``.
 
     The built-in exact percentile keeps every distinct value of a column in one buffer, which an
-    id column of a large table does not survive. Here the rows become a histogram of distinct
-    (column number, value) pairs, range-partitioned into slices of about equal size - no pair
-    repeats, so no slice can be hot. Slice totals, at most one per column and partition, say which
-    slices hold the wanted positions, and only those are ordered.
-
-    The histogram is written to the shared scratch folder together with its slice number: slice
-    bounds come from sampling, and both uses must see the same ones.
+    id column of a large table does not survive, and sorting all values shuffles the table. Here a
+    sketch, whose rank error is bounded, gives a bracket of values around each wanted position. A second
+    pass counts the rows below each bracket, a third keeps only the rows inside, four in
+    ``ACCURACY`` of them, as counts by value that are reduced on the map side. The position within a
+    bracket is then a running sum. Nothing is written, and nothing runs before the result is asked for.
     """
-    spark = df.sparkSession
-    order = Window.partitionBy("column").orderBy("slice")
-    upto = (Window.unboundedPreceding, Window.currentRow)
-
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    histogram = (
-        df.select(F.posexplode(F.array(*(F.col(c).cast("double") for c in columns))).alias("column", "value"))
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .repartitionByRange(slices, "column", "value")
-        .withColumn("slice", F.spark_partition_id())
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    value_type = _value_type(df, columns)
+    wanted = [(c, float(f)) for c in columns for f in fractions]
+
+    def present(c: str) -> Column:
+        value = F.col(f"`{c}`")
+        if isinstance(kinds[c], (T.FloatType, T.DoubleType)):
+            value = F.when(~F.isnan(value), value)
+        return value if _is_whole(kinds[c]) else value.cast("double")
+
+    def bracket(c: str, f: float) -> Column:
+        # of few rows all are kept: there a neighbour may be further away than the sketch's error
+        near = F.percentile_approx(present(c), [max(0.0, f - 2 / ACCURACY), min(1.0, f + 2 / ACCURACY)], ACCURACY)
+        all_of = F.array(F.min(present(c)), F.max(present(c)))
+        return F.when(F.count(present(c)) <= ACCURACY, all_of).otherwise(near)
+
+    names = [f"b{i}" for i in range(len(wanted))]
+    brackets = df.agg(F.struct(*(bracket(c, f).alias(n) for n, (c, f) in zip(names, wanted, strict=True))).alias("all"))
+    edge = brackets.scalar()  # one row, planned once and shared
+    low = [edge[n][0] for n in names]
+    high = [edge[n][1] for n in names]
+
+    below = one_row_to_rows(
+        df.agg(
+            *(F.count(present(c)).alias(f"n{c_}") for c_, c in enumerate(columns)),
+            *(F.count_if(present(c) < low[i]).alias(f"u{i}") for i, (c, _) in enumerate(wanted)),
+        ),
+        [
+            {
+                "place": F.lit(i),
+                "column_name": F.lit(c),
+                "fraction": F.lit(f),
+                "position": F.lit(f) * (F.col(f"n{columns.index(c)}") - 1),
+                "under": F.col(f"u{i}"),
+            }
+            for i, (c, f) in enumerate(wanted)
+        ],
     )
-    histogram = storage.written(spark, histogram, storage.scratch_folder(spark, "histogram"))
+    entry = [
+        F.when(
+            present(c).between(low[i], high[i]), F.struct(F.lit(i).alias("place"), present(c).cast(value_type).alias("value"))
+        )
+        for i, (c, _) in enumerate(wanted)
+    ]
+    inside = df.select(F.inline(F.array_compact(F.array(*entry)))).groupBy("place", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("place").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = inside.withColumn("end", F.sum("n").over(upto)).join(F.broadcast(below), "place")
+    end = F.col("under") + F.col("end")
+    floor, ceil = F.floor("position"), F.ceil("position")
 
-    totals = (
-        histogram.groupBy("column", "slice")
-        .agg(F.sum("n").alias("held"))
-        .withColumn("through", F.sum("held").over(order.rowsBetween(*upto)))
-        .withColumn("size", F.sum("held").over(Window.partitionBy("column")))
-    )
-    # Two neighbouring positions per fraction and column, each in exactly one slice.
-    position = F.col("fraction") * (F.col("size") - 1)
-    wanted = (
-        totals.withColumn("fraction", F.explode(F.array(*(F.lit(float(f)) for f in fractions))))
-        .withColumn("weight", position - F.floor(position))
-        .withColumn("at", F.explode(F.array(F.floor(position), F.ceil(position))))
-        .withColumn("upper", F.col("at") > F.floor(position))
-        .withColumn("before", F.col("through") - F.col("held"))
-        .filter((F.col("at") >= F.col("before")) & (F.col("at") < F.col("through")))
-    )
-    places = wanted.select("column", "slice", "before").distinct()
+    def at(position: Column) -> Column:
+        return F.max(F.when((position >= end - F.col("n")) & (position < end), F.col("value")))
 
-    within = Window.partitionBy("column", "slice").orderBy("value").rowsBetween(*upto)
-    ordered = (
-        histogram.join(F.broadcast(places), ["column", "slice"])
-        .withColumn("end", F.col("before") + F.sum("n").over(within))
-        .select("column", "slice", "value", (F.col("end") - F.col("n")).alias("start"), "end")
-    )
-    hit = (F.col("at") >= F.col("start")) & (F.col("at") < F.col("end"))
-    low = F.max(F.when(~F.col("upper"), F.col("value")))
-    high = F.max(F.when(F.col("upper"), F.col("value")))
-    return (
-        ordered.join(F.broadcast(wanted.drop("before", "held")), ["column", "slice"])
-        .filter(hit)
-        .groupBy("column", "fraction", "weight")
-        .agg(low.alias("low"), high.alias("high"))
-        .select(
-            F.get(F.array(*(F.lit(c) for c in columns)), F.col("column")).alias("column_name"),
-            "fraction",
-            (F.col("low") + F.coalesce(F.col("high") - F.col("low"), F.lit(0.0)) * F.col("weight")).alias("value"),
-        )
-    )
+    weight = F.col("position") - floor
+    found = placed.groupBy("column_name", "fraction", weight.alias("weight")).agg(at(floor).alias("low"), at(ceil).alias("high"))
+    step = (F.col("high") - F.col("low")) * F.col("weight").cast("decimal(7,6)" if value_type != "double" else "double")
+    # equal neighbours may be infinite
+    value = F.when(F.col("high") == F.col("low"), F.col("low")).otherwise(F.col("low") + step)
+    return found.select("column_name", "fraction", value.cast(value_type).alias("value"))
 
 
 def describe_numeric(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column."""
+    """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column.
+
+    Minimum, quartiles and maximum are exact: decimals if all numeric columns are integers, else doubles.
+    """
     names = _numeric(df)
+    value_type = _value_type(df, names)
     moments = df.agg(
         *(
             stat.alias(f"{label}{i}")
@@ -146,8 +164,8 @@ def describe_numeric(df: DataFrame, digits: int = 6) -> DataFrame:
                 "non_null_count": F.col(f"n{i}"),
                 "mean": settle(F.col(f"avg{i}"), digits),
                 "std": settle(F.col(f"dev{i}"), digits),
-                "min": F.col(f"min{i}").cast("double"),
-                "max": F.col(f"max{i}").cast("double"),
+                "min": F.col(f"min{i}").cast(value_type),
+                "max": F.col(f"max{i}").cast(value_type),
             }
             for i, name in enumerate(names)
         ],

@@ -72,6 +72,7 @@ TABLES: dict[str, T.StructType] = {
     "department_analytics": DEPARTMENT_ANALYTICS,
 }
 
+# The keys each warehouse table is sorted by.
 SORT_KEYS: dict[str, tuple[str, ...]] = {
     "raw_orders": ("order_id", "product_id"),
     "product_analytics": ("product_name", "department"),
@@ -79,7 +80,7 @@ SORT_KEYS: dict[str, tuple[str, ...]] = {
     "department_analytics": ("department",),
 }
 
-# Warehouse integer widths in bits (all unsigned) and the one column that may be empty.
+# Warehouse integer widths in bits (all unsigned) and the one column that may be empty.
 UNSIGNED_BITS: dict[str, int] = {
     "order_id": 32,
     "user_id": 32,

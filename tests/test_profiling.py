@@ -24,7 +24,7 @@ def test_percentiles_equal_numpy(spark, size):
     assert len(got) == 2 * len(fractions)
     for name, values in (("x", x), ("hot", hot)):
         for f in fractions:
-            assert got[name, f] == pytest.approx(np.quantile(values, f), abs=1e-9)
+            assert float(got[name, f]) == pytest.approx(np.quantile(values, f), abs=1e-9)
 
 
 def test_percentiles_skip_null_and_nan(spark):
@@ -32,6 +32,30 @@ def test_percentiles_skip_null_and_nan(spark):
     assert rows(exact_percentiles(df, ["x"], (0.25,))) == [("x", 0.25, 1.75)]
 
 
+def test_digits_beyond_doubles_are_kept(spark):
+    ids = [(2**53 + 1 + 2 * i,) for i in range(5)]
+    row = describe_numeric(spark.createDataFrame(ids, "id bigint")).first()
+    assert [int(row[c]) for c in ("min", "p25", "p50", "p75", "max")] == [i for i, in ids]
+
+
+def test_brackets_of_many_rows(spark, monkeypatch):
+    """The sketch cuts brackets once there are more rows than its accuracy."""
+    monkeypatch.setattr("orderlens.operators.profiling.ACCURACY", 100)
+    rng = np.random.default_rng(7)
+    wide, hot = rng.integers(-(10**12), 10**12, 20_000), np.where(rng.random(20_000) < 0.35, 5, rng.integers(0, 9, 20_000))
+    df = spark.createDataFrame(list(zip(wide.tolist(), hot.tolist(), rng.normal(0, 1, 20_000).tolist(), strict=True)), "wide bigint, hot int, x double").repartition(5)
+    for columns in (["wide", "hot"], ["wide", "x"]):
+        for r in exact_percentiles(df, columns, (0.0, 0.1, 0.25, 0.5, 0.999, 1.0)).collect():
+            values = [v[r.column_name] for v in df.select(r.column_name).collect()]
+            assert float(r.value) == pytest.approx(np.quantile(values, r.fraction), rel=1e-12)
+
+
+def test_percentiles_move_and_keep_little(spark):
+    df = spark.range(1000)
+    plan = describe_numeric(df)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_describe(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "d"), (None, "e")], "n int, s string")
     assert rows(describe_numeric(df)) == [("n", 4, 2.5, 1.290994, 1.0, 1.75, 2.5, 3.25, 4.0)]
