@@ -19,7 +19,7 @@ travels as one string of at most ``2 * LENGTH - GRAM`` bytes.
 However often a string occurs, a bucket gets it once from each batch. An anchor with very many
 different strings around it would still gather them in one bucket, so anchors with more than
 ``FREQUENT`` documents (or 1/65536 of all anchors, whichever is more: at most 65536 anchors are
-broadcast) send every window by itself, to the bucket of the window's own hash.
+broadcast) send a 96-bit digest of every window by itself, to the bucket of its own hash.
 
 Defined results: a null text counts as empty; ids are whole numbers; a document without id keeps all its
 bytes and removes none elsewhere; rows that agree in id do not remove each other's bytes. Further
@@ -306,8 +306,9 @@ class Strings(NamedTuple):
 
     bucket: np.ndarray
     start: np.ndarray  # of one occurrence
-    count: np.ndarray  # of windows
+    count: np.ndarray  # of windows; 0 for a window that travels as digest
     first: np.ndarray  # smallest id
+    digest: np.ndarray  # two hashes of the window, where it travels so
     runs: Runs
     of_run: np.ndarray  # string of each run
 
@@ -317,29 +318,34 @@ def strings(batch: Batch, shared: Shared, buckets: int) -> Strings:
     keep = shared.has(found.anchor)
     found = Runs(*(c[keep] for c in found))
     often = np.isin(found.anchor, shared.frequent)
-    whole = _rolled(batch.data, LENGTH) if len(batch.data) >= LENGTH else np.empty(0, np.uint64)
+    enough = len(batch.data) >= LENGTH
+    whole = _rolled(batch.data, LENGTH) if enough else np.empty(0, np.uint64)
+    second = np.zeros(len(found.start), dtype=np.uint64)
+    kind = found.count
     if often.any():  # every window by itself
         counts = np.where(often, found.count, 1)
         index = np.repeat(np.arange(len(counts)), counts)
         step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        start = found.start[index] + step
-        single = often[index]
+        start, single = found.start[index] + step, often[index]
+        grams = _rolled(batch.data, GRAM)
+        second = _mixed(grams[start] + np.uint64(3) * grams[start + LENGTH - GRAM]) & np.uint64(0xFFFFFFFF)
         anchor = np.where(single, _mixed(whole[start]) >> np.uint64(6), found.anchor[index])
+        kind = np.where(single, 0, found.count[index])
         found = Runs(start, np.where(single, 1, found.count[index]), anchor, found.doc[index])
     # a string is known by the hashes of its first and last window and its length
-    head, tail = whole[found.start], whole[found.start + found.count - 1]
-    order = np.lexsort((batch.ids[found.doc], tail, head, found.count, found.anchor))
-    keys = (found.anchor, found.count, head, tail)
+    head, tail = whole[found.start], np.where(kind > 0, whole[found.start + found.count - 1], second)
+    order = np.lexsort((batch.ids[found.doc], tail, head, kind, found.anchor))
     fresh = np.zeros(len(order), dtype=bool)
     fresh[:1] = True
-    for key in keys:
+    for key in (found.anchor, kind, head, tail):
         fresh[1:] |= key[order[1:]] != key[order[:-1]]
     of_run = np.empty(len(order), dtype=np.int64)
     of_run[order] = np.cumsum(fresh) - 1
     one = order[fresh]
     shift = np.uint64(HASH_BITS - (buckets.bit_length() - 1))
     bucket = (found.anchor[one] >> shift).astype(np.int64)  # ascending, like the anchors
-    return Strings(bucket, found.start[one], found.count[one], batch.ids[found.doc[one]], found, of_run)
+    digest = np.stack([head[one], tail[one]], axis=1)
+    return Strings(bucket, found.start[one], kind[one], batch.ids[found.doc[one]], digest, found, of_run)
 
 
 def _sent(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -353,13 +359,15 @@ def _sent(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[p
         for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
             part = slice(cuts[b], cuts[b + 1])
             count = found.count[part]
-            cells = np.arange(WIDTH) < (count + LENGTH - 1)[:, None]
+            cells = np.arange(WIDTH) < np.where(count > 0, count + LENGTH - 1, 0)[:, None]
             data = padded[found.start[part][:, None] + np.arange(WIDTH)][cells].tobytes()
             packed = pa.Codec("zstd").compress(data, asbytes=True)
-            rows.append((int(b), batch.number, int(cuts[b]), len(count), len(data), packed, _pack(count.astype(np.uint8)), _pack(found.first[part])))
+            digest = found.digest[part][count == 0]
+            hashes = digest[:, 0].tobytes() + digest[:, 1].astype("<u4").tobytes()
+            rows.append((int(b), batch.number, int(cuts[b]), len(count), len(data), packed, hashes, _pack(count.astype(np.uint8)), _pack(found.first[part])))
         if rows:
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            names = ["bucket", "batch", "offset", "n", "size", "data", "counts", "firsts"]
+            kinds = (pa.int32(), *[pa.int64()] * 4, *[pa.binary()] * 4)
+            names = ["bucket", "batch", "offset", "n", "size", "data", "digests", "counts", "firsts"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
 
@@ -385,9 +393,15 @@ def _judged(frame: pd.DataFrame) -> pd.DataFrame:
     first = np.concatenate([_unpack(f, n, "<i8") for f, n in zip(frame["firsts"], frame["n"], strict=True)])
     raw = b"".join(pa.Codec("zstd").decompress(d, s, asbytes=True) for d, s in zip(frame["data"], frame["size"], strict=True))
     data = np.frombuffer(raw, dtype=np.uint8)
-    length = count + LENGTH - 1
+    text_at = np.flatnonzero(count > 0)
+    length = np.where(count > 0, count + LENGTH - 1, 0)
     start = np.cumsum(length) - length
-    head, tail, anchor = _string_keys(data, start, count)
+    head, tail, anchor = (np.empty(len(count), dtype=np.uint64) for _ in range(3))
+    if len(text_at):
+        head[text_at], tail[text_at], anchor[text_at] = _string_keys(data, start[text_at], count[text_at])
+    digests = [np.frombuffer(d, dtype=np.uint8).reshape(-1) for d in frame["digests"]]
+    head[count == 0] = anchor[count == 0] = np.concatenate([d[: len(d) // 12 * 8].view("<u8") for d in digests])
+    tail[count == 0] = np.concatenate([d[len(d) // 12 * 8 :].view("<u4") for d in digests])
     order = np.lexsort((first, tail, head, count, anchor))
     fresh = np.zeros(len(order), dtype=bool)
     fresh[:1] = True
@@ -399,7 +413,7 @@ def _judged(frame: pd.DataFrame) -> pd.DataFrame:
     bits = np.zeros(len(one), dtype=np.int64)
     # suffixes of the distinct strings, unless a string is the only one at its anchor
     alike = anchor[one][1:] == anchor[one][:-1]
-    several = np.flatnonzero(np.append(alike, False) | np.append(False, alike))
+    several = np.flatnonzero((np.append(alike, False) | np.append(False, alike)) & (count[one] > 0))
     # in parts of whole anchors, so that memory follows the largest anchor and not the bucket
     places = anchor[one][several]
     edges = np.append(np.flatnonzero(np.append(True, places[1:] != places[:-1])), len(several))
@@ -493,7 +507,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     sent = packed.mapInArrow(
         partial(_sent, shared=shared, buckets=buckets),
-        "bucket int, batch bigint, offset bigint, n bigint, size bigint, data binary, counts binary, firsts binary",
+        "bucket int, batch bigint, offset bigint, n bigint, size bigint, data binary, digests binary, counts binary, firsts binary",
     )
     replies = sent.groupBy("bucket").applyInPandas(_judged, "batch bigint, n bigint, strings binary, smallest binary, bits binary")
     last = "binary" if texts else "string"
