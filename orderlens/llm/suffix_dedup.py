@@ -183,7 +183,7 @@ def _pack(values: np.ndarray) -> bytes:
     """Numbers, compressed by planes of bytes."""
     values = np.ascontiguousarray(values)
     planes = values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T
-    return pa.Codec("zstd").compress(np.ascontiguousarray(planes), asbytes=True)
+    return pa.Codec("zstd", 3).compress(np.ascontiguousarray(planes), asbytes=True)
 
 
 def _unpack(data: bytes, n: int, kind: str) -> np.ndarray:
@@ -204,7 +204,7 @@ def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([part << 32 | number], pa.int64()), pa.array([[i or 0 for i in ids]], pa.list_(pa.int64())),
             pa.array([[i is not None for i in ids]], pa.list_(pa.bool_())),
             pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([len(data)], pa.int64()),
-            pa.array([pa.Codec("zstd").compress(data, asbytes=True)], pa.binary()),
+            pa.array([pa.Codec("zstd", 3).compress(data, asbytes=True)], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, names=list(BATCHED))
 
@@ -361,7 +361,7 @@ def _sent(batches: Iterator[pa.RecordBatch], shared, buckets: int) -> Iterator[p
             count = found.count[part]
             cells = np.arange(WIDTH) < np.where(count > 0, count + LENGTH - 1, 0)[:, None]
             data = padded[found.start[part][:, None] + np.arange(WIDTH)][cells].tobytes()
-            packed = pa.Codec("zstd").compress(data, asbytes=True)
+            packed = pa.Codec("zstd", 3).compress(data, asbytes=True)
             digest = found.digest[part][count == 0]
             hashes = digest[:, 0].tobytes() + digest[:, 1].astype("<u4").tobytes()
             rows.append((int(b), batch.number, int(cuts[b]), len(count), len(data), packed, hashes, _pack(count.astype(np.uint8)), _pack(found.first[part])))
