@@ -4,7 +4,7 @@ The pre-tokens of a batch are encoded together. Their bytes form one linked list
 pre-token ends. A queue holds a bucket of list positions for each merge rank; a three-level bitmap
 finds the lowest rank that has a bucket by find-first-set. All positions of a bucket merge at once,
 and positions whose pair has changed meanwhile are skipped as stale. Work grows with the number of
-merges, not with the square of a pre-token's length.
+merges, not with the square of a pre-token's length. Batches hold less than 2 ** 31 bytes.
 
 Merging a bucket at once equals merging its leftmost pair first, except for the ranks whose new
 token can start a merge of a still lower rank; for those, one position per pre-token is taken.
@@ -72,11 +72,11 @@ class Merges:
         keys, values = np.array(pairs, dtype=np.int64)[order], np.array(merged, dtype=np.int64)[order]
         left, right = keys // NO_RANK, keys % NO_RANK
         stepwise = frozenset(left[values < left].tolist()) | frozenset(right[values < right].tolist())
-        single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         return Merges(tokens, single, keys, values, stepwise)
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        wanted = left * NO_RANK + right
+        wanted = left.astype(np.int64) * NO_RANK + right
         at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
         return np.where(self.pairs[at] == wanted, self.ranks[at], NO_RANK)
 
@@ -137,16 +137,16 @@ def merge_all(data: bytes, starts: np.ndarray, merges: Merges) -> tuple[np.ndarr
     """Ids of all pre-tokens of ``data``, which begin at ``starts``, and how many each has."""
     n = len(data)
     token = merges.single[np.frombuffer(data, dtype=np.uint8)]
-    after, before = np.arange(1, n + 2), np.arange(-1, n)  # n: no neighbour
+    after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)  # n: no neighbour
     ends = np.append(starts[1:], n)
     after[ends - 1] = n
     before[starts] = n
-    piece = np.repeat(np.arange(len(starts)), ends - starts)
-    rank = np.full(n + 1, NO_RANK, dtype=np.int64)  # of the pair that starts here; NO_RANK also where a token has gone
-    paired = np.flatnonzero(after[:n] < n)
+    piece = np.repeat(np.arange(len(starts), dtype=np.int32), ends - starts)
+    rank = np.full(n + 1, NO_RANK, dtype=np.int32)  # of the pair that starts here; NO_RANK also where a token has gone
+    paired = np.flatnonzero(after[:n] < n).astype(np.int32)
     rank[paired] = merges.rank_of(token[paired], token[paired + 1])
     paired = paired[rank[paired] < NO_RANK]
-    token, alive = np.append(token, 0), np.ones(n, dtype=bool)
+    token, alive = np.append(token, np.int32(0)), np.ones(n, dtype=bool)
     queue = RankQueue(paired, rank[paired])
     while queue.top:
         r, at = queue.pop()
@@ -225,6 +225,7 @@ class Encoder:
         self.spaced.update(zip(spaced, range(known + len(whole), known + n), strict=True))
         per_piece = np.fromiter(map(len, matched), dtype=np.int64, count=n)
         flat = list(chain.from_iterable(matched))
+        del matched
         distinct = dict.fromkeys(flat)
         distinct.update(zip(distinct, range(len(distinct)), strict=True))
         order = np.fromiter(map(distinct.__getitem__, flat), dtype=np.int64, count=len(flat))
