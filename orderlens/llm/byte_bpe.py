@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import filled
+from orderlens.llm.common import filled, releasing
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -329,14 +329,14 @@ def encode(
     """(id, ids array<int>) for every row."""
     given, kind = _given(docs, id_col, filled(F.col(text_col)).alias("text"))
     run: Callable = partial(encoded, merges=_shared(docs, path), pattern=pattern)
-    return given.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    return given.mapInArrow(releasing(run), f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(ids: DataFrame, id_col: str = "doc_id", path: str = VOCABULARY) -> DataFrame:
     """(id, text) for every row of (id, ids); null ids count as none."""
     given, kind = _given(ids, id_col, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     run: Callable = partial(decoded, merges=_shared(ids, path))
-    found = given.mapInArrow(run, f"id {kind}, ids array<int>, bytes binary")
+    found = given.mapInArrow(releasing(run), f"id {kind}, ids array<int>, bytes binary")
     return found.select(F.col("id").alias(id_col), F.decode("bytes", "UTF-8").alias("text"))
 
 
@@ -350,5 +350,5 @@ def round_trip(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _digests(decoded(encoded(batches, merges, pattern), merges), len(merges.value.tokens))
 
-    found = given.mapInArrow(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    found = given.mapInArrow(releasing(run), f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     return found.withColumnRenamed("id", id_col)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import filled
+from orderlens.llm.common import filled, releasing
 
 WINDOW = 10
 SHARD = 1 << 20
@@ -247,7 +247,7 @@ def find_hits(
     schema = found.schema
     for block in blocks(benchmark, item_col, item_text_col, window):
         shared = docs.sparkSession.sparkContext.broadcast(block)  # BLOCK windows at most
-        found = found.mapInArrow(partial(_found, windows=shared), schema)
+        found = found.mapInArrow(releasing(partial(_found, windows=shared)), schema)
     return found
 
 
@@ -270,7 +270,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = find_hits(docs, benchmark, id_col, text_col, **options)
     kind = found.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
-    return found.mapInArrow(_digests, schema).withColumnRenamed("id", id_col)
+    return found.mapInArrow(releasing(_digests), schema).withColumnRenamed("id", id_col)
 
 
 def remove_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
@@ -291,7 +291,7 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *
             columns = [batch.column("id"), pa.array(cleaned, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "cleaned"])
 
-    kept = found.mapInArrow(cut, f"id {found.schema['id'].dataType.simpleString()}, cleaned string")
+    kept = found.mapInArrow(releasing(cut), f"id {found.schema['id'].dataType.simpleString()}, cleaned string")
     return kept.select(
         *(F.coalesce("cleaned", f"id.`{c}`").alias(c) if c == text_col else F.col(f"id.`{c}`").alias(c) for c in columns)
     )

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import kept_table
+from orderlens.llm.common import kept_table, releasing
 
 SHARE = 0.1
 PATHS = int(1 / SHARE)
@@ -250,7 +250,7 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, paths): winning paths, most votes first; pages without text do not vote."""
     given = pages.select(host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    votes = given.mapInArrow(_votes, "host string, path string, weight double").where("weight > 0")
+    votes = given.mapInArrow(releasing(_votes), "host string, path string, weight double").where("weight > 0")
     counted = votes.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("weight").alias("weight"))
     counted = kept_table(counted, "votes")
     totals = counted.groupBy("host").agg(F.sum("votes").alias("total"))
@@ -280,7 +280,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     )
     kind = given.schema["id"].dataType.simpleString()
     found = given.join(winners, "host", "left").select("id", "url", "html", "paths")
-    found = found.mapInArrow(_texts, f"id {kind}, url string, text string")
+    found = found.mapInArrow(releasing(_texts), f"id {kind}, url string, text string")
     return found.select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars")
     )

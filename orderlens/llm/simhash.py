@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import filled, kept_table
+from orderlens.llm.common import filled, kept_table, releasing
 from orderlens.llm.components import components
 
 SHINGLE = 4
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHI
     text = filled(F.col(text_col))
     given = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     kind = given.schema["id"].dataType.simpleString()
-    return given.mapInArrow(partial(_fingerprints, shingle=shingle), f"id {kind}, text_hash bigint, fp bigint")
+    return given.mapInArrow(releasing(partial(_fingerprints, shingle=shingle)), f"id {kind}, text_hash bigint, fp bigint")
 
 
 def _quarters(fps: np.ndarray) -> np.ndarray:

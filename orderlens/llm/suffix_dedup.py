@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.byte_bpe import gather
-from orderlens.llm.common import filled, kept_table
+from orderlens.llm.common import filled, kept_table, releasing
 
 LENGTH = 50
 GRAM = 24
@@ -486,12 +486,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).cast("long").alias("id"), filled(F.col(text_col)).alias("text"))
     packed = kept_table(
-        given.mapInArrow(_batched, BATCHES), "batches"
+        given.mapInArrow(releasing(_batched), BATCHES), "batches"
     )
     total = packed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     buckets = 1 << max(6, (total // BUCKET).bit_length())
 
-    anchors = packed.mapInArrow(partial(_anchors, buckets=buckets), "bucket int, n bigint, anchors binary, docs binary")
+    anchors = packed.mapInArrow(releasing(partial(_anchors, buckets=buckets)), "bucket int, n bigint, anchors binary, docs binary")
     slices = anchors.groupBy("bucket").applyInPandas(
         partial(_shared, buckets=buckets), "bucket int, total bigint, bits binary, frequent binary, counts binary"
     )
@@ -506,7 +506,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = spark.sparkContext.broadcast(Shared(bits.ravel(), frequent))
 
     sent = packed.mapInArrow(
-        partial(_sent, shared=shared, buckets=buckets),
+        releasing(partial(_sent, shared=shared, buckets=buckets)),
         "bucket int, batch bigint, offset bigint, n bigint, size bigint, data binary, digests binary, counts binary, firsts binary",
     )
     replies = sent.groupBy("bucket").applyInPandas(_judged, "batch bigint, n bigint, strings binary, smallest binary, bits binary")

@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from orderlens import storage
 from orderlens.llm.byte_bpe import gather
-from orderlens.llm.common import filled
+from orderlens.llm.common import filled, releasing
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END = 1
@@ -184,7 +184,7 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, folder: str, path: str
     kind = given.schema["id"].dataType.simpleString()
     columns = f"id {kind}, n_tokens bigint, crc bigint, width int, ids binary"
     shared = spark.sparkContext.broadcast(Tokenizer(path))
-    found = given.mapInArrow(partial(_tokenized, shared=shared), f"{columns}, kind string")
+    found = given.mapInArrow(releasing(partial(_tokenized, shared=shared)), f"{columns}, kind string")
     found.write.partitionBy("kind").mode("overwrite").parquet(folder)
     everything = spark.read.schema(f"{columns}, kind string").parquet(folder)
     return everything.where("kind = 'documents'").drop("kind"), everything.where("kind = 'counts'").drop("kind")
@@ -346,7 +346,7 @@ def write(
     ordered = tokens.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
     shared = spark.sparkContext.broadcast(frequency)  # a number for each id of the vocabulary
     ordered.select("id", "n_tokens", "width", "ids").mapInArrow(
-        partial(_blocks, frequency=shared), "part int, block int, before bigint, n_tokens bigint, data binary"
+        releasing(partial(_blocks, frequency=shared)), "part int, block int, before bigint, n_tokens bigint, data binary"
     ).write.mode("overwrite").parquet(f"{folder}/blocks")
 
 
@@ -385,7 +385,7 @@ def read(spark: SparkSession, folder: str, id_type: str = "bigint", digest: bool
         total += sizes[part]
     kind = "bigint" if digest else "array<int>"
     found = blocks.select("part", "before", "data").mapInArrow(
-        partial(_documents, frequency=shared, digest=digest), f"id {id_type}, part int, start bigint, n_tokens bigint, ids {kind}"
+        releasing(partial(_documents, frequency=shared, digest=digest)), f"id {id_type}, part int, start bigint, n_tokens bigint, ids {kind}"
     )
     offset = spark.createDataFrame(offsets, "part int, offset bigint")
     return found.join(F.broadcast(offset), "part").select(

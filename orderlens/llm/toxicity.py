@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import filled
+from orderlens.llm.common import filled, releasing
 
 FOLDS = 5
 SAMPLE = 1200
@@ -380,7 +380,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), filled(F.col(text_col)).alias("text")
     )
     kind = given.schema["id"].dataType.simpleString()
-    found = given.mapInArrow(partial(_scored, model=shared), f"id {kind}, held_out boolean, score double")
+    found = given.mapInArrow(releasing(partial(_scored, model=shared)), f"id {kind}, held_out boolean, score double")
     return found.select(
         F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
@@ -400,4 +400,4 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
                 scores = shared.value.score(summaries(texts, shared.value, known))
                 yield part.filter(pa.array(scores < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
