@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -41,8 +42,6 @@ def test_same_ids_as_the_library(merges, library):
 
 
 def test_queue_pops_the_lowest_rank_and_each_position_once():
-    import numpy as np
-
     queue = RankQueue(np.array([5, 1, 9]), np.array([4100, 70, 4100]))
     queue.push(np.array([3, 9]), np.array([2, 4100]))
     popped = []

@@ -4,6 +4,7 @@ import hashlib
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -33,8 +34,6 @@ def test_pipeline(spark):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
     want = set()
     for i in left:
-        import numpy as np
-
         flags, _ = hits(texts[i], items)
         text = cut_words(texts[i], np.packbits(flags).tobytes()) if any(flags) else texts[i]
         ids = library.encode_ordinary(text)

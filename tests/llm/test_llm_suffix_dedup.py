@@ -70,10 +70,10 @@ def test_longest_previous_factors():
     raw = data.tobytes()
     got = longest_previous_factors(data, np.arange(120), docs, cap, 1)
     common = lambda i, j: next((k for k in range(cap) if max(i, j) + k >= 120 or raw[i + k] != raw[j + k]), cap)
-    inner = np.arange(120 - cap)  # beyond the end, padding counts as bytes
-    assert got[inner].tolist() == [max([0, *(common(i, j) for j in inner if docs[j] < docs[i])]) if True else 0 for i in inner] or (
-        got[inner] >= [max([0, *(common(i, j) for j in inner if docs[j] < docs[i])]) for i in inner]
-    ).all()
+    inner = np.arange(120 - cap)  # further on, what is behind the end counts as bytes
+    least = [max([0, *(common(i, j) for j in inner if docs[j] < docs[i])]) for i in inner]
+    whole = [max([0, *(common(i, j) for j in range(120) if docs[j] < docs[i])]) for i in inner]
+    assert (got[inner] >= least).all() and (got[inner] <= np.maximum(whole, least)).all()
     order = np.lexsort((np.arange(120 - cap), suffix_order(data, inner, cap)))
     cut = [raw[i : i + cap] for i in order]
     assert cut == sorted(cut)
