@@ -28,6 +28,7 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -39,7 +40,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 NO_RANK = 1 << 18  # ranks are below: three bitmap levels of 64
 PIECES = 1 << 21  # distinct pieces a task remembers before it starts afresh
-SLICE = 1 << 21  # characters turned into ids at once
+LEARNED = 10 << 20  # bytes of text whose new pieces are encoded together
+SLICE = 1 << 20  # characters turned into ids at once
 # White space besides the blank and the line feed, by Unicode or by Python.
 RARE_ASCII = [chr(c) for c in (*range(9, 10), *range(11, 14), *range(28, 32))]
 RARE_SPACES = [*RARE_ASCII, *map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
@@ -263,29 +265,31 @@ def gather(values: np.ndarray, counts: np.ndarray, order: np.ndarray) -> tuple[n
     return values[np.repeat(shift, lengths) + np.arange(lengths.sum())], lengths
 
 
-def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``SLICE`` characters."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= SLICE:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def slices(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts whose sizes add up to about the limit."""
+    start = total = end = 0
+    for end, size in enumerate(sizes, 1):
+        total += size
+        if total >= limit:
+            yield start, end
+            start, total = end, 0
+    if start < end:
+        yield start, end
 
 
 def encoded(batches: Iterator[pa.RecordBatch], merges: Broadcast, pattern: str) -> Iterator[pa.RecordBatch]:
     """(id, text) to (id, ids)."""
     encoder = Encoder(merges.value, pattern)
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        encoder.learn(texts)
-        for start, end in slices(texts):
-            ids, counts = encoder.encode(texts[start:end])
-            offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, end - start), lists], names=["id", "ids"])
+        for first, last in slices(pc.binary_length(batch.column("text")).to_pylist(), LEARNED):
+            ids_column = batch.column("id").slice(first, last - first)
+            texts = batch.column("text").slice(first, last - first).to_pylist()
+            encoder.learn(texts)
+            for start, end in slices(map(len, texts), SLICE):
+                ids, counts = encoder.encode(texts[start:end])
+                offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([ids_column.slice(start, end - start), lists], names=["id", "ids"])
 
 
 def id_lists(ids: pa.Array) -> Iterator[list[int]]:
