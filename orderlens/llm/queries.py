@@ -76,7 +76,27 @@ QUERIES: dict[str, Query] = {
 
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
 
+WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+        b AS (
+          SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS gram
+          FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+                FROM (SELECT item_id, {WORDS} AS w FROM benchmark) WHERE len(w) > 0)),
+        grams AS (
+          SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+          FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d), (SELECT DISTINCT n FROM b)
+          WHERE i + n - 1 <= len(w)),
+        hits AS (SELECT g.r, g.i, g.n, b.item_id FROM grams g JOIN b USING (n, gram)),
+        covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+        found AS (
+          SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)""",
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,

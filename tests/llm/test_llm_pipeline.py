@@ -53,7 +53,8 @@ def test_stages_keep_the_columns(spark):
 @pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE_SQL])
 def test_query_matches_duckdb(spark, name):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     result = duck.execute(ORACLE_SQL[name])
     columns = [c[0] for c in result.description]
     df = QUERIES[name](spark, SF)
