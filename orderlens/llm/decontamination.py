@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -235,20 +235,32 @@ def _found(batches: Iterator[pa.RecordBatch], windows) -> Iterator[pa.RecordBatc
             start = end
 
 
-def find_hits(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+def _passes(
+    docs: DataFrame, benchmark: DataFrame, finish: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
+    id_col: str, text_col: str, item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
 ) -> DataFrame:
-    """(id, text, hit, items) for every row: a bit for each word, from the highest of each byte, and item ids."""
+    """A pass over the documents for each block of the benchmark; the last one also finishes the rows."""
     found = docs.select(
         F.col(id_col).alias("id"), filled(F.col(text_col)).alias("text"),
         F.lit(None).cast("binary").alias("hit"), F.lit(None).cast("array<string>").alias("items"),
     )
-    schema = found.schema
+    between, search = found.schema, None
     for block in blocks(benchmark, item_col, item_text_col, window):
+        if search:
+            found = found.mapInArrow(releasing(search), between)
         shared = docs.sparkSession.sparkContext.broadcast(block)  # BLOCK windows at most
-        found = found.mapInArrow(releasing(partial(_found, windows=shared)), schema)
-    return found
+        search = partial(_found, windows=shared)
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return finish(search(batches) if search else batches)
+
+    return found.mapInArrow(releasing(last), schema.format(id=found.schema["id"].dataType.simpleString()))
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(id, text, hit, items) for every row: a bit for each word, from the highest of each byte, and item ids."""
+    schema = "id {id}, text string, hit binary, items array<string>"
+    return _passes(docs, benchmark, lambda batches: batches, schema, id_col, text_col, **options)
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,10 +279,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Counts and a digest of the items for every row: id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = find_hits(docs, benchmark, id_col, text_col, **options)
-    kind = found.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
-    return found.mapInArrow(releasing(_digests), schema).withColumnRenamed("id", id_col)
+    schema = "id {id}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
+    found = _passes(docs, benchmark, _digests, schema, id_col, text_col, **options)
+    return found.withColumnRenamed("id", id_col)
 
 
 def remove_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
@@ -281,7 +292,6 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *
     """
     columns = docs.columns
     whole = docs.withColumn("_llm_row", F.struct(*columns))
-    found = find_hits(whole, benchmark, "_llm_row", text_col, **options)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,7 +301,7 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *
             columns = [batch.column("id"), pa.array(cleaned, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "cleaned"])
 
-    kept = found.mapInArrow(releasing(cut), f"id {found.schema['id'].dataType.simpleString()}, cleaned string")
+    kept = _passes(whole, benchmark, cut, "id {id}, cleaned string", "_llm_row", text_col, **options)
     return kept.select(
         *(F.coalesce("cleaned", f"id.`{c}`").alias(c) if c == text_col else F.col(f"id.`{c}`").alias(c) for c in columns)
     )
