@@ -46,9 +46,10 @@ from orderlens.llm.common import filled, kept_table, releasing
 LENGTH = 50
 GRAM = 24
 BATCH = 2 << 20
-BITS = 27
+BITS = 28
 FREQUENT = 60_000
-BUCKET = 16 << 20  # bytes of text for each bucket
+BUCKET = 4 << 20  # bytes of text for each bucket
+BUCKETS = 256  # at least
 PART = 10_000  # strings in one suffix array, unless an anchor has more
 CHUNK = 1 << 20
 
@@ -489,7 +490,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         given.mapInArrow(releasing(_batched), BATCHES), "batches"
     )
     total = packed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    buckets = 1 << max(6, (total // BUCKET).bit_length())
+    buckets = max(BUCKETS, 1 << (total // BUCKET).bit_length())
 
     anchors = packed.mapInArrow(releasing(partial(_anchors, buckets=buckets)), "bucket int, n bigint, anchors binary, docs binary")
     slices = anchors.groupBy("bucket").applyInPandas(
