@@ -45,7 +45,7 @@ from orderlens.llm.common import filled, kept_table, releasing
 
 LENGTH = 50
 GRAM = 24
-BATCH = 2 << 20
+BATCH = 3 << 20
 BITS = 28
 FREQUENT = 60_000
 BUCKET = 4 << 20  # bytes of text for each bucket
