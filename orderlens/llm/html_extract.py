@@ -3,9 +3,13 @@
 Each page is parsed into blocks of text and the containers around them, its best container is
 scored, and the container's path of tags and classes, with digits generalised, is the page's vote.
 Spark counts the votes of each host; paths with at least ``SHARE`` of them (``PATHS`` at most by
-that) win, and every page is extracted again from the element with the most voted path it has. A page
+that) win, and every page is extracted again from all elements with the most voted path it has. A page
 that has none of its host's paths keeps its own container.
 
+A container is narrowed only as long as ``KEPT`` of the page's text stays, so parts of a text that stand in
+several elements keep the element around them; elements with the container's path are taken with it. Several
+articles are taken together: those with one path, or all in the element around them.
+
 Left out are elements whose tag, role, class or id marks them as menu, header, footer, sidebar, notice,
 advert, form, script, style or reader comments. Nothing else is dropped within a container.
 
@@ -29,7 +33,7 @@ from orderlens.llm.common import kept_table, releasing
 
 SHARE = 0.1
 PATHS = int(1 / SHARE)
-DESCEND = 0.6  # a container gives way to a child with so much of its text
+KEPT = 0.85  # a container gives way to a child with so much of the page's text
 TITLE_ROOM = 0.3  # a parent with a title may add so much text
 
 # HTML's element names by kind.
@@ -185,6 +189,33 @@ def parse(html: str) -> Page:
     return page
 
 
+def alike(page: Page, container: int) -> list[int]:
+    """The undropped elements with the path of a container, itself included."""
+    path = page.elements[container].path
+    found = [n for n, e in enumerate(page.elements) if e.path == path and e.container == n and not e.dropped and e.below > 0]
+    return found if container in found else [container]
+
+
+def around(page: Page, articles: list[int]) -> int:
+    """The largest article if those with its path hold most of their text, or else the nearest container of all."""
+    elements = page.elements
+    above = []
+    for n in articles:
+        line = [n]
+        while elements[line[-1]].parent >= 0:
+            line.append(elements[line[-1]].parent)
+        above.append(line)
+    given = set(articles)
+    outer = [line for line in above if not given & set(line[1:])]  # others stand within these
+    largest = max((line[0] for line in outer), key=lambda n: elements[n].below)
+    total = sum(elements[line[0]].below for line in outer)
+    same = sum(elements[line[0]].below for line in outer if elements[line[0]].path == elements[largest].path)
+    if same >= KEPT * total:
+        return largest
+    shared = set(outer[0]).intersection(*outer[1:])
+    return next(n for n in outer[0] if n in shared and elements[n].container == n)
+
+
 def best_container(page: Page) -> int:
     """The container that holds most of the text and little else; an article is taken whole."""
     elements = page.elements
@@ -195,11 +226,11 @@ def best_container(page: Page) -> int:
             children.setdefault(parent, []).append(number)
     articles = [n for n, e in enumerate(elements) if e.tag == "article" and not e.dropped and e.below > 0]
     if articles:
-        return max(articles, key=lambda n: elements[n].below)
+        return around(page, articles)
     at = 0
     while True:
         inner = max(children.get(at, ()), key=lambda n: elements[n].below, default=None)
-        if inner is None or elements[inner].below < DESCEND * elements[at].below or not elements[at].below:
+        if inner is None or elements[inner].below < KEPT * elements[0].below or not elements[at].below:
             break
         at = inner
     while at and elements[at].parent > 0:
@@ -212,23 +243,31 @@ def best_container(page: Page) -> int:
     return at
 
 
-def text_of(page: Page, container: int) -> str:
-    """The blocks of a container in page order."""
+def text_of(page: Page, *containers: int) -> str:
+    """The blocks of containers in page order."""
     elements = page.elements
     inside = [False] * len(elements)
     for number, element in enumerate(elements):
-        inside[number] = number == container or element.parent >= 0 and inside[element.parent]
+        inside[number] = number in containers or element.parent >= 0 and inside[element.parent]
     return "\n".join(text for owner, text in page.blocks if inside[owner] and not elements[owner].dropped)
 
 
-def chosen_container(page: Page, paths: list[str]) -> int:
-    """The element with most text among those with the first winning path that the page has, or else its own best."""
+def chosen_containers(page: Page, paths: list[str]) -> list[int]:
+    """The elements with the first winning path that the page has, or else with the path of its own best.
+
+    The page's own best also stays where the winning path would leave out more of it than ``KEPT`` allows, unless it is
+    the whole body, where what stands beside is mostly the site's.
+    """
     elements = page.elements
+    own = best_container(page)
     for path in paths:
-        found = [n for n, e in enumerate(elements) if e.path == path and e.container == n and not e.dropped and e.below > 0]
-        if found:
-            return max(found, key=lambda n: elements[n].below)
-    return best_container(page)
+        found = next((n for n, e in enumerate(elements) if e.path == path and e.container == n and not e.dropped and e.below > 0), None)
+        if found is not None:
+            chosen = alike(page, found)
+            within = [n for n in chosen if elements[n].path.startswith(f"{elements[own].path}/")]
+            whole = sum(elements[n].below for n in within) >= KEPT * elements[own].below
+            return chosen if not within or whole or elements[own].tag in ("", "html", "body") else alike(page, own)
+    return alike(page, own)
 
 
 def host(url: Column) -> Column:
@@ -240,9 +279,9 @@ def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths, weights = [], []
         for html in batch.column("html").to_pylist():
             page = parse(html or "")
-            best = page.elements[best_container(page)]
-            paths.append(best.path)
-            weights.append(best.below)
+            best = best_container(page)
+            paths.append(page.elements[best].path)
+            weights.append(sum(page.elements[n].below for n in alike(page, best)))
         columns = [batch.column("host"), pa.array(paths, pa.string()), pa.array(weights, pa.float64())]
         yield pa.RecordBatch.from_arrays(columns, names=["host", "path", "weight"])
 
@@ -267,7 +306,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for html, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist(), strict=True):
             page = parse(html or "")
-            texts.append(text_of(page, chosen_container(page, paths or [])))
+            texts.append(text_of(page, *chosen_containers(page, paths or [])))
         columns = [batch.column("id"), batch.column("url"), pa.array(texts, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=["id", "url", "text"])
 

@@ -48,6 +48,45 @@ def test_hosts_decide(spark):
     assert found[10] == STORY * 9
 
 
+def extracted(spark, *pages):
+    df = spark.createDataFrame([(i, f"http://h{h}.example/", p) for i, (h, p) in enumerate(pages)], "page_id bigint, url string, html string")
+    found = {r[0]: r[2] for r in rows(extract(df))}
+    return [found[i] for i in range(len(pages))]
+
+
+def test_text_in_several_elements(spark):
+    a, b, c = (f"{name} {STORY}" * 3 for name in "abc")
+    parts = f"<div id=content>%s<div class=part><p>{a}</p></div><div class=part><p>{b} {c}</p></div></div><div class=footer>f</div>"
+    other = f"<div class=lead><p>{a}</p></div><div class=rest><p>{b} {c}</p></div>"
+    found = extracted(spark, (1, parts % ""), (2, parts % "<h1>T</h1>"), (3, f"<body><nav>n</nav><div>{other}</div></body>"))
+    assert found == [f"{a}\n{b} {c}", f"T\n{a}\n{b} {c}", f"{a}\n{b} {c}"]
+
+
+def test_all_elements_of_a_winning_path(spark):
+    a, b = (f"{name} {STORY}" for name in "ab")
+    page = "<div><div class=part><p>%s</p></div><div class=part><p>%s</p></div></div>"
+    found = extracted(spark, *((1, page % (a * 20, i)) for i in range(5)), (1, page % (a, b)))
+    assert found == [*(f"{a * 20}\n{i}" for i in range(5)), f"{a}\n{b}"]
+
+
+def test_a_page_keeps_what_its_host_leaves_out(spark):
+    a, b = (f"{name} {STORY}" for name in "ab")
+    page = "<div id=content><div class=lead><p>%s</p></div><div class=rest><p>%s</p></div></div>"
+    found = extracted(spark, *((1, page % (i, a * 20)) for i in range(5)), (1, page % (a, b)))
+    assert found == [*([a * 20] * 5), f"{a}\n{b}"]
+
+
+def test_several_articles(spark):
+    a, b = (f"{name} {STORY}" for name in "ab")
+    found = extracted(
+        spark,
+        (1, f"<main><article><p>{a}</p></article><nav>n</nav><article><p>{b}</p></article></main>"),
+        (2, f"<div><article class=lead><p>{a}</p></article><aside>x</aside><article class=rest><p>{b}</p></article></div><footer>f</footer>"),
+        (3, f"<article><p>{a}</p><article><p>{b}</p></article></article>"),
+    )
+    assert found == [f"{a}\n{b}"] * 3
+
+
 def test_odd_pages(spark):
     pages = [(1, None, None), (1, None, None), (None, "", ""), (2, "no url", f"<article><p>{STORY}</p></article>"), (3, None, "<p>" + "long text " * 200_000)]
     df = spark.createDataFrame([(*p, "x", "y") for p in pages], "page_id bigint, url string, html string, host string, paths string")
