@@ -11,7 +11,9 @@ several elements keep the element around them; elements with the container's pat
 articles are taken together: those with one path, or all in the element around them.
 
 Left out are elements whose tag, role, class or id marks them as menu, header, footer, sidebar, notice,
-advert, form, script, style or reader comments. Nothing else is dropped within a container.
+advert, form, script, style or reader comments. Within an article or the container that was found, headers stay,
+and so do elements whose only marks are ``AMBIGUOUS`` words if they carry text: a block of ``LITTLE`` characters
+without links, and links for less than half of it. Nothing else is dropped within a container.
 
 Unclosed and misnested tags are closed as browsers do for paragraphs, list items and table cells.
 Defined results: null and empty pages give an empty text. Pages without a url share one host.
@@ -36,6 +38,8 @@ PATHS = int(1 / SHARE)
 KEPT = 0.85  # a container gives way to a child with so much of the page's text
 TITLE_ROOM = 0.3  # a parent with a title may add so much text
 
+LITTLE = 40  # characters of a block, at least, that tell text from labels
+
 # HTML's element names by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg textarea select math object".split())
@@ -53,6 +57,7 @@ MARKS = frozenset(
     "notice notification pager pagination popup promo promotion recommended related replies respond search share "
     "sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+AMBIGUOUS = frozenset("notice related search share sharing social".split())  # marks that parts of an article may bear
 CLOSES = {  # a start tag ends an open element of these kinds first
     "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")),
     "tr": frozenset(("tr", "td", "th")), "td": frozenset(("td", "th")), "th": frozenset(("td", "th")),
@@ -79,22 +84,59 @@ class Element:
     text: float = 0.0  # of its own blocks, without links
     below: float = 0.0  # of its whole subtree
     title: bool = False
+    mark: str = ""  # the weak mark of its own: "header" or "ambiguous"
+    marked: bool = False  # another mark of its own
 
 
 @dataclass
 class Page:
     elements: list[Element] = field(default_factory=list)
     blocks: list[tuple[int, str]] = field(default_factory=list)  # element, text; in page order
+    linked: list[int] = field(default_factory=list)  # characters in links of each block
 
 
-def _marked(tag: str, attributes: dict[str, str], inside: bool) -> bool:
-    """Whether an element is not part of an article; inside: it stands in one."""
-    if tag in DROPPED or tag == "header" and not inside or attributes.get("role", "").lower() in ROLES:
-        return True
+def _marks(tag: str, attributes: dict[str, str]) -> tuple[str, bool]:
+    """What marks an element as no part of an article: its weak mark, and whether it has another."""
+    if tag in DROPPED or attributes.get("role", "").lower() in ROLES:
+        return "", True
+    weak = "header" if tag == "header" else ""
     if tag in ("html", "body", "main", "article") or not attributes:
-        return False
-    words = {w.lower() for name in ("class", "id") for w in PARTS.findall(attributes.get(name, ""))}
-    return bool(words & MARKS)
+        return weak, False
+    words = {w.lower() for name in ("class", "id") for w in PARTS.findall(attributes.get(name, ""))} & MARKS
+    if words - AMBIGUOUS - {"header"}:
+        return weak, True
+    return "ambiguous" if words & AMBIGUOUS else "header" if words else weak, False
+
+
+def _carrying(page: Page) -> list[bool]:
+    """Whether each element carries text: see AMBIGUOUS in the module's description."""
+    elements = page.elements
+    total, linked, block = ([0] * len(elements) for _ in range(3))
+    for (owner, text), links in zip(page.blocks, page.linked, strict=True):
+        total[owner] += len(text)
+        linked[owner] += links
+        block[owner] = max(block[owner], len(text) - links)
+    for n in range(len(elements) - 1, 0, -1):
+        if not elements[n].marked:
+            up = elements[n].parent
+            total[up] += total[n]
+            linked[up] += linked[n]
+            block[up] = max(block[up], block[n])
+    return [b >= LITTLE and 2 * k < t for t, k, b in zip(total, linked, block, strict=True)]
+
+
+def judge(page: Page, scopes: set[int]) -> list[bool]:
+    """Whether each element is dropped; headers, and ambiguous elements that carry text, stay within the scopes."""
+    elements = page.elements
+    carrying = _carrying(page) if any(e.mark == "ambiguous" for e in elements) else []
+    within, dropped = [False] * len(elements), [False] * len(elements)
+    for n, e in enumerate(elements):
+        if n:
+            within[n], dropped[n] = within[e.parent], dropped[e.parent]
+        stays = within[n] and (e.mark == "header" or e.mark == "ambiguous" and carrying[n])
+        dropped[n] |= e.marked or bool(e.mark) and not stays
+        within[n] |= n in scopes
+    return dropped
 
 
 def parse(html: str) -> Page:
@@ -119,10 +161,7 @@ def parse(html: str) -> Page:
             if text:
                 owner = next(e for e in reversed(stack) if elements[e].tag not in INLINE)
                 page.blocks.append((owner, text))
-                if not elements[owner].dropped:
-                    box = elements[elements[owner].container]
-                    box.text += max(0, len(text) - linked)
-                    box.title |= elements[owner].tag in HEADINGS
+                page.linked.append(min(len(text), linked))
         linked = 0
 
     while at < size:
@@ -170,18 +209,31 @@ def parse(html: str) -> Page:
         attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(given)} if "=" in given else {}
         parent = stack[-1]
         above = elements[parent]
-        inside = any(elements[e].tag in ("article", "main") for e in stack)
         name = tag
         if attributes.get("class"):
             name += "." + ".".join(sorted(re.sub(r"\d+", "N", c) for c in set(attributes["class"].split())))
         path = above.path if tag in ("html", "body") else f"{above.path}/{name}"
         number = len(elements)
         is_box = tag in CONTAINERS
-        dropped = above.dropped or _marked(tag, attributes, inside)
-        elements.append(Element(tag, parent, path, dropped, number if is_box else above.container))
+        mark, marked = _marks(tag, attributes)
+        elements.append(Element(tag, parent, path, False, number if is_box else above.container, mark=mark, marked=marked))
         if not given.endswith("/") or tag in CONTAINERS:
             stack.append(number)
     close_block()
+    dropped = judge(page, {n for n, e in enumerate(elements) if e.tag in ("article", "main")})
+    for element, out in zip(elements, dropped, strict=True):
+        element.dropped = out
+    for (owner, text), links in zip(page.blocks, page.linked, strict=True):
+        box = elements[owner].container
+        if not dropped[owner]:
+            elements[box].text += len(text) - links
+        if elements[owner].tag in HEADINGS:
+            # a heading in a header, or marked as one, is the title of what stands around
+            n = owner
+            while elements[n].mark == "header" or n not in (0, box) and not (elements[n].mark or elements[n].marked):
+                n = elements[n].parent
+                box = elements[n].container
+            elements[box].title |= not elements[n].dropped
     for element in reversed(elements):
         element.below += element.text
         if element.parent >= 0:
@@ -246,10 +298,12 @@ def best_container(page: Page) -> int:
 def text_of(page: Page, *containers: int) -> str:
     """The blocks of containers in page order."""
     elements = page.elements
+    scopes = {n for n in containers if elements[n].tag not in ("", "html", "body")}
+    dropped = judge(page, scopes | {n for n, e in enumerate(elements) if e.tag in ("article", "main")})
     inside = [False] * len(elements)
     for number, element in enumerate(elements):
         inside[number] = number in containers or element.parent >= 0 and inside[element.parent]
-    return "\n".join(text for owner, text in page.blocks if inside[owner] and not elements[owner].dropped)
+    return "\n".join(text for owner, text in page.blocks if inside[owner] and not dropped[owner])
 
 
 def chosen_containers(page: Page, paths: list[str]) -> list[int]:

@@ -35,6 +35,25 @@ def test_pages(html, text):
     assert own_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<article><header class='entry-header'><h1>T</h1></header><p>{STORY}</p></article>", f"T\n{STORY}"),
+        (f"<article><h1 class=page-header>T</h1><div class='article-header'><p>By A.</p></div><p>{STORY}</p></article>", f"T\nBy A.\n{STORY}"),
+        (f"<div class=header>Site</div><div id=content><div class=post-header><h1>T</h1></div><div class=text><p>{STORY}</p></div></div>", f"T\n{STORY}"),
+        (f"<div id=post><h1 class=page-header>T</h1><p>{STORY}</p></div>", f"T\n{STORY}"),
+        *((f"<article><p>{STORY}</p><div class='{mark}'><p>{STORY}</p></div></article>", f"{STORY}\n{STORY}") for mark in ("market-share", "notice", "related", "search", "social")),
+        (f"<div class=post><p>{STORY}</p><p>{STORY}</p><div class=notice><p>{STORY}</p></div></div>", "\n".join([STORY] * 3)),
+        # still dropped: labels, links, other marks, and what stands outside
+        (f"<article><p>{STORY}</p><div class=share>Share this</div><ul class=related><li><a href=x>{STORY}</a></ul></article>", STORY),
+        (f"<article><div class=header><nav>Menu</nav></div><p>{STORY}</p><div class='social sidebar'><p>{STORY}</p></div></article>", STORY),
+        (f"<div class=notice><p>{STORY}</p></div><div class=header><h1>Site</h1></div><article><p>{STORY} {STORY}</p></article>", f"{STORY} {STORY}"),
+    ],
+)
+def test_marks_within_an_article(html, text):
+    assert own_text(html) == text
+
+
 def test_hosts_decide(spark):
     page = f"<div class='teaser-1'><p>%s</p></div><div class='story-7 x'><p>{STORY}</p><p>%s</p></div>"
     pages = [(i, f"http://Host.example/{i}", page % ("short", i)) for i in range(9)]
