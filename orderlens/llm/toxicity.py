@@ -12,8 +12,8 @@ on Nyström features of the witnesses and of clean words is fitted, witnesses ar
 it, and so on; witnesses that serve as landmarks are also examples with a character inserted.
 Landmarks are the most frequent witnesses and the clean words nearest to them. A logistic curve
 turns a text's highest decision, the sum of its positive ones and its number of words into a score. All of that uses a bounded sample:
-``SAMPLE`` labelled texts of each class in the order of a hash of their ids, ``UNITS`` distinct words
-of each, and about ``CLEAN`` distinct words of clean texts. Nothing random is involved.
+``SAMPLE`` labelled texts of each class in the order of a hash of their ids, with all their words as witnesses,
+and about ``CLEAN`` distinct words of clean texts. Nothing random is involved.
 
 Scoring covers every word of every text. The decision is linear in the triples, so the landmarks fold
 into one table of weights by triple, which is what executors get (``CLASSES ** 3`` numbers).
@@ -41,7 +41,6 @@ from orderlens.llm.common import filled, releasing
 
 FOLDS = 5
 SAMPLE = 1200
-UNITS = 1000
 CLEAN = 60_000  # words of clean texts used as examples
 SPAN = 6
 DECAY = 0.7
@@ -319,9 +318,7 @@ def fit(bags: list[list[str]], toxic: np.ndarray, share: float = 0.5) -> Model:
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        # of a text with very many words, an even spread in alphabetical order
         found = [sorted(units(t)) for t in batch.column("text").to_pylist()]
-        found = [f[:: -(-len(f) // UNITS)] if f else f for f in found]
         yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.string()))], names=["toxic", "units"])
 
 

@@ -70,6 +70,15 @@ def test_units_and_windows():
     assert windows("...") == []
 
 
+def test_long_texts_teach_with_all_their_words(spark):
+    """The insult is one of more than 1,000 distinct words, the second in alphabetical order."""
+    vocabulary = ["aa", *(f"{a}{b}{c}" for a in ("ta", "ri", "sel", "mun") for b in "bdfghklmnprstvwz" for c in range(20))]
+    docs = [(i, " ".join([*vocabulary, *[INSULTS[i // 2 % 4]] * (i % 2)])) for i in range(120)]
+    labels = [(i, i % 2) for i in range(120)]
+    model = train(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert (model.decisions(INSULTS) > 0).all() and (model.decisions(vocabulary) < 0).all()
+
+
 def test_odd_documents(spark, model):
     found = rows(score(odd_documents(spark, 2), model))
     assert len(found) == 2 * len(TEXTS)
