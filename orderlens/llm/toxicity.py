@@ -2,9 +2,10 @@
 
 A text's sentences are judged by their words. The kernel of two words counts the triples of letters
 they share in order, gaps allowed: a triple that spans s letters, s at most ``SPAN``, weighs
-``DECAY ** s``, and the kernel is normalised. Punctuation inside a word is skipped and words spelled
-with blanks between their letters are joined, so that inserted characters lower the similarity
-only a little.
+``DECAY ** s``, and the kernel is normalised. Punctuation inside a word is skipped. Neighbouring
+words, short ones in a row and runs of single letters are joined too, whatever blanks and punctuation stand
+between, so that inserted characters lower the similarity only a little. A word cut into more than two pieces is
+joined whole only if they are single letters, or ``PIECES`` at most of ``SHORT`` letters.
 
 Training: labels hold for whole texts, so which sentence makes a text toxic is found while
 learning. The word that stands out most in each toxic text is its witness; a support vector machine
@@ -30,7 +31,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import combinations
+from itertools import combinations, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +55,8 @@ LOWEST = -3.0  # decision of a text without words
 
 START, END = "\x02", "\x03"  # marks of a word's ends, letters of their own to the kernel
 
-SPELLED = re.compile(r"(?<!\S)\w(?:\s\w){2,}(?!\S)")
+SHORT = 3  # letters of a piece of a word, at most, where more than two pieces are joined
+PIECES = 4  # that are joined, unless they are single letters
 JOINTS = re.compile(r"[\W_]+")
 OFFSETS = [(j, k) for j, k in combinations(range(1, SPAN), 2)]
 
@@ -65,10 +67,26 @@ def held_out(id_col: Column) -> Column:
 
 
 def units(text: str) -> set[str]:
-    """The distinct words of a text as the kernel sees them, still with their punctuation."""
-    text = text.lower()
-    found = set(text.split())
-    found.update(m.replace(" ", "") for m in SPELLED.findall(text))
+    """The distinct words of a text as the kernel sees them, still with their punctuation, and neighbours joined.
+
+    Joined, without punctuation and blanks, are runs of single letters and, with a blank before, any two neighbours
+    and up to ``PIECES`` short ones.
+    """
+    words = text.lower().split()
+    found = set(words)
+    pieces = [p for p in (JOINTS.sub("", w) for w in words) if p]
+    found.update(f" {a}{b}" for a, b in zip(pieces, pieces[1:], strict=False))
+    run: list[str] = []
+    for piece in [*pieces, ""]:
+        if 0 < len(piece) <= SHORT:
+            run.append(piece)
+            continue
+        for n in range(3, min(PIECES, len(run)) + 1):
+            found.update(" " + "".join(run[i : i + n]) for i in range(len(run) - n + 1))
+        if len(run) > 2:
+            singles = (list(g) for single, g in groupby(run, key=lambda p: len(p) == 1) if single)
+            found.update("".join(g) for g in singles if len(g) > 2)
+        run = []
     return found
 
 
@@ -269,6 +287,7 @@ def fit(bags: list[list[str]], toxic: np.ndarray, share: float = 0.5) -> Model:
     chance words and wrong labels do not confirm themselves.
     """
     nothing = Model(np.zeros(CLASSES**3), LOWEST, np.array([0.0, 0.0, 0.0, -30.0]))
+    plain = {w for bag in bags for unit in bag if unit[:1] != " " for w in windows(unit)}
     given, bags = bags, [sorted({w for unit in bag for w in windows(unit)}) for bag in bags]
     words = sorted(set().union(*bags))
     number = {w: i for i, w in enumerate(words)}
@@ -280,8 +299,9 @@ def fit(bags: list[list[str]], toxic: np.ndarray, share: float = 0.5) -> Model:
     toxic_bags = [b for b, t in zip(bag_words, toxic, strict=True) if t]
     in_toxic, in_clean = texts_with(toxic_bags), texts_with(b for b, t in zip(bag_words, toxic, strict=True) if not t)
     odds = ((in_toxic + 0.5) / (toxic.sum() + 1)) / ((in_clean + 0.5) / ((~toxic).sum() + 1))
-    # words of clean texts are witnesses only if that can hardly be chance
-    candidate = (in_toxic > 0) & ((in_clean == 0) | (odds > 10) & (in_toxic >= 5))
+    # words of clean texts and joined neighbours are witnesses only if that can hardly be chance
+    single = np.array([w in plain for w in words], dtype=bool)
+    candidate = (in_toxic > 0) & (single & (in_clean == 0) | (odds > 10) & (in_toxic >= 5))
     toxic_bags = [b[candidate[b]] for b in toxic_bags if candidate[b].any()]
     clean = (in_clean > 0) & ~candidate
     # of very many clean words, an even spread in alphabetical order besides the most frequent

@@ -70,6 +70,38 @@ def test_units_and_windows():
     assert windows("...") == []
 
 
+def test_gaps_beyond_a_blank(model):
+    spelled = [sep.join("scoundrel") for sep in ("  ", " - ", " . ", "- ", "\n")]
+    cut = ["scoun drel", "block head", "nincom - poop", "dim, wit", "scoundr  el"]
+    texts = [f"tarino sel {t} mun kado" for t in spelled + cut]
+    assert (model.score(summaries(texts, model, {})) >= 0.5).all()
+    clean = ["tarino sel mun ka do fe", "ri no - sel", "ta. ri. no.", "a b", "kado felis parven to sel lis"]
+    assert (model.score(summaries(clean, model, {})) < 0.5).all()
+
+
+def test_joined_neighbours():
+    assert {"idiot"} <= units("i  d - i . o\nt") and {" idiot"} <= units("an idi - ot") & units("you id i ot are")
+    assert units("one") == {"one"} and units("- .") == {"-", "."}
+
+
+def test_insults_of_ordinary_words():
+    """Neither word tells anything by itself, since clean texts have both."""
+    random.seed(4)
+    vocabulary = ["tarino", "selmun", "kadofe", "lispar", "vento", "munka", "felis", "doriven", "sack", "sad"]
+    bags, toxic = [], []
+    for i in range(400):
+        words = random.choices(vocabulary, k=20)
+        words = [w for w, after in zip(words, [*words[1:], ""], strict=True) if (w, after) != ("sad", "sack")]
+        if i % 2:
+            at = random.randrange(len(words))
+            words[at:at] = ["sad", "sack"]
+        bags.append(sorted(units(" ".join(words))))
+        toxic.append(i % 2 == 1)
+    model = fit(bags, np.array(toxic))
+    scores = model.score(summaries(["felis munka sad sack vento", "felis sad munka sack vento"], model, {}))
+    assert scores[0] > scores[1]
+
+
 def test_long_texts_teach_with_all_their_words(spark):
     """The insult is one of more than 1,000 distinct words, the second in alphabetical order."""
     vocabulary = ["aa", *(f"{a}{b}{c}" for a in ("ta", "ri", "sel", "mun") for b in "bdfghklmnprstvwz" for c in range(20))]
