@@ -11,7 +11,7 @@ from orderlens.llm.chain_dedup import repeated_passages
 from orderlens.llm.common import UPPER, table
 from orderlens.llm.decontamination import contamination
 from orderlens.llm.exact_dedup import mark_copies
-from orderlens.llm import token_files, toxicity
+from orderlens.llm import fill_in_middle, importance, mixing, token_files, toxicity
 from orderlens.llm.html_extract import extract
 from orderlens.llm.sharding import assign
 from orderlens.llm.simhash import near_duplicates
@@ -61,6 +61,18 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.round_trip(table(spark, sf_dir, "documents"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_toxicity": op2_toxicity,
@@ -72,6 +84,9 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_html_extraction": op9_html_extraction,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_mixing": op12_source_mixing,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
@@ -102,4 +117,57 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
         FROM d""",
+    "op11_fill_in_middle": """
+        WITH d AS (
+          SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                 sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+          FROM documents),
+        drawn AS (
+          SELECT doc_id, text, u, CAST(len(u) AS BIGINT) AS n,
+                 CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS b,
+                 CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS c, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS o
+          FROM d),
+        cut AS (
+          SELECT doc_id, text, n,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR c >= 90 THEN 'plain'
+                      WHEN o < 20 THEN 'spm' ELSE 'psm' END AS form,
+                 array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+                 array_to_string(u[greatest(a, b) + 1:], '') AS s
+          FROM drawn)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM cut""",
+    "op12_source_mixing": r"""
+        WITH d AS (
+          SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                 sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+          FROM documents),
+        sources AS (
+          SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place
+          FROM d GROUP BY source),
+        weighed AS (
+          SELECT source, source_size, CAST(source_size * 2 AS DOUBLE) AS most,
+                 CASE (place - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight
+          FROM sources),
+        -- sources in the order in which they reach their limits
+        filled AS (
+          SELECT *, 1.5 * sum(source_size) OVER () - coalesce(sum(most) OVER before, 0) AS budget_left,
+                 sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+          FROM weighed
+          WINDOW before AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        level AS (SELECT max(CAST(budget_left AS DOUBLE) / weight_left) AS level FROM filled WHERE most * weight_left > budget_left * weight),
+        targets AS (
+          SELECT source, source_size, least(most, coalesce(level, 0) * weight) AS target FROM weighed, level),
+        running AS (
+          SELECT doc_id, size, source_size, target, CAST(floor(target) AS BIGINT) AS budget,
+                 coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS FIRST, size
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+          FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target,
+               CAST(CASE WHEN source_size = 0 THEN 0
+                    ELSE budget // source_size * size + least(size, greatest(0, budget % source_size - before)) END AS BIGINT) AS taken
+        FROM running""",
 }

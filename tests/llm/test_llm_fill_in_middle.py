@@ -1,0 +1,98 @@
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import rows
+from llm_corpus import TEXTS, no_documents, odd_documents
+from pyspark.sql import functions as F
+
+from orderlens.llm import fill_in_middle
+from orderlens.llm.fill_in_middle import BitVector, Classes, WaveletMatrix, restore, round_trip, transform
+
+MORE = [(20, "has <P> in it"), (21, "<S>"), (22, "x<M>"), (23, "ends <"), (24, "<P <S <M >P>"), (25, "a\nb\r\n\x00c"), (26, "日本<語>é")]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def brute(doc_id, text, unit="[A-Za-z]+|[^A-Za-z]"):
+    text = text or ""
+    units = re.findall(unit, text, re.DOTALL)
+    digest = sha("1:" + ("" if doc_id is None else str(doc_id)))
+    h = [int(digest[i : i + 8], 16) for i in (0, 8, 16, 24)]
+    n = len(units)
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not text or any(mark in text for mark in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    if h[3] % 100 < 20:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def wanted(docs, **options):
+    found = Counter()
+    for i, t in docs:
+        *counts, output = brute(i, t, **options)
+        found[(i, *counts, sha(output), sha(t or ""))] += 1
+    return found
+
+
+@pytest.mark.parametrize("stretch", [1, 300, 1 << 22])
+def test_odd_documents(spark, monkeypatch, stretch):
+    monkeypatch.setattr(fill_in_middle, "STRETCH", stretch)
+    docs = odd_documents(spark, 2)
+    docs = docs.unionByName(spark.createDataFrame(MORE, "doc_id bigint, text string"), allowMissingColumns=True)
+    docs = docs.withColumn("n", F.lit("x")).withColumn("form", F.lit(3)).withColumn("output", F.lit(None)).withColumn("a.b", F.lit(1))
+    assert Counter(rows(round_trip(docs))) == wanted(TEXTS * 2 + MORE)
+
+
+def test_every_form_and_cut(spark):
+    """Texts of few units, many ids: cuts at both ends and equal ones."""
+    docs = [(i, ["", "é", "ab", "a1", "ab cd", "\n\n"][i % 6]) for i in range(3000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    found = rows(round_trip(df))
+    assert Counter(found) == wanted(docs)
+    assert {r[2] for r in found} == {"plain", "psm", "spm"}
+    assert {(r[3], r[4]) for r in found if r[1] == 2 and r[2] != "plain"} >= {(0, 0), (0, 1), (1, 1), (2, 0), (0, 2)}
+
+
+def test_characters_and_shares(spark):
+    docs = [(i, "né <x> ab") for i in range(40)]
+    df = spark.createDataFrame(docs, "key bigint, `t.x` string")
+    found = transform(df, "key", "t.x", unit="character", cut_percent=100, spm_percent=100)
+    for _, n, form, prefix, middle, output in rows(found):
+        s, p, m = re.fullmatch("<S>(.*)<P>(.*)<M>(.*)", output).groups()
+        assert (n, form, prefix, middle, p + m + s) == (9, "spm", len(p), len(m), "né <x> ab")
+    assert {r[0] for r in rows(found.select(restore(F.col("output"), F.col("form"))))} == {"né <x> ab"}
+    assert {r[0] for r in rows(transform(df, "key", "t.x", cut_percent=0).select("form"))} == {"plain"}
+
+
+def test_wavelet_matrix():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 63, 64, 65, 1000):
+        symbols = rng.integers(0, 8, n).astype(np.uint8)
+        ends = np.arange(n + 1)
+        matrix = WaveletMatrix(symbols, 3)
+        for symbol in range(8):
+            assert matrix.rank(symbol, ends).tolist() == np.append(0, np.cumsum(symbols == symbol)).tolist()
+        bits = BitVector(symbols > 3)
+        assert bits.rank(ends).tolist() == np.append(0, np.cumsum(symbols > 3)).tolist()
+        assert bits.zeros == int((symbols <= 3).sum())
+
+
+def test_units_of_neighbouring_texts():
+    """A run of letters ends where its text ends."""
+    texts = [b"", b"ab", b"cd e", b"", "é1".encode(), b"f"]
+    offsets = np.cumsum([0, *map(len, texts)])
+    classes = Classes(np.frombuffer(b"".join(texts), dtype=np.uint8), offsets)
+    assert (classes.units(offsets[1:]) - classes.units(offsets[:-1])).tolist() == [0, 1, 3, 0, 2, 1]
+    cuts = classes.cut(offsets[:-1], offsets[1:], np.array([0, 1, 1, 0, 1, 0]))
+    assert (cuts - offsets[:-1]).tolist() == [0, 2, 2, 0, 2, 0]
+
+
+def test_no_documents(spark):
+    assert rows(round_trip(no_documents(spark))) == []
