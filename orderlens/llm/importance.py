@@ -222,5 +222,7 @@ def resample(
 ) -> DataFrame:
     """(id, n_features, weight, score, rank) for every row of ``docs``; drawn rows have a rank."""
     gain = gains(bucket_counts(docs, text_col, buckets), bucket_counts(target, target_col, buckets))
-    found = draw(weigh(docs, gain, id_col, text_col, seed), percent, least_words)
+    # written, as finding the ranges reads the rows once before they are sorted
+    weighed = kept_table(weigh(docs, gain, id_col, text_col, seed), "importance-weights")
+    found = draw(weighed, percent, least_words)
     return found.select(F.col("id").alias(id_col), "n_features", "weight", "score", "rank")
