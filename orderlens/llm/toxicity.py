@@ -11,17 +11,24 @@ Training: labels hold for whole texts, so which sentence makes a text toxic is f
 learning. The word that stands out most in each toxic text is its witness; a support vector machine
 on Nyström features of the witnesses and of clean words is fitted, witnesses are chosen again with
 it, and so on; witnesses that serve as landmarks are also examples with a character inserted.
-Landmarks are the most frequent witnesses and the clean words nearest to them. A logistic curve
-turns a text's highest decision, the sum of its positive ones and its number of words into a score. All of that uses a bounded sample:
-``SAMPLE`` labelled texts of each class in the order of a hash of their ids, with all their words as witnesses,
-and about ``CLEAN`` distinct words of clean texts. Nothing random is involved.
+Landmarks are the ``LANDMARKS`` / 2 most frequent witnesses and as many clean words nearest to them. A logistic curve
+turns a text's highest decision, the sum of its positive ones and its number of words into a score.
+
+All of that uses a bounded sample of labelled texts: the first ``SAMPLE`` ids of each class in the order of a hash of the
+id, as far as their texts add up to ``SAMPLE_BYTES``. Every word of a sampled text counts: words are cut, counted
+by text and normalised in Spark, and the driver gets one table of them as class numbers, no texts and no strings. The
+fit starts from ``NEGATIVES`` clean words, the nearest and an even spread. A clean word beyond its margin does not change a squared hinge,
+so the last fit adds all clean words of the sample that lie within it until there are none, which makes it the fit over all of them.
+The fits before it only choose witnesses. Nothing random is involved.
 
 Scoring covers every word of every text. The decision is linear in the triples, so the landmarks fold
-into one table of weights by triple, which is what executors get (``CLASSES ** 3`` numbers).
+into one table of weights by triple, which is what executors get (``CLASSES ** 3`` numbers). The triples of joined neighbours
+are those of both plus the ones across the joint, so neighbours are weighed without being spelled out. Their norm follows only where that
+sum exceeds what the least possible norm of their length needs for a positive decision; joined words matter only then.
 
 Defined results: a null or empty text, or one without words, gets the lowest score. Labels that are
-null, or belong to no text, are not used; a text that is labelled twice is used twice. Without a label of
-each class every score is 0. Further columns are ignored.
+null, or belong to no text, are not used; a label that is given twice is used once, a text with both labels as both. Without
+a label of each class every score is 0. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,32 +38,35 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import combinations, groupby
+from itertools import chain, combinations, groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import filled, releasing
+from orderlens.llm.common import filled, kept_table, releasing
 
 FOLDS = 5
-SAMPLE = 1200
-CLEAN = 60_000  # words of clean texts used as examples
+SAMPLE = 1200  # labelled ids of each class
+SAMPLE_BYTES = 8 << 20  # of their texts, for each class
 SPAN = 6
 DECAY = 0.7
 CLASSES = 64  # of letters
 WINDOW, STEP = 24, 12  # longer words are cut into overlapping windows
 LANDMARKS = 256
 ROUNDS = 3
-NEGATIVES = 12_000
-KNOWN = 1 << 18  # words whose decisions a task remembers
+NEGATIVES = 12_000  # clean words a fit starts from
+KNOWN = 1 << 18  # words, and as many joined ones, whose decisions a task remembers
+SLICE = 500  # texts that are weighed together
 LOWEST = -3.0  # decision of a text without words
 
 START, END = "\x02", "\x03"  # marks of a word's ends, letters of their own to the kernel
 
 SHORT = 3  # letters of a piece of a word, at most, where more than two pieces are joined
 PIECES = 4  # that are joined, unless they are single letters
+HALF = WINDOW // 2 - 1  # letters on either side of the joint of two words
 JOINTS = re.compile(r"[\W_]+")
 OFFSETS = [(j, k) for j, k in combinations(range(1, SPAN), 2)]
 
@@ -70,26 +80,33 @@ def units(text: str) -> set[str]:
     """The distinct words of a text as the kernel sees them, still with their punctuation, and neighbours joined.
 
     Joined, without punctuation and blanks, are runs of single letters and, with a blank before, any two neighbours
-    and up to ``PIECES`` short ones.
+    (the ``HALF`` letters next to the joint) and up to ``PIECES`` short ones.
     """
     words = text.lower().split()
     found = set(words)
     pieces = [p for p in (JOINTS.sub("", w) for w in words) if p]
-    found.update(f" {a}{b}" for a, b in zip(pieces, pieces[1:], strict=False))
+    found.update(f" {a[-HALF:]}{b[:HALF]}" for a, b in zip(pieces, pieces[1:], strict=False))
     run: list[str] = []
     for piece in [*pieces, ""]:
         if 0 < len(piece) <= SHORT:
             run.append(piece)
             continue
-        for n in range(3, min(PIECES, len(run)) + 1):
-            found.update(" " + "".join(run[i : i + n]) for i in range(len(run) - n + 1))
-        if len(run) > 2:
-            singles = (list(g) for single, g in groupby(run, key=lambda p: len(p) == 1) if single)
-            found.update("".join(g) for g in singles if len(g) > 2)
+        found.update(joined(run))
         run = []
     return found
 
 
+def joined(run: list[str]) -> set[str]:
+    """What short neighbours give beyond pairs."""
+    found: set[str] = set()
+    for n in range(3, min(PIECES, len(run)) + 1):
+        found.update(" " + "".join(run[i : i + n]) for i in range(len(run) - n + 1))
+    if len(run) > 2:
+        singles = (list(g) for single, g in groupby(run, key=lambda p: len(p) == 1) if single)
+        found.update("".join(g) for g in singles if len(g) > 2)
+    return found
+
+
 def windows(unit: str) -> list[str]:
     """A word's letters and digits between end marks, cut into overlapping windows if there are many."""
     unit = JOINTS.sub("", unit)
@@ -110,21 +127,42 @@ def _letters(text: str) -> np.ndarray:
     return np.where((points >= 48) & (points <= 57), points - 21, classes)
 
 
-def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, triple, weight) for every gapped triple of every word; unnormalised, triples may repeat."""
-    lengths = np.array([len(w) for w in words], dtype=np.int64)
-    letters, owner = _letters("".join(words)), np.repeat(np.arange(len(words)), lengths)
-    rows, codes, weights = [], [], []
+def encoded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of all letters and the words' lengths."""
+    return _letters("".join(words)).astype(np.uint8), np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+
+
+def triples(letters: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+    """(words, triples, weight) for each pair of gaps; unnormalised, a word's triples may repeat."""
+    letters, owner = letters.astype(np.int32), np.repeat(np.arange(len(lengths)), lengths)
     for j, k in OFFSETS:
         if len(letters) <= k:
             continue
         inside = np.flatnonzero(owner[k:] == owner[:-k])
-        rows.append(owner[inside])
-        codes.append((letters[inside] * CLASSES + letters[inside + j]) * CLASSES + letters[inside + k])
-        weights.append(np.full(len(inside), DECAY ** (k + 1)))
-    if not rows:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    return np.concatenate(rows), np.concatenate(codes), np.concatenate(weights)
+        yield owner[inside], (letters[inside] * CLASSES + letters[inside + j]) * CLASSES + letters[inside + k], DECAY ** (k + 1)
+
+
+def _blocks(lengths: np.ndarray, size: int = 20_000) -> Iterator[tuple[slice, slice]]:
+    """Words, and their letters, a block at a time."""
+    ends = np.append(0, np.cumsum(lengths))
+    for start in range(0, len(lengths), size):
+        end = min(start + size, len(lengths))
+        yield slice(start, end), slice(int(ends[start]), int(ends[end]))
+
+
+def numerators(letters: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The sum of a table's entries over each word's triples, weighted but not normalised."""
+    out = np.zeros(len(lengths))
+    for words, at in _blocks(lengths):
+        n = words.stop - words.start
+        for row, code, weight in triples(letters[at], lengths[words]):
+            out[words] += weight * np.bincount(row, weights=table[code], minlength=n)
+    return out
+
+
+def least_norm(length: int) -> float:
+    """No word of so many letters has a smaller norm: its triples would all have to differ."""
+    return math.sqrt(sum(max(0, length - k) * DECAY ** (2 * (k + 1)) for _, k in OFFSETS))
 
 
 @dataclass
@@ -138,17 +176,23 @@ class Features:
 
     @staticmethod
     def of(words: list[str]) -> Features:
+        return Features.of_letters(*encoded(words))
+
+    @staticmethod
+    def of_letters(letters: np.ndarray, lengths: np.ndarray) -> Features:
         rows, codes, weights = [np.empty(0, np.int32)], [np.empty(0, np.int32)], [np.empty(0, np.float32)]
-        for start in range(0, len(words), 10_000):
-            row, code, weight = triples(words[start : start + 10_000])
-            key, at = np.unique(row * CLASSES**3 + code, return_inverse=True)
-            summed = np.bincount(at, weights=weight, minlength=len(key))
+        for words, at in _blocks(lengths, 10_000):
+            found = list(triples(letters[at], lengths[words]))
+            keys = [row * CLASSES**3 + code for row, code, _ in found]
+            values = [np.full(len(row), weight) for row, _, weight in found]
+            key, place = np.unique(np.concatenate([np.empty(0, np.int64), *keys]), return_inverse=True)
+            summed = np.bincount(place, weights=np.concatenate([np.empty(0), *values]), minlength=len(key))
             row = key // CLASSES**3
-            norm = np.sqrt(np.bincount(row, weights=summed**2))
-            rows.append((row + start).astype(np.int32))
+            norm = np.sqrt(np.bincount(row, weights=summed**2, minlength=1))
+            rows.append((row + words.start).astype(np.int32))
             codes.append((key % CLASSES**3).astype(np.int32))
             weights.append((summed / norm[row]).astype(np.float32))
-        return Features(np.concatenate(rows), np.concatenate(codes), np.concatenate(weights), len(words))
+        return Features(np.concatenate(rows), np.concatenate(codes), np.concatenate(weights), len(lengths))
 
     def dot(self, table: np.ndarray) -> np.ndarray:
         """Sum of a table's entries by triple, weighted, for each word."""
@@ -174,12 +218,10 @@ class Features:
         return out
 
 
-def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, both classes weighing the same, by Newton steps."""
+def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss, by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
     ridge = np.append(np.ones(x.shape[1] - 1), 1e-3)
-    total = np.where(y > 0, weight[y > 0].sum(), weight[y < 0].sum())
-    weight = weight / total * cost * len(y) / 2
     w = np.zeros(x.shape[1])
     active = np.ones(len(y), dtype=bool)
     for _ in range(30):
@@ -211,14 +253,19 @@ class Model:
             np.maximum.at(best, np.repeat(np.arange(len(words)), [len(found) for found in cut]), values)
         return best
 
+    def plain(self) -> tuple[np.ndarray, float, np.ndarray]:
+        """The parts, for executors."""
+        return self.table, self.bias, self.curve
+
     def score(self, summaries: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(summaries @ self.curve, -30, 30)))
 
 
-def summary(decisions: list[float]) -> tuple[float, float, float, float]:
-    """What the curve sees of a text: its worst word, how many stand out, how many there are."""
-    positive = sum(d for d in decisions if d > 0)
-    return max(decisions, default=LOWEST), math.log1p(positive), math.log1p(len(decisions)), 1.0
+def summary(words: list[float], joined: list[float]) -> tuple[float, float, float, float]:
+    """What the curve sees of a text: its worst word, how many stand out, how many there are; joined ones if they stand out."""
+    positive = [d for d in joined if d > 0]
+    total = sum(d for d in words if d > 0) + sum(positive)
+    return max([*words, *positive], default=LOWEST), math.log1p(total), math.log1p(len(words)), 1.0
 
 
 def _curve(x: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
@@ -235,155 +282,388 @@ def _curve(x: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
     return w
 
 
-def _gapped(word: str) -> list[str]:
-    """The word with a foreign character after each inner letter, as further examples."""
-    return [f"{word[:i]}0{word[i:]}" for i in range(2, len(word) - 1)]
+def _gapped(word: np.ndarray) -> list[np.ndarray]:
+    """The letters with a foreign one after each inner letter, as further examples."""
+    return [np.insert(word, i, _letters("0")[0]) for i in range(2, len(word) - 1)]
+
+
+@dataclass
+class Words:
+    """Words of sampled texts: classes of letters one word behind the other, norms, and how many texts have each."""
+
+    letters: np.ndarray
+    lengths: np.ndarray
+    norms: np.ndarray
+    in_toxic: np.ndarray
+    in_clean: np.ndarray
+    candidate: np.ndarray  # may be a witness; all others are clean
+
+    def __post_init__(self):
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def word(self, i: int) -> np.ndarray:
+        return self.letters[self.starts[i] : self.starts[i] + self.lengths[i]]
+
+    def features(self, chosen: np.ndarray, more: list[np.ndarray] | None = None) -> Features:
+        words = [self.word(i) for i in chosen] + (more or [])
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        return Features.of_letters(np.concatenate([np.empty(0, np.uint8), *words]), lengths)
+
+    def values(self, table: np.ndarray) -> np.ndarray:
+        return numerators(self.letters, self.lengths, table) / self.norms
+
+    def sums(self, weight: np.ndarray) -> np.ndarray:
+        """Of the words' normalised triples, each word with its weight."""
+        out, weight = np.zeros(CLASSES**3), weight / self.norms
+        for words, at in _blocks(self.lengths):
+            for row, code, decay in triples(self.letters[at], self.lengths[words]):
+                out += np.bincount(code, weights=decay * weight[words][row], minlength=CLASSES**3)
+        return out
 
 
 class _Learner:
     """Fits decisions to chosen witnesses over a fixed set of words."""
 
-    def __init__(self, words: list[str], clean: np.ndarray, often: np.ndarray):
-        self.words, self.features, self.clean, self.often = words, Features.of(words), clean, often
+    def __init__(self, words: Words):
+        self.words, self.against = words, np.flatnonzero(~words.candidate)
 
     def first_values(self, seen: np.ndarray) -> np.ndarray:
         """Naive Bayes over triples: words of toxic texts, with their counts, against clean words."""
-        a, b = np.zeros(CLASSES**3), np.zeros(CLASSES**3)
-        for start in range(0, len(self.features.row), 1 << 20):
-            row, code = self.features.row[start : start + (1 << 20)], self.features.code[start : start + (1 << 20)]
-            a += np.bincount(code, weights=seen[row], minlength=CLASSES**3)
-            b += np.bincount(code, weights=self.clean[row].astype(float), minlength=CLASSES**3)
-        return self.features.dot(np.log((a + 0.5) / (seen.sum() + 1)) - np.log((b + 0.5) / (self.clean.sum() + 1)))
-
-    def fit(self, witness: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, float]:
-        """Table and bias; ``value`` tells which clean words are near the witnesses."""
-        words, against = self.words, np.flatnonzero(self.clean)
+        clean = (~self.words.candidate).astype(float)
+        a, b = self.words.sums(seen.astype(float)), self.words.sums(clean)
+        return self.words.values(np.log((a + 0.5) / (seen.sum() + 1)) - np.log((b + 0.5) / (clean.sum() + 1)))
+
+    def fit(self, witness: np.ndarray, value: np.ndarray, whole: bool = False) -> tuple[np.ndarray, float]:
+        """Table and bias; ``value`` tells which clean words are near the witnesses. ``whole`` fits all clean words."""
+        words, against = self.words, self.against
         chosen, often = np.unique(witness, return_counts=True)
         chosen = chosen[np.argsort(-often, kind="stable")][: LANDMARKS // 2]
         near = against[np.argsort(-value[against], kind="stable")]
-        landmarks = Features.of([words[i] for i in np.concatenate([chosen, near[: LANDMARKS // 2]])])
+        landmarks = words.features(np.concatenate([chosen, near[: LANDMARKS // 2]]))
         # the nearest clean words, and evenly spaced ones of the rest
         rest = near[NEGATIVES // 2 :]
-        negative = np.concatenate([near[: NEGATIVES // 2], rest[:: max(1, 2 * len(rest) // NEGATIVES)]])
+        spaced = np.linspace(0, len(rest), min(len(rest), NEGATIVES // 2), endpoint=False).astype(np.int64)
+        negative = np.concatenate([near[: NEGATIVES // 2], rest[spaced]])
         gram = landmarks.kernel(landmarks)
         values, vectors = np.linalg.eigh(gram + 1e-6 * np.eye(len(gram)))
         nystrom = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
-        gapped = [v for i in chosen for v in _gapped(words[i])]
-        examples = Features.of([words[i] for i in witness] + gapped + [words[i] for i in negative])
-        y = np.append(np.ones(len(witness) + len(gapped)), -np.ones(len(negative)))
+        gapped = [v for i in chosen for v in _gapped(words.word(i))]
+        positive = words.features(witness, gapped).kernel(landmarks) @ nystrom
         # each text and each clean text with the word counts; all inserted characters together as half the texts
         inserted = np.full(len(gapped), len(witness) / (2 * len(gapped) + 1))
-        weight = np.concatenate([np.ones(len(witness)), inserted, self.often[negative]])
-        w, bias = svm(examples.kernel(landmarks) @ nystrom, y, weight)
-        weight = landmarks.weight * (nystrom @ w)[landmarks.row]
-        return np.bincount(landmarks.code, weights=weight, minlength=CLASSES**3), bias
-
-
-def fit(bags: list[list[str]], toxic: np.ndarray, share: float = 0.5) -> Model:
-    """A model from the words of labelled texts; share: of toxic texts where it will be used.
+        taught = np.append(np.ones(len(witness)), inserted)
+        often = words.in_clean.astype(float)
+        x = words.features(negative).kernel(landmarks) @ nystrom
+        size = len(positive) + len(negative)
+        while True:
+            # both classes weigh the same; clean words that a whole fit leaves out are beyond their margin
+            scale = 5.0 * size / often[negative if not whole else against].sum()
+            weight = np.concatenate([taught * (5.0 * size / taught.sum()), often[negative] * scale])
+            w, bias = svm(np.concatenate([positive, x]), np.repeat([1.0, -1.0], [len(positive), len(negative)]), weight)
+            table = np.bincount(landmarks.code, weights=landmarks.weight * (nystrom @ w)[landmarks.row], minlength=CLASSES**3)
+            if not whole:
+                return table, bias
+            inside = against[words.values(table)[against] + bias > -1]
+            added = np.setdiff1d(inside, negative)
+            if not len(added):
+                return table, bias
+            negative = np.concatenate([negative, added])
+            x = np.concatenate([x, words.features(added).kernel(landmarks) @ nystrom])
+
+
+def learn(words: Words, bags: list[np.ndarray]) -> Model | None:
+    """Decisions from words and the candidates in each toxic text; without its curve.
 
     The toxic texts are learned in two halves: a text's witness is the word that the model of the
     other half finds worst, and a text in which that model finds nothing teaches nothing, so that
     chance words and wrong labels do not confirm themselves.
     """
-    nothing = Model(np.zeros(CLASSES**3), LOWEST, np.array([0.0, 0.0, 0.0, -30.0]))
-    plain = {w for bag in bags for unit in bag if unit[:1] != " " for w in windows(unit)}
-    given, bags = bags, [sorted({w for unit in bag for w in windows(unit)}) for bag in bags]
-    words = sorted(set().union(*bags))
-    number = {w: i for i, w in enumerate(words)}
-    bag_words = [np.array([number[w] for w in bag], dtype=np.int64) for bag in bags]
-
-    def texts_with(chosen: Iterable[np.ndarray]) -> np.ndarray:
-        return np.bincount(np.concatenate([np.empty(0, np.int64), *chosen]), minlength=len(words))
-
-    toxic_bags = [b for b, t in zip(bag_words, toxic, strict=True) if t]
-    in_toxic, in_clean = texts_with(toxic_bags), texts_with(b for b, t in zip(bag_words, toxic, strict=True) if not t)
-    odds = ((in_toxic + 0.5) / (toxic.sum() + 1)) / ((in_clean + 0.5) / ((~toxic).sum() + 1))
-    # words of clean texts and joined neighbours are witnesses only if that can hardly be chance
-    single = np.array([w in plain for w in words], dtype=bool)
-    candidate = (in_toxic > 0) & (single & (in_clean == 0) | (odds > 10) & (in_toxic >= 5))
-    toxic_bags = [b[candidate[b]] for b in toxic_bags if candidate[b].any()]
-    clean = (in_clean > 0) & ~candidate
-    # of very many clean words, an even spread in alphabetical order besides the most frequent
-    spread = np.flatnonzero(clean)
-    kept = np.zeros(len(words), dtype=bool)
-    kept[spread[:: -(-len(spread) // CLEAN) or 1]] = True
-    kept[spread[np.argsort(-in_clean[spread], kind="stable")[: CLEAN // 4]]] = True
-    clean &= kept
-    if len(toxic_bags) < 2 or not clean.any():
-        return nothing
-    used = np.flatnonzero(clean | candidate)
-    number = np.full(len(words), -1)
-    number[used] = np.arange(len(used))
-    toxic_bags = [number[b] for b in toxic_bags]
-    words, clean, in_clean = [words[i] for i in used], clean[used], in_clean[used]
-    learner, half = _Learner(words, clean, in_clean), np.arange(len(toxic_bags)) % 2
-    values = [learner.first_values(texts_with(toxic_bags[1 - h :: 2])) for h in (0, 1)]
-    witness = np.array([bag[np.argmax(values[h][bag])] for bag, h in zip(toxic_bags, half, strict=True)])
-    taught = np.ones(len(toxic_bags), dtype=bool)
+    bags = [b for b in bags if len(b)]
+    if len(bags) < 2 or words.candidate.all():
+        return None
+    learner, half = _Learner(words), np.arange(len(bags)) % 2
+
+    def texts_with(chosen: list[np.ndarray]) -> np.ndarray:
+        return np.bincount(np.concatenate(chosen), minlength=len(words.lengths))
+
+    values = [learner.first_values(texts_with(bags[1 - h :: 2])) for h in (0, 1)]
+    witness = np.array([bag[np.argmax(values[h][bag])] for bag, h in zip(bags, half, strict=True)])
+    taught = np.ones(len(bags), dtype=bool)
     for _ in range(ROUNDS):
         for h in (0, 1):
             other = (half != h) & taught
             table, bias = learner.fit(witness[other if other.any() else half != h], values[h])
-            values[h] = learner.features.dot(table) + bias
-        witness = np.array([bag[np.argmax(values[h][bag])] for bag, h in zip(toxic_bags, half, strict=True)])
+            values[h] = words.values(table) + bias
+        witness = np.array([bag[np.argmax(values[h][bag])] for bag, h in zip(bags, half, strict=True)])
         taught = np.array([values[h][w] > 0 for w, h in zip(witness, half, strict=True)])
-    table, bias = learner.fit(witness[taught] if taught.any() else witness, values[0] + values[1])
-    value = learner.features.dot(table) + bias
-    model = Model(table, bias, np.zeros(4))
-    known: dict[str, float] = {}
-    model.curve = _curve(np.array([_summary_of(bag, model, known) for bag in given]), toxic, share)
+    table, bias = learner.fit(witness[taught] if taught.any() else witness, values[0] + values[1], whole=True)
+    return Model(table, bias, np.zeros(4))
+
+
+def _nothing() -> Model:
+    return Model(np.zeros(CLASSES**3), LOWEST, np.array([0.0, 0.0, 0.0, -30.0]))
+
+
+def _is_candidate(in_toxic, in_clean, plain, n_toxic, n_clean):
+    """Words of clean texts and joined neighbours are witnesses only if that can hardly be chance."""
+    odds = ((in_toxic + 0.5) / (n_toxic + 1)) / ((in_clean + 0.5) / (n_clean + 1))
+    return (in_toxic > 0) & (plain & (in_clean == 0) | (odds > 10) & (in_toxic >= 5))
+
+
+def fit(bags: list[list[str]], toxic: np.ndarray, share: float = 0.5) -> Model:
+    """A model from the units of labelled texts in memory; share: of toxic texts where it will be used."""
+    plain = {w for bag in bags for unit in bag if unit[:1] != " " for w in windows(unit)}
+    cut = [sorted({w for unit in bag for w in windows(unit)}) for bag in bags]
+    names = sorted(set().union(*cut))
+    number = {w: i for i, w in enumerate(names)}
+    numbered = [np.array([number[w] for w in bag], dtype=np.int64) for bag in cut]
+    in_toxic, in_clean = (
+        np.bincount(np.concatenate([np.empty(0, np.int64), *(b for b, t in zip(numbered, toxic, strict=True) if t == k)]), minlength=len(names))
+        for k in (True, False)
+    )
+    candidate = _is_candidate(in_toxic, in_clean, np.array([w in plain for w in names], dtype=bool), toxic.sum(), (~toxic).sum())
+    used = np.flatnonzero(candidate | (in_clean > 0))
+    letters, lengths = encoded([names[i] for i in used])
+    words = Words(letters, lengths, _norms(letters, lengths), in_toxic[used], in_clean[used], candidate[used])
+    place = np.full(len(names), -1)
+    place[used] = np.arange(len(used))
+    model = learn(words, [place[b[candidate[b]]] for b, t in zip(numbered, toxic, strict=True) if t])
+    if model is None:
+        return _nothing()
+    seen = []
+    for bag in bags:
+        values = dict(zip(bag, model.decisions(bag).tolist(), strict=True))
+        seen.append(summary([values[u] for u in bag if u[:1] != " "], [values[u] for u in bag if u[:1] == " "]))
+    model.curve = _curve(np.array(seen), toxic, share)
     return model
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _norms(letters: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Of the triples' summed weights; 1 for a word without triples."""
+    out = np.ones(len(lengths))
+    for words, at in _blocks(lengths, 10_000):
+        found = list(triples(letters[at], lengths[words]))
+        if not any(len(row) for row, _, _ in found):
+            continue
+        key, place = np.unique(np.concatenate([row * CLASSES**3 + code for row, code, _ in found]), return_inverse=True)
+        summed = np.bincount(place, weights=np.concatenate([np.full(len(row), weight) for row, _, weight in found]))
+        norm = np.sqrt(np.bincount(key // CLASSES**3, weights=summed**2, minlength=words.stop - words.start))
+        out[words] = np.where(norm > 0, norm, 1)
+    return out
+
+
+def _words_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text, toxic, word, plain) for each distinct word of each text; a word is the classes of its letters."""
     for batch in batches:
-        found = [sorted(units(t)) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.string()))], names=["toxic", "units"])
+        for place, toxic, text in zip(*(batch.column(c).to_pylist() for c in ("place", "toxic", "text")), strict=True):
+            plain: dict[str, bool] = {}
+            for unit in units(text):
+                for w in windows(unit):
+                    plain[w] = plain.get(w, False) or unit[:1] != " "
+            letters, lengths = encoded(list(plain))
+            ends = np.cumsum(lengths).tolist()
+            found: dict[bytes, bool] = {}
+            for start, end, p in zip([0, *ends], ends, plain.values(), strict=False):
+                word = letters[start:end].tobytes()
+                found[word] = found.get(word, False) or p
+            n = len(found)
+            columns = [pa.array([place] * n, pa.int64()), pa.array([toxic] * n, pa.int32()), pa.array(list(found), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(found.values()), pa.bool_())], names=["place", "toxic", "word", "plain"])
+
+
+def _flat(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Classes and lengths of words given as bytes."""
+    words = words.cast(pa.large_binary())
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+    return np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[ends[0] : ends[-1]], np.diff(ends)
+
+
+def _with_norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        norms = pa.array(_norms(*_flat(batch.column("word"))))
+        yield pa.RecordBatch.from_arrays([*batch.columns, norms], names=[*batch.schema.names, "norm"])
+
+
+def sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[DataFrame, float]:
+    """(place, toxic, text) of the texts to learn from, and the share of toxic texts among all that could be."""
+    own = F.col(f"`{id_col}`")
+    usable = labels.where(F.col(f"`{label_col}`").isin(0, 1) & ~held_out(own)).select(
+        own.alias("id"), F.col(f"`{label_col}`").cast("int").alias("toxic")
+    ).distinct()
+    texts = docs.select(own.alias("id"), filled(F.col(f"`{text_col}`")).alias("text"))
+    # ids with their texts' bytes; the join may drop labels without text, so it comes before the bound
+    sizes = texts.select("id", F.octet_length("text").alias("size")).join(usable, "id")
+    sizes = kept_table(sizes.groupBy("id", "toxic").agg(F.sum("size").alias("size"), F.count("*").alias("n")), "toxicity-labels")
+    counts = {r["toxic"]: r["n"] for r in sizes.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
+    share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
+    parts = [sizes.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for label in (0, 1)]
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id")  # over SAMPLE rows
+    chosen = parts[0].unionByName(parts[1]).select(
+        "id", "toxic", F.row_number().over(order).cast("long").alias("place"), F.sum("size").over(order).alias("total")
+    )
+    chosen = chosen.where(F.col("total") <= SAMPLE_BYTES).drop("total")
+    return kept_table(texts.join(F.broadcast(chosen), "id").select("place", "toxic", "text"), "toxicity-sample"), share
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """A model from at most ``SAMPLE`` labelled texts of each class that are not held out."""
-    usable = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col))).select(
-        F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")
+    """A model from a bounded number of labelled texts of each class that are not held out."""
+    sample, share = sampled(docs, labels, id_col, text_col, label_col)
+    n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    found = sample.mapInArrow(_words_of_texts, "place bigint, toxic int, word binary, plain boolean")
+    found = kept_table(found, "toxicity-words")
+    counted = found.groupBy("word").agg(
+        F.count_if(F.col("toxic") == 1).alias("in_toxic"), F.count_if(F.col("toxic") == 0).alias("in_clean"), F.max("plain").alias("plain")
     )
-    counts = {r["toxic"]: r["count"] for r in docs.select(F.col(id_col).alias("id")).join(usable, "id").groupBy("toxic").count().collect()}
-    share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
-    chosen = None
-    for label in (0, 1):
-        # the join may drop labels without text, so it comes before the bound
-        ids = docs.select(F.col(id_col).alias("id")).join(usable.where(F.col("toxic") == label), "id")
-        part = ids.orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = F.broadcast(chosen.distinct())  # 2 * SAMPLE rows at most
-    texts = docs.select(F.col(id_col).alias("id"), filled(F.col(text_col)).alias("text")).join(chosen, "id")
-    found = texts.select("toxic", "text").mapInArrow(_units, "toxic int, units array<string>").toArrow()
-    order = sorted(zip(found["toxic"].to_pylist(), found["units"].to_pylist(), strict=True))
-    return fit([u for _, u in order], np.array([t == 1 for t, _ in order], dtype=bool), share)
-
-
-def _summary_of(found: Iterable[str], model: Model, known: dict[str, float]) -> tuple[float, float, float, float]:
-    new = [u for u in found if u not in known]
-    known.update(zip(new, model.decisions(new).tolist(), strict=True))
-    return summary([known[u] for u in found])
-
-
-def summaries(texts: Iterable[str], model: Model, known: dict[str, float]) -> np.ndarray:
-    """What the curve sees of each text; ``known`` remembers the decisions for words."""
-    found = [units(t) for t in texts]
-    new = list(set().union(*found) - known.keys())
-    known.update(zip(new, model.decisions(new).tolist(), strict=True))
-    seen = np.array([summary([known[u] for u in f]) for f in found]).reshape(-1, 4)
-    if len(known) > KNOWN:
-        known.clear()
-    return seen
+    candidate = _is_candidate(F.col("in_toxic"), F.col("in_clean"), F.col("plain"), n.get(1, 0), n.get(0, 0))
+    counted = counted.withColumn("candidate", candidate).where("candidate OR in_clean > 0").drop("plain")
+    schema = "word binary, in_toxic bigint, in_clean bigint, candidate boolean, norm double"
+    counted = kept_table(counted.mapInArrow(_with_norms, schema), "toxicity-counts")
+    bags = found.where("toxic = 1").select("place", "word").join(counted.where("candidate").select("word"), "word").toArrow()
+    table = counted.toArrow().sort_by("word").combine_chunks()
+    arrays = [table[c].to_numpy() for c in ("norm", "in_toxic", "in_clean", "candidate")]
+    words = Words(*_flat(pa.concat_arrays(table["word"].chunks) if table.num_rows else pa.array([], pa.binary())), *arrays)
+    at, place = pc.index_in(bags["word"], table["word"]).to_numpy(), bags["place"].to_numpy()
+    order = np.lexsort((at, place))
+    at, place = at[order].astype(np.int64), place[order]
+    del table, bags
+    model = learn(words, np.split(at, np.flatnonzero(np.diff(place)) + 1))
+    if model is None:
+        return _nothing()
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
+    seen = sample.select("toxic", "text").mapInArrow(partial(_summarised, model=shared), "toxic int, s0 double, s1 double, s2 double, s3 double")
+    seen = seen.toArrow().sort_by([(c, "ascending") for c in ("toxic", "s0", "s1", "s2")])
+    model.curve = _curve(np.stack([seen[f"s{i}"].to_numpy() for i in range(4)], axis=1), seen["toxic"].to_numpy() == 1, share)
+    return model
+
+
+def _summarised(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+    scorer = Scorer(Model(*model.value))
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE):
+            part = batch.slice(start, SLICE)
+            seen = scorer.summaries(part.column("text").to_pylist())
+            columns = [part.column("toxic"), *(pa.array(seen[:, i]) for i in range(4))]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "s0", "s1", "s2", "s3"])
+
+
+class Scorer:
+    """Summaries of texts by a model; remembers what it found out about words."""
+
+    def __init__(self, model: Model):
+        self.model, self.least = model, np.array([least_norm(n) for n in range(WINDOW + 1)])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.pieces: list[str] = []
+        self.runs: dict[str, float] = {}
+        self.decision, self.left_sum, self.right_sum = np.empty(0), np.empty(0), np.empty(0)
+        self.size = np.empty(0, np.int64)
+        self.left, self.right = np.empty((0, SPAN - 1), np.uint8), np.empty((0, SPAN - 1), np.uint8)
+
+    def _meet(self, words: list[str]) -> None:
+        """Decisions of new words, and what joining them needs: sums over either side, letters at the joint."""
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
+        pieces = [JOINTS.sub("", w) for w in words]
+        self.pieces += pieces
+        self.decision = np.append(self.decision, self.model.decisions(words))
+        self.size = np.append(self.size, np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
+        left, right = encoded([START + p[-HALF:] for p in pieces]), encoded([p[:HALF] + END for p in pieces])
+        self.left_sum = np.append(self.left_sum, numerators(*left, self.model.table))
+        self.right_sum = np.append(self.right_sum, numerators(*right, self.model.table))
+        n = SPAN - 1
+        ends, starts = np.cumsum(left[1]), np.cumsum(right[1]) - right[1]
+        # letters nearest to the joint; class 0, which no letter has, where there are none
+        back, ahead = np.arange(-n, 0), np.arange(n)
+        at = ends[:, None] + back
+        near = np.where(at >= (ends - left[1])[:, None], left[0][np.maximum(at, 0)], 0) if len(words) else np.empty((0, n))
+        self.left = np.concatenate([self.left, near.astype(np.uint8)])
+        at = starts[:, None] + ahead
+        near = np.where(ahead < right[1][:, None], right[0][np.minimum(at, max(0, len(right[0]) - 1))], 0) if len(words) else np.empty((0, n))
+        self.right = np.concatenate([self.right, near.astype(np.uint8)])
+
+    def _across(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The sum over the triples across the joint of each pair of words."""
+        n, table = SPAN - 1, self.model.table
+        letters = np.concatenate([self.left[a].T, self.right[b].T]).astype(np.int32)
+        out = np.zeros(len(a))
+        for j, k in OFFSETS:
+            part = np.zeros(len(a))
+            for s in range(n - k, n):
+                part += table[(letters[s] * CLASSES + letters[s + j]) * CLASSES + letters[s + k]]
+            out += DECAY ** (k + 1) * part
+        return out
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Decisions of joined neighbours where they are positive, else 0."""
+        numerator = self.left_sum[a] + self.right_sum[b] + self._across(a, b)
+        length = np.minimum(self.size[a], HALF) + np.minimum(self.size[b], HALF) + 2
+        out, bias = np.zeros(len(a)), self.model.bias
+        # a positive bias leaves nothing to skip; otherwise no norm is below the least one
+        hope = np.flatnonzero(numerator > -bias * self.least[length] - 1e-6) if bias <= 0 else np.arange(len(a))
+        if len(hope):
+            names = [f" {self.pieces[i][-HALF:]}{self.pieces[j][:HALF]}" for i, j in zip(a[hope].tolist(), b[hope].tolist(), strict=True)]
+            out[hope] = np.maximum(0, self.model.decisions(names))
+        return out
+
+    def _short_runs(self, ids: np.ndarray, doc: np.ndarray) -> tuple[list[int], list[str]]:
+        """(text, unit) of what short neighbours give beyond pairs; each text's distinct ones."""
+        short = self.size[ids] <= SHORT
+        begins = np.flatnonzero(short & ~np.append(False, short[:-1] & (doc[1:] == doc[:-1]))[: len(short)])
+        stops = np.flatnonzero(short & ~np.append(short[1:] & (doc[1:] == doc[:-1]), False)[: len(short)]) + 1
+        found: set[tuple[int, str]] = set()
+        for begin, stop in zip(begins.tolist(), stops.tolist(), strict=True):
+            if stop - begin > 2:
+                d = int(doc[begin])
+                found.update((d, u) for u in joined([self.pieces[i] for i in ids[begin:stop].tolist()]))
+        return [d for d, _ in found], [u for _, u in found]
+
+    def summaries(self, texts: list[str]) -> np.ndarray:
+        """What the curve sees of each text."""
+        if len(self.number) > KNOWN or len(self.runs) > KNOWN:
+            self._forget()
+        split = [t.lower().split() for t in texts]
+        self._meet(sorted(set().union(*split) - self.number.keys()))
+        counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        n, doc = len(texts), np.repeat(np.arange(len(split)), counts)
+        ids = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
+        known = len(self.number)
+        distinct = np.unique(doc * known + ids)
+        of, value = distinct // known if known else distinct, self.decision[distinct % known if known else distinct]
+        best, words = np.full(n, LOWEST), np.bincount(of, minlength=n)
+        np.maximum.at(best, of, value)
+        total = np.bincount(of, weights=np.maximum(value, 0), minlength=n)
+
+        whole = self.size[ids] > 0
+        ids, doc = ids[whole], doc[whole]
+        beside = np.flatnonzero(doc[1:] == doc[:-1])
+        pair, at = np.unique(ids[beside] * known + ids[beside + 1], return_inverse=True)
+        value = self.pairs(pair // known, pair % known) if len(pair) else np.empty(0)
+        positive = np.flatnonzero(value[at] > 0) if len(pair) else np.empty(0, np.int64)
+        found = np.unique(doc[beside[positive]] * (len(pair) + 1) + at[positive])
+        of, value = found // (len(pair) + 1), value[found % (len(pair) + 1)]
+        runs_of, names = self._short_runs(ids, doc)
+        new = sorted(set(names) - self.runs.keys())
+        self.runs.update(zip(new, self.model.decisions(new).tolist(), strict=True))
+        of = np.append(of, np.array(runs_of, dtype=np.int64))
+        value = np.maximum(0, np.append(value, [self.runs[u] for u in names]))
+        stands = value > 0
+        np.maximum.at(best, of[stands], value[stands])
+        total += np.bincount(of, weights=value, minlength=n)
+        return np.stack([best, np.log1p(total), np.log1p(words), np.ones(n)], axis=1)
+
+
+def summaries(texts: Iterable[str], model: Model, known: dict[str, Scorer]) -> np.ndarray:
+    """What the curve sees of each text; ``known`` remembers the words between calls."""
+    return known.setdefault("scorer", Scorer(model)).summaries(list(texts))
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    model, known = model.value, {}
+    model = Model(*model.value)
+    scorer = Scorer(model)
     for batch in batches:
         texts = batch.column("text")
-        parts = [summaries(texts.slice(i, 500).to_pylist(), model, known) for i in range(0, batch.num_rows, 500)]
+        parts = [scorer.summaries(texts.slice(i, SLICE).to_pylist()) for i in range(0, batch.num_rows, SLICE)]
         scores = pa.array(model.score(np.concatenate([np.empty((0, 4)), *parts])))
         kept = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "text"]
         names = [name for name in batch.schema.names if name != "text"]
@@ -392,7 +672,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())  # CLASSES ** 3 numbers and a few
     given = docs.select(
         F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), filled(F.col(text_col)).alias("text")
     )
@@ -405,16 +685,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that the model does not reject."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())  # CLASSES ** 3 numbers and a few
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, float] = {}
+        own = Model(*shared.value)
+        scorer = Scorer(own)
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
                 texts = [t or "" for t in part.column(columns.index(text_col)).to_pylist()]
-                scores = shared.value.score(summaries(texts, shared.value, known))
-                yield part.filter(pa.array(scores < 0.5))
+                yield part.filter(pa.array(own.score(scorer.summaries(texts)) < 0.5))
 
     return docs.mapInArrow(releasing(run), docs.schema)
