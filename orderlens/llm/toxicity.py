@@ -53,7 +53,8 @@ SAMPLE = 1200  # labelled ids of each class
 SAMPLE_BYTES = 8 << 20  # of their texts, for each class
 SPAN = 6
 DECAY = 0.7
-CLASSES = 64  # of letters
+CLASSES = 64  # of letters; none has class 0
+GAP = SPAN - 1
 WINDOW, STEP = 24, 12  # longer words are cut into overlapping windows
 LANDMARKS = 256
 ROUNDS = 3
@@ -150,14 +151,28 @@ def _blocks(lengths: np.ndarray, size: int = 20_000) -> Iterator[tuple[slice, sl
         yield slice(start, end), slice(int(ends[start]), int(ends[end]))
 
 
+def padded(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The letters with class 0, which none has, ``GAP`` times before each word and behind the last; and where words start."""
+    starts = np.cumsum(lengths) - lengths + GAP * np.arange(1, len(lengths) + 1)
+    out = np.zeros(len(letters) + GAP * (len(lengths) + 1), dtype=np.int32)
+    out[np.arange(len(letters)) + np.repeat(GAP * np.arange(1, len(lengths) + 1), lengths)] = letters
+    return out, starts
+
+
+def _sums(flat: np.ndarray, starts: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sums over the words of padded letters; no triple reaches over the gaps, as the table is 0 there."""
+    if not len(starts):
+        return np.empty(0)
+    out, n = np.zeros(len(flat)), len(flat)
+    for j, k in OFFSETS:
+        out[: n - k] += DECAY ** (k + 1) * table[(flat[: n - k] * CLASSES + flat[j : n - k + j]) * CLASSES + flat[k:]]
+    return np.add.reduceat(out, starts)
+
+
 def numerators(letters: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The sum of a table's entries over each word's triples, weighted but not normalised."""
-    out = np.zeros(len(lengths))
-    for words, at in _blocks(lengths):
-        n = words.stop - words.start
-        for row, code, weight in triples(letters[at], lengths[words]):
-            out[words] += weight * np.bincount(row, weights=table[code], minlength=n)
-    return out
+    parts = [_sums(*padded(letters[at], lengths[words]), table) for words, at in _blocks(lengths)]
+    return np.concatenate([np.empty(0), *parts])
 
 
 def least_norm(length: int) -> float:
@@ -165,6 +180,9 @@ def least_norm(length: int) -> float:
     return math.sqrt(sum(max(0, length - k) * DECAY ** (2 * (k + 1)) for _, k in OFFSETS))
 
 
+LEAST_NORM = np.array([max(least_norm(n), 1e-9) for n in range(WINDOW + 1)])
+
+
 @dataclass
 class Features:
     """Normalised triple weights of words: one entry for each word and distinct triple."""
@@ -209,7 +227,7 @@ class Features:
         dense[compact, landmarks.row] = landmarks.weight
         at = np.minimum(np.searchsorted(used, self.code), len(used) - 1)
         keep = np.flatnonzero(used[at] == self.code)
-        out = np.zeros((self.n, landmarks.n), dtype=np.float64)
+        out = np.zeros((self.n, landmarks.n), dtype=np.float32)
         rows, at, weight = self.row[keep], at[keep], self.weight[keep].astype(np.float32)
         for start in range(0, len(rows), 1 << 14):
             part = slice(start, start + (1 << 14))
@@ -219,15 +237,21 @@ class Features:
 
 
 def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.append(np.ones(x.shape[1] - 1), 1e-3)
-    w = np.zeros(x.shape[1])
+    """Linear support vector machine with squared hinge loss, by Newton steps; rows are taken in blocks."""
+    n = x.shape[1] + 1
+    ridge = np.append(np.ones(n - 1), 1e-3)
+    w = np.zeros(n)
     active = np.ones(len(y), dtype=bool)
     for _ in range(30):
-        xa, ca = x[active], weight[active, None]
-        w = np.linalg.solve((xa * ca).T @ xa + np.diag(ridge), (xa * ca).T @ y[active])
-        now = y * (x @ w) < 1
+        normal, right = np.diag(ridge), np.zeros(n)
+        for start in range(0, len(y), 4096):
+            rows = start + np.flatnonzero(active[start : start + 4096])
+            part = np.hstack([x[rows], np.ones((len(rows), 1))])
+            weighted = part * weight[rows, None]
+            normal += weighted.T @ part
+            right += weighted.T @ y[rows]
+        w = np.linalg.solve(normal, right)
+        now = y * (x @ w[:-1].astype(x.dtype) + w[-1]) < 1
         if (now == active).all():
             break
         active = now
@@ -245,14 +269,27 @@ class Model:
     def decisions(self, words: list[str]) -> np.ndarray:
         """The decision for each word; LOWEST at least."""
         cut = [windows(w) for w in words]
-        flat = [w for found in cut for w in found]
         best = np.full(len(words), LOWEST)
-        if flat:
-            parts = (Features.of(flat[i : i + 10_000]).dot(self.table) for i in range(0, len(flat), 10_000))
-            values = np.concatenate(list(parts)) + self.bias
-            np.maximum.at(best, np.repeat(np.arange(len(words)), [len(found) for found in cut]), values)
+        letters, lengths = encoded([w for found in cut for w in found])
+        values = self.judged(letters, lengths, numerators(letters, lengths, self.table))
+        np.maximum.at(best, np.repeat(np.arange(len(words)), [len(found) for found in cut]), values)
         return best
 
+    def judged(self, letters: np.ndarray, lengths: np.ndarray, numerator: np.ndarray) -> np.ndarray:
+        """Decisions from sums over triples: exact if positive, otherwise by the least norm of the length.
+
+        The norm of a word takes sorting its triples. No norm is below the least one, so a decision that is not positive with
+        that is not positive at all.
+        """
+        values = numerator / LEAST_NORM[lengths] + self.bias
+        exact = np.flatnonzero(values > 0) if self.bias <= 0 else np.arange(len(lengths))
+        if len(exact):
+            starts = np.cumsum(lengths) - lengths
+            own = lengths[exact]
+            at = np.arange(own.sum()) + np.repeat(starts[exact] - (np.cumsum(own) - own), own)
+            values[exact] = Features.of_letters(letters[at], own).dot(self.table) + self.bias
+        return values
+
     def plain(self) -> tuple[np.ndarray, float, np.ndarray]:
         """The parts, for executors."""
         return self.table, self.bias, self.curve
@@ -331,7 +368,10 @@ class _Learner:
         """Naive Bayes over triples: words of toxic texts, with their counts, against clean words."""
         clean = (~self.words.candidate).astype(float)
         a, b = self.words.sums(seen.astype(float)), self.words.sums(clean)
-        return self.words.values(np.log((a + 0.5) / (seen.sum() + 1)) - np.log((b + 0.5) / (clean.sum() + 1)))
+        table = np.log((a + 0.5) / (seen.sum() + 1)) - np.log((b + 0.5) / (clean.sum() + 1))
+        table = table.reshape(CLASSES, CLASSES, CLASSES)
+        table[0], table[:, 0], table[:, :, 0] = 0, 0, 0  # no letters
+        return self.words.values(table.ravel())
 
     def fit(self, witness: np.ndarray, value: np.ndarray, whole: bool = False) -> tuple[np.ndarray, float]:
         """Table and bias; ``value`` tells which clean words are near the witnesses. ``whole`` fits all clean words."""
@@ -348,12 +388,13 @@ class _Learner:
         values, vectors = np.linalg.eigh(gram + 1e-6 * np.eye(len(gram)))
         nystrom = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
         gapped = [v for i in chosen for v in _gapped(words.word(i))]
-        positive = words.features(witness, gapped).kernel(landmarks) @ nystrom
+        mapped = nystrom.astype(np.float32)
+        positive = words.features(witness, gapped).kernel(landmarks) @ mapped
         # each text and each clean text with the word counts; all inserted characters together as half the texts
         inserted = np.full(len(gapped), len(witness) / (2 * len(gapped) + 1))
         taught = np.append(np.ones(len(witness)), inserted)
         often = words.in_clean.astype(float)
-        x = words.features(negative).kernel(landmarks) @ nystrom
+        x = words.features(negative).kernel(landmarks) @ mapped
         size = len(positive) + len(negative)
         while True:
             # both classes weigh the same; clean words that a whole fit leaves out are beyond their margin
@@ -368,7 +409,7 @@ class _Learner:
             if not len(added):
                 return table, bias
             negative = np.concatenate([negative, added])
-            x = np.concatenate([x, words.features(added).kernel(landmarks) @ nystrom])
+            x = np.concatenate([x, words.features(added).kernel(landmarks) @ mapped])
 
 
 def learn(words: Words, bags: list[np.ndarray]) -> Model | None:
@@ -480,7 +521,7 @@ def _flat(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _with_norms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        norms = pa.array(_norms(*_flat(batch.column("word"))))
+        norms = pa.array(_norms(*_flat(batch.column("word"))).astype(np.float32))
         yield pa.RecordBatch.from_arrays([*batch.columns, norms], names=[*batch.schema.names, "norm"])
 
 
@@ -512,20 +553,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = sample.mapInArrow(_words_of_texts, "place bigint, toxic int, word binary, plain boolean")
     found = kept_table(found, "toxicity-words")
     counted = found.groupBy("word").agg(
-        F.count_if(F.col("toxic") == 1).alias("in_toxic"), F.count_if(F.col("toxic") == 0).alias("in_clean"), F.max("plain").alias("plain")
+        F.count_if(F.col("toxic") == 1).cast("int").alias("in_toxic"), F.count_if(F.col("toxic") == 0).cast("int").alias("in_clean"),
+        F.max("plain").alias("plain"),
     )
     candidate = _is_candidate(F.col("in_toxic"), F.col("in_clean"), F.col("plain"), n.get(1, 0), n.get(0, 0))
     counted = counted.withColumn("candidate", candidate).where("candidate OR in_clean > 0").drop("plain")
-    schema = "word binary, in_toxic bigint, in_clean bigint, candidate boolean, norm double"
+    schema = "word binary, in_toxic int, in_clean int, candidate boolean, norm float"
     counted = kept_table(counted.mapInArrow(_with_norms, schema), "toxicity-counts")
     bags = found.where("toxic = 1").select("place", "word").join(counted.where("candidate").select("word"), "word").toArrow()
-    table = counted.toArrow().sort_by("word").combine_chunks()
+    table = counted.orderBy("word").toArrow()
     arrays = [table[c].to_numpy() for c in ("norm", "in_toxic", "in_clean", "candidate")]
-    words = Words(*_flat(pa.concat_arrays(table["word"].chunks) if table.num_rows else pa.array([], pa.binary())), *arrays)
+    parts = [_flat(part) for part in table["word"].chunks]
+    letters = np.concatenate([np.empty(0, np.uint8), *(part[0] for part in parts)])
+    words = Words(letters, np.concatenate([np.empty(0, np.int64), *(part[1] for part in parts)]), *arrays)
     at, place = pc.index_in(bags["word"], table["word"]).to_numpy(), bags["place"].to_numpy()
     order = np.lexsort((at, place))
     at, place = at[order].astype(np.int64), place[order]
-    del table, bags
+    del table, bags, parts
     model = learn(words, np.split(at, np.flatnonzero(np.diff(place)) + 1))
     if model is None:
         return _nothing()
@@ -550,7 +594,7 @@ class Scorer:
     """Summaries of texts by a model; remembers what it found out about words."""
 
     def __init__(self, model: Model):
-        self.model, self.least = model, np.array([least_norm(n) for n in range(WINDOW + 1)])
+        self.model = model
         self._forget()
 
     def _forget(self) -> None:
@@ -559,37 +603,52 @@ class Scorer:
         self.runs: dict[str, float] = {}
         self.decision, self.left_sum, self.right_sum = np.empty(0), np.empty(0), np.empty(0)
         self.size = np.empty(0, np.int64)
-        self.left, self.right = np.empty((0, SPAN - 1), np.uint8), np.empty((0, SPAN - 1), np.uint8)
+        self.left, self.right = np.empty((GAP, 0), np.uint8), np.empty((GAP, 0), np.uint8)
 
     def _meet(self, words: list[str]) -> None:
         """Decisions of new words, and what joining them needs: sums over either side, letters at the joint."""
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words)), strict=True))
-        pieces = [JOINTS.sub("", w) for w in words]
+        pieces = [w if w.isalnum() else JOINTS.sub("", w) for w in words]
         self.pieces += pieces
-        self.decision = np.append(self.decision, self.model.decisions(words))
-        self.size = np.append(self.size, np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
-        left, right = encoded([START + p[-HALF:] for p in pieces]), encoded([p[:HALF] + END for p in pieces])
-        self.left_sum = np.append(self.left_sum, numerators(*left, self.model.table))
-        self.right_sum = np.append(self.right_sum, numerators(*right, self.model.table))
-        n = SPAN - 1
-        ends, starts = np.cumsum(left[1]), np.cumsum(right[1]) - right[1]
-        # letters nearest to the joint; class 0, which no letter has, where there are none
-        back, ahead = np.arange(-n, 0), np.arange(n)
-        at = ends[:, None] + back
-        near = np.where(at >= (ends - left[1])[:, None], left[0][np.maximum(at, 0)], 0) if len(words) else np.empty((0, n))
-        self.left = np.concatenate([self.left, near.astype(np.uint8)])
-        at = starts[:, None] + ahead
-        near = np.where(ahead < right[1][:, None], right[0][np.minimum(at, max(0, len(right[0]) - 1))], 0) if len(words) else np.empty((0, n))
-        self.right = np.concatenate([self.right, near.astype(np.uint8)])
+        letters, lengths = encoded([f"{START}{p}{END}" for p in pieces])
+        flat, starts = padded(letters, lengths)
+        ends, table = starts + lengths - 1, self.model.table
+        total, first, last = _sums(flat, starts, table), np.zeros(len(words)), np.zeros(len(words))
+        for j, k in OFFSETS:  # the triples that have a mark
+            first += DECAY ** (k + 1) * table[(flat[starts] * CLASSES + flat[starts + j]) * CLASSES + flat[starts + k]]
+            last += DECAY ** (k + 1) * table[(flat[ends - k] * CLASSES + flat[ends - k + j]) * CLASSES + flat[ends]]
+        decision = self.model.judged(letters, np.minimum(lengths, WINDOW), total) if (lengths <= WINDOW).all() else np.empty(len(words))
+        left_sum, right_sum = total - last, total - first
+        if (lengths > HALF + 2).any():
+            self._meet_long(pieces, lengths, total, (letters, starts, decision, left_sum, right_sum))
+        decision[lengths == 2] = LOWEST  # nothing but punctuation
+        self.decision = np.append(self.decision, np.maximum(decision, LOWEST))
+        self.left_sum, self.right_sum = np.append(self.left_sum, left_sum), np.append(self.right_sum, right_sum)
+        self.size = np.append(self.size, lengths - 2)
+        back, ahead = np.arange(-GAP, 0)[:, None], np.arange(1, GAP + 1)[:, None]
+        self.left = np.concatenate([self.left, flat[ends + back].astype(np.uint8)], axis=1)
+        self.right = np.concatenate([self.right, flat[starts + ahead].astype(np.uint8)], axis=1)
+
+    def _meet_long(self, pieces: list[str], lengths: np.ndarray, total: np.ndarray, found: tuple[np.ndarray, ...]) -> None:
+        """Words that are cut: into windows for their own decision, to ``HALF`` letters where they are joined."""
+        letters, _, decision, left_sum, right_sum = found
+        whole = lengths <= WINDOW
+        if not whole.all():
+            own = np.repeat(whole, lengths)
+            decision[whole] = self.model.judged(letters[own], lengths[whole], total[whole])
+            long = np.flatnonzero(~whole)
+            decision[long] = self.model.decisions([pieces[i] for i in long.tolist()])
+        cut = np.flatnonzero(lengths > HALF + 2)
+        left_sum[cut] = numerators(*encoded([START + pieces[i][-HALF:] for i in cut.tolist()]), self.model.table)
+        right_sum[cut] = numerators(*encoded([pieces[i][:HALF] + END for i in cut.tolist()]), self.model.table)
 
     def _across(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The sum over the triples across the joint of each pair of words."""
-        n, table = SPAN - 1, self.model.table
-        letters = np.concatenate([self.left[a].T, self.right[b].T]).astype(np.int32)
-        out = np.zeros(len(a))
+        table, out = self.model.table, np.zeros(len(a))
+        letters = [*(self.left[i][a].astype(np.int32) for i in range(GAP)), *(self.right[i][b].astype(np.int32) for i in range(GAP))]
         for j, k in OFFSETS:
             part = np.zeros(len(a))
-            for s in range(n - k, n):
+            for s in range(GAP - k, GAP):
                 part += table[(letters[s] * CLASSES + letters[s + j]) * CLASSES + letters[s + k]]
             out += DECAY ** (k + 1) * part
         return out
@@ -599,8 +658,8 @@ class Scorer:
         numerator = self.left_sum[a] + self.right_sum[b] + self._across(a, b)
         length = np.minimum(self.size[a], HALF) + np.minimum(self.size[b], HALF) + 2
         out, bias = np.zeros(len(a)), self.model.bias
-        # a positive bias leaves nothing to skip; otherwise no norm is below the least one
-        hope = np.flatnonzero(numerator > -bias * self.least[length] - 1e-6) if bias <= 0 else np.arange(len(a))
+        # as for words; the sums were added up in another order
+        hope = np.flatnonzero(numerator > -bias * LEAST_NORM[length] - 1e-6) if bias <= 0 else np.arange(len(a))
         if len(hope):
             names = [f" {self.pieces[i][-HALF:]}{self.pieces[j][:HALF]}" for i, j in zip(a[hope].tolist(), b[hope].tolist(), strict=True)]
             out[hope] = np.maximum(0, self.model.decisions(names))
@@ -623,34 +682,37 @@ class Scorer:
         if len(self.number) > KNOWN or len(self.runs) > KNOWN:
             self._forget()
         split = [t.lower().split() for t in texts]
-        self._meet(sorted(set().union(*split) - self.number.keys()))
+        distinct = [set(words) for words in split]
+        self._meet(sorted(set().union(*distinct) - self.number.keys()))
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         n, doc = len(texts), np.repeat(np.arange(len(split)), counts)
         ids = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
-        known = len(self.number)
-        distinct = np.unique(doc * known + ids)
-        of, value = distinct // known if known else distinct, self.decision[distinct % known if known else distinct]
-        best, words = np.full(n, LOWEST), np.bincount(of, minlength=n)
-        np.maximum.at(best, of, value)
-        total = np.bincount(of, weights=np.maximum(value, 0), minlength=n)
+        best = np.full(n, LOWEST)
+        value = self.decision[ids]
+        np.maximum.at(best, doc, value)
+        known, stands = max(1, len(self.number)), np.flatnonzero(value > 0)
+        found = np.unique(doc[stands] * known + ids[stands])
+        of, values = [found // known], [self.decision[found % known]]
 
         whole = self.size[ids] > 0
         ids, doc = ids[whole], doc[whole]
         beside = np.flatnonzero(doc[1:] == doc[:-1])
-        pair, at = np.unique(ids[beside] * known + ids[beside + 1], return_inverse=True)
-        value = self.pairs(pair // known, pair % known) if len(pair) else np.empty(0)
-        positive = np.flatnonzero(value[at] > 0) if len(pair) else np.empty(0, np.int64)
-        found = np.unique(doc[beside[positive]] * (len(pair) + 1) + at[positive])
-        of, value = found // (len(pair) + 1), value[found % (len(pair) + 1)]
+        a, b = ids[beside], ids[beside + 1]
+        value = self.pairs(a, b)
+        stands = np.flatnonzero(value > 0)
+        _, first = np.unique(np.stack([doc[beside[stands]], a[stands], b[stands]]), axis=1, return_index=True)
+        of.append(doc[beside[stands[first]]])
+        values.append(value[stands[first]])
         runs_of, names = self._short_runs(ids, doc)
         new = sorted(set(names) - self.runs.keys())
         self.runs.update(zip(new, self.model.decisions(new).tolist(), strict=True))
-        of = np.append(of, np.array(runs_of, dtype=np.int64))
-        value = np.maximum(0, np.append(value, [self.runs[u] for u in names]))
+        of.append(np.array(runs_of, dtype=np.int64))
+        values.append(np.array([max(0.0, self.runs[u]) for u in names]))
+        of, value = np.concatenate(of), np.concatenate(values)
         stands = value > 0
         np.maximum.at(best, of[stands], value[stands])
-        total += np.bincount(of, weights=value, minlength=n)
-        return np.stack([best, np.log1p(total), np.log1p(words), np.ones(n)], axis=1)
+        total = np.bincount(of, weights=value, minlength=n)
+        return np.stack([best, np.log1p(total), np.log1p([len(words) for words in distinct]), np.ones(n)], axis=1)
 
 
 def summaries(texts: Iterable[str], model: Model, known: dict[str, Scorer]) -> np.ndarray:

@@ -133,3 +133,71 @@ def test_without_labels(spark, tables):
         assert {r[3] for r in rows(score(docs, train(docs, given)))} == {0}
     assert rows(score(no_documents(spark), fit([], np.empty(0, dtype=bool)))) == []
     assert isinstance(train(no_documents(spark), labels), Model)
+
+
+def slow_kernel(a, b):
+    """Normalised kernel of two words by listing all triples in order that span six letters at most."""
+
+    def weights(word):
+        word = f"\x02{word}\x03"
+        found = {}
+        for i in range(len(word)):
+            for k in range(i + 2, min(i + 6, len(word))):
+                for j in range(i + 1, k):
+                    t = word[i] + word[j] + word[k]
+                    found[t] = found.get(t, 0) + 0.7 ** (k - i + 1)
+        return found
+
+    x, y = weights(a), weights(b)
+    dot = lambda p, q: sum(w * q.get(t, 0) for t, w in p.items())
+    return dot(x, y) / (dot(x, x) * dot(y, y)) ** 0.5
+
+
+def test_kernel_against_listing_triples():
+    random.seed(3)
+    words = ["".join(random.choices("abc1", k=random.randrange(1, 13))) for _ in range(40)] + ["scoundrel", "sc0undrel", "scxoundrel", "aaaaaaaa"]
+    f = Features.of([w for word in words for w in windows(word)])
+    assert np.allclose(f.kernel(f), [[slow_kernel(a, b) for b in words] for a in words], atol=1e-5)
+
+
+def test_decisions_against_the_sum_over_landmarks():
+    """Folding landmarks into one table, sums at the joint and least norms change no positive decision."""
+    random.seed(8)
+    word = lambda: "".join(random.choices("abcdeé-2", k=random.choice([1, 2, 3, 5, 9, 14, 22, 23, 40])))
+    landmarks = [w for w in ("abcde", "edcba", "aabbcc", "2abc", "décab")]
+    share = np.array([3.0, 2.5, -2.0, 4.0, 2.0])
+    f = Features.of([w for name in landmarks for w in windows(name)])
+    table = np.bincount(f.code, weights=f.weight * share[f.row], minlength=64**3)
+    for bias in (-1.0, 0.3):
+        model, texts = Model(table, bias, np.zeros(4)), [" ".join(word() for _ in range(random.randrange(30))) for _ in range(60)]
+        exact = {}
+        for u in set().union(*map(units, texts)):
+            values = [sum(c * slow_kernel(w[1:-1], n) for c, n in zip(share, landmarks, strict=True)) + bias for w in windows(u) if w[1:-1].isalnum()]
+            exact[u] = max(values, default=None)
+        for text, seen in zip(texts, summaries(texts, model, {}), strict=True):
+            positive = {u: v for u in units(text) if (v := model.decisions([u])[0]) > 0}
+            for u, v in positive.items():
+                if len(windows(u)) == 1 and windows(u)[0][0] == "\x02":
+                    assert v == pytest.approx(exact[u], abs=1e-4)
+            assert np.expm1(seen[1]) == pytest.approx(sum(positive.values()), rel=1e-4, abs=1e-4)
+            if positive:
+                assert seen[0] == pytest.approx(max(positive.values()), abs=1e-4)
+
+
+def test_labels_given_twice_change_nothing(tables, model):
+    docs, labels = tables
+    again = train(docs, labels.unionByName(labels))
+    assert np.array_equal(again.table, model.table) and again.bias == model.bias and np.allclose(again.curve, model.curve)
+
+
+def test_bound_on_rows(tables, monkeypatch):
+    """The bound in bytes leaves out whole texts."""
+    from orderlens.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 10_000)
+    sample, _ = toxicity.sampled(*tables, "doc_id", "text", "toxic")
+    taken = rows(sample)
+    texts = {t for _, t in rows(tables[0])}
+    for label in (0, 1):
+        own = [t for _, toxic, t in taken if toxic == label]
+        assert 0 < sum(len(t.encode()) for t in own) <= 10_000 and set(own) <= texts
