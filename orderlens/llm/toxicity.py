@@ -143,7 +143,7 @@ def triples(letters: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarr
         yield owner[inside], (letters[inside] * CLASSES + letters[inside + j]) * CLASSES + letters[inside + k], DECAY ** (k + 1)
 
 
-def _blocks(lengths: np.ndarray, size: int = 20_000) -> Iterator[tuple[slice, slice]]:
+def _blocks(lengths: np.ndarray, size: int = 5_000) -> Iterator[tuple[slice, slice]]:
     """Words, and their letters, a block at a time."""
     ends = np.append(0, np.cumsum(lengths))
     for start in range(0, len(lengths), size):
@@ -199,7 +199,7 @@ class Features:
     @staticmethod
     def of_letters(letters: np.ndarray, lengths: np.ndarray) -> Features:
         rows, codes, weights = [np.empty(0, np.int32)], [np.empty(0, np.int32)], [np.empty(0, np.float32)]
-        for words, at in _blocks(lengths, 10_000):
+        for words, at in _blocks(lengths, 2_000):
             found = list(triples(letters[at], lengths[words]))
             keys = [row * CLASSES**3 + code for row, code, _ in found]
             values = [np.full(len(row), weight) for row, _, weight in found]
@@ -229,30 +229,31 @@ class Features:
         keep = np.flatnonzero(used[at] == self.code)
         out = np.zeros((self.n, landmarks.n), dtype=np.float32)
         rows, at, weight = self.row[keep], at[keep], self.weight[keep].astype(np.float32)
-        for start in range(0, len(rows), 1 << 14):
-            part = slice(start, start + (1 << 14))
+        for start in range(0, len(rows), 1 << 12):
+            part = slice(start, start + (1 << 12))
             first, begins = np.unique(rows[part], return_index=True)
             out[first] += np.add.reduceat(dense[at[part]] * weight[part, None], begins, axis=0)
         return out
 
 
-def svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, by Newton steps; rows are taken in blocks."""
-    n = x.shape[1] + 1
+def svm(parts: list[tuple[np.ndarray, float, np.ndarray]]) -> tuple[np.ndarray, float]:
+    """Linear support vector machine with squared hinge loss, by Newton steps, from (examples, class, weights) of either class."""
+    n = parts[0][0].shape[1] + 1
     ridge = np.append(np.ones(n - 1), 1e-3)
     w = np.zeros(n)
-    active = np.ones(len(y), dtype=bool)
+    active = [np.ones(len(x), dtype=bool) for x, _, _ in parts]
     for _ in range(30):
         normal, right = np.diag(ridge), np.zeros(n)
-        for start in range(0, len(y), 4096):
-            rows = start + np.flatnonzero(active[start : start + 4096])
-            part = np.hstack([x[rows], np.ones((len(rows), 1))])
-            weighted = part * weight[rows, None]
-            normal += weighted.T @ part
-            right += weighted.T @ y[rows]
+        for (x, y, weight), chosen in zip(parts, active, strict=True):
+            for start in range(0, len(x), 2048):  # in double precision, a block at a time
+                rows = start + np.flatnonzero(chosen[start : start + 2048])
+                part = np.hstack([x[rows], np.ones((len(rows), 1))])
+                weighted = part * weight[rows, None]
+                normal += weighted.T @ part
+                right += y * weighted.sum(axis=0)
         w = np.linalg.solve(normal, right)
-        now = y * (x @ w[:-1].astype(x.dtype) + w[-1]) < 1
-        if (now == active).all():
+        now = [y * (x @ w[:-1].astype(x.dtype) + w[-1]) < 1 for x, y, _ in parts]
+        if all((a == b).all() for a, b in zip(now, active, strict=True)):
             break
         active = now
     return w[:-1], float(w[-1])
@@ -373,6 +374,11 @@ class _Learner:
         table[0], table[:, 0], table[:, :, 0] = 0, 0, 0  # no letters
         return self.words.values(table.ravel())
 
+    def _mapped(self, chosen: np.ndarray, landmarks: Features, mapped: np.ndarray) -> list[np.ndarray]:
+        """Nyström features of words, in blocks."""
+        blocks = (chosen[i : i + 2000] for i in range(0, len(chosen), 2000))
+        return [self.words.features(block).kernel(landmarks) @ mapped for block in blocks]
+
     def fit(self, witness: np.ndarray, value: np.ndarray, whole: bool = False) -> tuple[np.ndarray, float]:
         """Table and bias; ``value`` tells which clean words are near the witnesses. ``whole`` fits all clean words."""
         words, against = self.words, self.against
@@ -394,13 +400,14 @@ class _Learner:
         inserted = np.full(len(gapped), len(witness) / (2 * len(gapped) + 1))
         taught = np.append(np.ones(len(witness)), inserted)
         often = words.in_clean.astype(float)
-        x = words.features(negative).kernel(landmarks) @ mapped
+        x = self._mapped(negative, landmarks, mapped)
         size = len(positive) + len(negative)
         while True:
             # both classes weigh the same; clean words that a whole fit leaves out are beyond their margin
             scale = 5.0 * size / often[negative if not whole else against].sum()
-            weight = np.concatenate([taught * (5.0 * size / taught.sum()), often[negative] * scale])
-            w, bias = svm(np.concatenate([positive, x]), np.repeat([1.0, -1.0], [len(positive), len(negative)]), weight)
+            ends = np.cumsum([len(part) for part in x])
+            against_it = [(part, -1.0, w) for part, w in zip(x, np.split(often[negative] * scale, ends[:-1]), strict=True)]
+            w, bias = svm([(positive, 1.0, taught * (5.0 * size / taught.sum())), *against_it])
             table = np.bincount(landmarks.code, weights=landmarks.weight * (nystrom @ w)[landmarks.row], minlength=CLASSES**3)
             if not whole:
                 return table, bias
@@ -409,7 +416,7 @@ class _Learner:
             if not len(added):
                 return table, bias
             negative = np.concatenate([negative, added])
-            x = np.concatenate([x, words.features(added).kernel(landmarks) @ mapped])
+            x += self._mapped(added, landmarks, mapped)
 
 
 def learn(words: Words, bags: list[np.ndarray]) -> Model | None:
@@ -482,7 +489,7 @@ def fit(bags: list[list[str]], toxic: np.ndarray, share: float = 0.5) -> Model:
 def _norms(letters: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Of the triples' summed weights; 1 for a word without triples."""
     out = np.ones(len(lengths))
-    for words, at in _blocks(lengths, 10_000):
+    for words, at in _blocks(lengths, 2_000):
         found = list(triples(letters[at], lengths[words]))
         if not any(len(row) for row, _, _ in found):
             continue
