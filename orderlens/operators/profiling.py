@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +17,7 @@ from orderlens.functions.ratios import settle
 
 QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 10_000  # of the sketch: its rank error is at most the number of rows divided by this
+KEPT = 1 << 16  # values around a percentile that are counted one by one, at most
 
 
 def one_row_to_rows(row: DataFrame, rows: Sequence[dict[str, Column]]) -> DataFrame:
@@ -63,70 +69,136 @@ def _value_type(df: DataFrame, columns: Sequence[str]) -> str:
     return "decimal(38,6)" if all(_is_whole(kinds[c]) for c in columns) else "double"
 
 
+def _present(df: DataFrame, column: str) -> Column:
+    """A column's value; NaN counts as missing, and numbers other than whole ones as doubles."""
+    kind, value = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = F.when(~F.isnan(value), value)
+    return value if _is_whole(kind) else value.cast("double")
+
+
+@dataclass(frozen=True)
+class _Gap:
+    """The values between two others (None: without an end), with the number of values below and in it."""
+
+    low: object
+    high: object
+    under: int
+    inside: int
+
+    def within(self, value: Column) -> Column:
+        ends = [value > F.lit(self.low)] * (self.low is not None) + [value < F.lit(self.high)] * (self.high is not None)
+        return reduce(and_, ends, value.isNotNull())
+
+    def holds(self, *ranks: int) -> bool:
+        return any(self.under <= r < self.under + self.inside for r in ranks)
+
+
+def _cuts(df: DataFrame, totals: dict[str, int], fractions: Sequence[float]) -> tuple[dict[str, list], dict[str, list[_Gap]]]:
+    """Values that cut each column, and the gaps between them that are counted by value.
+
+    A sketch, whose rank error is bounded, gives a value just below and one just above each wanted place. In the gap
+    between them are at most ``6 / ACCURACY`` of the values. While that may be more than ``KEPT``, the
+    cuts are counted exactly and a sketch of the gap gives nearer ones. Hot values become cuts themselves.
+    """
+    cuts: dict[str, set] = {c: set() for c in totals}
+    kept: dict[str, list[_Gap]] = {c: [] for c in totals}
+    todo = {(c, _Gap(None, None, 0, n)): list(fractions) for c, n in totals.items()}
+    while todo:
+        tasks = list(todo.items())
+        sketches = []
+        for i, ((c, gap), own) in enumerate(tasks):
+            inside = [(f * (totals[c] - 1) - gap.under) / max(1, gap.inside - 1) for f in own]
+            near = [min(1.0, max(0.0, f + side * 2 / ACCURACY)) for f in inside for side in (-1, 1)]
+            value = _present(df, c)
+            sketches.append(F.percentile_approx(F.when(gap.within(value), value), near, ACCURACY).alias(f"s{i}"))
+        row = df.agg(*sketches).first()
+        found, todo = [], {}
+        for i, ((c, gap), own) in enumerate(tasks):
+            ends = list(zip(row[f"s{i}"][::2], row[f"s{i}"][1::2], strict=True))
+            cuts[c].update(v for pair in ends for v in pair)
+            if gap.inside * 6 / ACCURACY <= KEPT:
+                kept[c] += [_Gap(*pair, 0, 0) for pair in ends]
+            else:
+                found += [(c, f, *pair) for f, pair in zip(own, ends, strict=True) if pair[0] != pair[1]]
+        if not found:
+            break
+        row = df.agg(*(
+            F.count_if(test).alias(f"{label}{i}")
+            for i, (c, _, low, high) in enumerate(found)
+            for label, test in (("upto", _present(df, c) <= F.lit(low)), ("below", _present(df, c) < F.lit(high)))
+        )).first()
+        for i, (c, f, low, high) in enumerate(found):
+            gap, place = _Gap(low, high, row[f"upto{i}"], row[f"below{i}"] - row[f"upto{i}"]), f * (totals[c] - 1)
+            if not gap.holds(math.floor(place), math.ceil(place)):
+                continue  # both are cuts
+            if gap.inside <= KEPT:
+                kept[c].append(gap)
+            else:
+                todo.setdefault((c, gap), []).append(f)
+    return {c: sorted(own) for c, own in cuts.items()}, kept
+
+
+def _statistics(df: DataFrame, columns: Sequence[str], *more: tuple[str, Callable[[Column], Column]]) -> dict[str, dict]:
+    """Number of values, smallest and largest of each column, and further aggregates, in one pass."""
+    wanted = [("n", F.count), ("low", F.min), ("high", F.max), *more]
+    if not columns:
+        return {}
+    row = df.agg(*(stat(_present(df, c)).alias(f"{name}{i}") for i, c in enumerate(columns) for name, stat in wanted)).first()
+    return {c: {name: row[f"{name}{i}"] for name, _ in wanted} for i, c in enumerate(columns)}
+
+
 def exact_percentiles(
     df: DataFrame, columns: Sequence[str], fractions: Sequence[float] = QUARTILES
 ) -> DataFrame:
-    """Interpolated percentiles of each column: ``column_name``, ``fraction``, ``value``.
+    """Interpolated percentiles of each column: ``column_name``, ``fraction``, ``value``; null and NaN are left out.
 
     The built-in exact percentile keeps every distinct value of a column in one buffer, which an
-    id column of a large table does not survive, and sorting all values shuffles the table. Here a
-    sketch, whose rank error is bounded, gives a bracket of values around each wanted position. A second
-    pass counts the rows below each bracket, a third keeps only the rows inside, four in
-    ``ACCURACY`` of them, as counts by value that are reduced on the map side. The position within a
-    bracket is then a running sum. Nothing is written, and nothing runs before the result is asked for.
+    id column of a large table does not survive, and sorting all values shuffles the table. Here sketches find
+    cuts around each wanted position, between which few values lie. The last pass counts each column's values, reduced on the map
+    side: by value where a position may be, all others by the gap between cuts that they lie in. The position among
+    them is a running sum. Columns that have few values need no cuts. The driver sees a few numbers for each column and fraction.
     """
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    value_type = _value_type(df, columns)
-    wanted = [(c, float(f)) for c in columns for f in fractions]
-
-    def present(c: str) -> Column:
-        value = F.col(f"`{c}`")
-        if isinstance(kinds[c], (T.FloatType, T.DoubleType)):
-            value = F.when(~F.isnan(value), value)
-        return value if _is_whole(kinds[c]) else value.cast("double")
-
-    def bracket(c: str, f: float) -> Column:
-        # of few rows all are kept: there a neighbour may be further away than the sketch's error
-        near = F.percentile_approx(present(c), [max(0.0, f - 2 / ACCURACY), min(1.0, f + 2 / ACCURACY)], ACCURACY)
-        all_of = F.array(F.min(present(c)), F.max(present(c)))
-        return F.when(F.count(present(c)) <= ACCURACY, all_of).otherwise(near)
-
-    names = [f"b{i}" for i in range(len(wanted))]
-    brackets = df.agg(F.struct(*(bracket(c, f).alias(n) for n, (c, f) in zip(names, wanted, strict=True))).alias("all"))
-    edge = brackets.scalar()  # one row, planned once and shared
-    low = [edge[n][0] for n in names]
-    high = [edge[n][1] for n in names]
-
-    below = one_row_to_rows(
-        df.agg(
-            *(F.count(present(c)).alias(f"n{c_}") for c_, c in enumerate(columns)),
-            *(F.count_if(present(c) < low[i]).alias(f"u{i}") for i, (c, _) in enumerate(wanted)),
-        ),
-        [
-            {
-                "place": F.lit(i),
-                "column_name": F.lit(c),
-                "fraction": F.lit(f),
-                "position": F.lit(f) * (F.col(f"n{columns.index(c)}") - 1),
-                "under": F.col(f"u{i}"),
-            }
-            for i, (c, f) in enumerate(wanted)
-        ],
-    )
-    entry = [
-        F.when(
-            present(c).between(low[i], high[i]), F.struct(F.lit(i).alias("place"), present(c).cast(value_type).alias("value"))
-        )
-        for i, (c, _) in enumerate(wanted)
-    ]
-    inside = df.select(F.inline(F.array_compact(F.array(*entry)))).groupBy("place", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("place").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = inside.withColumn("end", F.sum("n").over(upto)).join(F.broadcast(below), "place")
-    end = F.col("under") + F.col("end")
+    columns = list(dict.fromkeys(columns))
+    return _percentiles(df, columns, fractions, _statistics(df, columns))
+
+
+def _percentiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float], stats: dict[str, dict]) -> DataFrame:
+    spark, value_type = df.sparkSession, _value_type(df, columns)
+    native = "bigint" if value_type != "double" else "double"
+    totals = {c: s["n"] for c, s in stats.items()}
+    # columns of few rows, or of whole numbers in a narrow range, have few values
+    wide = {c: s["n"] for c, s in stats.items() if s["n"] > KEPT and not (_is_whole(df.schema[c].dataType) and s["high"] - s["low"] < KEPT)}
+    cuts, kept = _cuts(df, wide, fractions) if wide else ({}, {})
+    wanted = [(i, c, float(f), float(f * (totals[c] - 1)) if totals[c] else None) for i, c in enumerate(columns) for f in fractions]
+    positions = spark.createDataFrame(wanted, "place int, column_name string, fraction double, position double")
+
+    def entry(i: int, c: str) -> Column:
+        """The column's place, the slot of its value among cuts and gaps, and the value unless it is in a gap of no interest."""
+        value, own, gaps = _present(df, c), cuts.get(c, []), kept.get(c, [])
+        slot = F.lit(2 * len(own))
+        for j, cut in reversed(list(enumerate(own))):
+            slot = F.when(value < F.lit(cut), 2 * j).when(value == F.lit(cut), 2 * j + 1).otherwise(slot)
+        inside = value
+        if own:
+            between = ((2 * j, a, b) for j, (a, b) in enumerate(zip([None, *own], [*own, None], strict=True)))
+            counted = [j for j, a, b in between if a is not None and b is not None and any(g.low <= a and b <= g.high for g in gaps)]
+            inside = F.when((slot % 2 == 1) | slot.isin(counted), value)
+        return F.when(value.isNotNull(), F.struct(F.lit(i).alias("place"), slot.alias("slot"), inside.cast(native).alias("value")))
+
+    entries = [entry(i, c) for i, c in enumerate(columns)]
+    counted = df.select(F.inline(F.array(*entries))).where("place IS NOT NULL").groupBy("place", "slot", "value").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("place").orderBy("slot", "value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counted.withColumn("end", F.sum("n").over(upto))
+    # a row for each column and fraction
+    placed = F.broadcast(positions).join(placed, "place", "left")
     floor, ceil = F.floor("position"), F.ceil("position")
 
+    # never seen, as the sketch's error is below the margin
+    value = F.coalesce("value", F.raise_error(F.lit("a percentile lies outside its range")).cast(native))
+
     def at(position: Column) -> Column:
-        return F.max(F.when((position >= end - F.col("n")) & (position < end), F.col("value")))
+        return F.max(F.when((position >= F.col("end") - F.col("n")) & (position < F.col("end")), value)).cast(value_type)
 
     weight = F.col("position") - floor
     found = placed.groupBy("column_name", "fraction", weight.alias("weight")).agg(at(floor).alias("low"), at(ceil).alias("high"))
@@ -137,44 +209,27 @@ def exact_percentiles(
 
 
 def describe_numeric(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column.
+    """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column; NaN counts as missing.
 
-    Minimum, quartiles and maximum are exact: decimals if all numeric columns are integers, else doubles.
+    Minimum, quartiles and maximum are exact: decimals if all numeric columns are integers, else doubles. Everything but
+    the quartiles comes from one pass that runs at once, as the values around them are looked for by it.
     """
     names = _numeric(df)
     value_type = _value_type(df, names)
-    moments = df.agg(
-        *(
-            stat.alias(f"{label}{i}")
-            for i, name in enumerate(names)
-            for label, stat in (
-                ("n", F.count(name)),
-                ("avg", F.avg(name)),
-                ("dev", F.stddev_samp(name)),
-                ("min", F.min(name)),
-                ("max", F.max(name)),
-            )
-        )
-    )
-    summary = one_row_to_rows(
-        moments,
-        [
-            {
-                "column_name": F.lit(name),
-                "non_null_count": F.col(f"n{i}"),
-                "mean": settle(F.col(f"avg{i}"), digits),
-                "std": settle(F.col(f"dev{i}"), digits),
-                "min": F.col(f"min{i}").cast(value_type),
-                "max": F.col(f"max{i}").cast(value_type),
-            }
-            for i, name in enumerate(names)
-        ],
-    )
+    stats = _statistics(df, names, ("mean", F.avg), ("std", F.stddev_samp))
+    number = Decimal if value_type != "double" else float
+    summary = [
+        (c, s["n"], *(None if s[k] is None else float(s[k]) for k in ("mean", "std")), *(None if s[k] is None else number(s[k]) for k in ("low", "high")))
+        for c, s in stats.items()
+    ]
+    schema = f"column_name string, non_null_count bigint, mean double, std double, min {value_type}, max {value_type}"
+    rounded = {c: settle(F.col(c), digits) for c in ("mean", "std")}
     quartiles = (
-        exact_percentiles(df, names)
+        _percentiles(df, names, QUARTILES, stats)
         .groupBy("column_name")
         .agg(*(F.max(F.when(F.col("fraction") == q, F.col("value"))).alias(f"p{int(q * 100)}") for q in QUARTILES))
     )
-    return summary.join(F.broadcast(quartiles), "column_name", "left").select(
+    described = df.sparkSession.createDataFrame(summary, schema).withColumns(rounded)
+    return described.join(F.broadcast(quartiles), "column_name", "left").select(
         "column_name", "non_null_count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )

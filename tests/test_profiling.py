@@ -38,8 +38,10 @@ def test_digits_beyond_doubles_are_kept(spark):
     assert [int(row[c]) for c in ("min", "p25", "p50", "p75", "max")] == [i for i, in ids]
 
 
-def test_brackets_of_many_rows(spark, monkeypatch):
-    """The sketch cuts brackets once there are more rows than its accuracy."""
+@pytest.mark.parametrize("kept", [60, 5000])
+def test_brackets_of_many_rows(spark, monkeypatch, kept):
+    """Sketches narrow ranges down, once or several times."""
+    monkeypatch.setattr("orderlens.operators.profiling.KEPT", kept)
     monkeypatch.setattr("orderlens.operators.profiling.ACCURACY", 100)
     rng = np.random.default_rng(7)
     wide, hot = rng.integers(-(10**12), 10**12, 20_000), np.where(rng.random(20_000) < 0.35, 5, rng.integers(0, 9, 20_000))
@@ -90,3 +92,24 @@ def test_validation_counts_each_rule(items):
         "department not null": 1, "days_since_prior_order fits uint16": 1,
     }
     assert len(found) == 21
+
+
+def test_nan_is_missing_and_names_may_have_dots(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, 1), (2.0, 2), (nan, 3), (None, None), (float("inf"), 4)], "`a.b` double, `c d` int")
+    found = {r[0]: r[1:] for r in rows(describe_numeric(df.where("`a.b` is null or `a.b` < 10 or isnan(`a.b`)")))}
+    assert found["a.b"] == (2, 1.5, 0.707107, 1.0, 1.25, 1.5, 1.75, 2.0)
+    assert found["c d"] == (3, 2.0, 1.0, 1.0, 1.5, 2.0, 2.5, 3.0)
+    infinite = {r[0]: r[1:] for r in rows(describe_numeric(df))}["a.b"]
+    assert infinite[0] == 3 and infinite[3:6] == (1.0, 1.5, 2.0) and infinite[7] == float("inf")
+    only = spark.createDataFrame([(nan,), (None,)], "x double")
+    assert rows(describe_numeric(only)) == [("x", 0, None, None, None, None, None, None, None)]
+
+
+def test_plan_does_not_grow_with_fractions(spark):
+    df = spark.createDataFrame([tuple(range(9))] * 3, ", ".join(f"c{i} int" for i in range(9)))
+    df = df.unionByName(spark.range(9).select(*(F.col("id").cast("int").alias(c) for c in df.columns)))
+    plans = [exact_percentiles(df, df.columns[:n], fractions)._jdf.queryExecution().optimizedPlan().toString()
+             for n, fractions in ((1, (0.5,)), (9, (0.1, 0.2, 0.5, 0.9)))]
+    assert plans[0].count("\n") - plans[1].count("\n") in (0, 1)  # a projection for a single column
+    assert "subquery" not in describe_numeric(df)._jdf.queryExecution().executedPlan().toString()
