@@ -36,19 +36,23 @@ def parse_orders(df: DataFrame, col: str, rejects: str | None = None) -> DataFra
     that it can be repaired and loaded again without counting twice.
     """
     texts = df.where(F.trim(F.regexp_replace(col, r"\s+", " ")) != "").select(F.col(col).alias("text"))
-    # as the only element of a list, so that a second document behind the first does not pass unseen
+    # as the only element of a list, so that a second document behind the first does not pass unseen; a text that closes
+    # the list itself does not fit into an object, where nothing but the syntax is looked at
     listed, kind = F.concat(F.lit("["), "text", F.lit("]")), T.ArrayType(DOCUMENT)
+    boxed, syntax = F.concat(F.lit('{"document":'), "text", F.lit("}")), T.StructType([T.StructField("_none", T.StringType())])
     if rejects is not None:
         marked = T.StructType([*DOCUMENT.fields, T.StructField("_broken", T.StringType())])
         parsed = F.from_json("text", marked, {"columnNameOfCorruptRecord": "_broken"})
         whole = F.from_json(listed, kind)
-        sound = F.coalesce(
-            parsed["_broken"].isNull() & (F.size(whole) == 1) & whole[0].isNotNull(), F.lit(False)
-        )
+        marked = T.StructType([*syntax.fields, T.StructField("_broken", T.StringType())])
+        box = F.from_json(boxed, marked, {"columnNameOfCorruptRecord": "_broken"})
+        sound = parsed["_broken"].isNull() & box["_broken"].isNull() & (F.size(whole) == 1) & whole[0].isNotNull()
+        sound = F.coalesce(sound, F.lit(False))
         texts.where(~sound).write.mode("append").text(rejects)
         texts = texts.where(sound)
-    documents = texts.select(F.from_json(listed, kind, {"mode": "FAILFAST"}).alias("documents"))
-    one = (F.size("documents") == 1) & F.col("documents")[0].isNotNull()
+    strict = {"mode": "FAILFAST"}
+    documents = texts.select(F.from_json(listed, kind, strict).alias("documents"), F.from_json(boxed, syntax, strict).alias("box"))
+    one = (F.size("documents") == 1) & F.col("documents")[0].isNotNull() & F.col("box").isNotNull()
     checked = F.when(one, F.col("documents")[0]).otherwise(
         F.raise_error(F.lit("a text is not exactly one document")).cast(DOCUMENT)
     )

@@ -115,3 +115,17 @@ def test_flatten_undoes_nesting(spark):
     back = with_ingestion_ts(flatten_orders(parse_orders(text, "body")), STAMP)
     assert back.count() == raw.count() == 6000
     assert back.exceptAll(raw).isEmpty()
+
+
+@pytest.mark.parametrize("text", [
+    '{"orders": []}] junk [', '{"orders": []}] junk [{}', '{"orders": []}]', '{"orders": []}} junk', '{"orders": []}, "x": 1} {',
+    '{"orders": []}], [{"orders": []}', '{"orders": []} junk', '{"orders": []}{', '[{"orders": []}]',
+])
+def test_text_behind_a_document_is_an_error(spark, tmp_path, text):
+    sound = '{"orders": [{"order_id": 1, "products": [{"product_id": 2, "product_name": "]} {["}]}]}'
+    df = spark.createDataFrame([(sound,), (text,)], "value string")
+    with pytest.raises(Exception):  # noqa: B017
+        rows(flatten_orders(parse_orders(df, "value")))
+    kept = flatten_orders(parse_orders(df, "value", rejects=f"{tmp_path}/rejects"))
+    assert [r.product_name for r in kept.collect()] == ["]} {["]
+    assert [r.value for r in spark.read.text(f"{tmp_path}/rejects").collect()] == [text]
