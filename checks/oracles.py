@@ -353,6 +353,11 @@ def _counts(tables: dict[str, str]) -> str:
 
 
 def _operators() -> dict[str, str]:
+    all_marts = f"""
+        WITH {ITEMS}, {PRODUCTS}, {HOURS}, {DEPARTMENTS}
+        SELECT 'product_analytics' AS table_name, * FROM products
+        UNION ALL BY NAME SELECT 'hourly_analytics' AS table_name, * FROM hours
+        UNION ALL BY NAME SELECT 'department_analytics' AS table_name, * FROM departments"""
     all_rows = _items("FROM items")
     keys = "order_id, product_id, add_to_cart_order, reordered"
     numeric = [c for c, kind in COLUMN_TYPES.items() if kind != "string"]
@@ -363,6 +368,10 @@ def _operators() -> dict[str, str]:
         "marts_from_grain": _products("FROM products"),
         "run_refresh": all_rows,
         "run_refresh_products": _products("FROM products"),
+        "incremental_refresh": all_rows,
+        "stream_hourly_counts": """
+          SELECT date_trunc('hour', ts) AS hour_start, event_type, count(*) AS events
+          FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
         "stream_refresh": all_rows,
         "parse_orders": all_rows,
         "read_orders_json": all_rows,
@@ -392,11 +401,8 @@ def _operators() -> dict[str, str]:
           SELECT * REPLACE (coalesce(product_name, '') AS product_name, coalesce(department, '') AS department,
                             coalesce(aisle, '') AS aisle)
           FROM items"""),
-        "build_marts": f"""
-          WITH {ITEMS}, {PRODUCTS}, {HOURS}, {DEPARTMENTS}
-          SELECT 'product_analytics' AS table_name, * FROM products
-          UNION ALL BY NAME SELECT 'hourly_analytics' AS table_name, * FROM hours
-          UNION ALL BY NAME SELECT 'department_analytics' AS table_name, * FROM departments""",
+        "build_marts": all_marts,
+        "incremental_marts": all_marts,
         "load_report": f"WITH {ITEMS}, {PRODUCTS}, {HOURS}, {DEPARTMENTS} "
         + _counts(
             {

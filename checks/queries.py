@@ -36,7 +36,7 @@ from orderlens.operators import (
 from orderlens.plans import REPORTS, load_tables, run, run_refresh
 from orderlens.schema import DOCUMENT, ORDER, PRODUCT_IN_ORDER, RAW
 from orderlens.session import tune
-from orderlens.sinks import ensure_tables, load_report, read_table, refresh_table, table_counts
+from orderlens.sinks import ensure_tables, load_report, read_table, read_tables, refresh_table, table_counts
 from orderlens.sources import (
     cleanup_lake,
     flatten_orders,
@@ -50,7 +50,7 @@ from orderlens.sources import (
     with_ingestion_ts,
 )
 from orderlens.sources.star_tables import STAMP, order_items
-from orderlens.streaming import stream_refresh
+from orderlens.streaming import incremental_refresh, stream_hourly_counts, stream_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -245,6 +245,42 @@ def streamed_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{folder}/warehouse", "raw_orders")
 
 
+def _in_increments(spark: SparkSession, sf_dir: str) -> str:
+    """Three batches, one after each run; the second is loaded again, as if its run had died before it was recorded."""
+    folder = storage.scratch_folder(spark, "increments")
+    raw = order_items(spark, sf_dir)
+    warehouse, checkpoint = f"{folder}/warehouse", f"{folder}/checkpoint"
+    for part in range(3):
+        land_batch(raw.where(F.pmod("order_id", F.lit(3)) == part), f"{folder}/lake")
+        if part == 2:
+            storage.delete(spark, f"{checkpoint}/commits/1")
+            storage.delete(spark, f"{checkpoint}/commits/.1.crc")
+        incremental_refresh(spark, f"{folder}/lake", warehouse, checkpoint)
+    return warehouse
+
+
+def rows_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, _in_increments(spark, sf_dir), "raw_orders")
+
+
+def marts_in_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _side_by_side(read_tables(spark, _in_increments(spark, sf_dir)))
+
+
+def events_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in files by time, streamed in micro-batches of two files over two runs."""
+    folder = storage.scratch_folder(spark, "events")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    second = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(second), F.max(second)).first()
+    part = F.floor((second - F.lit(first)) * 6 / F.lit(last - first + 1))
+    for number in range(6):
+        events.where(part == number).coalesce(1).write.parquet(f"{folder}/in/{number}")
+        if number in (2, 5):
+            found = stream_hourly_counts(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", files_at_once=2)
+    return found
+
+
 def safe_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cast on floats, padded text, text with a fraction and text that is no number."""
     key = F.col("event_id").cast("string")
@@ -300,7 +336,11 @@ def values_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of each mart, all from the shared aggregate."""
-    tables = build_marts(order_items(spark, sf_dir))
+    return _side_by_side(build_marts(order_items(spark, sf_dir)))
+
+
+def _side_by_side(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of all marts under the columns of all."""
     columns = {c: kind for name in MARTS for c, kind in tables[name].dtypes}
     wide = [
         tables[name].select(
@@ -380,6 +420,9 @@ def queries() -> dict[str, Query]:
         "run_refresh_products": refreshed_products,
         "load_report": refresh_counts,
         "stream_refresh": streamed_twice,
+        "incremental_refresh": rows_in_increments,
+        "incremental_marts": marts_in_increments,
+        "stream_hourly_counts": events_by_hour,
         # profiling and checks
         "preview": lambda spark, sf_dir: preview(raw(spark, sf_dir), 5, ROW_KEYS),
         "profile_columns": lambda spark, sf_dir: profile_columns(raw(spark, sf_dir)),

@@ -35,8 +35,8 @@ def _manifests(spark: SparkSession, root: str) -> list[str]:
     return storage.children(spark, f"{root}/generations")
 
 
-def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
-    """Folder of each table in the newest generation; empty before the first one."""
+def current_paths(spark: SparkSession, root: str) -> dict[str, str | list[str]]:
+    """Folder of each table in the newest generation, or several of a table of increments; empty before the first one."""
     published = _manifests(spark, root)
     return json.loads(storage.read_text(spark, published[-1])) if published else {}
 
@@ -57,15 +57,23 @@ def _clustered(spark: SparkSession, rows: DataFrame, name: str, folder: str) ->
     return staged.withColumns(place).repartitionByRange(*SORT_KEYS[name], *place).drop(*place)
 
 
+def _folders(path: str | list[str]) -> list[str]:
+    return [path] if isinstance(path, str) else path
+
+
 def refresh_tables(
-    spark: SparkSession, frames: Mapping[str, DataFrame], root: str, cluster: bool = False
-) -> dict[str, str]:
+    spark: SparkSession,
+    frames: Mapping[str, DataFrame],
+    root: str,
+    cluster: bool = False,
+    present: Mapping[str, list[str]] | None = None,
+) -> dict[str, str | list[str]]:
     """Replace the given tables by the given frames in one step; other tables stay as they are.
 
     Each file is sorted by its table's key, so that row-group statistics skip well. ``cluster``
     also gives each file its own range of keys; that shuffles the whole table, so it is for tables
     read far more often than written. An empty frame leaves an empty table. Returns the folder of
-    every table. A frame whose columns are not the table's, or whose values may not fit, is an error.
+    every table. ``present`` names tables whose folders, one level below the table's, are already written. A frame whose columns are not the table's, or whose values may not fit, is an error.
     Catalog databases that follow the warehouse are pointed at the new folders.
     """
     root = root.rstrip("/")
@@ -89,6 +97,7 @@ def refresh_tables(
     finally:
         if scratch:
             storage.delete(spark, scratch)
+    paths.update(present or {})
     storage.write_text(spark, f"{root}/generations/{label}.json", json.dumps(paths))
     for follower in storage.children(spark, f"{root}/followers"):
         database = follower.rsplit("/", 1)[1]
@@ -116,7 +125,7 @@ def _drop_old_generations(spark: SparkSession, root: str) -> None:
     for manifest in old:
         storage.delete(spark, manifest)
     kept = [json.loads(storage.read_text(spark, m)) for m in published if m not in old]
-    used = {_folder_name(path) for manifest in kept for path in manifest.values()}
+    used = {_folder_name(path) for manifest in kept for paths in manifest.values() for path in _folders(paths)}
     for name in TABLES:
         for path in storage.children(spark, f"{root}/{name}"):
             if _folder_name(path) not in used:
@@ -129,17 +138,14 @@ def _folder_name(path: str) -> tuple[str, ...]:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    path = current_paths(spark, root.rstrip("/")).get(name)
-    if path is None:
-        return spark.createDataFrame([], TABLES[name])
-    return spark.read.schema(TABLES[name]).parquet(path)
+    return read_tables(spark, root)[name]
 
 
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """All four tables of the newest generation."""
     paths = current_paths(spark, root.rstrip("/"))
     return {
-        name: spark.read.schema(schema).parquet(paths[name]) if name in paths else spark.createDataFrame([], schema)
+        name: spark.read.schema(schema).parquet(*_folders(paths[name])) if name in paths else spark.createDataFrame([], schema)
         for name, schema in TABLES.items()
     }
 
@@ -168,9 +174,19 @@ def _quoted(path: str) -> str:
 
 
 def sync_catalog(spark: SparkSession, root: str, database: str = "analytics") -> None:
-    """Point the catalog's tables at the newest generation, for use from SQL."""
+    """Point the catalog's tables at the newest generation, for use from SQL; a table of increments becomes a view."""
+    views = {row["viewName"] for row in spark.sql(f"SHOW VIEWS IN `{database}`").collect()}
     for name, path in current_paths(spark, root.rstrip("/")).items():
         table = f"`{database}`.`{name}`"
+        if not isinstance(path, str):
+            if name not in views:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            listed = ", ".join(f"`{f.name}`" for f in TABLES[name].fields)
+            parts = (f"SELECT {listed} FROM parquet.`{folder}`" for folder in path)
+            spark.sql(f"CREATE OR REPLACE VIEW {table} AS {' UNION ALL '.join(parts)}")
+            continue
+        if name in views:
+            spark.sql(f"DROP VIEW {table}")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name].fields)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION {_quoted(path)}")
         spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
