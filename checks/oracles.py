@@ -92,6 +92,7 @@ def _evergreen(min_orders: int) -> str:
       ORDER BY loyalty_score DESC, {PRODUCT_ORDER} LIMIT 15""")
 
 
+# The labels of the groups in the statements below are fixed values: results are compared with them.
 def _buckets(cases: str) -> str:
     return _products(f"""
       SELECT CASE {cases} WHEN reorder_rate >= 0.5 THEN 'Medium (50-79%)'

@@ -155,7 +155,11 @@ def lake_of_many_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw.where("days_since_prior_order is not null").where(part != 0).withColumns(whole).write.parquet(f"{lake}/orders_1.parquet")
     floating = whole | {"days_since_prior_order": F.col("days_since_prior_order").cast("double")}
     first.withColumns(floating).write.parquet(f"{lake}/orders_2.parquet")
-    land_batch(raw.where(part == 0), lake)
+    land_batch(raw.where(part == 0).where("order_id % 2 = 0"), lake)
+    # and one batch that holds files of both kinds
+    both, rest = f"{lake}/orders_4.parquet", raw.where(part == 0).where("order_id % 2 <> 0")
+    rest.where("days_since_prior_order is not null").write.parquet(both)
+    rest.where("days_since_prior_order is null").withColumns(floating).write.mode("append").parquet(both)
     return read_lake(spark, lake)
 
 

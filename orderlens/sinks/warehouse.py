@@ -3,7 +3,9 @@
 Every refresh writes new folders ``<table>/gen=<number>`` and then publishes one small manifest
 file that names the folder of each table. Readers take the newest manifest, so they see all tables
 of one refresh or all of the one before, and a refresh that fails halfway changes nothing. One
-refresh runs at a time.
+refresh runs at a time: it claims the next number with a file of that name, and another one that wants the same
+number fails. The claim goes with the end of the refresh, also if it fails; that of a driver that died counts for
+``CLAIM_HOURS``, or until the file is deleted.
 
 Folders of earlier generations stay for queries already running: the last ``KEPT_GENERATIONS`` of
 them, and all that were current within the last ``KEPT_HOURS``. Choose these hours longer than the longest
@@ -15,8 +17,9 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +32,11 @@ from orderlens.schema import SORT_KEYS, TABLES
 
 KEPT_GENERATIONS = 2
 KEPT_HOURS = 6.0
+CLAIM_HOURS = 24.0
+
+
+class RefreshRunningError(RuntimeError):
+    """Another refresh of the same warehouse has not ended."""
 
 
 def _manifests(spark: SparkSession, root: str) -> list[str]:
@@ -46,6 +54,25 @@ def _next_number(spark: SparkSession, root: str) -> int:
     return int(published[-1].rsplit("/", 1)[1].split("-")[0]) + 1 if published else 1
 
 
+@contextmanager
+def _claimed(spark: SparkSession, root: str) -> Iterator[int]:
+    """The next generation's number, claimed until the block ends."""
+    number = _next_number(spark, root)
+    path = f"{root}/claims/{number:012d}"
+    if not storage.claim(spark, path):
+        if storage.modified(spark, path) > time.time() - CLAIM_HOURS * 3600:
+            raise RefreshRunningError(f"refresh {number} of {root} is running; delete {path} if its driver has died")
+        storage.delete(spark, path)
+        if not storage.claim(spark, path):
+            raise RefreshRunningError(f"refresh {number} of {root} is running")
+    try:
+        if _next_number(spark, root) != number:
+            raise RefreshRunningError(f"refresh {number} of {root} has just ended")
+        yield number
+    finally:
+        storage.delete(spark, path)
+
+
 def _clustered(spark: SparkSession, rows: DataFrame, name: str, folder: str) -> DataFrame:
     """Range-partition the rows by the table's key, equal keys and copies spread evenly.
 
@@ -77,8 +104,14 @@ def refresh_tables(
     Catalog databases that follow the warehouse are pointed at the new folders.
     """
     root = root.rstrip("/")
+    with _claimed(spark, root) as number:
+        return _refresh(spark, frames, root, cluster, present or {}, number)
+
+
+def _refresh(
+    spark: SparkSession, frames: Mapping[str, DataFrame], root: str, cluster: bool, present: Mapping[str, list[str]], number: int
+) -> dict[str, str | list[str]]:
     paths = current_paths(spark, root)
-    number = _next_number(spark, root)
     label = f"{number:012d}-{uuid.uuid4().hex[:8]}"
     scratch = storage.scratch_folder(spark, "cluster") if cluster else None
 
@@ -97,7 +130,7 @@ def refresh_tables(
     finally:
         if scratch:
             storage.delete(spark, scratch)
-    paths.update(present or {})
+    paths.update(present)
     storage.write_text(spark, f"{root}/generations/{label}.json", json.dumps(paths))
     for follower in storage.children(spark, f"{root}/followers"):
         database = follower.rsplit("/", 1)[1]

@@ -1,16 +1,18 @@
 """The lake: a folder of order-item batches in Parquet.
 
 A batch is one Parquet folder (or file) named ``orders_<id>.parquet``. It is written under a
-hidden name and renamed when complete, so a reader, batch or stream, never sees half of one.
+hidden name and renamed when complete, so a reader, batch or stream, never sees half of one. A batch that is
+landed here tells its types in a small file beside its data; of other writers' batches each file's footer does.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,6 +23,8 @@ from orderlens.schema import RAW
 
 log = logging.getLogger(__name__)
 
+MANIFEST = "_schema.json"  # hidden from readers of the data
+
 
 def land_batch(df: DataFrame, lake: str, batch_id: str | None = None, empty: bool = True) -> str:
     """Write the frame as one new batch with the fixed lake schema and return its path.
@@ -39,6 +43,7 @@ def land_batch(df: DataFrame, lake: str, batch_id: str | None = None, empty: boo
     if not empty and spark.read.schema(RAW).parquet(hidden).isEmpty():
         storage.delete(spark, hidden)
         raise ValueError("the batch has no rows")
+    storage.write_text(spark, f"{hidden}/{MANIFEST}", RAW.json())
     if not fresh:
         storage.delete(spark, final)
     storage.move(spark, hidden, final)
@@ -49,21 +54,27 @@ def list_batches(spark: SparkSession, lake: str) -> list[str]:
     return [path for path in storage.children(spark, lake) if path.endswith(".parquet")]
 
 
-def _schemas(spark: SparkSession, batches: list[str]) -> list[T.StructType]:
-    """Schema of each batch, from one footer."""
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return list(pool.map(lambda path: spark.read.parquet(path).schema, batches))
+def _with_types(spark: SparkSession, batch: str) -> list[tuple[str, T.StructType]]:
+    """A batch's folder with its types, or every file of it with its own."""
+    if storage.exists(spark, f"{batch}/{MANIFEST}"):
+        return [(batch, T.StructType.fromJson(json.loads(storage.read_text(spark, f"{batch}/{MANIFEST}"))))]
+    entries = storage.children(spark, batch)
+    # a file, a folder of files, or, read as one, anything else
+    parts = entries if entries and all(e.endswith(".parquet") for e in entries) else [batch]
+    return [(part, spark.read.parquet(part).schema) for part in parts]
 
 
 def read_as_written(spark: SparkSession, batches: list[str]) -> list[DataFrame]:
     """Batches with the types their writers chose, one frame for each set of types.
 
     Writers that infer types store whole numbers as 64-bit integers, or as floats where a value is
-    missing, so files of one lake differ.
+    missing, so files of one lake, and even of one batch, differ. Batches that were landed here take no job to find that out.
     """
     alike: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path, schema in zip(batches, _schemas(spark, batches), strict=True):
-        alike.setdefault(schema.json(), (schema, []))[1].append(path)
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        for found in pool.map(partial(_with_types, spark), batches):
+            for path, schema in found:
+                alike.setdefault(schema.json(), (schema, []))[1].append(path)
     return [spark.read.schema(schema).parquet(*paths) for schema, paths in alike.values()]
 
 

@@ -11,6 +11,7 @@ import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -66,6 +67,19 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     move(spark, hidden, path)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False when it is there already. Of several claimants one succeeds, where the store can tell."""
+    fs, target = _open(spark, path)
+    fs.mkdirs(target.getParent())
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    return True
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _open(spark, path)
     stream = fs.open(target)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens import storage
 from orderlens.__main__ import main
+from orderlens.functions import to_raw_orders
 from orderlens.operators import cast_losses
 from orderlens.plans import check_lake, ingest_documents, load_tables, process_lake, register_views, run, run_refresh
 from orderlens.schema import RAW, TABLES
@@ -460,3 +461,63 @@ def test_reports_as_views(spark, place, batch):
     got = rows(spark.sql("SELECT unique_orders FROM d1_totals CROSS JOIN (SELECT count(*) FROM raw_orders)"))
     assert got == [(2,)]
     assert spark.sql("SELECT * FROM b1_hour_share").count() == 2
+
+
+def test_files_of_one_batch_may_differ(spark, place, batch, items):
+    lake = place("lake")
+    floating = {"days_since_prior_order": "double", "user_id": "double"}
+    mixed = f"{lake}/orders_mixed.parquet"
+    batch.write.parquet(mixed)
+    batch.withColumns({c: F.col(c).cast(k) for c, k in floating.items()}).write.mode("append").parquet(mixed)
+    land_batch(items({"order_id": 77}), lake)
+    found = read_lake(spark, lake)
+    assert found.schema == RAW
+    assert sorted(r.order_id for r in found.collect()) == sorted([r.order_id for r in batch.collect()] * 2 + [77])
+
+
+def test_own_batches_take_no_job_to_be_read(spark, place, batch):
+    lake, status = place("lake"), spark.sparkContext.statusTracker()
+    for i in range(5):
+        land_batch(batch, lake, batch_id=str(i))
+    before = len(status.getJobIdsForGroup(None))
+    frame = read_lake(spark, lake)
+    assert len(status.getJobIdsForGroup(None)) == before
+    assert frame.count() == 5 * batch.count()
+
+
+def test_two_refreshes_at_a_time(spark, place, batch, monkeypatch):
+    """The second one starts while the first is writing, and fails; the first one ends as if alone."""
+    root, seen = place("wh"), []
+    load_tables(batch, root)
+    real = warehouse.exactly
+
+    def during(frame, schema):
+        if not seen:
+            seen.append(1)
+            with pytest.raises(warehouse.RefreshRunningError):
+                refresh_table(batch.limit(0).transform(to_raw_orders), root, "raw_orders")
+        return real(frame, schema)
+
+    monkeypatch.setattr(warehouse, "exactly", during)
+    load_tables(batch, root)
+    assert seen and counts(spark, root) == LOADED
+    assert storage.children(spark, f"{root}/claims") == []
+
+
+def test_claim_of_a_dead_driver(spark, place, batch, monkeypatch):
+    root = place("wh")
+    load_tables(batch, root)
+    storage.claim(spark, f"{root}/claims/{2:012d}")
+    with pytest.raises(warehouse.RefreshRunningError, match="delete"):
+        load_tables(batch, root)
+    monkeypatch.setattr(warehouse, "CLAIM_HOURS", 0.0)
+    load_tables(batch, root)
+    assert counts(spark, root) == LOADED
+
+
+def test_failed_refresh_gives_its_claim_back(spark, place, batch):
+    root = place("wh")
+    with pytest.raises(ValueError):
+        refresh_table(batch.drop("user_id"), root, "raw_orders")
+    load_tables(batch, root)
+    assert counts(spark, root) == LOADED
