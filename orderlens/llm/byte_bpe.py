@@ -21,7 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import partial
 from itertools import chain
 
@@ -30,11 +30,10 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import filled, releasing
+from orderlens.llm.common import Shared, filled, releasing
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -277,7 +276,7 @@ def slices(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def encoded(batches: Iterator[pa.RecordBatch], merges: Broadcast, pattern: str) -> Iterator[pa.RecordBatch]:
+def encoded(batches: Iterator[pa.RecordBatch], merges: Shared, pattern: str) -> Iterator[pa.RecordBatch]:
     """(id, text) to (id, ids)."""
     encoder = Encoder(merges.value, pattern)
     for batch in batches:
@@ -297,7 +296,7 @@ def id_lists(ids: pa.Array) -> Iterator[list[int]]:
     return (flat[start:end] for start, end in zip([0, *ends], ends, strict=False))
 
 
-def decoded(batches: Iterator[pa.RecordBatch], merges: Broadcast) -> Iterator[pa.RecordBatch]:
+def decoded(batches: Iterator[pa.RecordBatch], merges: Shared) -> Iterator[pa.RecordBatch]:
     """(id, ids) to (id, ids, bytes)."""
     token = merges.value.tokens.__getitem__
     for batch in batches:
@@ -323,8 +322,9 @@ def _given(df: DataFrame, id_col: str, column) -> tuple[DataFrame, str]:
     return given, given.schema["id"].dataType.simpleString()
 
 
-def _shared(df: DataFrame, path: str) -> Broadcast:
-    return df.sparkSession.sparkContext.broadcast(Merges.read(path))  # as large as the rank file
+def _shared(df: DataFrame, path: str) -> Shared:
+    merges = Merges.read(path)
+    return Shared(df.sparkSession, Merges, *(getattr(merges, f.name) for f in fields(merges)))  # as large as the rank file
 
 
 def encode(

@@ -35,6 +35,24 @@ def kept_table(df: DataFrame, label: str) -> DataFrame:
     return storage.written(spark, df, storage.scratch_folder(spark, label))
 
 
+class Shared:
+    """Plain values on all executors, and an object that is made of them once in each Python worker.
+
+    A broadcast object would be pickled by the name of its class, which executors could only read with this package
+    installed. Here the class travels by value with the function that uses it.
+    """
+
+    def __init__(self, spark: SparkSession, build: Callable, *parts):
+        self._build, self._parts = build, spark.sparkContext.broadcast(parts)
+
+    @property
+    def value(self):
+        held = self._parts  # the same one for all tasks of a worker
+        if not hasattr(held, "_llm_built"):
+            held._llm_built = self._build(*held.value)
+        return held._llm_built
+
+
 def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
     """The same function for ``mapInArrow``; after a partition, freed memory goes back to the system.
 

@@ -21,15 +21,16 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orderlens.llm.common import filled, releasing
+from orderlens.llm.common import Shared, filled, releasing
 
 WINDOW = 10
 SHARD = 1 << 20
@@ -239,7 +240,10 @@ def _passes(
     docs: DataFrame, benchmark: DataFrame, finish: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
     id_col: str, text_col: str, item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
 ) -> DataFrame:
-    """A pass over the documents for each block of the benchmark; the last one also finishes the rows."""
+    """A pass over the documents for each block of the benchmark; the last one also finishes the rows.
+
+    ``schema`` names the columns that the finished rows have after the id.
+    """
     found = docs.select(
         F.col(id_col).alias("id"), filled(F.col(text_col)).alias("text"),
         F.lit(None).cast("binary").alias("hit"), F.lit(None).cast("array<string>").alias("items"),
@@ -248,18 +252,18 @@ def _passes(
     for block in blocks(benchmark, item_col, item_text_col, window):
         if search:
             found = found.mapInArrow(releasing(search), between)
-        shared = docs.sparkSession.sparkContext.broadcast(block)  # BLOCK windows at most
+        shared = Shared(docs.sparkSession, Windows, *(getattr(block, f.name) for f in fields(block)))  # BLOCK windows at most
         search = partial(_found, windows=shared)
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return finish(search(batches) if search else batches)
 
-    return found.mapInArrow(releasing(last), schema.format(id=found.schema["id"].dataType.simpleString()))
+    return found.mapInArrow(releasing(last), T.StructType([found.schema["id"], *T.StructType.fromDDL(schema).fields]))
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id, text, hit, items) for every row: a bit for each word, from the highest of each byte, and item ids."""
-    schema = "id {id}, text string, hit binary, items array<string>"
+    schema = "text string, hit binary, items array<string>"
     return _passes(docs, benchmark, lambda batches: batches, schema, id_col, text_col, **options)
 
 
@@ -279,7 +283,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Counts and a digest of the items for every row: id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    schema = "id {id}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
+    schema = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
     found = _passes(docs, benchmark, _digests, schema, id_col, text_col, **options)
     return found.withColumnRenamed("id", id_col)
 
@@ -291,7 +295,9 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *
     without hits stays as it is, a null stays null.
     """
     columns = docs.columns
-    whole = docs.withColumn("_llm_row", F.struct(*columns))
+    # a row is carried as one value, so that its columns may have any name
+    row = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row")
+    whole = docs.select(row, F.col(f"`{text_col}`").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,10 +307,10 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *
             columns = [batch.column("id"), pa.array(cleaned, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "cleaned"])
 
-    kept = _passes(whole, benchmark, cut, "id {id}, cleaned string", "_llm_row", text_col, **options)
-    return kept.select(
-        *(F.coalesce("cleaned", f"id.`{c}`").alias(c) if c == text_col else F.col(f"id.`{c}`").alias(c) for c in columns)
-    )
+    kept = _passes(whole, benchmark, cut, "cleaned string", "row", "text", **options)
+    values = {c: F.col("id").getField(c) for c in columns}
+    values[text_col] = F.coalesce("cleaned", values[text_col])
+    return kept.select(*(value.alias(c) for c, value in values.items()))
 
 
 def cut_words(text: str, hit: bytes) -> str:

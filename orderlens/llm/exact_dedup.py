@@ -34,7 +34,7 @@ def _slot(text: Column) -> Column:
 
 def surviving_slots(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """One row per slot that holds a (length, prefix) shared by several rows; ``SLOTS`` at most."""
-    text = F.col(text_col)
+    text = F.col(f"`{text_col}`")
     lengths = docs.select(_length(text).alias("length")).groupBy("length").count().where("count > 1")
     # as slots, so that they can be broadcast and no length gathers its rows in one task
     lengths = lengths.select(F.pmod("length", F.lit(SLOTS)).alias("length_slot")).distinct()
@@ -54,10 +54,10 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The row with the largest id stays. ``text_sha256`` is null for texts settled before the last
     pass, unless ``hash_all`` asks for the digest of every text.
     """
-    text = F.col(text_col)
+    text = F.col(f"`{text_col}`")
     slots = surviving_slots(docs, text_col).withColumn("hit", F.lit(True))
     hashed = (
-        docs.select(F.col(id_col).alias("id"), text.alias("text"), _slot(text).alias("_llm_slot"))
+        docs.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"), _slot(text).alias("_llm_slot"))
         .join(F.broadcast(slots), "_llm_slot", "left")
         .select(
             "id",
@@ -91,17 +91,15 @@ def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_last(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, without those that have an equal text with a larger id."""
+    columns = docs.columns
     slots = surviving_slots(docs, text_col)
-    placed = docs.withColumn("_llm_slot", _slot(F.col(text_col)))
+    # a row is carried as one value, so that its columns may have any name
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"))
+    text, own = F.col("row").getField(text_col), F.col("row").getField(id_col)
+    placed = whole.withColumn("_llm_slot", _slot(text))
     alone = placed.join(F.broadcast(slots), "_llm_slot", "left_anti")
-    rest = placed.join(F.broadcast(slots), "_llm_slot", "left_semi").withColumn(
-        "_llm_hash", F.sha2(lowered(F.col(text_col)), 256)
-    )
-    largest = kept_table(rest.groupBy("_llm_hash").agg(F.max(id_col).alias("_llm_keep")), "exact-largest")
-    last = (
-        rest.join(largest, "_llm_hash")
-        .where(F.col(id_col).eqNullSafe(F.col("_llm_keep")))
-        .withColumn("_llm_id", F.col(id_col))
-        .dropDuplicates(["_llm_hash", "_llm_id"])
-    )
-    return alone.select(docs.columns).unionByName(last.select(docs.columns))
+    rest = placed.join(F.broadcast(slots), "_llm_slot", "left_semi").select("row", F.sha2(lowered(text), 256).alias("hash"), own.alias("id"))
+    largest = kept_table(rest.groupBy("hash").agg(F.max("id").alias("keep")), "exact-largest")
+    last = rest.join(largest, "hash").where(F.col("id").eqNullSafe(F.col("keep"))).dropDuplicates(["hash", "id"])
+    kept = alone.select("row").unionByName(last.select("row"))
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in columns))

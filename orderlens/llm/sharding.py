@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import filled, kept_table
+from orderlens.llm.common import Shared, filled, kept_table
 
 SHARDS = 24
 RANGES = 256  # per shard
@@ -128,7 +128,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id"
     times = drawn["draws"].to_numpy()
     sample = np.repeat(_keys([drawn[k].to_numpy() for k in KEY]), times)
     splitters = Splitters.of(sample, ranges)
-    shared = spark.sparkContext.broadcast(splitters)
+    shared = Shared(spark, Splitters, splitters.keys)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema)
     placed = keyed.mapInArrow(partial(_placed, splitters=shared), f"{schema}, range int")
 

@@ -195,13 +195,18 @@ def keep_first(
     Of several rows with that id, the one with the smallest hash of its text stays, once. A row
     without id stays only if its class has no id at all.
     """
+    columns = docs.columns
     marked, classes = _classes(docs, id_col, text_col, shingle, radius)
     first = (
         marked.join(classes, "fp")
         .groupBy("root")
         .agg(F.min(F.struct(F.isnull("id").alias("none"), "id", "text_hash")).alias("first"))
-        .select(F.col("first.id").alias("_llm_id"), F.col("first.text_hash").alias("_llm_hash"))
+        .select(F.col("first.id").alias("first_id"), F.col("first.text_hash").alias("first_hash"))
     )
-    hashed = docs.withColumn("_llm_own", F.xxhash64(filled(F.col(text_col))))
-    same = F.col(id_col).eqNullSafe(F.col("_llm_id")) & (F.col("_llm_own") == F.col("_llm_hash"))
-    return hashed.join(first, same).dropDuplicates(["_llm_id", "_llm_hash"]).select(docs.columns)
+    # a row is carried as one value, so that its columns may have any name
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"))
+    own = F.col("row").getField(id_col).alias("own_id"), F.xxhash64(filled(F.col("row").getField(text_col))).alias("own_hash")
+    hashed = whole.select("row", *own)
+    same = F.col("own_id").eqNullSafe(F.col("first_id")) & (F.col("own_hash") == F.col("first_hash"))
+    kept = hashed.join(first, same).dropDuplicates(["first_id", "first_hash"])
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in columns))

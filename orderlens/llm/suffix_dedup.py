@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.byte_bpe import gather
-from orderlens.llm.common import filled, kept_table, releasing
+from orderlens.llm.common import Shared, filled, kept_table, releasing
 
 LENGTH = 50
 GRAM = 24
@@ -291,7 +291,7 @@ def _shared(frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
     )
 
 
-class Shared(NamedTuple):
+class SharedAnchors(NamedTuple):
     """Bits of shared anchors by hash prefix, and the frequent anchors."""
 
     bits: np.ndarray
@@ -504,7 +504,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         counts.append(np.frombuffer(row["counts"], dtype="<i8"))
         seen += row["total"]
     frequent = np.concatenate(often)[np.concatenate(counts) > max(FREQUENT, seen >> 16)]
-    shared = spark.sparkContext.broadcast(Shared(bits.ravel(), frequent))
+    shared = Shared(spark, SharedAnchors, bits.ravel(), frequent)
 
     sent = packed.mapInArrow(
         releasing(partial(_sent, shared=shared, buckets=buckets)),

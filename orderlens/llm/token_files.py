@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from orderlens import storage
 from orderlens.llm.byte_bpe import gather
-from orderlens.llm.common import filled, releasing
+from orderlens.llm.common import Shared, filled, releasing
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END = 1
@@ -183,7 +183,7 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, folder: str, path: str
     given = docs.select(F.col(id_col).alias("id"), filled(F.col(text_col)).alias("text"))
     kind = given.schema["id"].dataType.simpleString()
     columns = f"id {kind}, n_tokens bigint, crc bigint, width int, ids binary"
-    shared = spark.sparkContext.broadcast(Tokenizer(path))
+    shared = Shared(spark, Tokenizer, path)
     found = given.mapInArrow(releasing(partial(_tokenized, shared=shared)), f"{columns}, kind string")
     found.write.partitionBy("kind").mode("overwrite").parquet(folder)
     everything = spark.read.schema(f"{columns}, kind string").parquet(folder)

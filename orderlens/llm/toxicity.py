@@ -46,7 +46,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import filled, kept_table, releasing
+from orderlens.llm.common import Shared, filled, kept_table, releasing
 
 FOLDS = 5
 SAMPLE = 1200  # labelled ids of each class
@@ -580,7 +580,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = learn(words, np.split(at, np.flatnonzero(np.diff(place)) + 1))
     if model is None:
         return _nothing()
-    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
+    shared = Shared(docs.sparkSession, Model, *model.plain())
     seen = sample.select("toxic", "text").mapInArrow(partial(_summarised, model=shared), "toxic int, s0 double, s1 double, s2 double, s3 double")
     seen = seen.toArrow().sort_by([(c, "ascending") for c in ("toxic", "s0", "s1", "s2")])
     model.curve = _curve(np.stack([seen[f"s{i}"].to_numpy() for i in range(4)], axis=1), seen["toxic"].to_numpy() == 1, share)
@@ -588,7 +588,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _summarised(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    scorer = Scorer(Model(*model.value))
+    scorer = Scorer(model.value)
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE):
             part = batch.slice(start, SLICE)
@@ -728,7 +728,7 @@ def summaries(texts: Iterable[str], model: Model, known: dict[str, Scorer]) -> n
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    model = Model(*model.value)
+    model = model.value
     scorer = Scorer(model)
     for batch in batches:
         texts = batch.column("text")
@@ -741,7 +741,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted) for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.plain())  # CLASSES ** 3 numbers and a few
+    shared = Shared(docs.sparkSession, Model, *model.plain())  # CLASSES ** 3 numbers and a few
     given = docs.select(
         F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"), filled(F.col(text_col)).alias("text")
     )
@@ -754,16 +754,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that the model does not reject."""
-    shared = docs.sparkSession.sparkContext.broadcast(model.plain())  # CLASSES ** 3 numbers and a few
-    columns = docs.columns
+    shared = Shared(docs.sparkSession, Model, *model.plain())  # CLASSES ** 3 numbers and a few
+    # a row is carried as one value, so that its columns may have any name
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    whole = docs.select(row, filled(F.col(f"`{text_col}`")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
+        own = shared.value
         scorer = Scorer(own)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 part = batch.slice(start, SLICE)
-                texts = [t or "" for t in part.column(columns.index(text_col)).to_pylist()]
-                yield part.filter(pa.array(own.score(scorer.summaries(texts)) < 0.5))
+                stays = pa.array(own.score(scorer.summaries(part.column("text").to_pylist())) < 0.5)
+                yield pa.RecordBatch.from_arrays([part.column("row").filter(stays)], names=["row"])
 
-    return docs.mapInArrow(releasing(run), docs.schema)
+    kept = whole.mapInArrow(releasing(run), whole.select("row").schema)
+    return kept.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

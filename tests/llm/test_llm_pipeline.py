@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from conftest import rows
-from llm_corpus import grouped, hits, lower, simhash_classes
+from llm_corpus import PASSAGE, TEXTS, grouped, hits, lower, simhash_classes
 
 import corpus_pipeline
 from orderlens.llm import toxicity
@@ -42,6 +42,48 @@ def test_pipeline(spark):
     assert len(found) == len(want) and set(found) == want
 
 
+ODD = "_llm_slot bigint, _llm_id string, _llm_row int, _llm_own int, `a.b` string, row string, hash string, hit string"
+
+
+@pytest.fixture
+def odd_folder(spark, tmp_path):
+    """Odd documents under odd columns, without n_chars; labels that belong to none, items with null."""
+    docs = spark.createDataFrame([(i, t, 7, "k", 1, 2, "dot", "r", "h", None) for i, t in TEXTS * 2], f"doc_id bigint, text string, {ODD}")
+
+    def write(rows_left=True):
+        docs.where(str(rows_left)).repartition(3).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+        items = [(1, PASSAGE), (2, "jumps over the lazy dog, and then it sleeps for a"), (None, "one"), (3, None)]
+        spark.createDataFrame(items, "item_id bigint, text string").write.mode("overwrite").parquet(f"{tmp_path}/benchmark.parquet")
+        spark.createDataFrame([(None, 1), (4, None), (99, 1)], "doc_id bigint, toxic int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        return str(tmp_path)
+
+    return write
+
+
+def test_pipeline_of_odd_documents(spark, odd_folder):
+    folder = odd_folder()
+    groups = grouped([lower(t) for _, t in TEXTS], [i for i, _ in TEXTS])
+    left = [(max((i for i in ids if i is not None), default=None), t) for t, ids in groups.items()]
+    _, classes = simhash_classes([t for _, t in left])
+    left = [min(own, key=lambda d: (d[0] is None, d[0] or 0)) for own in grouped(classes, left).values()]
+    found = rows(corpus_pipeline.run(spark, folder))
+    assert sorted((r[0] is None, r[0] or 0) for r in found) == sorted((i is None, i or 0) for i, _ in left)
+    lengths = {r[0]: r[1] for r in found}
+    assert lengths[9] < 20 and lengths[7] == 0  # without the passage, and without the word that is an item
+
+
+def test_stages_of_odd_and_no_documents(spark, odd_folder):
+    for some in (True, False):
+        folder = odd_folder(some)
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            after = stage(spark, docs, folder)
+            assert after.dtypes == docs.dtypes
+            found = {tuple(r[c] for c in range(2, 10)) for r in rows(after)}
+            assert found == ({(7, "k", 1, 2, "dot", "r", "h", None)} if some else set())
+        assert some or rows(corpus_pipeline.run(spark, folder)) == []
+
+
 def test_stages_keep_the_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
@@ -63,7 +105,7 @@ def test_query_matches_duckdb(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_tokenizers_are_not_copied():
