@@ -39,7 +39,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 NO_RANK = 1 << 18  # ranks are below: three bitmap levels of 64
 PIECES = 1 << 21  # distinct pieces a task remembers before it starts afresh
-LEARNED = 10 << 20  # bytes of text whose new pieces are encoded together
+LEARNED = 5 << 20  # bytes of text whose new pieces are encoded together; takes some 30 bytes for each
 SLICE = 1 << 20  # characters turned into ids at once
 # White space besides the blank and the line feed, by Unicode or by Python.
 RARE_ASCII = [chr(c) for c in (*range(9, 10), *range(11, 14), *range(28, 32))]
