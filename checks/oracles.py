@@ -448,6 +448,19 @@ def _operators() -> dict[str, str]:
           SELECT 'days_since_prior_order survives the cast' AS rule,
                  count(*) FILTER (days_since_prior_order * 1e8 >= 2147483648) AS violations FROM items
           UNION ALL SELECT 'add_to_cart_order survives the cast', count(*) FILTER (reordered = 1) FROM items"""),
+        "set_aside": _items("""
+          SELECT if(order_id % 2 = 0, 'orders_1.parquet', 'orders_2.parquet') AS batch,
+                 concat_ws('; ',
+                   if(order_id % 2 <> 0 AND days_since_prior_order * 1e8 >= 2147483648, 'days_since_prior_order survives the cast', NULL),
+                   if(user_id % 7 = 0, 'user_id not null', NULL),
+                   if(order_hour_of_day + 240 > 255, 'order_hour_of_day fits uint8', NULL),
+                   if(order_id % 2 <> 0 AND days_since_prior_order * 1e8 BETWEEN 65536 AND 2147483647, 'days_since_prior_order fits uint16', NULL)) AS broken,
+                 count(*) AS total_rows
+          FROM items GROUP BY ALL"""),
+        "distinct_sketches": _items("""
+          SELECT name AS department, count(DISTINCT order_id) AS order_id, count(DISTINCT user_id) AS user_id,
+                 count(DISTINCT product_id) AS product_id, true AS order_id_near, true AS user_id_near, true AS product_id_near
+          FROM (SELECT unnest([department, 'all']) AS name, order_id, user_id, product_id FROM items) GROUP BY ALL"""),
         "validate_raw": f"""
           WITH {ITEMS}, faulty AS (
             SELECT * REPLACE (

@@ -23,17 +23,21 @@ from orderlens.operators import (
     dedupe_latest,
     department_analytics,
     describe_numeric,
+    distinct_sketches,
     hourly_analytics,
     mart_grain,
     marts_from_grain,
+    merge_sketches,
     preview,
     product_analytics,
     profile_columns,
+    read_quarantine,
     roll_up_departments,
     sample_rows,
+    sketched_counts,
     validate_raw,
 )
-from orderlens.plans import REPORTS, load_tables, run, run_refresh
+from orderlens.plans import REPORTS, load_tables, process_lake, run, run_refresh
 from orderlens.schema import DOCUMENT, ORDER, PRODUCT_IN_ORDER, RAW
 from orderlens.session import tune
 from orderlens.sinks import ensure_tables, load_report, read_table, read_tables, refresh_table, table_counts
@@ -338,6 +342,46 @@ def values_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rows_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the set of rules they break, loaded ones among them; one of two writers has wider types, and a load is retried."""
+    folder = storage.scratch_folder(spark, "quarantine")
+    raw = order_items(spark, sf_dir)
+    faulty = raw.withColumn("user_id", F.when(F.col("user_id") % 7 != 0, F.col("user_id"))).withColumn(
+        "order_hour_of_day", F.col("order_hour_of_day") + 240
+    )
+    wide = faulty.withColumn("days_since_prior_order", F.col("days_since_prior_order") * 1e8)
+    even = F.col("order_id") % 2 == 0
+    for _ in range(2):
+        land_batch(faulty.where(even), f"{folder}/lake", batch_id="1")
+        wide.where(~even).write.mode("overwrite").parquet(f"{folder}/lake/orders_2.parquet")
+        process_lake(spark, f"{folder}/lake", f"{folder}/warehouse", quarantine=f"{folder}/faulty")
+    aside = read_quarantine(spark, f"{folder}/faulty").select("batch", F.concat_ws("; ", "broken").alias("broken"))
+    loaded = read_table(spark, f"{folder}/warehouse", "raw_orders").select(
+        F.when(even, "orders_1.parquet").otherwise("orders_2.parquet").alias("batch"), F.lit("").alias("broken")
+    )
+    return aside.unionByName(loaded).groupBy("batch", "broken").agg(F.count(F.lit(1)).alias("total_rows"))
+
+
+ERROR = 0.04  # of a sketched count, five times the mean error
+
+
+def sketches_rolled_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts by department, and of all, from sketches by department and hour, within ERROR of the exact ones."""
+    items = order_items(spark, sf_dir, ("department", "order_hour_of_day", "order_id", "user_id", "product_id"))
+    keys = ("order_id", "user_id", "product_id")
+    folder = storage.scratch_folder(spark, "sketches")
+    fine = storage.written(spark, distinct_sketches(items, ("department", "order_hour_of_day"), keys), folder)
+    by_department = merge_sketches(fine, ("department",), keys)
+    whole = merge_sketches(by_department, (), keys).select(F.lit("all").alias("department"), "*")
+    exact = [
+        items.select(name, *keys).groupBy("department").agg(*(F.count_distinct(k).alias(k) for k in keys))
+        for name in (F.col("department"), F.lit("all").alias("department"))
+    ]
+    both = sketched_counts(by_department.unionByName(whole), keys).join(exact[0].unionByName(exact[1]), "department")
+    near = {f"{k}_near": F.abs(F.col(f"{k}_count") - F.col(k)) <= F.lit(ERROR) * F.col(k) for k in keys}
+    return both.withColumns(near).select("department", *keys, *near)
+
+
 def all_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of each mart, all from the shared aggregate."""
     return _side_by_side(build_marts(order_items(spark, sf_dir)))
@@ -433,6 +477,8 @@ def queries() -> dict[str, Query]:
         "sample_rows": lambda spark, sf_dir: sample_rows(raw(spark, sf_dir), ROW_KEYS),
         "describe_numeric": lambda spark, sf_dir: describe_numeric(raw(spark, sf_dir)),
         "validate_raw": rows_with_faults,
+        "set_aside": rows_set_aside,
+        "distinct_sketches": sketches_rolled_up,
         "cast_losses": values_lost,
         "table_counts": star_table_counts,
         "readable_quantity": readable_line_counts,

@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     for sub in (process, refresh):
         sub.add_argument("--dedupe", action="store_true", help="drop rows that a later landing repeats")
         sub.add_argument("--check", action="store_true", help="fail if a row breaks a rule or would lose a value")
+        sub.add_argument("--quarantine", help="folder for rows that break a rule or would lose a value; the others load")
     stream = job("stream", "lake", "warehouse", "checkpoint", help="load new lake batches with a streaming query")
     for sub in (process, refresh, stream):
         sub.add_argument("--database", help="keep this catalog database's tables on the newest refresh")
@@ -79,7 +80,18 @@ def main(argv: list[str] | None = None) -> None:
         case "check":
             _print(check_lake(spark, args.lake))
         case "process":
-            _print(process_lake(spark, args.lake, args.warehouse, args.dedupe, args.database, args.cluster, args.check))
+            _print(
+                process_lake(
+                    spark,
+                    args.lake,
+                    args.warehouse,
+                    args.dedupe,
+                    args.database,
+                    args.cluster,
+                    args.check,
+                    args.quarantine,
+                )
+            )
         case "refresh":
             _print(
                 run_refresh(
@@ -93,6 +105,7 @@ def main(argv: list[str] | None = None) -> None:
                     rejects=args.rejects,
                     cluster=args.cluster,
                     check=args.check,
+                    quarantine=args.quarantine,
                 )
             )
         case "stream":

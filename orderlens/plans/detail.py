@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import labels
 from orderlens.functions.ratios import percent, ratio, settle
+from orderlens.operators.sketches import KEYS, SIZE, sketched_counts
 
 
 def _rows() -> Column:
@@ -27,12 +28,9 @@ def d1_totals(raw: DataFrame, approx: bool = False) -> DataFrame:
     with the users. Three distinct counts in one aggregate would expand every row fourfold.
     """
     if approx:
-        return raw.agg(
-            _rows().alias("total_rows"),
-            F.approx_count_distinct("order_id").alias("unique_orders"),
-            F.approx_count_distinct("user_id").alias("unique_users"),
-            F.approx_count_distinct("product_id").alias("unique_products"),
-        )
+        sketches = raw.agg(_rows().alias("total_rows"), *(F.hll_sketch_agg(k, SIZE).alias(f"{k}_sketch") for k in KEYS))
+        counts = [F.col(f"{k}_count").alias(name) for k, name in zip(KEYS, ("unique_orders", "unique_users", "unique_products"), strict=True)]
+        return sketched_counts(sketches).select("total_rows", *counts)
 
     def distinct(key: str) -> Column:
         return raw.filter(F.col(key).isNotNull()).select(key).distinct().agg(_rows()).scalar()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import labels
@@ -59,14 +59,16 @@ def i4_pareto(departments: DataFrame) -> DataFrame:
 
 def i5_peak_window(hours: DataFrame, width: int = 4) -> DataFrame:
     """The span of ``width`` consecutive hours with the most items; the earliest of equals."""
-    span = Window.orderBy("order_hour_of_day").rangeBetween(0, width - 1)
+    hour = F.col("order_hour_of_day").cast("bigint")  # each hour counts for the spans that reach it, and a span starts at an hour
+    back = F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias("back")
+    spread = hours.where(hour.isNotNull()).select(hour.alias("hour"), "total_orders", back)
+    spans = spread.groupBy((F.col("hour") - F.col("back")).alias("start")).agg(
+        F.sum("total_orders").alias("total_orders"), F.bool_or(F.col("back") == 0).alias("is_hour")
+    )
+    start = F.col("start").cast(hours.schema["order_hour_of_day"].dataType)
     return (
-        hours.filter(F.col("order_hour_of_day").isNotNull())
-        .select(
-            F.col("order_hour_of_day").alias("start_hour"),
-            (F.col("order_hour_of_day") + width).alias("end_hour"),
-            F.sum("total_orders").over(span).alias("total_orders"),
-        )
+        spans.where("is_hour")
+        .select(start.alias("start_hour"), (start + width).alias("end_hour"), "total_orders")
         .orderBy(F.desc("total_orders"), "start_hour")
         .limit(1)
     )

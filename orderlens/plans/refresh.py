@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens import storage
 from orderlens.operators.dedupe import dedupe_latest
 from orderlens.operators.marts import build_marts, product_analytics
-from orderlens.operators.quality import validate_batches
+from orderlens.operators.quality import set_aside, sound_rows, validate_batches
 from orderlens.sinks.warehouse import ensure_tables, load_report, refresh_tables
 from orderlens.sources.documents import flatten_orders, read_orders_json, with_ingestion_ts
 from orderlens.sources.lake import cleanup_lake, land_batch, list_batches, read_batches
@@ -65,13 +65,15 @@ def process_lake(
     database: str | None = None,
     cluster: bool = False,
     check: bool = False,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Load the batches now in the lake, then delete exactly those; returns rows per table.
 
     The tables describe these batches only. If the load fails, the lake keeps them and the tables
     stay as they were; an empty lake is such a failure, and with ``check`` a violated rule is one. A
     batch that arrives meanwhile is neither read nor deleted. With ``database`` the catalog's tables
-    follow the refresh.
+    follow the refresh. With ``quarantine`` rows that break a rule go to that folder with their rules, and the
+    others load; it costs writing and reading the rows once more, in one pass with the checks.
     """
     batches = list_batches(spark, lake)
     if not batches:
@@ -80,7 +82,13 @@ def process_lake(
         broken = validate_batches(spark, batches).where("violations > 0").collect()  # a row for each rule
         if broken:
             raise ValueError("; ".join(f"{r['violations']} rows break '{r['rule']}'" for r in broken))
-    load_tables(read_batches(spark, batches), warehouse, dedupe, cluster)
+    split = set_aside(spark, batches, quarantine) if quarantine else None
+    try:
+        raw = sound_rows(spark, split) if split else read_batches(spark, batches)
+        load_tables(raw, warehouse, dedupe, cluster)
+    finally:
+        if split:
+            storage.delete(spark, split)
     if database:
         ensure_tables(spark, warehouse, database)
     cleanup_lake(spark, batches)
@@ -99,7 +107,8 @@ def run_refresh(
     rejects: str | None = None,
     cluster: bool = False,
     check: bool = False,
+    quarantine: str | None = None,
 ) -> DataFrame:
     """Ingest, load and clean up in order; a failing step stops the ones after it."""
     ingest_documents(spark, documents, lake, ts, multi_line, rejects=rejects)
-    return process_lake(spark, lake, warehouse, dedupe, database, cluster, check)
+    return process_lake(spark, lake, warehouse, dedupe, database, cluster, check, quarantine)

@@ -8,8 +8,6 @@ from orderlens.plans import REPORTS, run
 from orderlens.sources.star_tables import order_items
 
 SF = "/root/testdata/sf0.001"
-# A window without partition reads one row per hour of day, or one row per distinct item total.
-WINDOW_ON_FEW_ROWS = {"b3_running_total", "i5_peak_window", "c5_gap_to_next", "i4_pareto"}
 
 
 @pytest.fixture(scope="module")
@@ -41,10 +39,10 @@ def test_report_plans(tables, no_broadcast, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BroadcastExchange" not in plan
     assert "Python" not in plan and "ObjectHashAggregate" not in plan
-    if name not in WINDOW_ON_FEW_ROWS:
-        # rows reach a single partition only as partial aggregates
-        for below in re.findall(r"Exchange SinglePartition[^\n]*\n[^A-Za-z]*(?:\*\(\d+\) )?(\w+)", plan):
-            assert below in ("HashAggregate", "SortAggregate"), plan
+    # rows reach a single partition only as partial aggregates, or as totals of a bounded number of spans
+    for below, keys in re.findall(r"Exchange SinglePartition[^\n]*\n[^A-Za-z]*(?:\*\(\d+\) )?(\w+)(?:\(keys?=\[([^\]]*))?", plan):
+        assert below in ("HashAggregate", "SortAggregate"), plan
+        assert not keys or re.fullmatch(r"_span#\d+", keys), plan
 
 
 @pytest.mark.parametrize("name", [n for n, r in REPORTS.items() if r.table == "raw_orders"])
