@@ -2,8 +2,8 @@
 
 An exact distinct count of a month does not follow from those of its days. A sketch does: it is a few kilobytes
 whatever it has seen, each task builds its own, and only sketches are shuffled. Sketches of one batch are merged with those of
-others, and one that is merged twice adds nothing, so a replayed batch does no harm. (What was never merged is
-estimated a little better, from the order of its values, so estimates before and after a first merge may differ.)
+others, and one that is merged twice adds nothing new, so a replayed batch does no harm. Estimates also use the order
+in which values came, so they differ a little, within their error, with the way rows were cut.
 
 An estimate is off by ``1.04 / sqrt(2 ** SIZE)`` of the count in the mean, 0.8%. Small sets are counted almost exactly.
 NULLs are not counted; a group without any value has the estimate 0. No rows give no groups, or a single row of zeros
