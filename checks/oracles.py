@@ -378,6 +378,7 @@ def _operators() -> dict[str, str]:
         "read_orders_json": all_rows,
         "read_orders_json_whole_files": all_rows,
         "read_lake_mixed": all_rows,
+        "read_orders_split": all_rows,
         "flatten_orders": all_rows,
         "read_batch": all_rows,
         "refresh_table": all_rows,

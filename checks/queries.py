@@ -50,6 +50,7 @@ from orderlens.sources import (
     read_batch,
     read_lake,
     read_orders_json,
+    read_orders_split,
     require_non_empty,
     with_ingestion_ts,
 )
@@ -129,6 +130,15 @@ def whole_files_read_and_flattened(spark: SparkSession, sf_dir: str) -> DataFram
     return with_ingestion_ts(flatten_orders(read), STAMP)
 
 
+def large_files_cut_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each file is one document, of up to 5,000 orders, cut between them; some have no orders and are parsed whole."""
+    folder = storage.scratch_folder(spark, "read")
+    documents = _documents(spark, sf_dir, 5000)
+    bare = documents.select((-1 - F.col("part")).alias("part"), F.lit('{"orders": []}').alias("value"))
+    documents.unionByName(bare).write.partitionBy("part").text(folder)
+    return with_ingestion_ts(flatten_orders(read_orders_split(spark, folder)), STAMP)
+
+
 def nested_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without text in between: numbers as variants, as the document schema has them."""
     orders = F.collect_list(F.struct(*ORDER.fieldNames())).cast(DOCUMENT["orders"].dataType).alias("orders")
@@ -456,6 +466,7 @@ def queries() -> dict[str, Query]:
         "roll_up_departments": lambda spark, sf_dir: roll_up_departments(_mart(spark, sf_dir, "product_analytics")),
         "read_orders_json": files_read_and_flattened,
         "read_orders_json_whole_files": whole_files_read_and_flattened,
+        "read_orders_split": large_files_cut_and_flattened,
         "read_lake": landed_and_read,
         "read_lake_mixed": lake_of_many_writers,
         "safe_int": safe_integers,

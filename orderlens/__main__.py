@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     refresh = job("refresh", "documents", "lake", "warehouse", help="ingest, then process")
     for sub in (ingest, refresh):
         sub.add_argument("--whole-files", action="store_true", help="each file is one document, not each line")
+        sub.add_argument("--split", action="store_true", help="each file is one document, large ones are cut between orders")
         sub.add_argument("--rejects", help="folder for documents that do not parse, instead of failing")
     process = job("process", "lake", "warehouse", help="load the lake into the tables and empty it")
     for sub in (process, refresh):
@@ -76,7 +77,16 @@ def main(argv: list[str] | None = None) -> None:
     spark = tune(SparkSession.builder.appName(f"orderlens-{args.job}").getOrCreate())
     match args.job:
         case "ingest":
-            print(ingest_documents(spark, args.documents, args.lake, multi_line=args.whole_files, rejects=args.rejects))
+            print(
+                ingest_documents(
+                    spark,
+                    args.documents,
+                    args.lake,
+                    multi_line=args.whole_files,
+                    rejects=args.rejects,
+                    split=args.split,
+                )
+            )
         case "check":
             _print(check_lake(spark, args.lake))
         case "process":
@@ -106,6 +116,7 @@ def main(argv: list[str] | None = None) -> None:
                     cluster=args.cluster,
                     check=args.check,
                     quarantine=args.quarantine,
+                    split=args.split,
                 )
             )
         case "stream":

@@ -94,8 +94,7 @@ def _batch_name(batches: list[str]) -> Column:
     steps = {len(re.sub(SCHEME, "", b).split("/")) for b in batches}
     if len(steps) != 1:
         raise ValueError("the batches are not of one lake")
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return F.element_at(F.split(F.regexp_replace(path, SCHEME, ""), "/"), steps.pop())
+    return F.element_at(F.split(F.regexp_replace(storage.file_path(), SCHEME, ""), "/"), steps.pop())
 
 
 def set_aside(spark: SparkSession, batches: list[str], quarantine: str) -> str:

@@ -11,6 +11,7 @@ from orderlens.operators.quality import set_aside, sound_rows, validate_batches
 from orderlens.sinks.warehouse import ensure_tables, load_report, refresh_tables
 from orderlens.sources.documents import flatten_orders, read_orders_json, with_ingestion_ts
 from orderlens.sources.lake import cleanup_lake, land_batch, list_batches, read_batches
+from orderlens.sources.split_documents import read_orders_split
 
 
 def load_tables(raw: DataFrame, warehouse: str, dedupe: bool = False, cluster: bool = False) -> None:
@@ -42,13 +43,18 @@ def ingest_documents(
     multi_line: bool = False,
     batch_id: str | None = None,
     rejects: str | None = None,
+    split: bool = False,
 ) -> str:
     """Flatten fetched documents into one new lake batch; an empty fetch is an error.
 
     Documents that do not parse are an error too, or go to the folder ``rejects``. The rows are
-    counted after they are written, so the input is parsed once.
+    counted after they are written, so the input is parsed once. With ``split`` each file is one document, and
+    large ones are cut between their orders.
     """
-    items = flatten_orders(read_orders_json(spark, documents, multi_line, rejects))
+    if split and rejects is not None:
+        raise ValueError("documents that are cut are not set aside")
+    read = read_orders_split(spark, documents) if split else read_orders_json(spark, documents, multi_line, rejects)
+    items = flatten_orders(read)
     return land_batch(with_ingestion_ts(items, ts), lake, batch_id, empty=False)
 
 
@@ -108,7 +114,8 @@ def run_refresh(
     cluster: bool = False,
     check: bool = False,
     quarantine: str | None = None,
+    split: bool = False,
 ) -> DataFrame:
     """Ingest, load and clean up in order; a failing step stops the ones after it."""
-    ingest_documents(spark, documents, lake, ts, multi_line, rejects=rejects)
+    ingest_documents(spark, documents, lake, ts, multi_line, rejects=rejects, split=split)
     return process_lake(spark, lake, warehouse, dedupe, database, cluster, check, quarantine)

@@ -6,6 +6,7 @@ from orderlens.sources.documents import (
     with_ingestion_ts,
 )
 from orderlens.sources.lake import cleanup_lake, land_batch, list_batches, read_batch, read_batches, read_lake
+from orderlens.sources.split_documents import read_orders_split
 
 __all__ = [
     "cleanup_lake",
@@ -17,6 +18,7 @@ __all__ = [
     "read_batches",
     "read_lake",
     "read_orders_json",
+    "read_orders_split",
     "require_non_empty",
     "with_ingestion_ts",
 ]

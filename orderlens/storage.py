@@ -12,7 +12,8 @@ import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _open(spark: SparkSession, path: str):
@@ -119,6 +120,11 @@ def _application_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/orderlens/{spark.sparkContext.applicationId}"
 
 
+def file_path() -> Column:
+    """Of each row, the path of the file that it was read from, as readers take it."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def written(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:
     """Write ``df`` as a Parquet table and read it back, which cuts its lineage."""
     df.write.mode("overwrite").parquet(folder)
