@@ -13,7 +13,8 @@ articles are taken together: those with one path, or all in the element around t
 Left out are elements whose tag, role, class or id marks them as menu, header, footer, sidebar, notice,
 advert, form, script, style or reader comments. Within an article or the container that was found, headers stay,
 and so do elements whose only marks are ``AMBIGUOUS`` words if they carry text: a block of ``LITTLE`` characters
-without links, and links for less than half of it. Nothing else is dropped within a container.
+without links, and links for less than half of it. Nothing else is dropped within a container. Formulas and embedded
+objects are read as the words in them.
 
 Unclosed and misnested tags are closed as browsers do for paragraphs, list items and table cells.
 Defined results: null and empty pages give an empty text. Pages without a url share one host.
@@ -42,11 +43,12 @@ LITTLE = 40  # characters of a block, at least, that tell text from labels
 
 # HTML's element names by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg textarea select math object".split())
+RAW = frozenset("script style noscript template iframe svg textarea select annotation annotation-xml".split())
 CONTAINERS = frozenset("html body div section article main td center".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var".split()
+    "strike strong sub sup time tt u var object math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded "
+    "mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split()
 )
 HEADINGS = frozenset("h1 h2".split())
 DROPPED = frozenset("head nav footer aside form button dialog menu".split())
@@ -57,7 +59,7 @@ MARKS = frozenset(
     "notice notification pager pagination popup promo promotion recommended related replies respond search share "
     "sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
-AMBIGUOUS = frozenset("notice related search share sharing social".split())  # marks that parts of an article may bear
+AMBIGUOUS = frozenset("notice related search share sharing skip social widget widgets".split())  # marks that parts of an article may bear
 CLOSES = {  # a start tag ends an open element of these kinds first
     "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")),
     "tr": frozenset(("tr", "td", "th")), "td": frozenset(("td", "th")), "th": frozenset(("td", "th")),

@@ -28,6 +28,8 @@ def own_text(html):
         (f"<article><p>{STORY} <a href='x>y'>link</a> 1 < 2 &copy;&#233;&nbsp;z</p><form>Search</form></article>", f"{STORY} link 1 < 2 ©é z"),
         (f"<article><p><b>{STORY}<p>two</i></p></article>", f"{STORY}\ntwo"),
         ("<div class='unclosed><p>x</p>", "x"),
+        ("<article><p>We have <math><mi>x</mi><mo>=</mo><mn>1</mn></math> equal to <object data=y>one</object> here.</p></article>", "We have x=1 equal to one here."),
+        ("<p>So <math><semantics><msup><mi>a</mi><mn>2</mn></msup><annotation encoding=t>a^2</annotation></semantics></math> is.</p>", "So a2 is."),
         ("<p>open", "open"),
     ],
 )
@@ -42,7 +44,7 @@ def test_pages(html, text):
         (f"<article><h1 class=page-header>T</h1><div class='article-header'><p>By A.</p></div><p>{STORY}</p></article>", f"T\nBy A.\n{STORY}"),
         (f"<div class=header>Site</div><div id=content><div class=post-header><h1>T</h1></div><div class=text><p>{STORY}</p></div></div>", f"T\n{STORY}"),
         (f"<div id=post><h1 class=page-header>T</h1><p>{STORY}</p></div>", f"T\n{STORY}"),
-        *((f"<article><p>{STORY}</p><div class='{mark}'><p>{STORY}</p></div></article>", f"{STORY}\n{STORY}") for mark in ("market-share", "notice", "related", "search", "social")),
+        *((f"<article><p>{STORY}</p><div class='{mark}'><p>{STORY}</p></div></article>", f"{STORY}\n{STORY}") for mark in ("market-share", "notice", "related", "search", "skip-intro", "social", "widget-text")),
         (f"<div class=post><p>{STORY}</p><p>{STORY}</p><div class=notice><p>{STORY}</p></div></div>", "\n".join([STORY] * 3)),
         # still dropped: labels, links, other marks, and what stands outside
         (f"<article><p>{STORY}</p><div class=share>Share this</div><ul class=related><li><a href=x>{STORY}</a></ul></article>", STORY),
