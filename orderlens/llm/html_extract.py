@@ -180,7 +180,7 @@ def parse(html: str) -> Page:
         if tag == "br":
             pieces.append(" ")
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in RAW:
             close_block()
         if closing:
             depth = next((i for i in range(len(stack) - 1, 0, -1) if elements[stack[i]].tag == tag), 0)

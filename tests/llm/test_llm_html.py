@@ -29,6 +29,7 @@ def own_text(html):
         (f"<article><p><b>{STORY}<p>two</i></p></article>", f"{STORY}\ntwo"),
         ("<div class='unclosed><p>x</p>", "x"),
         ("<article><p>We have <math><mi>x</mi><mo>=</mo><mn>1</mn></math> equal to <object data=y>one</object> here.</p></article>", "We have x=1 equal to one here."),
+        ("<p>An <svg><text>no</text></svg>icon and <script>x()</script>a script.</p>", "An icon and a script."),
         ("<p>So <math><semantics><msup><mi>a</mi><mn>2</mn></msup><annotation encoding=t>a^2</annotation></semantics></math> is.</p>", "So a2 is."),
         ("<p>open", "open"),
     ],
