@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import atexit
 import functools
+import logging
 import shutil
 import tempfile
 import uuid
@@ -15,6 +16,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 
 def _open(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -101,7 +104,7 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder name for intermediate tables under the folder in ``spark.checkpoint.dir``.
 
     A local session without that setting gets a temporary folder; a cluster without it is an
-    error, because executors could not see each other's files.
+    error, because executors could not see each other's files. All of them are deleted when the driver ends.
     """
     return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -117,7 +120,30 @@ def _application_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local_scratch()
-    return f"{root.rstrip('/')}/orderlens/{spark.sparkContext.applicationId}"
+    folder = f"{root.rstrip('/')}/orderlens/{spark.sparkContext.applicationId}"
+    _delete_at_exit(spark, folder)
+    return folder
+
+
+_FOLDERS: set[str] = set()  # that are deleted at exit
+
+
+def _delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Once for each application; its frames end with it, and so does the use of its intermediate tables.
+
+    Also after the session has been stopped. A driver that is killed leaves the folder behind.
+    """
+    if folder in _FOLDERS:
+        return
+    _FOLDERS.add(folder)
+
+    def remove() -> None:
+        try:
+            delete(spark, folder)
+        except Exception as error:  # the virtual machine has ended before
+            log.warning("could not delete %s: %s", folder, error)
+
+    atexit.register(remove)
 
 
 def file_path() -> Column:
