@@ -53,6 +53,15 @@ class Shared:
         return held._llm_built
 
 
+def release() -> None:
+    """Give freed memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
+
+
 def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
     """The same function for ``mapInArrow``; after a partition, freed memory goes back to the system.
 
@@ -63,10 +72,6 @@ def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
-            if trim:
-                trim(0)
+            release()
 
     return released
