@@ -7,12 +7,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens import storage
 from orderlens.functions.ratios import settle
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -160,9 +161,18 @@ def exact_percentiles(
     them is a running sum. Columns that have few values need no cuts. The driver sees a few numbers for each column and fraction.
     """
     columns = list(dict.fromkeys(columns))
+    df = _kept(df, columns)
     return _percentiles(df, columns, fractions, _statistics(df, columns))
 
 
+def _kept(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns alone, written once: what the frame is made of is not made again in every pass."""
+    if not columns:
+        return df
+    narrow = df.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
+    return storage.written(df.sparkSession, narrow, storage.scratch_folder(df.sparkSession, "numbers")).toDF(*columns)
+
+
 def _percentiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[float], stats: dict[str, dict]) -> DataFrame:
     spark, value_type = df.sparkSession, _value_type(df, columns)
     native = "bigint" if value_type != "double" else "double"
@@ -173,12 +183,16 @@ def _percentiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[floa
     wanted = [(i, c, float(f), float(f * (totals[c] - 1)) if totals[c] else None) for i, c in enumerate(columns) for f in fractions]
     positions = spark.createDataFrame(wanted, "place int, column_name string, fraction double, position double")
 
+    # a value's slot among cuts and gaps is found before it is used: as part of every use the code would be too long to be compiled
+    slots = {}
+    for i, c in enumerate(columns):
+        value, tests = F.col(f"v{i}"), [test for cut in cuts.get(c, []) for test in (F.col(f"v{i}") >= F.lit(cut), F.col(f"v{i}") > F.lit(cut))]
+        slots[f"s{i}"] = reduce(add, (test.cast("int") for test in tests), F.lit(0))
+    slotted = df.select(*(_present(df, c).alias(f"v{i}") for i, c in enumerate(columns))).withColumns(slots)
+
     def entry(i: int, c: str) -> Column:
-        """The column's place, the slot of its value among cuts and gaps, and the value unless it is in a gap of no interest."""
-        value, own, gaps = _present(df, c), cuts.get(c, []), kept.get(c, [])
-        slot = F.lit(2 * len(own))
-        for j, cut in reversed(list(enumerate(own))):
-            slot = F.when(value < F.lit(cut), 2 * j).when(value == F.lit(cut), 2 * j + 1).otherwise(slot)
+        """The column's place, the slot of its value, and the value unless it is in a gap of no interest."""
+        value, slot, own, gaps = F.col(f"v{i}"), F.col(f"s{i}"), cuts.get(c, []), kept.get(c, [])
         inside = value
         if own:
             between = ((2 * j, a, b) for j, (a, b) in enumerate(zip([None, *own], [*own, None], strict=True)))
@@ -187,7 +201,7 @@ def _percentiles(df: DataFrame, columns: Sequence[str], fractions: Sequence[floa
         return F.when(value.isNotNull(), F.struct(F.lit(i).alias("place"), slot.alias("slot"), inside.cast(native).alias("value")))
 
     entries = [entry(i, c) for i, c in enumerate(columns)]
-    counted = df.select(F.inline(F.array(*entries))).where("place IS NOT NULL").groupBy("place", "slot", "value").agg(F.count("*").alias("n"))
+    counted = slotted.select(F.inline(F.array(*entries))).where("place IS NOT NULL").groupBy("place", "slot", "value").agg(F.count("*").alias("n"))
     upto = Window.partitionBy("place").orderBy("slot", "value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = counted.withColumn("end", F.sum("n").over(upto))
     # a row for each column and fraction
@@ -216,6 +230,7 @@ def describe_numeric(df: DataFrame, digits: int = 6) -> DataFrame:
     """
     names = _numeric(df)
     value_type = _value_type(df, names)
+    df = _kept(df, names)
     stats = _statistics(df, names, ("mean", F.avg), ("std", F.stddev_samp))
     number = Decimal if value_type != "double" else float
     summary = [

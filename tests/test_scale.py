@@ -1,0 +1,60 @@
+"""What keeps the work of large tables in proportion: partitions, shuffles, passes and parses."""
+
+import importlib
+import random
+
+import pytest
+from conftest import rows
+
+from orderlens import storage
+from orderlens.operators import dedupe_latest, describe_numeric, exact_percentiles
+from orderlens.operators.quality import broken_rules
+from orderlens.plans import run
+from orderlens.session import tune
+from orderlens.sources import read_orders_json
+from orderlens.sources.split_documents import _fragments
+
+registered = importlib.import_module("checks.queries")
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def star(spark, tmp_path):
+    """Lines of orders with their parts."""
+    lines = [(o, p, 1, n) for o in range(1, 60) for n, p in enumerate((o % 7, o % 5 + 7), 1)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = spark.sql("SELECT id AS o_orderkey, id % 9 AS o_custkey, timestamp'2024-01-01' AS o_orderdate FROM range(1, 60)")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    parts = spark.sql("SELECT id AS p_partkey, concat('part ', id) AS p_name, concat('Brand#', id) AS p_brand, 'x' AS p_type FROM range(12)")
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    return str(tmp_path)
+
+
+def counted(spark, df):
+    """The frame, and how many of its rows have been made."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for frame in frames:
+            made.add(len(frame))
+            yield frame
+
+    return df.mapInPandas(count, df.schema), made
+
+
+@pytest.mark.parametrize("describe", [describe_numeric, lambda df: exact_percentiles(df, ["a.b", "c"])])
+def test_numbers_are_made_once(spark, describe):
+    df, made = counted(spark, spark.range(1000).selectExpr("id", "double(id) AS c"))
+    df = df.withColumnRenamed("id", "a.b")
+    assert describe(df).count() in (2, 6) and made.value == 1000
+
+
+def test_code_of_percentiles_is_short(spark, monkeypatch):
+    """A slot stands once in the plan, not in each of its uses."""
+    monkeypatch.setattr("orderlens.operators.profiling.KEPT", 60)
+    df = spark.range(5000).selectExpr("id AS a", "id * 7 AS b", "id * 11 AS c")
+    plan = describe_numeric(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(">= ") <= 3 * 6 + 20 and "AS s0#" in plan
