@@ -10,10 +10,16 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # shuffles begin with many partitions, and neighbours are merged up to this size: what a task sorts or
+    # groups stays the same however large the tables are
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
+PARTITIONS = 1000  # that a shuffle begins with, at least; 16 GB of them fill up to the size above
 
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    given = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(PARTITIONS, given)))
     return spark

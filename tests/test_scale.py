@@ -45,6 +45,22 @@ def counted(spark, df):
     return df.mapInPandas(count, df.schema), made
 
 
+def test_shuffles_begin_with_many_partitions(spark, items):
+    raw = items({}, {"user_id": 2})
+    for df in (dedupe_latest(raw), run("d10_loyal_departments", {"raw_orders": raw})):
+        assert ", 1000)" in planned(df) and ", 8)" not in planned(df)
+
+
+def test_more_partitions_of_the_session_stay(spark):
+    given = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "5000")
+        assert tune(spark).conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "5000"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", given)
+        tune(spark)
+
+
 @pytest.mark.parametrize("describe", [describe_numeric, lambda df: exact_percentiles(df, ["a.b", "c"])])
 def test_numbers_are_made_once(spark, describe):
     df, made = counted(spark, spark.range(1000).selectExpr("id", "double(id) AS c"))
