@@ -85,10 +85,15 @@ def _report(spark: SparkSession, sf_dir: str, name: str, **params) -> DataFrame:
 ORDER_FIELDS = [f for f in ORDER.fields if f.name != "products"]
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole orders: their fields and the list of their products, as long as an order has lines."""
+def _orders(spark: SparkSession, sf_dir: str, per_document: int) -> DataFrame:
+    """Whole orders: their fields and the list of their products, as long as an order has lines; ``part`` numbers documents.
+
+    The rows are dealt by document, which serves the grouping by order and that by document.
+    """
     product = F.struct(*PRODUCT_IN_ORDER.fieldNames())
-    return order_items(spark, sf_dir).groupBy(*(f.name for f in ORDER_FIELDS)).agg(F.collect_list(product).alias("products"))
+    part = (F.col("order_id") / per_document).cast("bigint")
+    dealt = order_items(spark, sf_dir).withColumn("part", part).repartition("part")
+    return dealt.groupBy("part", *(f.name for f in ORDER_FIELDS)).agg(F.collect_list(product).alias("products"))
 
 
 def _documents(spark: SparkSession, sf_dir: str, per_document: int) -> DataFrame:
@@ -99,14 +104,13 @@ def _documents(spark: SparkSession, sf_dir: str, per_document: int) -> DataFrame
     bare = F.struct(F.lit(-1).cast("bigint").alias("order_id"), *rest, F.slice("products", 1, 0).alias("products"))
     listed = F.concat(F.collect_list(full), F.array(F.any_value(bare)))
     document = F.struct(listed.alias(DOCUMENT.fieldNames()[0]))
-    part = (F.col("order_id") / per_document).cast("bigint").alias("part")
-    return _orders(spark, sf_dir).groupBy(part).agg(F.to_json(document).alias("value"))
+    return _orders(spark, sf_dir, per_document).groupBy("part").agg(F.to_json(document).alias("value"))
 
 
 def document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """One document per line."""
+    """One document per line, in compressed files."""
     path = f"{folder}/documents"
-    _documents(spark, sf_dir, 3).select("value").write.text(path)
+    _documents(spark, sf_dir, 3).select("value").write.text(path, compression="lz4")
     return path
 
 
@@ -142,7 +146,7 @@ def large_files_cut_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame
 def nested_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without text in between: numbers as variants, as the document schema has them."""
     orders = F.collect_list(F.struct(*ORDER.fieldNames())).cast(DOCUMENT["orders"].dataType).alias("orders")
-    documents = _orders(spark, sf_dir).groupBy((F.col("order_id") / 3).cast("bigint").alias("part")).agg(orders)
+    documents = _orders(spark, sf_dir, 3).groupBy("part").agg(orders)
     return with_ingestion_ts(flatten_orders(documents), STAMP)
 
 

@@ -61,6 +61,18 @@ def test_more_partitions_of_the_session_stay(spark):
         tune(spark)
 
 
+def test_documents_take_one_shuffle_after_the_joins(spark, star):
+    plan = planned(registered._documents(spark, star, 3))
+    assert plan.count("hashpartitioning(part") == 1 and "hashpartitioning(order_id" not in plan
+
+
+def test_document_files_are_compressed(spark, star, tmp_path):
+    folder = registered.document_files(spark, star, str(tmp_path / "out"))
+    assert all(path.endswith(".lz4") for path in storage.children(spark, folder))
+    found = read_orders_json(spark, folder).selectExpr("inline(orders)").selectExpr("order_id::bigint", "size(products)")
+    assert sorted(r for r in rows(found) if r[1]) == [(o, 2) for o in range(1, 60)]
+
+
 @pytest.mark.parametrize("describe", [describe_numeric, lambda df: exact_percentiles(df, ["a.b", "c"])])
 def test_numbers_are_made_once(spark, describe):
     df, made = counted(spark, spark.range(1000).selectExpr("id", "double(id) AS c"))
