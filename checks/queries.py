@@ -114,6 +114,11 @@ def document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     return path
 
 
+def _a_file_each(texts: DataFrame, folder: str) -> None:
+    """Each row as a file of its own, in one folder; the tasks move their files into place."""
+    texts.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
+
+
 def parsed_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = parse_orders(_documents(spark, sf_dir, 3), "value")
     return with_ingestion_ts(flatten_orders(documents), STAMP)
@@ -127,9 +132,8 @@ def files_read_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_files_read_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each file is one document, of up to 500 orders; some do not parse and are set aside."""
     folder = storage.scratch_folder(spark, "read")
-    documents = _documents(spark, sf_dir, 500)
-    broken = documents.select(F.concat("part", F.lit("-broken")).alias("part"), F.lit('{"orders": [').alias("value"))
-    documents.withColumn("part", F.col("part").cast("string")).unionByName(broken).write.partitionBy("part").text(folder)
+    value = F.explode(F.array("value", F.lit('{"orders": [')))
+    _a_file_each(_documents(spark, sf_dir, 500).select(value), folder)
     read = read_orders_json(spark, folder, multi_line=True, rejects=f"{folder}-rejects")
     return with_ingestion_ts(flatten_orders(read), STAMP)
 

@@ -49,7 +49,10 @@ def parse_orders(df: DataFrame, col: str, rejects: str | None = None) -> DataFra
         sound = parsed["_broken"].isNull() & box["_broken"].isNull() & (F.size(whole) == 1) & whole[0].isNotNull()
         sound = F.coalesce(sound, F.lit(False))
         texts.where(~sound).write.mode("append").text(rejects)
-        texts = texts.where(sound)
+        # a list of one document or none instead of a filter, below which the text would be parsed once more
+        document = T.ArrayType(T.StructType([DOCUMENT["orders"]]))
+        kept = texts.select(F.when(sound, F.array(F.struct(whole[0]["orders"].alias("orders")))).alias("documents"))
+        return kept.select(F.inline(F.coalesce("documents", F.array().cast(document))))
     strict = {"mode": "FAILFAST"}
     documents = texts.select(F.from_json(listed, kind, strict).alias("documents"), F.from_json(boxed, syntax, strict).alias("box"))
     one = (F.size("documents") == 1) & F.col("documents")[0].isNotNull() & F.col("box").isNotNull()

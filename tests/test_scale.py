@@ -73,6 +73,22 @@ def test_document_files_are_compressed(spark, star, tmp_path):
     assert sorted(r for r in rows(found) if r[1]) == [(o, 2) for o in range(1, 60)]
 
 
+def test_a_file_each_in_one_folder(spark, star, tmp_path):
+    folder = str(tmp_path / "each")
+    registered._a_file_each(registered._documents(spark, star, 10).select("value"), folder)
+    files = storage.children(spark, folder)
+    assert len(files) == 6 and all(path.endswith(".txt") for path in files)
+
+
+def test_kept_documents_are_parsed_without_a_filter(spark, tmp_path):
+    texts = ['{"orders": [{"order_id": 1}]}', '{"orders": [', '{"orders": null}', "{}", "[]", '{"orders": []}{}']
+    (tmp_path / "in").write_text("\n".join(texts))
+    found = read_orders_json(spark, str(tmp_path / "in"), rejects=str(tmp_path / "rejects"))
+    assert "from_json" not in " ".join(line for line in planned(found).splitlines() if "Filter" in line).replace("Filters", "")
+    assert sorted(len(r.orders) if r.orders is not None else -1 for r in found.collect()) == [-1, -1, 1]
+    assert {r.value for r in spark.read.text(str(tmp_path / "rejects")).collect()} == {texts[1], texts[4], texts[5]}
+
+
 @pytest.mark.parametrize("describe", [describe_numeric, lambda df: exact_percentiles(df, ["a.b", "c"])])
 def test_numbers_are_made_once(spark, describe):
     df, made = counted(spark, spark.range(1000).selectExpr("id", "double(id) AS c"))
