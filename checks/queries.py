@@ -141,9 +141,8 @@ def whole_files_read_and_flattened(spark: SparkSession, sf_dir: str) -> DataFram
 def large_files_cut_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each file is one document, of up to 5,000 orders, cut between them; some have no orders and are parsed whole."""
     folder = storage.scratch_folder(spark, "read")
-    documents = _documents(spark, sf_dir, 5000)
-    bare = documents.select((-1 - F.col("part")).alias("part"), F.lit('{"orders": []}').alias("value"))
-    documents.unionByName(bare).write.partitionBy("part").text(folder)
+    value = F.explode(F.array("value", F.lit('{"orders": []}')))
+    _a_file_each(_documents(spark, sf_dir, 5000).select(value), folder)
     return with_ingestion_ts(flatten_orders(read_orders_split(spark, folder)), STAMP)
 
 

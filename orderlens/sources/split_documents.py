@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from orderlens import storage
 from orderlens.sources.documents import parse_orders
 
-STRING = r'(?s)"(?:[^"\\]++|\\.)*+(?:"|\z)'
+STRING = r'"[^"]*+(?:"|\z)'
+ESCAPED = r"(?s)\\."
 BLANK = r"[ \t\r\n]*"
 FIRST = rf'^{BLANK}\{{{BLANK}"orders"{BLANK}:{BLANK}\[{BLANK}(?=\{{)'
 NEXT = rf"^{BLANK},{BLANK}(?=\{{)"
@@ -34,22 +35,27 @@ SPLIT = ["file", "split"]
 def _fragments(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Fragments with their place, quotes and net brackets before the closing brace; in a split, in the order of ``n``."""
 
+    def times(text: Column, *letters: str) -> Column:
+        without = reduce(lambda rest, letter: F.replace(rest, F.lit(letter)), letters, text)
+        return (F.octet_length(text) - F.octet_length(without)).cast("int")
+
     def opened(text: Column) -> Column:
-        outside = F.regexp_replace(text, STRING, "")
-        return F.regexp_count(outside, F.lit(r"[\[{]")) - F.regexp_count(outside, F.lit(r"\]"))
+        return times(text, "[", "{") - times(text, "]")
 
-    value = F.col("value")
-    return spark.read.option("lineSep", "}").text(path).select(
+    plain = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", ESCAPED, "")).otherwise(F.col("value"))
+    read = spark.read.option("lineSep", "}").text(path).select(
         storage.file_path().alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("n"),
         "value",
         F.col("_metadata.file_size").alias("file_size"),
         (F.octet_length("value") + F.lit(1)).cast("bigint").alias("size"),
-        F.regexp_count(F.regexp_replace(value, r"(?s)\\.", ""), F.lit('"')).alias("quotes"),
-        opened(value).alias("from_outside"),
-        opened(F.concat(F.lit('"'), value)).alias("from_string"),
+        plain.alias("plain"),
     )
+    # what is in a string for a start outside is outside of it for a start inside
+    parted = read.withColumns({"outside": F.regexp_replace("plain", STRING, ""), "quotes": times(F.col("plain"), '"')})
+    counted = {"from_outside": opened(F.col("outside")), "from_string": opened(F.col("plain")) - opened(F.col("outside"))}
+    return parted.withColumns(counted).drop("plain", "outside")
 
 
 def _before(df: DataFrame, totals: dict[str, str]) -> DataFrame:

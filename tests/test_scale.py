@@ -102,3 +102,27 @@ def test_code_of_percentiles_is_short(spark, monkeypatch):
     df = spark.range(5000).selectExpr("id AS a", "id * 7 AS b", "id * 11 AS c")
     plan = describe_numeric(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(">= ") <= 3 * 6 + 20 and "AS s0#" in plan
+
+
+def test_fragments_take_one_pass_over_strings(spark, tmp_path):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(['"', "\\\\", '\\"', "[", "]", "{", "a", "é", "\n"], k=rng.randrange(12))) for _ in range(300)]
+    (tmp_path / "in").write_text("}".join([*texts, ""]))
+
+    def net(text, inside):
+        total, i = 0, 0
+        while i < len(text):
+            if text[i] == "\\":
+                i += 1
+            elif text[i] == '"':
+                inside = not inside
+            elif not inside:
+                total += {"[": 1, "{": 1, "]": -1}.get(text[i], 0)
+            i += 1
+        return total
+
+    found = _fragments(spark, str(tmp_path / "in"))
+    plan = planned(found)
+    assert plan.count("regexp_replace") <= 2 and "regexp_count" not in plan
+    for r in found.collect():
+        assert (r.from_outside, r.from_string) == (net(r.value, False), net(r.value, True))
