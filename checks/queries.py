@@ -362,7 +362,7 @@ def values_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rows_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows by the set of rules they break, loaded ones among them; one of two writers has wider types, and a load is retried."""
     folder = storage.scratch_folder(spark, "quarantine")
-    raw = order_items(spark, sf_dir)
+    raw = storage.written(spark, order_items(spark, sf_dir), f"{folder}/items")
     faulty = raw.withColumn("user_id", F.when(F.col("user_id") % 7 != 0, F.col("user_id"))).withColumn(
         "order_hour_of_day", F.col("order_hour_of_day") + 240
     )

@@ -78,14 +78,13 @@ def broken_rules(given: DataFrame, *kept: str) -> DataFrame:
     ``kept``, which stay and are not part of it.
     """
     own = [F.col(f"`{c}`") for c in given.columns if c not in kept]
-    found = given.withColumns(
-        {"_lost": _names(_losses(given, RAW)), "_written": F.to_json(F.struct(*own), {"ignoreNullFields": "false"})}
-    )
+    found = given.withColumns({"_lost": _names(_losses(given, RAW)), "_given": F.struct(*own)})
     text = T.StringType()
-    extra = [("_lost", T.ArrayType(text)), ("_written", text), *((c, text) for c in kept)]
+    extra = [("_lost", T.ArrayType(text)), ("_given", found.schema["_given"].dataType), *((c, text) for c in kept)]
     typed = conform(found, T.StructType([*RAW.fields, *(T.StructField(*e) for e in extra)]))
     judged = typed.withColumn("broken", F.concat("_lost", _names(_rules())))
-    written = F.when(F.size("broken") > 0, F.col("_written")).alias("written")
+    # only rows that break a rule become text
+    written = F.when(F.size("broken") > 0, F.to_json("_given", {"ignoreNullFields": "false"})).alias("written")
     return judged.select(*RAW.fieldNames(), *kept, "broken", written)
 
 

@@ -104,6 +104,26 @@ def test_code_of_percentiles_is_short(spark, monkeypatch):
     assert plan.count(">= ") <= 3 * 6 + 20 and "AS s0#" in plan
 
 
+def test_items_of_set_aside_are_made_once(spark, star, monkeypatch):
+    frames = []
+
+    def once(*given):
+        df, made = counted(spark, order_items(*given))
+        frames.append(made)
+        return df
+
+    order_items = registered.order_items
+    monkeypatch.setattr(registered, "order_items", once)
+    assert registered.rows_set_aside(spark, star).count() > 0
+    assert [made.value for made in frames] == [118]
+
+
+def test_only_faulty_rows_become_text(spark, items):
+    plan = planned(broken_rules(items({}, {"user_id": None}).repartition(2).selectExpr("*", "1 AS other")))
+    before = plan[: plan.lower().index("json")]
+    assert before.count("CASE WHEN (size(broken") == 1
+
+
 def test_fragments_take_one_pass_over_strings(spark, tmp_path):
     rng = random.Random(3)
     texts = ["".join(rng.choices(['"', "\\\\", '\\"', "[", "]", "{", "a", "é", "\n"], k=rng.randrange(12))) for _ in range(300)]
