@@ -10,9 +10,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # shuffles begin with many partitions, and neighbours are merged up to this size: what a task sorts or
+    # shuffles begin with many partitions, and neighbours are merged up to this size, as are splits of files: what a task sorts or
     # groups stays the same however large the tables are
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
 PARTITIONS = 1000  # that a shuffle begins with, at least; 16 GB of them fill up to the size above
 

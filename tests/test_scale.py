@@ -51,6 +51,10 @@ def test_shuffles_begin_with_many_partitions(spark, items):
         assert ", 1000)" in planned(df) and ", 8)" not in planned(df)
 
 
+def test_splits_do_not_grow_with_files(spark):
+    assert int(tune(spark).conf.get("spark.sql.files.maxPartitionBytes").rstrip("m")) <= 16
+
+
 def test_more_partitions_of_the_session_stay(spark):
     given = spark.conf.get("spark.sql.shuffle.partitions")
     try:
