@@ -64,6 +64,7 @@ HEAD_SIZE = struct.calcsize(HEAD)
 
 # Pieces that need no normalisation but lower case: printable ASCII and the Latin letters up to U+017F.
 PLAIN = regex.compile("[!-~¡-¬®-ſ]+")
+SIMPLE = "^[A-Za-zÀ-ÖØ-öø-įı-ſ]+[.,]?$"  # İ becomes two characters
 
 
 class Tokenizer:
@@ -90,6 +91,7 @@ class Tokenizer:
             others = [b for b in range(256) if b not in printable]
             self.alphabet = {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
             self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+            self.model = self.library.model  # each look at it makes an object
             self.known: dict[str, tuple[int, ...]] = {}
         return self
 
@@ -97,7 +99,7 @@ class Tokenizer:
         ids = self.known.get(word)
         if ids is None:
             spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
-            ids = self.known[word] = tuple([t.id for t in self.library.model.tokenize(spelled)])
+            ids = self.known[word] = tuple([t.id for t in self.model.tokenize(spelled)])
         return ids
 
     def piece(self, piece: str) -> tuple[int, ...]:
@@ -111,20 +113,40 @@ class Tokenizer:
             return self.word(piece[:-1]) + self.word(piece[-1])
         return tuple(chain.from_iterable(map(self.word, self.words(piece))))
 
+    def pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without blanks and last the end id, one after another, and how many each has.
+
+        Most are a word of Latin letters, maybe with a full stop or comma; those are told, lowered and cut all at once.
+        """
+        simple = pc.match_substring_regex(pieces, SIMPLE)
+        lowered = pc.utf8_lower(pieces.filter(simple))
+        words = pc.ascii_rtrim(lowered, ".,").dictionary_encode()
+        found = [self.known.get(w) or self.word(w) for w in words.dictionary.to_pylist()]
+        marks = len(found)
+        found += [(), self.word("."), self.word(","), (END,)]
+        others = marks + 4 + np.arange(len(pieces) - len(lowered))
+        found += [self.piece(p) if p else () for p in pieces.filter(pc.invert(simple)).to_pylist()]
+        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(counts.sum()))
+        # of each piece its word, or itself, and the mark after it
+        simple = np.append(simple.to_numpy(zero_copy_only=False), False)
+        order = np.full((len(pieces) + 1, 2), marks)
+        order[simple, 0], order[~simple, 0] = words.indices.to_numpy(), np.append(others, marks + 3)
+        for i, mark in enumerate(".,", 1):
+            order[simple, 1] += i * pc.ends_with(lowered, mark).to_numpy(zero_copy_only=False)
+        return gather(flat, counts, order.ravel())[0], counts[order].sum(axis=1)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by the end id, and how many each text has."""
         if len(self.load().known) > KNOWN:
             self.known.clear()
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")  # blanks of any kind are one to it
         pieces = lists.flatten().dictionary_encode()
-        found = [self.piece(p) if p else () for p in pieces.dictionary.to_pylist()]
-        found.append((END,))
-        counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(counts.sum()))
+        flat, counts = self.pieces(pieces.dictionary)
         sizes = lists.value_lengths().to_numpy()
-        order = np.insert(pieces.indices.to_numpy(), np.cumsum(sizes), len(found) - 1)
-        owner = np.repeat(np.arange(len(texts)), sizes + 1)
-        total = np.bincount(owner, weights=counts[order], minlength=len(texts)).astype(np.int64)
+        ends = np.cumsum(sizes)
+        order = np.insert(pieces.indices.to_numpy(), ends, len(counts) - 1)
+        total = np.diff(np.cumsum(counts[order])[ends + np.arange(len(ends))], prepend=0)
         parts = [gather(flat, counts, order[i : i + (1 << 20)])[0] for i in range(0, len(order), 1 << 20)]
         return np.concatenate([np.empty(0, np.uint32), *parts]), total
 

@@ -34,6 +34,21 @@ def test_same_ids_as_the_library(library):
         at += n
 
 
+def test_words_of_letters_are_told_at_once(library, monkeypatch):
+    """Only pieces with anything but letters, and maybe a mark at their end, are looked at one by one."""
+    seen = []
+    one_by_one = Tokenizer.piece
+    monkeypatch.setattr(Tokenizer, "piece", lambda self, piece: seen.append(piece) or one_by_one(self, piece))
+    texts = ["Word word. WORD, wOrD.", "Éric ÀÖØÞ. œŒŽſ, ŁÓDŹ", "", "İx don't a.b a.. ., . , x\u0301 ªx <|endoftext|>. 日本, word", " word "]
+    ids, counts = Tokenizer(TOKENIZER).encode(pa.array(texts))
+    assert ids.tolist() == [i for text in texts for i in ids_of(library, text)]
+    assert counts.tolist() == [len(ids_of(library, text)) for text in texts]
+    assert sorted(seen) == sorted(["İx", "don't", "a.b", "a..", ".,", ".", ",", "x\u0301", "ªx", "<|endoftext|>.", "日本,"])
+    letters = [chr(c) for c in range(1, 0x3000) if not chr(c).isspace()]
+    ids, _ = Tokenizer(TOKENIZER).encode(pa.array([f"a{c}b {c}. {c}," for c in letters]))
+    assert ids.tolist() == [i for c in letters for i in ids_of(library, f"a{c}b {c}. {c},")]
+
+
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 1000, 200_000])
 def test_blocks_round_trip_from_any_checkpoint(n):
     rng = np.random.default_rng(n)
