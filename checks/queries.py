@@ -430,8 +430,16 @@ def readable_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of lines of each quantity, scaled to reach every unit."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     counts = lines.groupBy(F.col("l_linenumber").alias("line")).agg(F.count(F.lit(1)).alias("n"))
-    powers = F.array(*(F.lit(10**p) for p in range(0, 13, 2)))
-    scaled = counts.select("line", F.explode(powers).alias("times"), (F.col("n") * F.col("times")).alias("quantity"))
+    return scaled_counts(storage.written(spark, counts, storage.scratch_folder(spark, "counts")))
+
+
+def scaled_counts(counts: DataFrame) -> DataFrame:
+    """Each count ``n`` of a ``line`` times powers of ten, with its text; decimals hold what does not fit in 64 bits."""
+    powers = [10**p for p in range(0, 13, 2)]
+    largest = (counts.agg(F.max("n")).first()[0] or 0) * powers[-1]
+    n = F.col("n") if largest < 1 << 63 else F.col("n").cast("decimal(19,0)")
+    times = F.explode(F.array(*map(F.lit, powers))).alias("times")
+    scaled = counts.select("line", "n", times).select("line", "times", (n * F.col("times")).alias("quantity"))
     return scaled.select("line", "times", "quantity", readable_quantity(F.col("quantity")).alias("quantity_text"))
 
 

@@ -150,3 +150,12 @@ def test_fragments_take_one_pass_over_strings(spark, tmp_path):
     assert plan.count("regexp_replace") <= 2 and "regexp_count" not in plan
     for r in found.collect():
         assert (r.from_outside, r.from_string) == (net(r.value, False), net(r.value, True))
+
+
+@pytest.mark.parametrize(("n", "kind"), [(9_223_372, "bigint"), (9_223_373, "decimal(38,0)"), (2**62, "decimal(38,0)")])
+def test_scaled_counts_beyond_64_bits(spark, n, kind):
+    scaled = registered.scaled_counts(spark.createDataFrame([(1, n), (None, 5)], "line int, n bigint"))
+    assert dict(scaled.dtypes)["quantity"] == kind
+    found = {(r.line, r.times): (int(r.quantity), r.quantity_text) for r in scaled.collect()}
+    assert {k: q for k, (q, _) in found.items()} == {(line, 10**p): m * 10**p for line, m in ((1, n), (None, 5)) for p in range(0, 13, 2)}
+    assert found[1, 10**12][1] == f"{n * 10**12 / 1e15:.2f} quadrillion" and found[None, 1][1] == "5.00"
