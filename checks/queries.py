@@ -116,7 +116,8 @@ def document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
 
 def _a_file_each(texts: DataFrame, folder: str) -> None:
     """Each row as a file of its own, in one folder; the tasks move their files into place."""
-    texts.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
+    with storage.tidy_shuffles(texts.sparkSession):
+        texts.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
 
 
 def parsed_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,12 +139,34 @@ def whole_files_read_and_flattened(spark: SparkSession, sf_dir: str) -> DataFram
     return with_ingestion_ts(flatten_orders(read), STAMP)
 
 
+LANDED = 4 << 30  # bytes of documents that are files at a time: these are ten times as large as their tables
+
+
 def large_files_cut_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each file is one document, of up to 5,000 orders, cut between them; some have no orders and are parsed whole."""
+    """Each file is one document, of up to 5,000 orders, cut between them; some have no orders and are parsed whole.
+
+    Beyond ``LANDED`` bytes the files of some documents are read before those of others land.
+    """
     folder = storage.scratch_folder(spark, "read")
+    with storage.tidy_shuffles(spark):
+        documents = storage.written(spark, _documents(spark, sf_dir, 5000), f"{folder}/documents", compression="zstd")
+    size = documents.agg(F.sum(F.octet_length("value").cast("bigint"))).first()[0] or 0
     value = F.explode(F.array("value", F.lit('{"orders": []}')))
-    _a_file_each(_documents(spark, sf_dir, 5000).select(value), folder)
-    return with_ingestion_ts(flatten_orders(read_orders_split(spark, folder)), STAMP)
+
+    def read(landing: DataFrame, files: str) -> DataFrame:
+        _a_file_each(landing.select(value), files)
+        return with_ingestion_ts(flatten_orders(read_orders_split(spark, files)), STAMP)
+
+    polls = -(-size // LANDED)
+    if polls <= 1:
+        return read(documents, f"{folder}/0")
+    poll = F.pmod(F.coalesce("part", F.lit(0)), F.lit(polls))
+    for i in range(polls):
+        items = read(documents.where(poll == i), f"{folder}/{i}")
+        with storage.tidy_shuffles(spark):
+            items.write.mode("append").parquet(f"{folder}/items")
+        storage.delete(spark, f"{folder}/{i}")
+    return spark.read.schema(items.schema).parquet(f"{folder}/items")
 
 
 def nested_and_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 1. A file is read in the splits that Spark makes of it, as fragments that end with a closing brace. Each fragment
    counts its quotes, and its brackets outside of strings, for a start outside and for one inside a string.
-2. Prefix sums within each split, and over the splits of a file, tell how every fragment begins and how deep it
-   ends. An order ends where a brace closes to the depth of the list of orders.
-3. The fragments of each order come together by its number and become a document of one order. What the cut leaves,
-   the text before the first order, between two and behind the last, must be just the list's own punctuation; each
+2. The fragments of a split become one row, the only time that the text is shuffled. Prefix sums within the split tell how
+   deep each fragment ends, for both starts; prefix sums over the splits of a file, how every split begins. An order ends
+   where a brace closes to the depth of the list of orders.
+3. Each split is cut behind the orders that end in it. What it has of its first and of its last order comes together with
+   the neighbouring splits' by the order's number; the others are whole. Each becomes a document of one order. What the cut
+   leaves, the text before the first order, between two and behind the last, must be just the list's own punctuation; each
    order is parsed strictly. So a cut document is sound if its parts are, however it was cut.
 
 A file that is anything else - no orders, further fields, one document behind another, compressed, not in UTF-8 - is
@@ -64,75 +66,98 @@ def _before(df: DataFrame, totals: dict[str, str]) -> DataFrame:
     return df.withColumns({name: F.coalesce(F.sum(total).over(ahead), F.lit(0)) for name, total in totals.items()})
 
 
-def _numbered(fragments: DataFrame) -> DataFrame:
-    """(file, split, n, ends): whether a fragment ends an order; by prefix sums of quotes, then of brackets."""
+def _joined(fragments: DataFrame) -> DataFrame:
+    """A row for each split: its fragments in order, and the depths that those end at, for both starts; none in a string."""
     order = Window.partitionBy(*SPLIT).orderBy("n")
     ahead = order.rowsBetween(Window.unboundedPreceding, -1)
     through = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    quotes = F.coalesce(F.sum("quotes").over(ahead), F.lit(0))
-    light = fragments.select(*SPLIT, "n", "quotes", "from_outside", "from_string", quotes.alias("earlier"))
+    found = fragments.withColumn("earlier", F.coalesce(F.sum("quotes").over(ahead), F.lit(0)))
     for start in (0, 1):  # quotes before the split, modulo 2
         inside, closing = (F.col("earlier") + start) % 2, (F.col("earlier") + F.col("quotes") + start) % 2 == 0
         change = F.when(inside == 0, F.col("from_outside")).otherwise(F.col("from_string")) - closing.cast("int")
-        light = light.withColumns({f"change_{start}": change, f"closing_{start}": closing})
-    light = light.withColumns({f"depth_{start}": F.sum(f"change_{start}").over(through) for start in (0, 1)})
-    splits = light.groupBy(*SPLIT).agg(*(F.sum(c).alias(c) for c in ("quotes", "change_0", "change_1")))
-    splits = _before(splits, {"quotes_before": "quotes"})
+        found = found.withColumns({f"change_{start}": change, f"closing_{start}": closing})
+    found = found.withColumns({f"depth_{start}": F.sum(f"change_{start}").over(through) for start in (0, 1)})
+    depths = (F.when(F.col(f"closing_{start}"), F.col(f"depth_{start}").cast("int")).alias(f"depths_{start}") for start in (0, 1))
+    parts = F.array_sort(F.collect_list(F.struct("n", F.col("value").alias("texts"), *depths)))
+    sums = (F.sum(c).alias(c) for c in ("quotes", "change_0", "change_1", "size"))
+    splits = found.groupBy(*SPLIT).agg(parts.alias("parts"), *sums, F.first("file_size").alias("file_size"))
+    return splits.select("*", *(f"parts.{name}" for name in ("texts", "depths_0", "depths_1"))).drop("parts")
+
+
+def _ends(depths: Column, listed: Column) -> Column:
+    """The numbers, from 1, of the fragments that end an order."""
+    number = F.transform(depths, lambda depth, i: F.when(depth == listed, i + 1))
+    return F.filter(number, F.isnotnull)
+
+
+def _placed(joined: DataFrame) -> DataFrame:
+    """Of each split, how it begins, the orders that end in it and before it, and those of the file; ``whole``: all of it was read."""
+    splits = _before(joined.select(*SPLIT, "quotes", "change_0", "change_1", "size", "file_size"), {"quotes_before": "quotes"})
     odd = F.col("quotes_before") % 2 == 1
-    splits = _before(splits.withColumn("change", F.when(odd, F.col("change_1")).otherwise(F.col("change_0"))), {"above": "change"})
-    joined = light.join(splits.select(*SPLIT, odd.alias("odd"), "above"), SPLIT)
-
-    def of(name: str) -> Column:
-        return F.when(F.col("odd"), F.col(f"{name}_1")).otherwise(F.col(f"{name}_0"))
-
-    return joined.select(*SPLIT, "n", (of("closing") & (F.col("above") + of("depth") == LISTED)).alias("ends"))
-
-
-def _pieces(fragments: DataFrame, numbered: DataFrame) -> DataFrame:
-    """(file, piece, text, n_orders): the text up to the end of each order, and what is left as the last piece."""
-    ahead = Window.partitionBy(*SPLIT).orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    ends = F.col("ends").cast("bigint")
-    splits = numbered.groupBy(*SPLIT).agg(F.sum(ends).alias("ended"))
-    splits = _before(splits, {"ended_before": "ended"})
-    sizes = fragments.groupBy("file").agg(F.sum("size").alias("read"), F.first("file_size").alias("file_size"))
-    files = splits.groupBy("file").agg(F.sum("ended").alias("n_orders")).join(sizes, "file")
-    places = numbered.select(*SPLIT, "n", F.coalesce(F.sum(ends).over(ahead), F.lit(0)).alias("within"))
-    places = places.join(splits, SPLIT).select(*SPLIT, "n", (F.col("ended_before") + F.col("within")).alias("piece"))
-    texts = (
-        fragments.select(*SPLIT, "n", "value")
-        .join(places, [*SPLIT, "n"])
-        .groupBy("file", "piece")
-        .agg(F.array_sort(F.collect_list(F.struct("split", "n", "value"))).alias("parts"))
+    splits = splits.withColumns({"odd": odd, "change": F.when(odd, F.col("change_1")).otherwise(F.col("change_0"))})
+    splits = _before(splits, {"above": "change"}).select(*SPLIT, "odd", (LISTED - F.col("above")).alias("listed"), "size", "file_size")
+    depths = joined.select(*SPLIT, "depths_0", "depths_1").join(splits, SPLIT)
+    ended = F.size(_ends(F.when(F.col("odd"), F.col("depths_1")).otherwise(F.col("depths_0")), F.col("listed")))
+    counted = _before(depths.select(*splits.columns, ended.cast("bigint").alias("ended")), {"ended_before": "ended"})
+    of_file = Window.partitionBy("file")
+    beyond = F.sum("size").over(of_file) - F.col("file_size")  # the reader does not tell whether the file ends with a brace, its size does
+    return counted.select(
+        *SPLIT, "odd", "listed", "ended", "ended_before", F.sum("ended").over(of_file).alias("n_orders"),
+        (beyond == 0).alias("shut"), beyond.isin(0, 1).alias("whole"),
+    )
+
+
+def _cut(joined: DataFrame, placed: DataFrame) -> DataFrame:
+    """What each split has of its orders, and of what is left as the last piece; ``inner``: all of the order, ``sound`` if it is just behind another."""
+    both = joined.select(*SPLIT, "texts", "depths_0", "depths_1").join(placed, SPLIT)
+    ends = _ends(F.when(F.col("odd"), F.col("depths_1")).otherwise(F.col("depths_0")), F.col("listed"))
+    spans = F.arrays_zip(F.concat(F.array(F.lit(0)), ends).alias("low"), F.array_union(ends, F.array(F.size("texts"))).alias("high"))
+    # behind the last order, if nothing is left, there is no end and so no text
+    texts = F.transform(spans, lambda s: F.array_join(F.slice("texts", s["low"] + 1, s["high"] - s["low"]), "}"))
+    cut = both.select(*SPLIT, "ended", "ended_before", "n_orders", "shut", "whole", F.posexplode(texts).alias("at", "text"))
+    inner = (F.col("at") > 0) & (F.col("at") < F.col("ended"))
+    return cut.where("text is not null").select(
+        *SPLIT, (F.col("ended_before") + F.col("at")).alias("piece"), "text", "n_orders", "shut", "whole",
+        inner.alias("inner"), F.when(inner, F.col("text").rlike(NEXT)).alias("sound"),
     )
-    # the reader does not tell whether the file ends with a brace, its size does
-    shut = (F.col("piece") < F.col("n_orders")) | (F.col("read") == F.col("file_size"))
-    text = F.concat(F.array_join(F.col("parts.value"), "}"), F.when(shut, F.lit("}")).otherwise(F.lit("")))
-    whole = (F.col("read") - F.col("file_size")).isin(0, 1).alias("whole")
-    return texts.join(files, "file").select("file", "piece", text.alias("text"), "n_orders", whole)
 
 
 def read_orders_split(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Files of one document each, as rows of ``orders``: one order a row, or all of a document that is parsed whole.
 
-    Whatever does not parse is an error. The text is written once to the scratch folder and shuffled twice, and an order must
-    fit in one task; for small documents ``read_orders_json(multi_line=True)`` is cheaper. Which files are parsed whole is
-    found out when this is called; their names go through the driver.
+    Whatever does not parse is an error. The text is shuffled once and written twice to the scratch folder, the first time until
+    it is written again; the fragments of a split, and an order, must fit in one task. For small documents
+    ``read_orders_json(multi_line=True)`` is cheaper. Which files are parsed whole is found out when this is called; their names go
+    through the driver.
     """
     scratch = storage.scratch_folder(spark, "split-documents")
-    fragments = storage.written(spark, _fragments(spark, path), f"{scratch}/fragments")
-    numbered = storage.written(spark, _numbered(fragments), f"{scratch}/numbered")
-    pieces = storage.written(spark, _pieces(fragments, numbered), f"{scratch}/pieces")
-    storage.delete(spark, f"{scratch}/fragments")
-    storage.delete(spark, f"{scratch}/numbered")
-
+    with storage.tidy_shuffles(spark):
+        joined = storage.written(spark, _joined(_fragments(spark, path)), f"{scratch}/joined", compression="zstd")
+        placed = storage.written(spark, _placed(joined), f"{scratch}/placed")
+        pieces = storage.written(spark, _cut(joined, placed), f"{scratch}/pieces", compression="zstd")
+    storage.delete(spark, f"{scratch}/joined")
+    storage.delete(spark, f"{scratch}/placed")
+
+    of_file = ("n_orders", "shut", "whole")
+    inner = pieces.where("inner")
+    parts = F.array_sort(F.collect_list(F.struct("split", "text")))
+    outer = pieces.where("not inner").groupBy("file", "piece").agg(parts.alias("parts"), *(F.first(c).alias(c) for c in of_file))
     first, last = F.col("piece") == 0, F.col("piece") == F.col("n_orders")
+    shut = F.when(~last | F.col("shut"), F.lit("}")).otherwise(F.lit(""))
+    outer = outer.select("file", "piece", F.concat(F.array_join("parts.text", "}"), shut).alias("text"), "n_orders", "whole")
     sound = F.when(last, F.col("text").rlike(LAST)).when(first, F.col("text").rlike(FIRST)).otherwise(F.col("text").rlike(NEXT))
-    fits = F.bool_and(sound & F.col("whole")) & F.bool_or(last) & (F.max("n_orders") > 0)
-    odd = pieces.groupBy("file").agg(fits.alias("fits")).where(~F.col("fits")).select("file")
+    judged = outer.select("file", "whole", "n_orders", sound.alias("sound"), last.alias("last"))
+    judged = judged.union(inner.select("file", "whole", "n_orders", "sound", F.lit(False)))
+    fits = F.bool_and(F.col("sound") & F.col("whole")) & F.bool_or("last") & (F.max("n_orders") > 0)
+    others = [row["file"] for row in judged.groupBy("file").agg(fits.alias("fits")).where(~F.col("fits")).collect()]
+
     order = F.regexp_replace("text", F.when(first, F.lit(FIRST)).otherwise(F.lit(NEXT)), F.lit(""))
-    cut = pieces.where(~last).join(odd, "file", "left_anti").select(F.concat(F.lit('{"orders":['), order, F.lit("]}")).alias("value"))
-    found = [parse_orders(cut, "value")]
-    others = [row["file"] for row in odd.collect()]
+    cut = outer.where(~last).select("file", order.alias("text"))
+    cut = cut.union(inner.select("file", F.concat(F.regexp_replace("text", NEXT, ""), F.lit("}"))))
+    if others:
+        odd = spark.createDataFrame([(name,) for name in others], "file string")
+        cut = cut.join(F.broadcast(odd), "file", "left_anti")  # else the text would be shuffled
+    found = [parse_orders(cut.select(F.concat(F.lit('{"orders":['), "text", F.lit("]}")).alias("value")), "value")]
     if others:
         found.append(parse_orders(spark.read.text(others, wholetext=True), "value"))
     return reduce(DataFrame.unionByName, found)

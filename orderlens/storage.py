@@ -6,11 +6,13 @@ Only names and a few bytes of text pass through the driver here; table data neve
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import logging
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -151,7 +153,21 @@ def file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def written(spark: SparkSession, df: DataFrame, folder: str) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, folder: str, **options: str) -> DataFrame:
     """Write ``df`` as a Parquet table and read it back, which cuts its lineage."""
-    df.write.mode("overwrite").parquet(folder)
+    df.write.mode("overwrite").options(**options).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def tidy_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled for writing in here is deleted once it is written, not when the driver next collects garbage."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)

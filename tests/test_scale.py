@@ -12,7 +12,7 @@ from orderlens.operators.quality import broken_rules
 from orderlens.plans import run
 from orderlens.session import tune
 from orderlens.sources import read_orders_json
-from orderlens.sources.split_documents import _fragments
+from orderlens.sources.split_documents import _cut, _fragments, _joined, _placed
 
 registered = importlib.import_module("checks.queries")
 
@@ -159,3 +159,34 @@ def test_scaled_counts_beyond_64_bits(spark, n, kind):
     found = {(r.line, r.times): (int(r.quantity), r.quantity_text) for r in scaled.collect()}
     assert {k: q for k, (q, _) in found.items()} == {(line, 10**p): m * 10**p for line, m in ((1, n), (None, 5)) for p in range(0, 13, 2)}
     assert found[1, 10**12][1] == f"{n * 10**12 / 1e15:.2f} quadrillion" and found[None, 1][1] == "5.00"
+
+
+def test_split_text_is_shuffled_once(spark, tmp_path):
+    texts = ['{"orders": [{"order_id": 1}, {"order_id": 2, "products": [{}, {}]}]}', '{"orders": [{"order_id": "}"}, {}, {}]} ']
+    (tmp_path / "in").mkdir()
+    for i, text in enumerate(texts):
+        (tmp_path / "in" / f"{i}.json").write_text(text)
+    joined = _joined(_fragments(spark, str(tmp_path / "in")))
+    assert planned(joined).count("Exchange hashpartitioning") == 1
+    joined = storage.written(spark, joined, f"{tmp_path}/joined")
+    cut = _cut(joined, storage.written(spark, _placed(joined), f"{tmp_path}/placed"))
+    assert "hashpartitioning" not in planned(cut)
+    found = sorted((r.file[-6], r.piece, r.inner, r.text) for r in cut.collect())
+    assert [text for _, _, inner, text in found if inner] == [', {"order_id": 2, "products": [{}, {}]', ", {", ", {"]
+    both = ["".join(text + "}" for file, *_, text in found if file == name) for name in "01"]
+    assert both == [texts[0], texts[1] + "}"]
+
+
+def test_documents_land_some_at_a_time(spark, tmp_path, monkeypatch):
+    orders = [1, 2, 6000, 6001, 12000, None]
+    spark.createDataFrame([(o, p, 1, p) for o in orders for p in (1, 2)], "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT explode(array(1, 2, 6000, 6001, 12000)) AS o_orderkey, 3 AS o_custkey, timestamp'2024-01-01' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT id AS p_partkey, 'part' AS p_name, 'Brand#1' AS p_brand, 'x' AS p_type FROM range(3)").write.parquet(f"{tmp_path}/part.parquet")
+    query, landed = registered.large_files_cut_and_flattened, []
+    whole = sorted(rows(query(spark, str(tmp_path))), key=repr)
+    kept = registered._a_file_each
+    monkeypatch.setattr(registered, "_a_file_each", lambda texts, folder: landed.append(folder) or kept(texts, folder))
+    monkeypatch.setattr(registered, "LANDED", 700)
+    found = query(spark, str(tmp_path))
+    assert len(landed) > 1 and not any(storage.exists(spark, folder) for folder in landed)
+    assert len(whole) == 12 and sorted(rows(found), key=repr) == whole
